@@ -44,7 +44,7 @@ def update_from(tgt: DataFrame, src: DataFrame, on: list[str], sets: dict[str, C
     target column to a source expression over ``s.<col>``; ``when`` may refer to
     ``t.<col>`` and ``s.<col>``. Returns the whole target, updated.
     """
-    t, s = tgt.alias("t"), src.alias("s").withColumn("__m", F.lit(True))
+    t, s = tgt.alias("t"), src.withColumn("__m", F.lit(True)).alias("s")
     cond = reduce(lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in on])
     joined = t.join(s, cond, "left")
     hit = F.coalesce(F.col("s.__m"), F.lit(False))

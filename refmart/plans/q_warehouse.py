@@ -124,3 +124,365 @@ FROM delta_d d WHERE d.ActionType IN ('NEW', 'MOD')
 def c1_apply_delta(spark, d):
     """C1: the whole customer-based state after applying all event-based deltas."""
     return apply_delta(fx.cdc_state(spark, d), fx.delta(spark, d))
+
+
+# ----------------------------------------------------------------- helpers for SQL change tests
+def _sql_changed(a: str, b: str, tracked: dict[str, str]) -> str:
+    terms = []
+    for c, t in tracked.items():
+        s = "DATE '1900-01-01'" if t in ("date", "timestamp") else ("''" if t == "string" else "0")
+        if t == "timestamp":
+            terms.append(f"coalesce({a}.{c}, TIMESTAMP '1900-01-01') <> coalesce({b}.{c}, TIMESTAMP '1900-01-01')")
+        else:
+            terms.append(f"coalesce({a}.{c}, {s}) <> coalesce({b}.{c}, {s})")
+    return "(" + " OR ".join(terms) + ")"
+
+
+# ----------------------------------------------------------------- C3
+_LT = fx.LISTING_TRACKED
+_LCOLS = list(_LT)
+
+
+@register("c3_scd2_by_current", sql_with(["lst_dim", "lst_new"], f"""
+WITH j AS (
+  SELECT d.InstrumentListingSK AS sk, d.ISIN AS d_isin, d.TradingVenueMIC AS d_mic,
+    {', '.join(f'd.{c} AS d_{c}' for c in _LCOLS)}, d.ValidFromDate AS d_vf, d.ValidToDate AS d_vt, d.IsCurrent AS d_cur,
+    s.ISIN AS s_isin, s.TradingVenueMIC AS s_mic,
+    {', '.join(f's.{c} AS s_{c}' for c in _LCOLS)}, s.ValidFromDate AS s_vf, s.ValidToDate AS s_vt,
+    (d.ISIN IS NOT NULL AND s.ISIN IS NOT NULL AND {_sql_changed('d', 's', _LT)}) AS chg
+  FROM (SELECT * FROM lst_dim WHERE IsCurrent) d
+  FULL JOIN lst_new s ON d.ISIN = s.ISIN AND d.TradingVenueMIC = s.TradingVenueMIC)
+SELECT ISIN, TradingVenueMIC, {', '.join(_LCOLS)}, ValidFromDate, ValidToDate, IsCurrent, InstrumentListingSK
+FROM lst_dim WHERE NOT IsCurrent
+UNION ALL
+SELECT d_isin, d_mic, {', '.join(f'd_{c}' for c in _LCOLS)}, d_vf,
+  CASE WHEN chg THEN s_vf - 1 ELSE d_vt END, CASE WHEN chg THEN FALSE ELSE d_cur END, sk
+FROM j WHERE sk IS NOT NULL
+UNION ALL
+SELECT s_isin, s_mic, {', '.join(f's_{c}' for c in _LCOLS)}, s_vf, s_vt, s_vt IS NULL,
+  (SELECT coalesce(max(InstrumentListingSK), 0) FROM lst_dim) + row_number() OVER (ORDER BY s_isin, s_mic, s_vf)
+FROM j WHERE s_isin IS NOT NULL AND (sk IS NULL OR chg)"""))
+def c3_scd2_by_current(spark, d):
+    """C3 + FLT7 + C13: listing type-2 load (close changed current rows, insert
+    where no current row remains)."""
+    dim, new = fx.listing_pair(spark, d)
+    out = scd2_by_current(dim, new, ["ISIN", "TradingVenueMIC"], _LT, "InstrumentListingSK")
+    return out.select("ISIN", "TradingVenueMIC", *_LCOLS, "ValidFromDate", "ValidToDate", "IsCurrent",
+                      "InstrumentListingSK")
+
+
+# ----------------------------------------------------------------- C4 / JOI5
+_IT = fx.INSTRUMENT_TRACKED
+_ICOLS = list(_IT)
+
+
+@register("c4_scd2_by_version", sql_with(["ins_dim", "ins_new"], f"""
+WITH chg AS (
+  SELECT d.InstrumentSK, min(s.ValidFromDate) AS v
+  FROM ins_dim d JOIN ins_new s ON s.ISIN = d.ISIN
+  WHERE d.IsCurrent AND {_sql_changed('d', 's', _IT)}
+  GROUP BY d.InstrumentSK)
+SELECT d.ISIN, {', '.join(f'd.{c}' for c in _ICOLS)}, d.ValidFromDate,
+  CASE WHEN c.v IS NOT NULL THEN c.v - 1 ELSE d.ValidToDate END AS ValidToDate,
+  CASE WHEN c.v IS NOT NULL THEN FALSE ELSE d.IsCurrent END AS IsCurrent, d.InstrumentSK
+FROM ins_dim d LEFT JOIN chg c ON c.InstrumentSK = d.InstrumentSK
+UNION ALL
+SELECT s.ISIN, {', '.join(f's.{c}' for c in _ICOLS)}, s.ValidFromDate, s.ValidToDate, s.ValidToDate IS NULL,
+  (SELECT coalesce(max(InstrumentSK), 0) FROM ins_dim) + row_number() OVER (ORDER BY s.ISIN, s.ValidFromDate)
+FROM ins_new s
+WHERE NOT EXISTS (SELECT 1 FROM ins_dim d WHERE d.ISIN = s.ISIN AND d.ValidFromDate = s.ValidFromDate)"""))
+def c4_scd2_by_version(spark, d):
+    """C4 + FLT7 + JOI5 + C13: instrument type-2 load (insert absent versions)."""
+    dim, new = fx.instrument_pair(spark, d)
+    out = scd2_by_version(dim, new, ["ISIN"], _IT, "InstrumentSK")
+    return out.select("ISIN", *_ICOLS, "ValidFromDate", "ValidToDate", "IsCurrent", "InstrumentSK")
+
+
+@register("joi5_not_exists", sql_with(["ins_dim", "ins_new"], """SELECT s.ISIN, s.ValidFromDate FROM ins_new s
+  WHERE NOT EXISTS (SELECT 1 FROM ins_dim d WHERE d.ISIN = s.ISIN AND d.ValidFromDate = s.ValidFromDate)"""))
+def joi5_not_exists(spark, d):
+    """JOI5/JOI6: versions absent from the dimension (anti join on key + date)."""
+    from ..operators.joins import not_exists
+    dim, new = fx.instrument_pair(spark, d)
+    return not_exists(new.select("ISIN", "ValidFromDate"), dim.select("ISIN", "ValidFromDate"),
+                      ["ISIN", "ValidFromDate"])
+
+
+@register("win4_dedup_version", sql_with(["ins_new"], f"SELECT ISIN, ValidFromDate, {', '.join(_ICOLS)} FROM ins_new"))
+def win4_dedup_version(spark, d):
+    """WIN4: one row per (ISIN, ValidFrom), lowest venue first (record id breaks ties)."""
+    _, new = fx.instrument_pair(spark, d)
+    return new.select("ISIN", "ValidFromDate", *_ICOLS)
+
+
+# ----------------------------------------------------------------- C5 / JOI4 / WIN5 / JOI3
+_CMDTY = ["CmdtyBaseProduct", "CmdtySubProduct", "CmdtyTransactionType", "CmdtyFinalPriceType"]
+_DEBTF = ["TotalIssuedNominalAmount", "TotalIssuedNominalAmountCcy", "MaturityDate", "NominalValuePerUnit",
+          "NominalValuePerUnitCcy"]
+_ENRICH = {"CmdtyBaseProduct": "string", "CmdtySubProduct": "string", "CmdtyTransactionType": "string",
+           "CmdtyFinalPriceType": "string", "TotalIssuedNominalAmount": "decimal",
+           "TotalIssuedNominalAmountCcy": "string", "MaturityDate": "date", "NominalValuePerUnit": "decimal",
+           "NominalValuePerUnitCcy": "string"}
+
+
+def _per_version(df, cols, extra_order):
+    x = df.filter(F.col("ISIN").isNotNull() & F.col("LatestRecordFlag") & F.col("ValidFromDate").isNotNull()) \
+        .withColumn("ISIN", F.substring(F.trim(F.col("ISIN")), 1, 12))
+    x = dedup_latest(x, ["ISIN", "ValidFromDate"], [F.col("TradingVenueMIC").asc_nulls_first(), *extra_order])
+    return x.select("ISIN", "ValidFromDate", *cols)
+
+
+def _enrich_sources(spark, d):
+    st = wh.staged(spark, d)
+    debt = _per_version(st["debt"], [c for c in _DEBTF], [F.col("TotalIssuedNominalAmount").desc_nulls_last(),
+                                                         F.col("NominalValuePerUnit").desc_nulls_last(),
+                                                         F.col("MaturityDate").desc_nulls_last()])
+    der = _per_version(st["derivative"], _CMDTY, [F.col(c).asc_nulls_last() for c in _CMDTY])
+    lst = _per_version(st["listing"], _CMDTY, [F.col("IssuerLEI").asc_nulls_last()])
+    return debt, der, lst
+
+
+def _sql_per_version(src: str, cols: list[str], order: str) -> str:
+    return f"""SELECT ISIN, ValidFromDate, {', '.join(cols)} FROM (
+  SELECT * EXCLUDE (ISIN), substr(trim(ISIN), 1, 12) AS ISIN, row_number() OVER (
+    PARTITION BY substr(trim(ISIN), 1, 12), ValidFromDate ORDER BY TradingVenueMIC ASC NULLS FIRST, {order}) rn
+  FROM {src} WHERE ISIN IS NOT NULL AND LatestRecordFlag AND ValidFromDate IS NOT NULL) WHERE rn = 1"""
+
+
+fx.add_cte("u_debt", ["debt"], _sql_per_version(
+    "debt", _DEBTF, "TotalIssuedNominalAmount DESC NULLS LAST, NominalValuePerUnit DESC NULLS LAST, "
+    "MaturityDate DESC NULLS LAST"))
+fx.add_cte("u_der", ["deriv"], _sql_per_version(
+    "(SELECT *, CAST(NULL AS VARCHAR) AS CmdtyFinalPriceType FROM deriv)", _CMDTY,
+    ", ".join(f"{c} ASC NULLS LAST" for c in _CMDTY)))
+fx.add_cte("u_lst", ["typed"], _sql_per_version(
+    "(SELECT *, CAST(NULL AS VARCHAR) AS CmdtyFinalPriceType FROM typed)", _CMDTY, "IssuerLEI ASC NULLS LAST"))
+fx.add_cte("u_merged", ["u_debt", "u_der", "u_lst"], f"""
+SELECT coalesce(d.ISIN, r.ISIN, l.ISIN) AS ISIN, coalesce(d.ValidFromDate, r.ValidFromDate, l.ValidFromDate) AS ValidFromDate,
+  {', '.join(f'coalesce(r.{c}, l.{c}) AS {c}' for c in _CMDTY)}, {', '.join(f'd.{c}' for c in _DEBTF)}
+FROM u_debt d FULL JOIN u_der r ON r.ISIN = d.ISIN AND r.ValidFromDate = d.ValidFromDate
+FULL JOIN u_lst l ON l.ISIN = coalesce(d.ISIN, r.ISIN) AND l.ValidFromDate = coalesce(d.ValidFromDate, r.ValidFromDate)""")
+
+
+def _merged(spark, d):
+    debt, der, lst = _enrich_sources(spark, d)
+    return full_merge([debt, der, lst], ["ISIN", "ValidFromDate"], _CMDTY + _DEBTF)
+
+
+_U_OUT = ["ISIN", "ValidFromDate", *_CMDTY, "TotalIssuedNominalAmountCcy", "MaturityDate", "NominalValuePerUnitCcy"]
+
+
+@register("joi4_full_merge", sql_with(["u_merged"], f"""SELECT {', '.join(_U_OUT)},
+  CAST(TotalIssuedNominalAmount AS DOUBLE) AS TotalIssuedNominalAmount,
+  CAST(NominalValuePerUnit AS DOUBLE) AS NominalValuePerUnit FROM u_merged"""))
+def joi4_full_merge(spark, d):
+    """JOI4 + WIN5: 3-source outer merge on (ISIN, ValidFrom), derivative before
+    listing for commodity fields, debt fields from the debt table."""
+    return _merged(spark, d).select(*_U_OUT, _dbl("TotalIssuedNominalAmount"), _dbl("NominalValuePerUnit"))
+
+
+@register("win5_dedup_trimmed", sql_with(["u_lst"], f"SELECT ISIN, ValidFromDate, {', '.join(_CMDTY)} FROM u_lst"))
+def win5_dedup_trimmed(spark, d):
+    """WIN5: trimmed ISIN, one row per (ISIN, ValidFrom), lowest venue first."""
+    return _enrich_sources(spark, d)[2]
+
+
+fx.add_cte("enrich_tgt", ["d_instrument"], f"""SELECT ISIN, ValidFromDate, InstrumentSK,
+  {', '.join(f'CAST(NULL AS {"DECIMAL(38,10)" if t == "decimal" else ("DATE" if t == "date" else "VARCHAR")}) AS {c}' for c, t in _ENRICH.items())}
+FROM d_instrument""")
+
+
+@register("c5_enrich", sql_with(["enrich_tgt", "u_merged"], f"""
+SELECT t.ISIN, t.ValidFromDate, t.InstrumentSK,
+  {', '.join(f'CASE WHEN u.ISIN IS NOT NULL AND {_sql_changed("t", "u", {k: ("string" if v == "decimal" and False else v) for k, v in _ENRICH.items()})} THEN u.{c} ELSE t.{c} END AS {c}' for c in _CMDTY + ["TotalIssuedNominalAmountCcy", "MaturityDate", "NominalValuePerUnitCcy"])},
+  CAST(CASE WHEN u.ISIN IS NOT NULL AND {_sql_changed("t", "u", _ENRICH)} THEN u.TotalIssuedNominalAmount ELSE t.TotalIssuedNominalAmount END AS DOUBLE) AS TotalIssuedNominalAmount,
+  CAST(CASE WHEN u.ISIN IS NOT NULL AND {_sql_changed("t", "u", _ENRICH)} THEN u.NominalValuePerUnit ELSE t.NominalValuePerUnit END AS DOUBLE) AS NominalValuePerUnit,
+  (u.ISIN IS NOT NULL AND {_sql_changed("t", "u", _ENRICH)}) AS updated
+FROM enrich_tgt t LEFT JOIN u_merged u ON u.ISIN = t.ISIN AND u.ValidFromDate = t.ValidFromDate"""))
+def c5_enrich(spark, d):
+    """C5 + JOI3: enrichment update of the instrument dimension from the merged
+    sub-type sources (no versioning; NULL overwrites)."""
+    tgt = wh.dimensions(spark, d)["instrument"].select("ISIN", "ValidFromDate", "InstrumentSK")
+    tgt = tgt.withColumns({c: F.lit(None).cast("decimal(38,10)" if t == "decimal" else t) for c, t in _ENRICH.items()})
+    out = enrich(tgt, _merged(spark, d), ["ISIN", "ValidFromDate"], _ENRICH, flag="updated")
+    return out.select("ISIN", "ValidFromDate", "InstrumentSK", *_CMDTY, "TotalIssuedNominalAmountCcy",
+                      "MaturityDate", "NominalValuePerUnitCcy", _dbl("TotalIssuedNominalAmount"),
+                      _dbl("NominalValuePerUnit"), "updated")
+
+
+# ----------------------------------------------------------------- C6 / JOI8 / C13 / AGG3
+@register("c6_merge_new_keys", sql_with(["wide", "typed"], f"""
+WITH old AS (SELECT CurrencyCode, row_number() OVER (ORDER BY CurrencyCode) AS CurrencySK FROM (
+  SELECT DISTINCT NotionalCurrency AS CurrencyCode FROM wide
+  WHERE ValidFromDate < DATE '{fx.HISTORY_CUTOFF}' AND NotionalCurrency IS NOT NULL AND CAST(substr(NotionalCurrency, 2) AS INTEGER) % 2 = 0))
+SELECT * FROM old
+UNION ALL
+SELECT CurrencyCode, (SELECT coalesce(max(CurrencySK), 0) FROM old) + row_number() OVER (ORDER BY CurrencyCode)
+FROM (SELECT DISTINCT NotionalCurrency AS CurrencyCode FROM typed WHERE NotionalCurrency IS NOT NULL) s
+WHERE NOT EXISTS (SELECT 1 FROM old o WHERE o.CurrencyCode = s.CurrencyCode)"""))
+def c6_merge_new_keys(spark, d):
+    """C6 + JOI8 + AGG3 + C13: insert-only currency dimension. The existing dimension
+    holds the even-numbered currencies seen in the history rows; the load adds
+    every other currency of the listing with keys above the current maximum."""
+    w = fx.wide(spark, d)
+    old_codes = w.filter((F.col("ValidFromDate") < F.lit(fx.HISTORY_CUTOFF).cast("date"))
+                         & F.col("NotionalCurrency").isNotNull()
+                         & (F.substring("NotionalCurrency", 2, 10).cast("int") % 2 == 0)) \
+        .select(F.col("NotionalCurrency").alias("CurrencyCode")).distinct()
+    old = assign_keys(old_codes, ["CurrencyCode"], "CurrencySK")
+    return merge_new_keys(old, wh.staged(spark, d)["listing"], "CurrencyCode", "CurrencySK",
+                          src_key="NotionalCurrency")
+
+
+@register("c13_assign_keys", sql_with(["typed"], """SELECT ISIN, 1000 + row_number() OVER (ORDER BY ISIN) AS InstrumentKey
+  FROM (SELECT DISTINCT ISIN FROM typed WHERE ISIN IS NOT NULL)"""))
+def c13_assign_keys(spark, d):
+    """C13: dense ascending keys above a start value, ordered by the business key,
+    computed without a single-partition window."""
+    isins = wh.staged(spark, d)["listing"].select("ISIN").filter(F.col("ISIN").isNotNull()).distinct()
+    return assign_keys(isins, ["ISIN"], "InstrumentKey", 1000)
+
+
+# ----------------------------------------------------------------- C7 / JOI9 / WIN3 / JOI1
+_ISS = fx.ISSUER_TRACKED
+_ISSC = list(_ISS)
+
+
+@register("win3_dedup_entity", sql_with(["entities"], """SELECT LEI, LegalName, EntityStatus, LegalForm,
+  InitialRegistrationDate, LastUpdateDate, RecordId FROM entities"""))
+def win3_dedup_entity(spark, d):
+    """WIN3: one golden-copy row per LEI (latest update, then registration, then record)."""
+    return fx.entities(spark, d).select("LEI", "LegalName", "EntityStatus", "LegalForm", "InitialRegistrationDate",
+                                        "LastUpdateDate", "RecordId")
+
+
+fx.add_cte("iss_src", ["typed", "entities"], f"""SELECT i.IssuerLEI, {', '.join(f'e.{c}' for c in _ISSC)}
+  FROM (SELECT DISTINCT IssuerLEI FROM typed WHERE IssuerLEI IS NOT NULL) i LEFT JOIN entities e ON e.LEI = i.IssuerLEI""")
+
+
+@register("joi1_left_join_latest", sql_with(["iss_src"], """SELECT IssuerLEI, LegalName, EntityStatus,
+  LastUpdateDate FROM iss_src"""))
+def joi1_left_join_latest(spark, d):
+    """JOI1: each listed issuer left-joined to the latest version of its entity row."""
+    from ..operators.joins import left_join_latest
+    drv = wh.staged(spark, d)["listing"].select("IssuerLEI").filter(F.col("IssuerLEI").isNotNull()).distinct()
+    ref = fx.golden(spark, d).withColumnRenamed("LEI", "IssuerLEI")
+    return left_join_latest(drv, ref, ["IssuerLEI"], fx.ENTITY_ORDER) \
+        .select("IssuerLEI", "LegalName", "EntityStatus", "LastUpdateDate")
+
+
+def _old_issuers(spark, d):
+    g = fx.golden(spark, d).filter(F.col("LastUpdateDate") < F.lit(fx.ENTITY_CUTOFF).cast("timestamp"))
+    old = dedup_latest(g, ["LEI"], fx.ENTITY_ORDER).withColumnRenamed("LEI", "IssuerLEI")
+    listed = wh.staged(spark, d)["listing"].select("IssuerLEI").distinct()
+    old = old.join(listed, "IssuerLEI", "left_semi").select("IssuerLEI", *_ISSC)
+    return assign_keys(old, ["IssuerLEI"], "IssuerSK")
+
+
+@register("c7_upsert_dim", sql_with(["golden", "typed", "iss_src"], f"""
+WITH old AS (
+  SELECT IssuerLEI, {', '.join(_ISSC)}, row_number() OVER (ORDER BY IssuerLEI) AS IssuerSK FROM (
+    SELECT LEI AS IssuerLEI, * EXCLUDE (LEI), row_number() OVER (PARTITION BY LEI ORDER BY LastUpdateDate DESC NULLS LAST,
+      InitialRegistrationDate DESC NULLS LAST, RecordId DESC NULLS LAST) rn
+    FROM golden WHERE LastUpdateDate < TIMESTAMP '{fx.ENTITY_CUTOFF}')
+  WHERE rn = 1 AND IssuerLEI IN (SELECT IssuerLEI FROM typed)),
+j AS (
+  SELECT d.IssuerSK, coalesce(d.IssuerLEI, s.IssuerLEI) AS IssuerLEI,
+    {', '.join(f'd.{c} AS d_{c}, s.{c} AS s_{c}' for c in _ISSC)},
+    CASE WHEN d.IssuerSK IS NOT NULL AND s.IssuerLEI IS NOT NULL AND {_sql_changed('d', 's', _ISS)} THEN 'update'
+         WHEN d.IssuerSK IS NOT NULL THEN 'keep' ELSE 'insert' END AS load_action
+  FROM old d FULL JOIN iss_src s ON d.IssuerLEI = s.IssuerLEI)
+SELECT IssuerLEI, coalesce(IssuerSK, (SELECT coalesce(max(IssuerSK), 0) FROM old)
+    + row_number() OVER (PARTITION BY IssuerSK IS NULL ORDER BY IssuerLEI)) AS IssuerSK,
+  {', '.join(f"CASE WHEN load_action IN ('update', 'insert') THEN s_{c} ELSE d_{c} END AS {c}" for c in _ISSC)},
+  load_action
+FROM j"""))
+def c7_upsert_dim(spark, d):
+    """C7 + JOI9 + WIN3 + JOI1: issuer dimension upsert from the entity golden copy
+    (existing = entities known before the cut-off)."""
+    src = wh.issuer_source(wh.staged(spark, d)["listing"], fx.entities(spark, d))
+    out = upsert_dim(_old_issuers(spark, d), src, "IssuerLEI", "IssuerSK", _ISS)
+    return out.select("IssuerLEI", "IssuerSK", *_ISSC, "load_action")
+
+
+# ----------------------------------------------------------------- C8 / C9
+_HINT_U = wh.FIXTURE_UNDERLYING_HINTS
+_HINT_T = wh.FIXTURE_TYPE_HINTS
+
+
+def _sql_ladder(rules, default):
+    parts = []
+    for pats, label in rules:
+        cond = " OR ".join(f"upper(FullName) LIKE '{p}'" for p in pats)
+        parts.append(f"WHEN max(CASE WHEN {cond} THEN 1 ELSE 0 END) = 1 THEN '{label}'")
+    return "CASE " + " ".join(parts) + f" ELSE '{default}' END"
+
+
+fx.add_cte("j_hints", ["typed"], f"""SELECT CFI, {_sql_ladder(_HINT_U, 'Unknown')} AS Hint_Underlying_Class,
+  {_sql_ladder(_HINT_T, 'Unknown')} AS Hint_Derivative_Type
+  FROM typed WHERE CFI LIKE 'J%' AND FullName IS NOT NULL GROUP BY CFI""")
+
+
+@register("c9_name_hints", sql_with(["j_hints"], "SELECT * FROM j_hints"))
+def c9_name_hints(spark, d):
+    """C9 + AGG4 + FLT4: per J-code underlying/type hints from instrument names."""
+    return name_hints(wh.staged(spark, d)["listing"], _HINT_U, _HINT_T)
+
+
+def _sql_decode() -> str:
+    from ..operators import classify as K
+    def case(expr, mapping, default=None):
+        whens = " ".join(f"WHEN {expr} = '{k}' THEN '{v}'" for k, v in mapping.items())
+        return f"CASE {whens} " + (f"ELSE '{default}' " if default is not None else "") + "END"
+    group_parts = []
+    for letter, (sub, other) in K.GROUP_BY_LETTER.items():
+        group_parts.append(f"WHEN cat = '{letter}' THEN {case('grp', sub, other)}")
+    group_parts.append(f"WHEN cat = 'J' THEN {case(chr(99) + 'oalesce(Hint_Underlying_Class, ' + chr(39) + 'Unknown' + chr(39) + ')', K.J_GROUP, K.J_GROUP_OTHER)}")
+    for letter, prefix in K.GROUP_PREFIX.items():
+        group_parts.append(f"WHEN cat = '{letter}' THEN '{prefix}' || grp")
+    und = [f"WHEN cat = 'H' THEN {case('grp', K.UNDERLYING_HYBRID, K.UNKNOWN)}",
+           "WHEN cat = 'J' THEN coalesce(Hint_Underlying_Class, 'Unknown')"]
+    und += [f"WHEN cat = '{k}' THEN '{v}'" for k, v in K.UNDERLYING_BY_CATEGORY.items()]
+    der = ", ".join(f"'{x}'" for x in K.DERIVATIVE_LETTERS)
+    rep = ", ".join(f"'{x}'" for x in K.REPORTABLE_LETTERS)
+    return f"""SELECT CFI, CFISK, {case('cat', K.CATEGORY, K.UNKNOWN)} AS Category,
+  CASE {' '.join(group_parts)} ELSE 'Unknown' END AS "Group",
+  CASE WHEN cat = 'J' THEN {case("coalesce(Hint_Derivative_Type, 'Unknown')", K.J_TYPE, K.J_TYPE_OTHER)}
+       WHEN a1 IS NULL OR a1 = '' THEN NULL WHEN a1 = 'X' THEN '{K.TYPE_NOT_APPLICABLE}'
+       ELSE '{K.TYPE_PREFIX}' || a1 END AS "Type",
+  CASE WHEN cat IN ({der}) THEN 1 ELSE 0 END AS Is_Derivative,
+  CASE WHEN cat = 'O' THEN 1 WHEN cat = 'J' THEN CASE WHEN Hint_Derivative_Type = 'Option' THEN 1 ELSE 0 END ELSE 0 END AS Has_Strike,
+  CASE WHEN cat IN ('O', 'H') THEN {case('a2', K.EXERCISE_STYLE)} END AS Exercise_Style,
+  CASE {' '.join(und)} ELSE 'Unknown' END AS Underlying_Class,
+  CASE WHEN cat IN ({rep}) THEN 1 ELSE 0 END AS ESMA_Reportable,
+  {', '.join(f"nullif(substr(CFI, {i}, 1), '') AS CFI_{i}" for i in range(1, 7))}
+FROM (SELECT k.CFI, k.CFISK, h.Hint_Underlying_Class, h.Hint_Derivative_Type,
+        upper(substr(k.CFI, 1, 1)) AS cat, upper(substr(k.CFI, 2, 1)) AS grp,
+        CASE WHEN length(rtrim(k.CFI)) >= 3 THEN upper(substr(k.CFI, 3, 1)) END AS a1,
+        CASE WHEN length(rtrim(k.CFI)) >= 4 THEN upper(substr(k.CFI, 4, 1)) END AS a2
+      FROM d_cfi_keys k LEFT JOIN j_hints h ON h.CFI = k.CFI)"""
+
+
+fx.add_cte("d_cfi", ["d_cfi_keys", "j_hints"], _sql_decode())
+_CFI_OUT = ["CFI", "CFISK", "Category", "Group", "Type", "Is_Derivative", "Has_Strike", "Exercise_Style",
+            "Underlying_Class", "ESMA_Reportable"] + [f"CFI_{i}" for i in range(1, 7)]
+
+
+@register("c8_classify", sql_with(["d_cfi"], "SELECT * FROM d_cfi"))
+def c8_classify(spark, d):
+    """C8 + PRJ25 + FLT5 + FLT6: classification dimension decoded from the code."""
+    return wh.dimensions(spark, d)["cfi"].select(*_CFI_OUT)
+
+
+# ----------------------------------------------------------------- C12
+@register("c12_calendar", sql_with(["entities"], """
+SELECT CAST(dd AS DATE) AS "Date", year(dd) AS Year, month(dd) AS Month,
+  ['janvier','février','mars','avril','mai','juin','juillet','août','septembre','octobre','novembre','décembre'][month(dd)] AS MonthName,
+  'Q' || CAST(quarter(dd) AS VARCHAR) AS Quarter, strftime(dd, '%Y-%m') AS YearMonth, day(dd) AS Day,
+  isodow(dd) AS Weekday,
+  ['lundi','mardi','mercredi','jeudi','vendredi','samedi','dimanche'][isodow(dd)] AS WeekdayName
+FROM (SELECT unnest(generate_series(min(InitialRegistrationDate), max(InitialRegistrationDate), INTERVAL 1 DAY)) AS dd
+      FROM entities WHERE InitialRegistrationDate IS NOT NULL)"""))
+def c12_calendar(spark, d):
+    """C12: calendar dimension between the first and last registration date."""
+    return calendar(fx.entities(spark, d), "InitialRegistrationDate")

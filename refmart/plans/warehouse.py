@@ -204,6 +204,7 @@ SELECT {_sql_s('ISIN', 12)} AS ISIN, {_sql_s('TradingVenueMIC', 50)} AS TradingV
   {_sql_s('TotalIssuedNominalAmountCcy', 10)} AS TotalIssuedNominalAmountCcy,
   {_sql_date('MaturityDate')} AS MaturityDate,
   {_sql_dec("nullif(NominalValuePerUnit, '')")} AS NominalValuePerUnit,
+  {_sql_s('NominalValuePerUnitCcy', 10)} AS NominalValuePerUnitCcy,
   {_sql_dec("nullif(FixedRate, '')")} AS FixedRate, substr(nullif(DebtSeniority, ''), 1, 100) AS DebtSeniority,
   {_sql_date('ExpiryDate')} AS ExpiryDate, {_sql_dec("nullif(PriceMultiplier, '')")} AS PriceMultiplier,
   {_sql_s('OptionType', 50)} AS OptionType, {_sql_s('DeliveryType', 50)} AS DeliveryType,
