@@ -158,7 +158,8 @@ def star(spark: SparkSession, sf_dir: str) -> DataFrame:
     venue = m["venue"].join(reg.withColumnRenamed("MIC", "TradingVenueMIC"), "TradingVenueMIC", "left") \
         .select("TradingVenueSK", F.col("TradingVenueMIC").alias("VenueMIC"), "MarketName", "City",
                 F.col("Country").alias("VenueCountry"), F.col("Region").alias("VenueRegion"))
-    issuer = m["issuer"].select("IssuerSK", F.col("LegalAddress_Country").alias("IssuerCountry"))
+    issuer = m["issuer"].select("IssuerSK", F.col("LegalAddress_Country").alias("IssuerCountry"),
+                                F.col("LegalAddress_Region").alias("IssuerRegion"))
     cfi = m["cfi"].select("CFISK", F.col("CFI").alias("CfiCode"), "Category", "Underlying_Class")
     instrument = m["instrument"].select("InstrumentSK", F.col("CFI").alias("InstrumentCFI"))
     return m["fact"].join(venue, "TradingVenueSK", "left").join(issuer, "IssuerSK", "left") \
@@ -222,7 +223,7 @@ add_cte("d_venue", ["typed"], """SELECT TradingVenueMIC, row_number() OVER (ORDE
 add_cte("d_cfi_keys", ["typed"], """SELECT CFI, row_number() OVER (ORDER BY CFI) AS CFISK
   FROM (SELECT DISTINCT CFI FROM typed WHERE CFI IS NOT NULL AND length(rtrim(CFI)) >= 2)""")
 add_cte("d_issuer", ["typed", "entities"], """SELECT i.IssuerLEI, row_number() OVER (ORDER BY i.IssuerLEI) AS IssuerSK,
-  e.LegalName, e.LegalAddress_Country, e.HeadquartersAddress_Country, e.EntityStatus
+  e.LegalName, e.LegalAddress_Country, e.LegalAddress_Region, e.HeadquartersAddress_Country, e.EntityStatus
   FROM (SELECT DISTINCT IssuerLEI FROM typed WHERE IssuerLEI IS NOT NULL) i LEFT JOIN entities e ON e.LEI = i.IssuerLEI""")
 add_cte("d_instrument", ["typed"], """SELECT ISIN, CFI, ValidFromDate, TRUE AS IsCurrent,
   row_number() OVER (ORDER BY ISIN, ValidFromDate) AS InstrumentSK FROM (
