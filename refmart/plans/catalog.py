@@ -27,7 +27,7 @@ def register(name: str, sql: str | None = None):
 
 def _load_all() -> None:
     # Importing the modules registers their queries.
-    from . import q_core, q_reports, q_warehouse  # noqa: F401
+    from . import q_warehouse, q_reports, q_core  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
