@@ -79,7 +79,13 @@ def changed(left: DataFrame | None, a_prefix: str, b_prefix: str, cols: dict[str
 
 def since(ts: str, hours: float, now: Column) -> Column:
     """FLT8: ``ts >= now - hours``."""
-    return F.col(ts) >= now - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(hours * 3600.0))
+    return F.col(ts) >= now - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(float(hours) * 3600.0))
+
+
+def assert_unique(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Q-11 / Q-5 check: the key groups that occur more than once (empty when the
+    key is unique). Reported, never dropped silently."""
+    return df.groupBy(*keys).count().filter(F.col("count") > 1)
 
 
 def require_isin(df: DataFrame, col: str = "ISIN") -> DataFrame:

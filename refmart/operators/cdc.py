@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clean import blank_to_null, coalesce_date, cut, parse_bool, parse_date, parse_decimal, parse_int
-from ..functions.predicates import in_family
+from ..functions.predicates import in_family, require_keys
 from .windows import dedup_latest
 
 KEYS = ["ISIN", "TradingVenueMIC"]
@@ -26,7 +26,7 @@ def prepare_delta(delta: DataFrame) -> DataFrame:
     """C1 (a)+(b) / WIN2: add ``VF`` (date of the first 10 chars of ValidFrom,
     else of the header date) and ``TERM``; keep one row per
     (ISIN, venue, VF, action) -- highest numeric record id, then record id text."""
-    d = delta.filter(F.col("ISIN").isNotNull() & F.col("TradingVenueMIC").isNotNull())
+    d = require_keys(delta, ["ISIN", "TradingVenueMIC"])
     d = d.withColumn("VF", parse_date(F.coalesce(F.col("ValidFromDate").cast("string"),
                                                   F.col("HeaderReportingPeriodDate").cast("string")))) \
         .withColumn("TERM", parse_date(F.col("TerminationDate")))

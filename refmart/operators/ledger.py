@@ -62,6 +62,6 @@ def recent_loads(ledger: DataFrame, hours: float, n: int, now: Column | None = N
                  ts: str = "load_start_ts") -> DataFrame:
     """RPT19 / FLT8 / TOP4: the ``n`` most recent loads of the last ``hours`` hours.
     ``now`` defaults to the current timestamp; tests pass a fixed one."""
+    from ..functions.predicates import since
     now = now if now is not None else F.current_timestamp()
-    lo = now - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(float(hours) * 3600.0))
-    return recent(ledger.filter(F.col(ts) >= lo), [F.col(ts).desc_nulls_last(), F.col("file_name").desc_nulls_last()], n)
+    return recent(ledger.filter(since(ts, hours, now)), [F.col(ts).desc_nulls_last(), F.col("file_name").desc_nulls_last()], n)

@@ -85,7 +85,7 @@ def _memo(spark: SparkSession, sf_dir: str, name: str, build):
     key = (id(spark.sparkContext._jsc), sf_dir, name)
     if key not in _MEMO:
         from ..session import cut_lineage
-        _MEMO[key] = cut_lineage(build())
+        _MEMO[key] = cut_lineage(build(), name)
     return _MEMO[key]
 
 

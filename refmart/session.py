@@ -65,8 +65,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor
-    loss, unlike a local checkpoint). Used after each state rewrite."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut the lineage by writing the frame as Parquet into the shared checkpoint
+    folder and reading it back (survives executor loss, unlike a local
+    checkpoint). One computation -- ``DataFrame.checkpoint`` would evaluate the
+    plan twice (once to count, once to write) -- and the re-read table carries
+    real size statistics for AQE's join planning."""
+    import uuid
+    base = ensure_checkpoint_dir(df.sparkSession)
+    path = f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
