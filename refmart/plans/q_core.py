@@ -413,7 +413,7 @@ def joi11_append_common(spark, d):
   VenueRegion, IssuerCountry, IssuerRegion, CfiCode, Category FROM star"""))
 def joi12_star_view(spark, d):
     """JOI10 / JOI12: the fact along its dimension paths (blank members kept)."""
-    return wh.star(spark, d).select("ISIN", "TradingVenueMIC", "VenueMIC", "MarketName", "City", "VenueCountry",
+    return wh.star_view(spark, d).select("ISIN", "TradingVenueMIC", "VenueMIC", "MarketName", "City", "VenueCountry",
                                     "VenueRegion", "IssuerCountry", "IssuerRegion", "CfiCode", "Category")
 
 

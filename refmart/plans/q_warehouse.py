@@ -352,8 +352,9 @@ _ISSC = list(_ISS)
   InitialRegistrationDate, LastUpdateDate, RecordId FROM entities"""))
 def win3_dedup_entity(spark, d):
     """WIN3: one golden-copy row per LEI (latest update, then registration, then record)."""
-    return fx.entities(spark, d).select("LEI", "LegalName", "EntityStatus", "LegalForm", "InitialRegistrationDate",
-                                        "LastUpdateDate", "RecordId")
+    ents = dedup_latest(fx.golden(spark, d), ["LEI"], fx.ENTITY_ORDER)
+    return ents.select("LEI", "LegalName", "EntityStatus", "LegalForm", "InitialRegistrationDate",
+                       "LastUpdateDate", "RecordId")
 
 
 fx.add_cte("iss_src", ["typed", "entities"], f"""SELECT i.IssuerLEI, {', '.join(f'e.{c}' for c in _ISSC)}

@@ -76,17 +76,9 @@ def _empty_scd2(spark: SparkSession, like: DataFrame, sk: str) -> DataFrame:
         .withColumn("IsCurrent", F.lit(None).cast("boolean"))
 
 
-_MEMO: dict[tuple, DataFrame] = {}
-
-
 def _memo(spark: SparkSession, sf_dir: str, name: str, build):
-    """Per-session memo of materialised stages: each stage is computed once and
-    cut from its lineage with a reliable checkpoint (shared checkpoint dir)."""
-    key = (id(spark.sparkContext._jsc), sf_dir, name)
-    if key not in _MEMO:
-        from ..session import cut_lineage
-        _MEMO[key] = cut_lineage(build(), name)
-    return _MEMO[key]
+    """A materialised warehouse stage (see ``fixtures.stage``)."""
+    return fx.stage(spark, sf_dir, name, build)
 
 
 def staged(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -151,6 +143,12 @@ def mart(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report model: the star view written once (the report tool imports
+    the joined model the same way); every report reads it."""
+    return _memo(spark, sf_dir, "star", lambda: star_view(spark, sf_dir))
+
+
+def star_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JOI10 / JOI12: fact -> venue -> venue register (city, country, region);
     fact -> issuer (country); fact -> classification; fact -> instrument."""
     m = mart(spark, sf_dir)
