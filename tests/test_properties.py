@@ -135,3 +135,21 @@ def test_classify_decode(spark):
     assert out["HRXEXX"].Underlying_Class == "Interest Rate"
     assert out["JFTXXX"].Group == "Foreign Exchange (change)" and out["JFTXXX"].Type == "Option (dérivé)"
     assert out["X"].Category is None                                     # too short: left as is
+
+
+def test_source_collation_keys(spark):
+    from refmart.functions.clean import with_collated_keys
+    from refmart.operators.windows import dedup_latest
+    df = spark.createDataFrame([("abc  ", 1), ("ABC", 2), ("é", 3), ("e", 4)], "k STRING, v INT")
+    assert dedup_latest(with_collated_keys(df, ["k"]), ["k"], ["v desc"]).count() == 3
+    assert dedup_latest(df, ["k"], ["v desc"]).count() == 4              # exact by default
+
+
+def test_scd2_anomalies_reports_q8(spark):
+    from refmart.operators.dims import scd2_anomalies, scd2_by_version
+    dim = spark.createDataFrame([("X", "a", D("2020-01-01"), None, True, 1)],
+                                "ISIN STRING, name STRING, ValidFromDate DATE, ValidToDate DATE, IsCurrent BOOLEAN, sk BIGINT")
+    # Same version already present: the current row is closed and nothing is inserted (Q-8).
+    src = spark.createDataFrame([("X", "b", D("2020-01-01"), None)], "ISIN STRING, name STRING, ValidFromDate DATE, ValidToDate DATE")
+    out = scd2_by_version(dim, src, ["ISIN"], {"name": "string"}, "sk")
+    assert [tuple(r) for r in scd2_anomalies(out, ["ISIN"]).collect()] == [("X", 0)]
