@@ -28,16 +28,23 @@ def assign_keys(df: DataFrame, order_cols: list[str], sk: str, start: Column | i
     order (``order_cols`` must be unique per row for a stable result).
 
     ``start`` may be a scalar subquery such as ``max(sk)`` of the existing table.
+
+    Two passes are unavoidable (every partition's offset needs all partition
+    sizes), so the range-partitioned rows are written once with their
+    partition id and in-partition number; sizes and numbering then come from
+    the same stored rows. Re-evaluating the input twice instead could place
+    rows differently (range boundaries are sampled) and break density -- also
+    after an executor loss.
     """
+    from ..session import cut_lineage
     start_col = F.coalesce(start if isinstance(start, Column) else F.lit(start), F.lit(0)).cast("long")
-    # An explicit partition count: AQE never coalesces it, so the partition ids
-    # seen by the size count and by the numbering are the same.
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
     mid = F.monotonically_increasing_id()
-    tagged = ordered.withColumn("__mid", mid) \
-        .withColumn("__pid", F.shiftright(F.col("__mid"), 33)) \
-        .withColumn("__local", F.col("__mid") - F.shiftleft(F.col("__pid"), 33) + 1)
+    tagged = cut_lineage(ordered.withColumn("__mid", mid)
+                         .withColumn("__pid", F.shiftright(F.col("__mid"), 33))
+                         .withColumn("__local", F.col("__mid") - F.shiftleft(F.col("__pid"), 33) + 1)
+                         .drop("__mid"), "keys")
     sizes = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     # One row per partition: this window is over a few thousand rows at most.
     offsets = sizes.withColumn(
@@ -45,7 +52,7 @@ def assign_keys(df: DataFrame, order_cols: list[str], sk: str, start: Column | i
                             F.lit(0))).select("__pid", "__off")
     out = tagged.join(F.broadcast(offsets), "__pid") \
         .withColumn(sk, start_col + F.col("__off") + F.col("__local"))
-    return out.drop("__mid", "__pid", "__local", "__off")
+    return out.drop("__pid", "__local", "__off")
 
 
 def _max_key(dim: DataFrame, sk: str) -> Column:
