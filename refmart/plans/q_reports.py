@@ -182,7 +182,7 @@ def rpt12_entities_by_country(spark, d):
     return R.entities_by_country(fx.entities(spark, d))
 
 
-_CAL = """(SELECT CAST(dd AS DATE) AS "Date", year(dd) AS Year, 'Q' || CAST(quarter(dd) AS VARCHAR) AS Quarter
+_CAL = """(SELECT CAST(dd AS DATE) AS "Date", CAST(year(dd) AS INTEGER) AS Year, 'Q' || CAST(quarter(dd) AS VARCHAR) AS Quarter
   FROM (SELECT unnest(generate_series(min(InitialRegistrationDate), max(InitialRegistrationDate), INTERVAL 1 DAY)) AS dd
         FROM entities WHERE InitialRegistrationDate IS NOT NULL))"""
 

@@ -477,10 +477,10 @@ def c8_classify(spark, d):
 
 # ----------------------------------------------------------------- C12
 @register("c12_calendar", sql_with(["entities"], """
-SELECT CAST(dd AS DATE) AS "Date", year(dd) AS Year, month(dd) AS Month,
+SELECT CAST(dd AS DATE) AS "Date", CAST(year(dd) AS INTEGER) AS Year, CAST(month(dd) AS INTEGER) AS Month,
   ['janvier','février','mars','avril','mai','juin','juillet','août','septembre','octobre','novembre','décembre'][month(dd)] AS MonthName,
-  'Q' || CAST(quarter(dd) AS VARCHAR) AS Quarter, strftime(dd, '%Y-%m') AS YearMonth, day(dd) AS Day,
-  isodow(dd) AS Weekday,
+  'Q' || CAST(quarter(dd) AS VARCHAR) AS Quarter, strftime(dd, '%Y-%m') AS YearMonth, CAST(day(dd) AS INTEGER) AS Day,
+  CAST(isodow(dd) AS INTEGER) AS Weekday,
   ['lundi','mardi','mercredi','jeudi','vendredi','samedi','dimanche'][isodow(dd)] AS WeekdayName
 FROM (SELECT unnest(generate_series(min(InitialRegistrationDate), max(InitialRegistrationDate), INTERVAL 1 DAY)) AS dd
       FROM entities WHERE InitialRegistrationDate IS NOT NULL)"""))

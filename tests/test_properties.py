@@ -153,3 +153,11 @@ def test_scd2_anomalies_reports_q8(spark):
     src = spark.createDataFrame([("X", "b", D("2020-01-01"), None)], "ISIN STRING, name STRING, ValidFromDate DATE, ValidToDate DATE")
     out = scd2_by_version(dim, src, ["ISIN"], {"name": "string"}, "sk")
     assert [tuple(r) for r in scd2_anomalies(out, ["ISIN"]).collect()] == [("X", 0)]
+
+
+def test_order_by_display(spark):
+    from refmart.operators.windows import order_by, recent
+    df = spark.createDataFrame([("a", 1), ("b", None), ("c", 3)], "k STRING, x INT")
+    assert [r.k for r in order_by(df, ["x desc", "k"]).collect()] == ["c", "a", "b"]   # DESC: NULLs last
+    assert [r.k for r in order_by(df, ["x"]).collect()] == ["b", "a", "c"]             # ASC: NULLs first
+    assert [r.k for r in recent(df, ["x desc"], 1).collect()] == ["c"]
