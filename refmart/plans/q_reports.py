@@ -248,7 +248,8 @@ add_cte("ledger", [], """
 SELECT 'load_' || event_type AS process_name,
   'events_' || strftime(day, '%Y%m%d') || '_' || event_type || '.psv' AS file_name,
   CASE WHEN n - bad > 0 OR n = 0 THEN 'END' ELSE 'ERROR' END AS status,
-  t0 AS load_start_ts, t1 AS load_end_ts, n AS rows_read, n - bad AS rows_inserted, bad AS rows_rejected,
+  t0 AS load_start_ts, t1 AS load_end_ts, n AS rows_read, CAST(n - bad AS BIGINT) AS rows_inserted,
+  CAST(bad AS BIGINT) AS rows_rejected,
   CAST(NULL AS VARCHAR) AS error_message
 FROM (SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n, sum(CASE WHEN value < 1.0 THEN 1 ELSE 0 END) AS bad,
         min(ts) AS t0, max(ts) AS t1 FROM events GROUP BY 1, 2)""")
