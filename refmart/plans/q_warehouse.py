@@ -311,27 +311,20 @@ def c5_enrich(spark, d):
 
 
 # ----------------------------------------------------------------- C6 / JOI8 / C13 / AGG3
-@register("c6_merge_new_keys", sql_with(["wide", "typed"], f"""
-WITH old AS (SELECT CurrencyCode, row_number() OVER (ORDER BY CurrencyCode) AS CurrencySK FROM (
-  SELECT DISTINCT NotionalCurrency AS CurrencyCode FROM wide
-  WHERE ValidFromDate < DATE '{fx.HISTORY_CUTOFF}' AND NotionalCurrency IS NOT NULL AND CAST(substr(NotionalCurrency, 2) AS INTEGER) % 2 = 0))
+@register("c6_merge_new_keys", sql_with(["register", "typed"], """
+WITH old AS (SELECT MIC AS TradingVenueMIC, row_number() OVER (ORDER BY MIC) AS TradingVenueSK FROM register)
 SELECT * FROM old
 UNION ALL
-SELECT CurrencyCode, (SELECT coalesce(max(CurrencySK), 0) FROM old) + row_number() OVER (ORDER BY CurrencyCode)
-FROM (SELECT DISTINCT NotionalCurrency AS CurrencyCode FROM typed WHERE NotionalCurrency IS NOT NULL) s
-WHERE NOT EXISTS (SELECT 1 FROM old o WHERE o.CurrencyCode = s.CurrencyCode)"""))
+SELECT TradingVenueMIC, (SELECT coalesce(max(TradingVenueSK), 0) FROM old) + row_number() OVER (ORDER BY TradingVenueMIC)
+FROM (SELECT DISTINCT TradingVenueMIC FROM typed WHERE TradingVenueMIC IS NOT NULL) s
+WHERE NOT EXISTS (SELECT 1 FROM old o WHERE o.TradingVenueMIC = s.TradingVenueMIC)"""))
 def c6_merge_new_keys(spark, d):
-    """C6 + JOI8 + AGG3 + C13: insert-only currency dimension. The existing dimension
-    holds the even-numbered currencies seen in the history rows; the load adds
-    every other currency of the listing with keys above the current maximum."""
-    w = fx.wide(spark, d)
-    old_codes = w.filter((F.col("ValidFromDate") < F.lit(fx.HISTORY_CUTOFF).cast("date"))
-                         & F.col("NotionalCurrency").isNotNull()
-                         & (F.substring("NotionalCurrency", 2, 10).cast("int") % 2 == 0)) \
-        .select(F.col("NotionalCurrency").alias("CurrencyCode")).distinct()
-    old = assign_keys(old_codes, ["CurrencyCode"], "CurrencySK")
-    return merge_new_keys(old, wh.staged(spark, d)["listing"], "CurrencyCode", "CurrencySK",
-                          src_key="NotionalCurrency")
+    """C6 + JOI8 + AGG3 + C13: insert-only venue dimension. The existing dimension
+    is the venue register (keys in code order); the load adds every venue of
+    the listing the register lacks, with keys above the current maximum."""
+    reg = fx.venue_register(spark, d).select(F.col("MIC").alias("TradingVenueMIC"))
+    old = assign_keys(reg, ["TradingVenueMIC"], "TradingVenueSK")
+    return merge_new_keys(old, wh.staged(spark, d)["listing"], "TradingVenueMIC", "TradingVenueSK")
 
 
 @register("c13_assign_keys", sql_with(["typed"], """SELECT ISIN, 1000 + row_number() OVER (ORDER BY ISIN) AS InstrumentKey
