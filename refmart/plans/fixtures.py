@@ -26,7 +26,8 @@ _STAGES: dict[tuple, DataFrame] = {}
 
 
 def _key(spark: SparkSession, sf_dir: str, name: str) -> tuple:
-    return (id(spark.sparkContext._jsc), sf_dir, name)
+    from ..session import session_key
+    return (session_key(spark), sf_dir, name)
 
 
 def lazy(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
@@ -58,10 +59,12 @@ def _read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     round-robin repartition so the per-row work runs in parallel; a real input
     of many files/row groups already has enough splits and is left as is."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    slots = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        df = df.repartition(slots)
-    return df
+    try:
+        slots = spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 -- no RDD view of the scan: leave it as planned
+        return df
+    return df.repartition(slots) if splits < slots else df
 
 
 def _pad(c: Column, n: int) -> Column:

@@ -51,20 +51,36 @@ def get_spark(master: str | None = None, app: str = "refmart", shuffle_partition
     return spark
 
 
+_SCRATCH: dict[int, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; only when it is unset (local
     tests) fall back to a fresh scratch folder."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 -- a session without a SparkContext handle
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="refmart-ckpt-", dir="/tmp")
-    sc.setCheckpointDir(configured)
+        configured = _SCRATCH.setdefault(id(spark), tempfile.mkdtemp(prefix="refmart-ckpt-", dir="/tmp"))
+    if sc is not None:
+        sc.setCheckpointDir(configured)
     return configured
 
 
+def session_key(spark: SparkSession) -> int:
+    """An id for memoising per session (the JVM context when there is one)."""
+    try:
+        return id(spark.sparkContext._jsc)
+    except Exception:  # noqa: BLE001
+        return id(spark)
+
+
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Cut the lineage by writing the frame as Parquet into the shared checkpoint
     folder and reading it back (survives executor loss, unlike a local
