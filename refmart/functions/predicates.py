@@ -61,13 +61,12 @@ def _sentinel_for(dtype: str):
     return F.lit(0)
 
 
-def changed(left: DataFrame | None, a_prefix: str, b_prefix: str, cols: dict[str, str]) -> Column:
+def changed(a_prefix: str, b_prefix: str, cols: dict[str, str]) -> Column:
     """FLT7: NULL-safe change test with sentinels over ``cols`` ({name: type}).
 
     NULL and the sentinel compare equal ('' for text, 0 for numbers, 1900-01-01
     for dates, false for flags) -- deliberately *not* ``<=>``.
     """
-    del left
     terms = []
     for name, dtype in cols.items():
         s = _sentinel_for(dtype)

@@ -85,7 +85,7 @@ def upsert_dim(dim: DataFrame, src: DataFrame, key: str, sk: str, tracked: dict[
     s = src.select(key, *cols).withColumn("__s", F.lit(True)).alias("s")
     j = d.join(s, F.col(f"d.{key}") == F.col(f"s.{key}"), "full")
     in_d, in_s = F.col(f"d.{sk}").isNotNull(), F.coalesce(F.col("s.__s"), F.lit(False))
-    diff = changed(None, "d.", "s.", tracked)
+    diff = changed("d.", "s.", tracked)
     action = F.when(in_d & in_s & diff, F.lit("update")).when(in_d, F.lit("keep")).otherwise(F.lit("insert"))
     take_src = action.isin("update", "insert")
     merged = j.select(
@@ -120,7 +120,7 @@ def scd2_by_current(dim: DataFrame, src: DataFrame, keys: list[str], tracked: di
     cond = reduce(lambda a, b: a & b, [F.col(f"d.{k}") == F.col(f"s.{k}") for k in keys])
     j = d.join(s, cond, "full")
     in_d, in_s = F.col(f"d.{sk}").isNotNull(), F.coalesce(F.col("s.__s"), F.lit(False))
-    close = in_d & in_s & changed(None, "d.", "s.", tracked)
+    close = in_d & in_s & changed("d.", "s.", tracked)
     key_cols = [F.coalesce(F.col(f"d.{k}"), F.col(f"s.{k}")).alias(k) for k in keys]
     dim_row = F.when(in_d, F.struct(
         F.col(f"d.{sk}").alias(sk), *[F.col(f"d.{c}").alias(c) for c in cols], F.col(f"d.{vf}").alias(vf),
@@ -184,7 +184,7 @@ def enrich(dim: DataFrame, upd: DataFrame, keys: list[str], fields: dict[str, st
     """C5: update ``fields`` of matching rows (on ``keys``) from ``upd`` when any of
     them changed (FLT7 sentinels); source NULLs overwrite. No versioning."""
     from .joins import update_from
-    cond = changed(None, "t.", "s.", fields)
+    cond = changed("t.", "s.", fields)
     return update_from(dim, upd, keys, {c: c for c in fields}, when=cond, flag=flag)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clean as C
 from ..functions import predicates as P
-from ..operators.measures import distinct_count, is_empty, max_date, row_delta, share_of_total
+from ..operators.measures import is_empty, max_date, row_delta, share_of_total
 from ..sources.files import file_date, incremental_plan, latest_partition, union_files
 from . import fixtures as fx
 from . import warehouse as wh

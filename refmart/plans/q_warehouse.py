@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.clean import parse_date
 from ..operators.cdc import apply_delta, prepare_delta
 from ..operators.classify import classify, name_hints
 from ..operators.dims import assign_keys, enrich, merge_new_keys, scd2_by_current, scd2_by_version, upsert_dim
@@ -294,7 +293,7 @@ FROM d_instrument""")
 
 @register("c5_enrich", sql_with(["enrich_tgt", "u_merged"], f"""
 SELECT t.ISIN, t.ValidFromDate, t.InstrumentSK,
-  {', '.join(f'CASE WHEN u.ISIN IS NOT NULL AND {_sql_changed("t", "u", {k: ("string" if v == "decimal" and False else v) for k, v in _ENRICH.items()})} THEN u.{c} ELSE t.{c} END AS {c}' for c in _CMDTY + ["TotalIssuedNominalAmountCcy", "MaturityDate", "NominalValuePerUnitCcy"])},
+  {', '.join(f'CASE WHEN u.ISIN IS NOT NULL AND {_sql_changed("t", "u", _ENRICH)} THEN u.{c} ELSE t.{c} END AS {c}' for c in _CMDTY + ["TotalIssuedNominalAmountCcy", "MaturityDate", "NominalValuePerUnitCcy"])},
   CAST(CASE WHEN u.ISIN IS NOT NULL AND {_sql_changed("t", "u", _ENRICH)} THEN u.TotalIssuedNominalAmount ELSE t.TotalIssuedNominalAmount END AS DOUBLE) AS TotalIssuedNominalAmount,
   CAST(CASE WHEN u.ISIN IS NOT NULL AND {_sql_changed("t", "u", _ENRICH)} THEN u.NominalValuePerUnit ELSE t.NominalValuePerUnit END AS DOUBLE) AS NominalValuePerUnit,
   (u.ISIN IS NOT NULL AND {_sql_changed("t", "u", _ENRICH)}) AS updated
