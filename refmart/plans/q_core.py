@@ -447,3 +447,17 @@ def agg8_total_nominal(spark, d):
                  F.count_distinct(F.concat_ws("|", "ISIN", "TradingVenueMIC")).alias("n"))
     return k.select(F.round(F.col("t").cast("double"), 2).alias("total_nominal"),
                     F.round(ratio(F.col("t"), F.col("n")), 6).alias("nominal_per_listing"))
+
+
+# ----------------------------------------------------------------- SRC7 (rows-only: no SQL twin)
+QUOTE_PAGE_HEADERS = ["ISIN", "Produit", "Ss-Jacent", "Barrière", "Achat", "Vente", "Levier", "Maturité", "Var.",
+                      "Émetteurs", "DATE_EXTRACTION", "ProduitType"]
+
+
+@register("src7_html_best_table")
+def src7_html_best_table(spark, d):
+    """SRC7 + PRJ18/PRJ19/FLT13: rows of each page's best-matching quote table
+    (every page is parsed; the driver's pages carry no <table>, so the result
+    is empty -- the golden page test checks the values)."""
+    from ..sources.html import html_best_table
+    return html_best_table(fx.table(spark, d, "pages"), QUOTE_PAGE_HEADERS)

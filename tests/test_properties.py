@@ -161,3 +161,26 @@ def test_order_by_display(spark):
     assert [r.k for r in order_by(df, ["x desc", "k"]).collect()] == ["c", "a", "b"]   # DESC: NULLs last
     assert [r.k for r in order_by(df, ["x"]).collect()] == ["b", "a", "c"]             # ASC: NULLs first
     assert [r.k for r in recent(df, ["x desc"], 1).collect()] == ["c"]
+
+
+def test_bounded_broadcast_checks_size(spark):
+    from refmart.operators.joins import bounded
+    small = spark.range(10)
+    big = spark.range(1000)
+    assert bounded(big, 100) is big                     # above the bound: left to the planner
+    assert bounded(small, 100) is not small             # within the bound: hinted
+
+
+def test_ledger_helpers(spark):
+    import datetime as dt
+    from refmart.operators.ledger import ledger_entry, observed_counts
+    from refmart.operators.measures import ledger_summary
+    df = spark.range(100).withColumn("bad", F.col("id") % 10 == 0)
+    observed, obs = observed_counts(df, F.col("bad"))
+    observed.write.format("noop").mode("overwrite").save()
+    assert obs.get == {"rows_read": 100, "rows_rejected": 10}
+    t = dt.datetime(2024, 1, 1)
+    rows = ledger_entry(spark, "load", "f1", "END", t, t, 100, 90, 10).unionByName(
+        ledger_entry(spark, "load", "f2", "ERROR", t, t, 0, 0, 0, "boom"))
+    s = ledger_summary(rows, ["process_name"]).first()
+    assert (s.total_files, s.total_read, s.total_inserted, s.failed_files, s.success_rate) == (2, 100, 90, 1, 90.0)
