@@ -23,23 +23,36 @@ from ..functions.predicates import changed
 
 
 # --------------------------------------------------------------------- C13
+# Largest key set numbered in one ordered task (a proven bound, like a
+# size-checked broadcast); above it the range-partitioned path runs.
+SINGLE_TASK_KEYS = 2_000_000
+
+
 def assign_keys(df: DataFrame, order_cols: list[str], sk: str, start: Column | int = 0) -> DataFrame:
     """C13: dense ascending integer keys ``start+1, start+2, ...`` in ``order_cols``
     order (``order_cols`` must be unique per row for a stable result).
 
     ``start`` may be a scalar subquery such as ``max(sk)`` of the existing table.
 
-    Two passes are unavoidable (every partition's offset needs all partition
-    sizes), so the range-partitioned rows are written once with their
-    partition id and in-partition number; sizes and numbering then come from
-    the same stored rows. Re-evaluating the input twice instead could place
-    rows differently (range boundaries are sampled) and break density -- also
-    after an executor loss.
+    The rows to number are written once (a lineage cut), so everything after
+    reads the same stored rows -- a re-evaluation or a lost executor cannot
+    change them. Their count (from the Parquet footers) picks the path:
+
+    * up to ``SINGLE_TASK_KEYS`` rows (the usual daily load of new keys):
+      one ordered ``row_number`` over the stored rows -- a bounded single task;
+    * above it: range-partition by the key, number rows inside each partition,
+      write those tagged rows, and add the running total of the partition
+      sizes (a frame of one row per partition, broadcast). No task ever holds
+      more than one range.
     """
     from ..session import cut_lineage
     start_col = F.coalesce(start if isinstance(start, Column) else F.lit(start), F.lit(0)).cast("long")
+    stored = cut_lineage(df, "newkeys")
+    if stored.count() <= SINGLE_TASK_KEYS:
+        w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
+        return stored.withColumn(sk, start_col + F.row_number().over(w).cast("long"))
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+    ordered = stored.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
     mid = F.monotonically_increasing_id()
     tagged = cut_lineage(ordered.withColumn("__mid", mid)
                          .withColumn("__pid", F.shiftright(F.col("__mid"), 33))
@@ -94,6 +107,10 @@ def upsert_dim(dim: DataFrame, src: DataFrame, key: str, sk: str, tracked: dict[
         *[F.when(take_src, F.col(f"s.{c}")).otherwise(F.col(f"d.{c}")).alias(c) for c in cols],
         action.alias("__action"),
     )
+    # Written once: the kept rows and the rows needing keys both come from it,
+    # so the full join is not evaluated twice.
+    from ..session import cut_lineage
+    merged = cut_lineage(merged, "upsert")
     old = merged.filter(F.col(sk).isNotNull())
     new = assign_keys(merged.filter(F.col(sk).isNull()).drop(sk), [key], sk, _max_key(dim, sk))
     out = old.unionByName(new)
@@ -130,6 +147,10 @@ def scd2_by_current(dim: DataFrame, src: DataFrame, keys: list[str], tracked: di
         F.lit(None).cast("long").alias(sk), *[F.col(f"s.{c}").alias(c) for c in cols], F.col(f"s.{vf}").alias(vf),
         F.col(f"s.{vt}").alias(vt), F.col(f"s.{vt}").isNull().alias(cur)))
     rows = j.select(*key_cols, F.inline(F.filter(F.array(dim_row, src_row), lambda x: x.isNotNull())))
+    # Written once: kept rows and rows needing keys both come from it, so the
+    # full join of the dimension with the source is not evaluated twice.
+    from ..session import cut_lineage
+    rows = cut_lineage(rows, "scd2")
     kept = rows.filter(F.col(sk).isNotNull())
     new = assign_keys(rows.filter(F.col(sk).isNull()).drop(sk), keys + [vf], sk, _max_key(dim, sk))
     return hist.select(*kept.columns).unionByName(kept).unionByName(new.select(*kept.columns))

@@ -28,10 +28,13 @@ def test_top_rows_keeps_ties(spark):
     assert sorted(r.k for r in top_rows(df, "x", 3).collect()) == ["a", "b", "c"]
 
 
-def test_assign_keys_dense_and_ordered(spark):
-    from refmart.operators.dims import assign_keys
+def test_assign_keys_dense_and_ordered(spark, monkeypatch):
+    from refmart.operators import dims
     df = spark.range(0, 5000).select(F.format_string("K%05d", (F.col("id") * 7919) % 5000).alias("key"))
-    out = assign_keys(df.repartition(7), ["key"], "sk", 100).orderBy("key").collect()
+    out = dims.assign_keys(df.repartition(7), ["key"], "sk", 100).orderBy("key").collect()
+    assert [r.sk for r in out] == list(range(101, 5101))
+    monkeypatch.setattr(dims, "SINGLE_TASK_KEYS", 10)          # force the range-partitioned path
+    out = dims.assign_keys(df.repartition(7), ["key"], "sk", 100).orderBy("key").collect()
     assert [r.sk for r in out] == list(range(101, 5101))
 
 
