@@ -205,20 +205,20 @@ def listing_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     """FX2 for C3: (existing listing SCD2 dim from the old rows, new source rows),
     one row per (ISIN, venue) each, latest by ValidFrom then record id. Both are
     written stages, like the dimension table and staging table they stand for."""
-    return (stage(spark, sf_dir, "lst_dim", lambda: _listing_pair(spark, sf_dir)[0]),
-            stage(spark, sf_dir, "lst_new", lambda: _listing_pair(spark, sf_dir)[1]))
+    return (stage(spark, sf_dir, "lst_dim", lambda: _listing_side(spark, sf_dir, old=True)),
+            stage(spark, sf_dir, "lst_new", lambda: _listing_side(spark, sf_dir, old=False)))
 
 
-def _listing_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _listing_side(spark: SparkSession, sf_dir: str, old: bool) -> DataFrame:
     w = _listing_attrs(wide(spark, sf_dir))
-    order = [F.col("ValidFromDate").desc_nulls_last(), F.col("TechRcrdId").desc_nulls_last()]
-    old = dedup_latest(w.filter(F.col("ValidFromDate") < F.lit(HISTORY_CUTOFF).cast("date")),
-                       ["ISIN", "TradingVenueMIC"], order).drop("TechRcrdId")
-    new = dedup_latest(w.filter(F.col("ValidFromDate") >= F.lit(HISTORY_CUTOFF).cast("date")),
-                       ["ISIN", "TradingVenueMIC"], order).drop("TechRcrdId")
+    cut = F.lit(HISTORY_CUTOFF).cast("date")
+    part = w.filter(F.col("ValidFromDate") < cut) if old else w.filter(F.col("ValidFromDate") >= cut)
+    rows = dedup_latest(part, ["ISIN", "TradingVenueMIC"], [F.col("ValidFromDate").desc_nulls_last(),
+                                                            F.col("TechRcrdId").desc_nulls_last()]).drop("TechRcrdId")
+    if not old:
+        return rows
     from ..operators.dims import assign_keys
-    dim = assign_keys(old.withColumn("IsCurrent", F.lit(True)), ["ISIN", "TradingVenueMIC"], "InstrumentListingSK")
-    return dim, new
+    return assign_keys(rows.withColumn("IsCurrent", F.lit(True)), ["ISIN", "TradingVenueMIC"], "InstrumentListingSK")
 
 
 def _instrument_attrs(w: DataFrame) -> DataFrame:
@@ -231,22 +231,23 @@ def instrument_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
     """FX2 for C4: (existing instrument SCD2 dim: latest old row per ISIN,
     new source: one row per (ISIN, ValidFrom) -- WIN4, lowest venue first).
     Both are written stages."""
-    return (stage(spark, sf_dir, "ins_dim", lambda: _instrument_pair(spark, sf_dir)[0]),
-            stage(spark, sf_dir, "ins_new", lambda: _instrument_pair(spark, sf_dir)[1]))
+    return (stage(spark, sf_dir, "ins_dim", lambda: _instrument_side(spark, sf_dir, old=True)),
+            stage(spark, sf_dir, "ins_new", lambda: _instrument_side(spark, sf_dir, old=False)))
 
 
-def _instrument_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _instrument_side(spark: SparkSession, sf_dir: str, old: bool) -> DataFrame:
     w = _instrument_attrs(wide(spark, sf_dir))
     cut = F.lit(HISTORY_CUTOFF).cast("date")
-    old = dedup_latest(w.filter(F.col("ValidFromDate") < cut), ["ISIN"],
-                       [F.col("ValidFromDate").desc_nulls_last(), F.col("TradingVenueMIC").asc_nulls_first(),
-                        F.col("TechRcrdId").desc_nulls_last()])
-    new = dedup_latest(w.filter(F.col("ValidFromDate") >= cut), ["ISIN", "ValidFromDate"],
-                       [F.col("TradingVenueMIC").asc_nulls_first(), F.col("TechRcrdId").desc_nulls_last()])
+    if not old:
+        new = dedup_latest(w.filter(F.col("ValidFromDate") >= cut), ["ISIN", "ValidFromDate"],
+                           [F.col("TradingVenueMIC").asc_nulls_first(), F.col("TechRcrdId").desc_nulls_last()])
+        return new.drop("TradingVenueMIC", "TechRcrdId")
+    prev = dedup_latest(w.filter(F.col("ValidFromDate") < cut), ["ISIN"],
+                        [F.col("ValidFromDate").desc_nulls_last(), F.col("TradingVenueMIC").asc_nulls_first(),
+                         F.col("TechRcrdId").desc_nulls_last()])
     from ..operators.dims import assign_keys
-    dim = assign_keys(old.drop("TradingVenueMIC", "TechRcrdId").withColumn("IsCurrent", F.lit(True)),
-                      ["ISIN"], "InstrumentSK")
-    return dim, new.drop("TradingVenueMIC", "TechRcrdId")
+    return assign_keys(prev.drop("TradingVenueMIC", "TechRcrdId").withColumn("IsCurrent", F.lit(True)),
+                       ["ISIN"], "InstrumentSK")
 
 
 # ----------------------------------------------------------------- FX4 entities
