@@ -44,13 +44,14 @@ HEADER_SCHEMA = "RptgNtty STRUCT<NtlCmptntAuthrty: STRING>, RptgPrd STRUCT<Dt: S
 DELTA_KINDS = [("NewRcrd", "NEW"), ("ModfdRcrd", "MOD"), ("TermntdRcrd", "TERM"), ("CancRcrd", "CANC")]
 
 
-def _read(spark: SparkSession, path: str, row_tag: str, schema: str) -> DataFrame:
+def _read(spark: SparkSession, path, row_tag: str, schema: str) -> DataFrame:
+    """``path`` may be one path or a list of paths."""
     return (spark.read.format("xml").option("rowTag", row_tag).option("ignoreNamespace", "true")
             .option("mode", "PERMISSIVE").schema(schema).load(path)
             .withColumn("SourceFileName", F.col("_metadata.file_name")))
 
 
-def _header(spark: SparkSession, path: str) -> DataFrame:
+def _header(spark: SparkSession, path) -> DataFrame:
     h = _read(spark, path, "RptHdr", HEADER_SCHEMA)
     return h.select("SourceFileName",
                     blank_to_null(F.col("RptgNtty.NtlCmptntAuthrty")).alias("HeaderReportingNCA"),
@@ -147,11 +148,19 @@ def read_full_xml(spark: SparkSession, path: str, compat: bool = False) -> DataF
     return wide.join(_header(spark, path), "SourceFileName", "left")
 
 
-def read_delta_xml(spark: SparkSession, path: str, compat: bool = False) -> DataFrame:
+DELTA_SCHEMA = ", ".join(f"{k} STRUCT<{RECORD_SCHEMA}>" for k, _ in DELTA_KINDS)
+
+
+def read_delta_xml(spark: SparkSession, path, compat: bool = False) -> DataFrame:
     """SRC2: delta documents -> wide rows + ActionType from the record wrapper
     (NEW / MOD / TERM / CANC); rows without ISIN or venue dropped."""
-    kinds = ", ".join(f"{k} STRUCT<{RECORD_SCHEMA}>" for k, _ in DELTA_KINDS)
-    recs = _read(spark, path, "FinInstrm", kinds)
+    recs = _read(spark, path, "FinInstrm", DELTA_SCHEMA)
+    return delta_records_to_wide(recs, compat).join(_header(spark, path), "SourceFileName", "left")
+
+
+def delta_records_to_wide(recs: DataFrame, compat: bool = False) -> DataFrame:
+    """The record part of SRC2 over ``FinInstrm`` rows (with ``SourceFileName``);
+    shared by the batch reader and the delta stream."""
     action = None
     for k, code in DELTA_KINDS:
         cond = F.col(k).isNotNull()
@@ -161,5 +170,4 @@ def read_delta_xml(spark: SparkSession, path: str, compat: bool = False) -> Data
         .select("SourceFileName", "ActionType", *wide_columns("r", compat),
                 F.col("r.TechAttrbts.PblctnPrd.FrDt").alias("PublicationFromDate"))
     wide = wide.filter(blank_to_null(F.col("ISIN")).isNotNull() & blank_to_null(F.col("TradingVenueMIC")).isNotNull())
-    wide = _with_record_id(wide)
-    return wide.join(_header(spark, path), "SourceFileName", "left")
+    return _with_record_id(wide)

@@ -37,3 +37,22 @@ def test_stream_quotes_appends_once(spark, tmp):
     q.awaitTermination(120)
     out = spark.read.parquet(tmp + "/quotes")
     assert out.count() == 4 and out.select("file_name").distinct().count() == 3
+
+
+def test_stream_delta_xml(spark, tmp):
+    from refmart.operators.cdc import apply_delta
+    from refmart.sources.sinks import read_current
+    from refmart.sources.xml import read_delta_xml, read_full_xml
+    from refmart.streaming.stream import stream_delta_xml
+    full = read_full_xml(spark, os.path.join(DATA, "xml_full")) \
+        .withColumn("ValidFromDate", F.to_date(F.col("HeaderReportingPeriodDate"))) \
+        .withColumn("ValidToDate", F.lit(None).cast("date")).withColumn("LatestRecordFlag", F.lit(True))
+    src = tmp + "/dltins"
+    shutil.copytree(os.path.join(DATA, "xml_delta"), src)
+    q = stream_delta_xml(spark, src, tmp + "/state", tmp + "/ckpt", full)
+    q.awaitTermination(180)
+    got = read_current(spark, tmp + "/state")
+    batch = read_delta_xml(spark, src).withColumn("ValidFromDate", F.lit(None).cast("string"))
+    want = apply_delta(full, batch)
+    assert got.count() == want.count() == 8
+    assert got.exceptAll(want).count() == 0
