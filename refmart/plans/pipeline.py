@@ -25,10 +25,37 @@ def _ledger(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     return spark.createDataFrame(rows, LEDGER_SCHEMA)
 
 
-def run_staging(spark: SparkSession, state: DataFrame, delta: DataFrame | None, base: str) -> DataFrame:
+def _now() -> _dt.datetime:
+    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+
+
+def logged(spark: SparkSession, process: str, ledger_path: str | None, body):
+    """C16: run a pipeline step; append its ledger rows (END) or, on failure, an
+    ERROR row with the message to the append-only ledger -- then re-raise, as
+    the reference's TRY/CATCH does."""
+    start = _now()
+    try:
+        rows = body()
+    except Exception as e:  # noqa: BLE001
+        if ledger_path:
+            _ledger(spark, [(process, None, "ERROR", start, _now(), None, None, None, str(e)[:4000])]) \
+                .write.mode("append").parquet(ledger_path)
+        raise
+    if ledger_path:
+        rows.write.mode("append").parquet(ledger_path)
+    return rows
+
+
+def run_staging(spark: SparkSession, state: DataFrame, delta: DataFrame | None, base: str,
+                ledger_path: str | None = None) -> DataFrame:
     """C14: apply the delta (if any) to the wide state, then rebuild the three
-    sub-type tables; returns the ledger rows (before/after counts per table)."""
-    start = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    sub-type tables; returns the ledger rows (row count per table). With
+    ``ledger_path`` the rows (or an ERROR row) are appended there."""
+    return logged(spark, "run_staging", ledger_path, lambda: _run_staging(spark, state, delta, base))
+
+
+def _run_staging(spark: SparkSession, state: DataFrame, delta: DataFrame | None, base: str) -> DataFrame:
+    start = _now()
     rows = []
     if delta is not None:
         state = apply_delta(state, delta)
@@ -45,10 +72,17 @@ def run_staging(spark: SparkSession, state: DataFrame, delta: DataFrame | None,
 
 
 def run_mart(spark: SparkSession, base: str, entities: DataFrame, snapshot_date: str,
-             name_rules: tuple | None = None) -> DataFrame:
+             name_rules: tuple | None = None, ledger_path: str | None = None) -> DataFrame:
     """C15: dimensions in the fixed order (classification, currency, issuer,
     venue, instrument, listing), then the day's fact (partition overwrite) and
-    the latest copy. Skipped (ledger SKIP row) when staging is empty (AGG16)."""
+    the latest copy. Skipped (ledger SKIP row) when staging is empty (AGG16).
+    With ``ledger_path`` the ledger rows (or an ERROR row) are appended there."""
+    return logged(spark, "run_mart", ledger_path,
+                  lambda: _run_mart(spark, base, entities, snapshot_date, name_rules))
+
+
+def _run_mart(spark: SparkSession, base: str, entities: DataFrame, snapshot_date: str,
+              name_rules: tuple | None = None) -> DataFrame:
     from ..plans.warehouse import instrument_source, issuer_source, listing_source
     start = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     listing = read_current(spark, f"{base}/listing")

@@ -42,3 +42,12 @@ def test_pipelines(spark, tmp):
     assert day1.exceptAll(day2).count() == 0
     latest = spark.read.parquet(tmp + "/fact_latest")
     assert latest.count() == n1 and latest.select(F.max("SnapshotDate")).first()[0] == dt.date(2024, 7, 1)
+
+
+def test_pipeline_errors_reach_the_ledger(spark, tmp):
+    import pytest
+    from refmart.plans.pipeline import run_mart
+    with pytest.raises(Exception):
+        run_mart(spark, tmp + "/nothing_here", None, "2024-06-30", ledger_path=tmp + "/ledger")
+    row = spark.read.parquet(tmp + "/ledger").first()
+    assert row.status == "ERROR" and row.process_name == "run_mart" and row.error_message
