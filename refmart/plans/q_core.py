@@ -297,7 +297,7 @@ add_cte("manifest", [], """SELECT o_orderkey, o_orderstatus, CAST(o_orderdate AS
   CASE o_orderstatus WHEN 'F' THEN 'full' WHEN 'O' THEN 'delta' ELSE 'lei' END AS kind,
   CASE o_orderstatus WHEN 'F' THEN 'FULINS_C_' || strftime(o_orderdate, '%Y%m%d') || '_01of01.zip'
        WHEN 'O' THEN 'DLTINS_' || strftime(o_orderdate, '%Y%m%d') || '_01of01.zip'
-       ELSE strftime(o_orderdate, '%Y%m%d') || '-0800-gleif-goldencopy-lei2-golden-copy.csv.zip' END AS file_name
+       ELSE strftime(o_orderdate, '%Y%m%d') || '-0800-lei2-golden-copy.csv.zip' END AS file_name
 FROM orders""")
 
 
@@ -310,7 +310,7 @@ def manifest(spark, d):
         F.when(st == "F", "full").when(st == "O", "delta").otherwise("lei").alias("kind"),
         F.when(st == "F", F.concat(F.lit("FULINS_C_"), ymd, F.lit("_01of01.zip")))
         .when(st == "O", F.concat(F.lit("DLTINS_"), ymd, F.lit("_01of01.zip")))
-        .otherwise(F.concat(ymd, F.lit("-0800-gleif-goldencopy-lei2-golden-copy.csv.zip"))).alias("file_name"))
+        .otherwise(F.concat(ymd, F.lit("-0800-lei2-golden-copy.csv.zip"))).alias("file_name"))
 
 
 @register("src9_file_date", sql_with(["manifest"], """SELECT o_orderkey, file_name,
