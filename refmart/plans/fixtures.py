@@ -49,6 +49,14 @@ def stage(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     return _STAGES[k]
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder (never a machine-local
+    temp dir on a cluster) for files a query writes and reads back."""
+    import uuid
+    from ..session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/files/{name}-{uuid.uuid4().hex}"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return lazy(spark, sf_dir, "table:" + name, lambda: _read_table(spark, sf_dir, name))
 

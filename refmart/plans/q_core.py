@@ -461,3 +461,122 @@ def src7_html_best_table(spark, d):
     is empty -- the golden page test checks the values)."""
     from ..sources.html import html_best_table
     return html_best_table(fx.table(spark, d, "pages"), QUOTE_PAGE_HEADERS)
+
+
+# ----------------------------------------------------------------- SRC3 / SRC4 round trips
+_PSV_COLS = ["TechRcrdId", "ISIN", "FullName", "CFI", "TradingVenueMIC", "TerminationDate", "FixedRate",
+             "CmdtyBaseProduct", "CmdtyTransactionType", "ValidFromDate", "LatestRecordFlag"]
+
+
+@register("src3_wide_roundtrip", sql_with(["wide"], "SELECT " + ", ".join(
+    f"nullif(CAST({c} AS VARCHAR), '') AS {c}" for c in _PSV_COLS) + " FROM wide"))
+def src3_wide_roundtrip(spark, d):
+    """SRC3: the wide feed written as a pipe file (header, empty = NULL) and read
+    back with the explicit all-text schema."""
+    from ..sources.text import read_wide, write_wide
+    path = fx.scratch_path(spark, "wide_psv")
+    write_wide(fx.wide(spark, d).select(*_PSV_COLS), path)
+    return read_wide(spark, path, columns=_PSV_COLS)
+
+
+# Source headers of the golden copy (dotted, as published) -> target columns.
+LEI_MAPPING = [("LEI", "LEI"), ("Entity.LegalName", "LegalName"),
+               ("Entity.LegalAddress.FirstAddressLine", "LegalAddress_FirstAddressLine"),
+               ("Entity.LegalAddress.City", "LegalAddress_City"),
+               ("Entity.LegalAddress.Country", "LegalAddress_Country"),
+               ("Entity.EntityCategory", "EntityCategory"), ("Entity.EntityStatus", "EntityStatus"),
+               ("Registration.InitialRegistrationDate", "InitialRegistrationDate"),
+               ("Registration.LastUpdateDate", "LastUpdateDate")]
+
+
+def _lei_target():
+    from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampNTZType
+    return StructType([
+        StructField("LEI", StringType(), False),
+        StructField("LegalName", StringType(), True, {"width": 12}),
+        StructField("LegalAddress_FirstAddressLine", StringType(), True),
+        StructField("LegalAddress_City", StringType(), True),
+        StructField("LegalAddress_Country", StringType(), True),
+        StructField("EntityCategory", StringType(), True),
+        StructField("EntityStatus", StringType(), True),
+        StructField("InitialRegistrationDate", DateType(), True),
+        StructField("LastUpdateDate", TimestampNTZType(), True),
+        StructField("RegistrationStatus", StringType(), True),
+    ])
+
+
+@register("src4_golden_copy_load", sql_with(["golden"], """SELECT LEI, substr(LegalName, 1, 12) AS LegalName,
+  LegalAddress_FirstAddressLine, LegalAddress_City, LegalAddress_Country, EntityCategory, EntityStatus,
+  InitialRegistrationDate, date_trunc('second', LastUpdateDate) AS LastUpdateDate,
+  CAST(NULL AS VARCHAR) AS RegistrationStatus FROM golden"""))
+def src4_golden_copy_load(spark, d):
+    """SRC4 + PRJ1 + PRJ2 + PRJ4 + PRJ5: the golden copy written as CSV with its
+    dotted source headers, read back, mapped (fail-fast), blank -> NULL,
+    contract-checked against the target and cast (width cut, dates,
+    second-precision timestamps; a missing nullable target column is NULL)."""
+    from ..functions.clean import blank_to_null_all
+    from ..operators.contract import cast_to, enforce_contract, project_mapping
+    from ..sources.text import read_lei_csv
+    g = fx.golden(spark, d).select(*[F.col(t).cast("string").alias(s) for s, t in LEI_MAPPING])
+    path = fx.scratch_path(spark, "lei_csv")
+    g.write.option("header", True).option("escape", '"').csv(path)
+    raw = read_lei_csv(spark, path)
+    target = _lei_target()
+    return cast_to(enforce_contract(blank_to_null_all(project_mapping(raw, LEI_MAPPING)), target), target)
+
+
+# ----------------------------------------------------------------- SRC5 quote files
+def _quote_frames(spark, d):
+    """Events rendered as quote files in two layouts (views/clicks as turbos,
+    the rest as shares); a quarter of the rows leave the product type blank."""
+    e = fx.table(spark, d, "events")
+    isin = F.concat(F.lit("FR"), F.lpad(F.col("event_id").cast("string"), 10, "0"))
+    num = F.format_string("%.2f", F.col("value"))
+    fr = F.replace(num, F.lit("."), F.lit(","))
+    ts = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    ptype = lambda t: F.when(F.col("event_id") % 4 == 0, F.lit("")).otherwise(F.lit(t))
+    url = F.concat(F.lit("https://quotes.example/"), F.col("event_type"))
+    turbo = e.filter(F.col("event_type").isin("view", "click")).select(
+        isin.alias("ISIN"), F.concat(F.lit("P"), F.col("user_id").cast("string")).alias("Produit"),
+        F.col("event_type").alias("Ss-Jacent"), num.alias("Barrière"), fr.alias("Achat"), fr.alias("Vente"),
+        (F.col("user_id") % 20).cast("string").alias("Levier"), F.date_format("ts", "yyyy-MM-dd").alias("Maturité"),
+        F.concat(fr, F.lit("%")).alias("Var."), F.concat(F.lit("E"), (F.col("user_id") % 7).cast("string")).alias("Émetteurs"),
+        ts.alias("DATE_EXTRACTION"), ptype("turbo").alias("ProduitType"), url.alias("SOURCE_URL"))
+    action = e.filter(~F.col("event_type").isin("view", "click")).select(
+        isin.alias("ISIN"), F.upper(F.col("event_type")).alias("Libellé"), fr.alias("Dernier"),
+        F.concat(fr, F.lit("%")).alias("Var."), fr.alias("Ouv"), fr.alias("+Haut"), fr.alias("+Bas"),
+        F.lit("0,0%").alias("Var/1Janv"), F.col("user_id").cast("string").alias("Vol."),
+        ts.alias("DATE_EXTRACTION"), ptype("ACTION").alias("ProduitType"), url.alias("SOURCE_URL"))
+    return turbo, action
+
+
+_Q_OUT = [c for c in C.QUOTE_COLUMNS if c != "file_name"]
+_FR = "replace(printf('%.2f', value), '.', ',')"
+_TS = "strftime(ts, '%Y-%m-%d %H:%M:%S')"
+_ISIN = "'FR' || lpad(CAST(event_id AS VARCHAR), 10, '0')"
+_PT = "CASE WHEN event_id % 4 = 0 THEN 'unknown' ELSE '{t}' END"
+_URL = "'https://quotes.example/' || event_type"
+_SRC5_SQL = f"""
+SELECT {_ISIN} AS isin, CAST(NULL AS VARCHAR) AS libelle, 'P' || CAST(user_id AS VARCHAR) AS produit, {_PT.format(t='turbo')} AS produit_type,
+  {_URL} AS source_url, {_TS} AS date_extraction, CAST(NULL AS VARCHAR) AS dernier, {_FR} || '%' AS variation, CAST(NULL AS VARCHAR) AS ouverture,
+  CAST(NULL AS VARCHAR) AS plus_haut, CAST(NULL AS VARCHAR) AS plus_bas, CAST(NULL AS VARCHAR) AS var_1janv, CAST(NULL AS VARCHAR) AS volume, {_FR} AS achat, {_FR} AS vente,
+  CAST(NULL AS VARCHAR) AS sous_jacent, event_type AS ss_jacent, CAST(NULL AS VARCHAR) AS borne_basse, CAST(NULL AS VARCHAR) AS borne_haute, printf('%.2f', value) AS barriere,
+  CAST(user_id % 20 AS VARCHAR) AS levier, CAST(NULL AS VARCHAR) AS prix_exercice, strftime(ts, '%Y-%m-%d') AS maturite, CAST(NULL AS VARCHAR) AS delta,
+  'E' || CAST(user_id % 7 AS VARCHAR) AS emetteurs
+FROM events WHERE event_type IN ('view', 'click')
+UNION ALL
+SELECT {_ISIN}, upper(event_type), NULL, {_PT.format(t='ACTION')}, {_URL}, {_TS}, {_FR}, {_FR} || '%', {_FR},
+  {_FR}, {_FR}, '0,0%', CAST(user_id AS VARCHAR), NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
+FROM events WHERE event_type NOT IN ('view', 'click')"""
+
+
+@register("src5_read_quotes", _SRC5_SQL)
+def src5_read_quotes(spark, d):
+    """SRC5 + PRJ20 + PRJ21 + PRJ22 + PRJ23: quote files of two layouts in one
+    folder -> the quote table in one scan (file name excluded from the check:
+    it is the writer's part-file name)."""
+    from ..sources.text import read_quotes
+    path = fx.scratch_path(spark, "quotes")
+    for frame in _quote_frames(spark, d):
+        frame.write.mode("append").option("sep", "|").option("header", True).csv(path)
+    return read_quotes(spark, path).select(*_Q_OUT)
