@@ -63,7 +63,10 @@ def apply_delta(state: DataFrame, delta: DataFrame) -> DataFrame:
     ``state`` has the wide columns with ValidFromDate/ValidToDate as dates and
     LatestRecordFlag boolean; the result has the same columns.
     """
-    d = prepare_delta(delta)
+    # The de-duplicated delta feeds three branches (closes, inserts, their keys):
+    # write it once instead of repeating its shuffle and window three times.
+    from ..session import cut_lineage
+    d = cut_lineage(prepare_delta(delta), "delta")
     instr = close_instructions(d)
     is_open = F.col("ValidToDate").isNull() & F.coalesce(F.col("LatestRecordFlag"), F.lit(False))
     hit = is_open & F.col("__close_to").isNotNull()
