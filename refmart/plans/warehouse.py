@@ -87,19 +87,25 @@ def staged(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """C6/C7/C3/C4/C8 dimension tables loaded from empty into the first day."""
+    from concurrent.futures import ThreadPoolExecutor
     st = staged(spark, sf_dir)
     listing = st["listing"]
-    return {
-        "currency": _memo(spark, sf_dir, "currency", lambda: merge_new_keys(
-            empty(spark, "CurrencyCode", "CurrencySK"), listing, "CurrencyCode", "CurrencySK",
-            src_key="NotionalCurrency")),
-        "cfi": _memo(spark, sf_dir, "cfi", lambda: load_cfi(spark, listing)),
-        "venue": _memo(spark, sf_dir, "venue", lambda: merge_new_keys(
-            empty(spark, "TradingVenueMIC", "TradingVenueSK"), listing, "TradingVenueMIC", "TradingVenueSK")),
-        "issuer": _memo(spark, sf_dir, "issuer", lambda: load_issuer(spark, listing, fx.entities(spark, sf_dir))),
-        "instrument": _memo(spark, sf_dir, "instrument", lambda: load_instrument(spark, listing)),
-        "listing_dim": _memo(spark, sf_dir, "listing_dim", lambda: load_listing_dim(spark, listing)),
+    ents = fx.entities(spark, sf_dir)
+    builders = {
+        "currency": lambda: merge_new_keys(empty(spark, "CurrencyCode", "CurrencySK"), listing, "CurrencyCode",
+                                           "CurrencySK", src_key="NotionalCurrency"),
+        "cfi": lambda: load_cfi(spark, listing),
+        "venue": lambda: merge_new_keys(empty(spark, "TradingVenueMIC", "TradingVenueSK"), listing,
+                                        "TradingVenueMIC", "TradingVenueSK"),
+        "issuer": lambda: load_issuer(spark, listing, ents),
+        "instrument": lambda: load_instrument(spark, listing),
+        "listing_dim": lambda: load_listing_dim(spark, listing),
     }
+    # The six loads only read the staged listing: submit them as concurrent
+    # Spark jobs so their (many small) stages overlap instead of queueing.
+    with ThreadPoolExecutor(max_workers=len(builders)) as pool:
+        futures = {k: pool.submit(_memo, spark, sf_dir, k, b) for k, b in builders.items()}
+        return {k: f.result() for k, f in futures.items()}
 
 
 def load_cfi(spark: SparkSession, listing: DataFrame) -> DataFrame:
