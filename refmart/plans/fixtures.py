@@ -213,8 +213,17 @@ def listing_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     """FX2 for C3: (existing listing SCD2 dim from the old rows, new source rows),
     one row per (ISIN, venue) each, latest by ValidFrom then record id. Both are
     written stages, like the dimension table and staging table they stand for."""
-    return (stage(spark, sf_dir, "lst_dim", lambda: _listing_side(spark, sf_dir, old=True)),
-            stage(spark, sf_dir, "lst_new", lambda: _listing_side(spark, sf_dir, old=False)))
+    return _both(spark, sf_dir, ("lst_dim", lambda: _listing_side(spark, sf_dir, old=True)),
+                 ("lst_new", lambda: _listing_side(spark, sf_dir, old=False)))
+
+
+def _both(spark: SparkSession, sf_dir: str, a, b) -> tuple[DataFrame, DataFrame]:
+    """Materialise two independent stages as concurrent Spark jobs."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        fa = pool.submit(stage, spark, sf_dir, *a)
+        fb = pool.submit(stage, spark, sf_dir, *b)
+        return fa.result(), fb.result()
 
 
 def _listing_side(spark: SparkSession, sf_dir: str, old: bool) -> DataFrame:
@@ -239,8 +248,8 @@ def instrument_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
     """FX2 for C4: (existing instrument SCD2 dim: latest old row per ISIN,
     new source: one row per (ISIN, ValidFrom) -- WIN4, lowest venue first).
     Both are written stages."""
-    return (stage(spark, sf_dir, "ins_dim", lambda: _instrument_side(spark, sf_dir, old=True)),
-            stage(spark, sf_dir, "ins_new", lambda: _instrument_side(spark, sf_dir, old=False)))
+    return _both(spark, sf_dir, ("ins_dim", lambda: _instrument_side(spark, sf_dir, old=True)),
+                 ("ins_new", lambda: _instrument_side(spark, sf_dir, old=False)))
 
 
 def _instrument_side(spark: SparkSession, sf_dir: str, old: bool) -> DataFrame:
