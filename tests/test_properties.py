@@ -187,3 +187,17 @@ def test_ledger_helpers(spark):
         ledger_entry(spark, "load", "f2", "ERROR", t, t, 0, 0, 0, "boom"))
     s = ledger_summary(rows, ["process_name"]).first()
     assert (s.total_files, s.total_read, s.total_inserted, s.failed_files, s.success_rate) == (2, 100, 90, 1, 90.0)
+
+
+def test_assign_keys_stable_over_shuffled_input(spark, monkeypatch):
+    """Keys stay dense and identical across re-evaluation even when the input
+    comes out of shuffles in no fixed order (both paths)."""
+    from refmart.operators import dims
+    base = spark.range(0, 20000).select((F.col("id") % 3000).alias("k")).repartition(11).distinct() \
+        .select(F.format_string("K%05d", "k").alias("key")).repartition(5)
+    for bound in (dims.SINGLE_TASK_KEYS, 10):
+        monkeypatch.setattr(dims, "SINGLE_TASK_KEYS", bound)
+        out = dims.assign_keys(base, ["key"], "sk", 0)
+        a = sorted((r.key, r.sk) for r in out.collect())
+        b = sorted((r.key, r.sk) for r in out.collect())
+        assert a == b and [sk for _, sk in a] == list(range(1, 3001))
