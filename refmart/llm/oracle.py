@@ -86,9 +86,9 @@ tw AS (SELECT t, label, base, string_split(words, ' ') AS w FROM templates),
 tg AS (SELECT t, label, base, len(w) AS size, i - 1 AS t_at, w[i] || ' ' || w[i + 1] AS g
        FROM (SELECT *, unnest(range(1, len(w))) AS i FROM tw)),
 d AS (SELECT doc_id, {_LOWER_WORDS} AS w FROM documents),
-dg AS (SELECT doc_id, i - 1 AS at, w[i] || ' ' || w[i + 1] AS g
+dg AS (SELECT doc_id, i - 1 AS pos, w[i] || ' ' || w[i + 1] AS g
        FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS i FROM d)),
-v AS (SELECT doc_id, t, label, base, size, at - t_at AS diag, at, t_at FROM dg JOIN tg USING (g)),
+v AS (SELECT doc_id, t, label, base, size, pos - t_at AS diag, pos, t_at FROM dg JOIN tg USING (g)),
 steps AS (
   SELECT *, CASE WHEN base OR prev IS NULL OR diag - prev > 2 THEN 1 ELSE 0 END AS fresh
   FROM (SELECT doc_id, t, base, diag, lag(diag) OVER (PARTITION BY doc_id, t ORDER BY diag) AS prev
@@ -97,7 +97,7 @@ grouped AS (
   SELECT doc_id, t, diag, sum(fresh) OVER (PARTITION BY doc_id, t ORDER BY diag) AS grp FROM steps),
 cand AS (
   SELECT doc_id, t, any_value(label) AS label, any_value(base) AS base, any_value(size) AS size, grp,
-         count(DISTINCT t_at) AS n_votes, min(at) AS start,
+         count(DISTINCT t_at) AS n_votes, min(pos) AS start,
          len(list_distinct(list_concat(list(t_at), list(t_at + 1)))) AS known
   FROM v JOIN grouped USING (doc_id, t, diag) GROUP BY doc_id, t, grp),
 ok AS (

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op2_quality, op7_decontaminate, op9_licenses
+from . import op2_quality, op5_pii, op7_decontaminate, op8_simhash, op9_licenses
 from .oracle import ORACLE
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,11 +26,21 @@ def op2_quality_rules(spark, sf_dir):
     return op2_quality.quality_query(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_personal_data(spark, sf_dir):
+    return op5_pii.pii_query(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_benchmark_decontamination(spark, sf_dir):
     return op7_decontaminate.decontamination_query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op8_simhash_near_dedup(spark, sf_dir):
+    return op8_simhash.simhash_query(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_license_scan(spark, sf_dir):
     return op9_licenses.scan(table(spark, sf_dir, "documents"))
