@@ -113,3 +113,18 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS
        CAST(coalesce(score, 0) AS DOUBLE) AS score
 FROM d LEFT JOIN r ON d.doc_id = r.doc_id
 """
+
+ORACLE["op6_warc_revisits"] = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+h AS (SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, sha1(body) AS x FROM p),
+b AS (SELECT page_id, payload_bytes, array_to_string(list_transform(range(0, 8), lambda i:
+             to_base(CAST('0x' || x[5 * i + 1:5 * i + 5] AS BIGINT), 32, 4)), '') AS d FROM h),
+n AS (SELECT page_id, payload_bytes,
+             translate(d, '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS payload_digest
+      FROM b),
+f AS (SELECT payload_digest, min(page_id) AS first_id FROM n GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM n JOIN f USING (payload_digest)
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op2_quality, op5_pii, op7_decontaminate, op8_simhash, op9_licenses
+from . import (op1_training_order, op2_quality, op5_pii, op6_warc, op7_decontaminate, op8_simhash, op9_licenses)
 from .oracle import ORACLE
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_training_order_shards(spark, sf_dir):
+    return op1_training_order.training_order_query(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_quality_rules(spark, sf_dir):
     return op2_quality.quality_query(table(spark, sf_dir, "documents"))
@@ -31,6 +36,11 @@ def op5_personal_data(spark, sf_dir):
     return op5_pii.pii_query(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_warc_revisits(spark, sf_dir):
+    return op6_warc.warc_query(table(spark, sf_dir, "pages"))
+
+
 @query
 def op7_benchmark_decontamination(spark, sf_dir):
     return op7_decontaminate.decontamination_query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
