@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (op1_training_order, op2_quality, op5_pii, op6_warc, op7_decontaminate, op8_simhash, op9_licenses)
+from . import (op1_training_order, op2_quality, op3_sentencepiece, op5_pii, op6_warc, op7_decontaminate,
+               op8_simhash, op9_licenses)
 from .oracle import ORACLE
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +32,11 @@ def op2_quality_rules(spark, sf_dir):
     return op2_quality.quality_query(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_sentencepiece_sampling(spark, sf_dir):
+    return op3_sentencepiece.summary(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_personal_data(spark, sf_dir):
     return op5_pii.pii_query(table(spark, sf_dir, "documents"))
