@@ -117,8 +117,11 @@ def apply_policy(docs: DataFrame, policy: str = "v2", text_col: str = "text") ->
     cols = docs.columns
     held = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("q_row"),
                        F.col(f"`{text_col}`").alias("q_in"))
-    m = measure(held, "q_in", ("q_row",))
-    return m.where(passes(fail_bits(F.col("q")), policy)).select("q_row.*")
+    m = measure(held, "q_in", ("q_row",)).select("q_row", fail_bits(F.col("q")).alias("q_bits"),
+                                                 F.monotonically_increasing_id().alias("q_seq"))
+    # the filter also names a row number, so that it stays above the measurements: pushed
+    # below them, it would repeat their expressions many times over
+    return m.where(passes(F.col("q_bits"), policy) & (F.col("q_seq") >= 0)).select("q_row.*")
 
 
 def ablations(book: DataFrame) -> DataFrame:
