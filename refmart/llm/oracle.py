@@ -128,3 +128,22 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN page_id <> first_id THEN first_id END AS refers_to
 FROM n JOIN f USING (payload_digest)
 """
+
+ORACLE["op10_lm_scoring"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+x AS (SELECT doc_id, i, w[i] AS b, CASE WHEN i > 1 THEN w[i - 1] END AS a
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+c1 AS (SELECT b AS g, count(*) AS n FROM x GROUP BY b),
+c2 AS (SELECT a, b, count(*) AS n FROM x WHERE a IS NOT NULL GROUP BY a, b HAVING count(*) >= 2),
+t AS (SELECT count(*) AS n FROM x),
+s AS (
+  SELECT doc_id, c2.n IS NOT NULL AS seen,
+         CASE WHEN c2.n IS NOT NULL THEN log10(c2.n) - log10(p.n)
+              ELSE log10(u.n) - log10((SELECT n FROM t)) + CASE WHEN x.a IS NULL THEN 0 ELSE log10(0.4) END END AS v
+  FROM x JOIN c1 u ON u.g = x.b LEFT JOIN c1 p ON p.g = x.a LEFT JOIN c2 ON c2.a = x.a AND c2.b = x.b)
+SELECT d.doc_id, CAST(len(any_value(w)) AS BIGINT) AS n_words, CAST(count(*) FILTER (seen) AS BIGINT) AS n_seen,
+       round(coalesce(sum(v), 0), 4) AS score, round(sum(v) / len(any_value(w)), 4) AS mean_score
+FROM d LEFT JOIN s ON d.doc_id = s.doc_id GROUP BY d.doc_id
+"""

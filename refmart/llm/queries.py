@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (op1_training_order, op2_quality, op3_sentencepiece, op5_pii, op6_warc, op7_decontaminate,
-               op8_simhash, op9_licenses)
+               op8_simhash, op9_licenses, op10_lm_score)
 from .oracle import ORACLE
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,6 +62,11 @@ def op9_license_scan(spark, sf_dir):
     return op9_licenses.scan(table(spark, sf_dir, "documents"))
 
 
+@query
+def op10_lm_scoring(spark, sf_dir):
+    return op10_lm_score.lm_query(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
