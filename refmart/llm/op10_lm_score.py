@@ -29,58 +29,20 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import written
+from .packed import CHUNK_BYTES, bounds, chunks, mix, planes, steps, unpack, unplanes
 
 ORDER = 2
 ALPHA = 0.4
 CUTOFF = 2
-CHUNK_BYTES = 16 << 20     # text of a chunk; a longer text is a chunk of its own
 RANGE_BYTES = 12 << 20     # text per hash range, about
 
 
-# --- packed columns ----------------------------------------------------------
-
-def planes(values: np.ndarray) -> bytes:
-    """Integers as byte planes: the bytes that are mostly zero stand together."""
-    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
-
-
-def unplanes(data: bytes, kind) -> np.ndarray:
-    width = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(kind).reshape(-1)
-
-
-def steps(values: np.ndarray) -> np.ndarray:
-    """Differences of sorted values, the first from zero."""
-    return np.diff(values, prepend=np.zeros(1, values.dtype)) if len(values) else values
-
-
 # --- n-grams of a chunk ------------------------------------------------------
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def pack(texts: list[bytes | None]) -> bytes:
-    size = np.array([-1 if t is None else len(t) for t in texts], np.int64)
-    return zstandard.compress(len(texts).to_bytes(8, "little") + size.tobytes() + b"".join(t or b"" for t in texts), 3)
-
-
-def unpack(blob: bytes) -> list[bytes]:
-    data = zstandard.decompress(blob)
-    n = int.from_bytes(data[:8], "little")
-    ends = np.cumsum(np.maximum(np.frombuffer(data, np.int64, n, 8), 0)) + 8 + 8 * n
-    starts = np.r_[8 + 8 * n, ends[:-1]] if n else ends
-    return [data[a:b] for a, b in zip(starts, ends, strict=True)]
-
-
 class Grams:
     """The n-grams of a chunk: per order the sorted distinct hashes, the count of
     each, and for each word the place of the n-gram that ends there (-1: none)."""
@@ -99,11 +61,11 @@ class Grams:
         word = np.array(words, np.uint64)
         place = np.arange(len(word)) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)
         self.hashes, self.counts, self.at = [], [], []
-        gram = _mix(word + np.uint64(1))
+        gram = mix(word + np.uint64(1))
         for n in range(1, order + 1):
             if n > 1:      # the n-gram that ends at i: the one of n - 1 words that ends at i - 1, and word i
                 longer = np.zeros_like(gram)
-                longer[1:] = _mix(gram[:-1] * np.uint64(0x9E3779B97F4A7C15) + word[1:] + np.uint64(n))
+                longer[1:] = mix(gram[:-1] * np.uint64(0x9E3779B97F4A7C15) + word[1:] + np.uint64(n))
                 gram = longer
             valid = place >= n - 1
             distinct, inverse, count = np.unique(gram[valid], return_inverse=True, return_counts=True)
@@ -114,44 +76,8 @@ class Grams:
             self.at.append(at)
 
 
-def _bounds(hashes: np.ndarray, bits: int) -> np.ndarray:
-    """Where the hash ranges begin and end in sorted hashes."""
-    if not bits:
-        return np.array([0, len(hashes)])
-    firsts = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
-    return np.r_[0, np.searchsorted(hashes, firsts), len(hashes)]
-
-
 # --- Spark -------------------------------------------------------------------
 
-def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """(chunk, ids, blob, bytes), written once: later steps agree on the chunks."""
-    def cut(batches):
-        part, n = TaskContext.get().partitionId(), 0
-        ids, texts, held = [], [], 0
-
-        def row():
-            return pa.RecordBatch.from_arrays([
-                pa.array([(part << 32) + n]), pa.array([ids], pa.list_(pa.int64())), pa.array([pack(texts)], pa.binary()),
-                pa.array([held])], ["chunk", "ids", "blob", "bytes"])
-
-        for batch in batches:
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                text = t.as_buffer() if t.is_valid else None
-                text = None if text is None else text.to_pybytes()
-                if texts and held + len(text or b"") > chunk_bytes:
-                    yield row()
-                    n, ids, texts, held = n + 1, [], [], 0
-                ids.append(i)
-                texts.append(text)
-                held += len(text or b"")
-        if texts:
-            yield row()
-
-    rows = docs.select(F.col(id_col).cast("long"), F.col(text_col))
-    return written(rows.mapInArrow(cut, "chunk long, ids array<long>, blob binary, bytes long"), "chunks")
-
-
 def exploded(packed: DataFrame, order: int, bits: int) -> DataFrame:
     """(range, chunk, n, hashes, counts): the distinct n-grams of every chunk, by hash range."""
     def explode(batches):
@@ -160,7 +86,7 @@ def exploded(packed: DataFrame, order: int, bits: int) -> DataFrame:
                 grams = Grams(unpack(blob.as_py()), order)
                 rows = []
                 for n, (h, c) in enumerate(zip(grams.hashes, grams.counts, strict=True), 1):
-                    cut = _bounds(h, bits)
+                    cut = bounds(h, bits)
                     rows += [(r, chunk, n, planes(steps(h[a:b])), planes(c[a:b]))
                              for r, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a]
                 for a in range(0, len(rows), 256):

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (op1_training_order, op2_quality, op3_sentencepiece, op5_pii, op6_warc, op7_decontaminate,
+from . import (op1_training_order, op2_quality, op3_sentencepiece, op4_suffix_dedup, op5_pii, op6_warc, op7_decontaminate,
                op8_simhash, op9_licenses, op10_lm_score)
 from .oracle import ORACLE
 
@@ -37,6 +37,11 @@ def op3_sentencepiece_sampling(spark, sf_dir):
     return op3_sentencepiece.summary(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_suffix_array_dedup(spark, sf_dir):
+    return op4_suffix_dedup.dedup_query(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_personal_data(spark, sf_dir):
     return op5_pii.pii_query(table(spark, sf_dir, "documents"))
