@@ -77,7 +77,9 @@ def measure(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("d
     flat = text
     for ch in (" ", "\t", "\n", "\x0b", "\x0c", "\r"):
         flat = F.replace(flat, F.lit(ch), F.lit(""))
-    return df.select(*[F.col(c) for c in keep], F.struct(
+    # an array of one struct, taken apart: filters on the measurements stay above it
+    # (pushed below, each would repeat the expressions above many times over)
+    return df.select(*[F.col(c) for c in keep], F.explode(F.array(F.struct(
         n.cast("long").alias("n_words"),
         F.char_length(flat).cast("long").alias("word_chars"),
         _n_symbols(text).cast("long").alias("n_symbols"),
@@ -85,7 +87,7 @@ def measure(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("d
         (F.size("q_lines") - F.size(F.array_distinct("q_lines"))).cast("long").alias("n_dup_lines"),
         F.coalesce(covered(F.col("q_at"), 3), F.lit(0)).cast("long").alias("n_repeat_words"),
         F.regexp_count(text, F.lit(r"!!")).cast("long").alias("n_bangs"),
-    ).alias("q"))
+    ))).alias("q"))
 
 
 def fail_bits(q: Column) -> Column:
@@ -117,11 +119,8 @@ def apply_policy(docs: DataFrame, policy: str = "v2", text_col: str = "text") ->
     cols = docs.columns
     held = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("q_row"),
                        F.col(f"`{text_col}`").alias("q_in"))
-    m = measure(held, "q_in", ("q_row",)).select("q_row", fail_bits(F.col("q")).alias("q_bits"),
-                                                 F.monotonically_increasing_id().alias("q_seq"))
-    # the filter also names a row number, so that it stays above the measurements: pushed
-    # below them, it would repeat their expressions many times over
-    return m.where(passes(F.col("q_bits"), policy) & (F.col("q_seq") >= 0)).select("q_row.*")
+    m = measure(held, "q_in", ("q_row",))
+    return m.where(passes(fail_bits(F.col("q")), policy)).select("q_row.*")
 
 
 def ablations(book: DataFrame) -> DataFrame:
