@@ -42,9 +42,9 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = op3_sentencepiece.decode(op3_sentencepiece.encode(docs, out="piece_ids"), "piece_ids", "decoded_text")
+    rows = op3_sentencepiece.round_trip(docs.select("doc_id", "text"), ids="piece_ids")
     return rows.select("doc_id", "piece_ids", (F.octet_length("piece_ids") / 2).cast("long").alias("n_pieces"),
-                       F.col("decoded_text").eqNullSafe(F.col("text")).alias("lossless"))
+                       "lossless")
 
 
 STAGES = [("quality rules", quality), ("SimHash near-dedup", near_dedup),

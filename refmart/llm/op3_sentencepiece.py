@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SEED = 1
 SHARPNESS = 1.0
-CACHE = 1_000_000    # lattice nodes that a worker remembers, about
+CACHE = 900_000      # lattice nodes that a worker remembers, about
 SHORT = 40           # characters of a unit that shares its nodes
 BLOCK = 200_000      # units drawn at once
 TINY = 1e-200        # forward sums below this are scaled up
@@ -148,21 +148,60 @@ class Sampler:
         return out
 
     def _short(self, unit: str) -> int:
-        """Forward filtering of a short unit from its longest known beginning."""
-        known, n = self.known, len(unit)
+        """Forward filtering of a short unit from its longest known beginning (written out:
+        nearly all lattices are built here)."""
+        known, forward, first = self.known, self.forward, self.first
+        cdf, source, piece, ends = self.cdf, self.source, self.piece, self.v.ends.get
+        n = len(unit)
         e = n - 1
         while e and unit[:e] not in known:
             e -= 1
-        node = [-1] + [known[unit[:j]] for j in range(1, e + 1)]
-        total = [1.0] + [self.forward[k] for k in node[1:]]
+        # the borders that a piece can still start from
+        node, total = [-1], [1.0]
+        for j in range(max(1, e + 1 - self.v.longest), e + 1):
+            k = known[unit[:j]]
+            node.append(k)
+            total.append(forward[k])
+        if e >= self.v.longest:
+            del node[0], total[0]
         while e < n:
             e += 1
-            edges = self._edges(unit, e, node, total)
-            k = self._node(edges) if edges else self._spell(unit[e - 1], node[-1], total[-1])
+            edges, whole, l = [], 0.0, 1
+            while l <= e:
+                got = ends(unit[e - l:e])
+                if got is None:
+                    break
+                q, i = got
+                if i >= 0:
+                    q *= total[-l]
+                    whole += q
+                    edges.append((q, node[-l], i))
+                l += 1
+            k = len(first)
+            if len(edges) == 1:
+                first.append(len(cdf))
+                forward.append(whole)
+                cdf.append(2.0)
+                source.append(edges[0][1])
+                piece.append(edges[0][2])
+            elif edges:
+                edges.sort(reverse=True)
+                first.append(len(cdf))
+                forward.append(whole)
+                run = 0.0
+                for q, s, i in edges:
+                    run += q
+                    cdf.append(run / whole)
+                    source.append(s)
+                    piece.append(i)
+                cdf[-1] = 2.0
+            else:
+                k = self._spell(unit[e - 1], node[-1], total[-1])
+                whole = total[-1]
             known[unit[:e]] = k
             node.append(k)
-            total.append(self.forward[k])
-        return node[n]
+            total.append(whole)
+        return node[-1]
 
     def _long(self, unit: str) -> int:
         """The same for a unit of any length, not shared: only the last borders are
@@ -283,10 +322,32 @@ def decode(rows: DataFrame, ids_col: str = "ids", out: str = "decoded", model: s
     return rows.withColumn(out, spell(F.col(f"`{ids_col}`")))
 
 
+def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ids: str = "ids",
+               lossless: str = "lossless", seed: int = SEED, model: str = MODEL) -> DataFrame:
+    """``docs`` with the sampled ids and whether they decode to the text, in one pass over
+    the rows (one Python worker a task, where ``decode`` after ``encode`` takes two)."""
+    held = {}
+
+    @F.pandas_udf("ids binary, lossless boolean")
+    def both(keys: pd.Series, texts: pd.Series) -> pd.DataFrame:
+        if "s" not in held:
+            held["s"] = Sampler(Vocabulary(model), seed)
+        s, plain = held["s"], [t if isinstance(t, str) else None for t in texts]
+        cells = s.encode(plain, keys.tolist())
+        return pd.DataFrame({"ids": cells, "lossless": [
+            c is None or s.v.decode(np.frombuffer(c, "<u2")) == t for c, t in zip(cells, plain, strict=True)]})
+
+    key = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-1 << 63).cast("long"))
+    drawn = docs.select(*[F.col(f"`{c}`") for c in docs.columns],
+                        both.asNondeterministic()(key, F.col(f"`{text_col}`")).alias("k_both"))
+    return drawn.select(*[F.col(f"`{c}`") for c in docs.columns], F.col("k_both.ids").alias(ids),
+                        F.col("k_both.lossless").alias(lossless))
+
+
 def summary(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = SEED) -> DataFrame:
     """One row per input row: id, n_chars, n_pieces, ids_sha256, lossless (the ids decode to the text)."""
     small = docs.select(F.col(id_col).alias("k_id"), F.col(text_col).alias("k_text"))
-    both = decode(encode(small, "k_id", "k_text", "k_ids", seed), "k_ids", "k_back")
+    both = round_trip(small, "k_id", "k_text", "k_ids", "k_ok", seed)
     return both.select(F.col("k_id").alias(id_col), F.char_length("k_text").cast("long").alias("n_chars"),
                        (F.octet_length("k_ids") / 2).cast("long").alias("n_pieces"),
-                       F.sha2("k_ids", 256).alias("ids_sha256"), F.col("k_back").eqNullSafe(F.col("k_text")).alias("lossless"))
+                       F.sha2("k_ids", 256).alias("ids_sha256"), F.col("k_ok").alias("lossless"))
