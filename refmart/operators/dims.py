@@ -23,11 +23,6 @@ from ..functions.predicates import changed
 
 
 # --------------------------------------------------------------------- C13
-# Largest key set numbered in one ordered task (a proven bound, like a
-# size-checked broadcast); above it the range-partitioned path runs.
-SINGLE_TASK_KEYS = 2_000_000
-
-
 def assign_keys(df: DataFrame, order_cols: list[str], sk: str, start: Column | int = 0) -> DataFrame:
     """C13: dense ascending integer keys ``start+1, start+2, ...`` in ``order_cols``
     order (``order_cols`` must be unique per row for a stable result).
@@ -36,21 +31,14 @@ def assign_keys(df: DataFrame, order_cols: list[str], sk: str, start: Column | i
 
     The rows to number are written once (a lineage cut), so everything after
     reads the same stored rows -- a re-evaluation or a lost executor cannot
-    change them. Their count (from the Parquet footers) picks the path:
-
-    * up to ``SINGLE_TASK_KEYS`` rows (the usual daily load of new keys):
-      one ordered ``row_number`` over the stored rows -- a bounded single task;
-    * above it: range-partition by the key, number rows inside each partition,
-      write those tagged rows, and add the running total of the partition
-      sizes (a frame of one row per partition, broadcast). No task ever holds
-      more than one range.
+    change them. They are range-partitioned by the key, numbered inside each
+    partition and written with the partition's number; the running total of the
+    partition sizes (one row per partition, broadcast) makes the keys global.
+    No task ever holds more than one range. Writing happens when this is called.
     """
     from ..session import cut_lineage
     start_col = F.coalesce(start if isinstance(start, Column) else F.lit(start), F.lit(0)).cast("long")
     stored = cut_lineage(df, "newkeys")
-    if stored.count() <= SINGLE_TASK_KEYS:
-        w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
-        return stored.withColumn(sk, start_col + F.row_number().over(w).cast("long"))
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = stored.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
     mid = F.monotonically_increasing_id()
@@ -131,7 +119,7 @@ def scd2_by_current(dim: DataFrame, src: DataFrame, keys: list[str], tracked: di
     without joining; the current rows and the source meet in one full join.
     """
     cols = list(tracked)
-    hist = dim.filter(~F.col(cur))
+    hist = dim.filter(~F.coalesce(F.col(cur), F.lit(False)))    # a NULL flag is not current
     d = dim.filter(F.col(cur)).alias("d")
     s = src.select(*keys, *cols, vf, vt).withColumn("__s", F.lit(True)).alias("s")
     cond = reduce(lambda a, b: a & b, [F.col(f"d.{k}") == F.col(f"s.{k}") for k in keys])
@@ -192,7 +180,7 @@ def scd2_by_version(dim: DataFrame, src: DataFrame, keys: list[str], tracked: di
         .withColumn(vt, F.coalesce(F.col("__close"), F.col(vt))) \
         .withColumn(cur, F.when(F.col("__close").isNotNull(), F.lit(False)).otherwise(F.col(cur))) \
         .select(*dim.columns)
-    out = dim.filter(~F.col(cur)).unionByName(closed)
+    out = dim.filter(~F.coalesce(F.col(cur), F.lit(False))).unionByName(closed)
     ins = src.select(*keys, *cols, vf, vt).join(dim.select(*keys, vf), keys + [vf], "left_anti") \
         .withColumn(cur, F.col(vt).isNull())
     ins = assign_keys(ins, keys + [vf], sk, _max_key(dim, sk))

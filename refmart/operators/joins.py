@@ -2,8 +2,7 @@
 
 All equi joins. Join strategy is left to Catalyst + AQE: a side whose *runtime*
 size is under ``spark.sql.adaptive.autoBroadcastJoinThreshold`` is broadcast,
-anything larger is sort-merge joined, and AQE splits skewed partitions. An
-explicit broadcast is only offered behind a row-count check (``bounded``).
+anything larger is sort-merge joined, and AQE splits skewed partitions.
 """
 
 from __future__ import annotations
@@ -16,14 +15,6 @@ from pyspark.sql import functions as F
 from .windows import OrderSpec, dedup_latest
 
 
-def bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows (checked with a
-    ``limit(max_rows + 1)`` count -- meant for materialised dimension tables).
-    Above the bound the frame is returned unchanged and the planner decides."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def left_join_latest(df: DataFrame, ref: DataFrame, on: list[str], order: list[OrderSpec],
                      ref_on: list[str] | None = None) -> DataFrame:
     """JOI1: left join each row to the *latest* version of its reference row
@@ -82,11 +73,6 @@ def not_exists(df: DataFrame, other: DataFrame, on: list[str] | Column) -> DataF
     return df.join(other, on=on, how="left_anti")
 
 
-def exists(df: DataFrame, other: DataFrame, on: list[str] | Column) -> DataFrame:
-    """JOI7: semi join (``IN (subquery)``)."""
-    return df.join(other, on=on, how="left_semi")
-
-
 def append_common(target_columns: list[str], src: DataFrame,
                   exclude: tuple[str, ...] = ()) -> DataFrame:
     """JOI11: project ``src`` onto the columns it shares with the target (in target
@@ -95,13 +81,3 @@ def append_common(target_columns: list[str], src: DataFrame,
     if not common:
         raise ValueError("no common columns between source and target")
     return src.select(*common)
-
-
-def star_view(fact: DataFrame, dims: list[tuple[DataFrame, list[str]]]) -> DataFrame:
-    """JOI10 / JOI12: fact left-joined to its dimensions (and along paths, e.g.
-    venue -> register -> country). Unmatched facts keep NULL attributes: the
-    *blank member* of the report model."""
-    out = fact
-    for dim, on in dims:
-        out = out.join(dim, on=on, how="left")
-    return out

@@ -42,7 +42,7 @@ def ledger_entry(spark: SparkSession, process: str, file_name: str | None, statu
                  inserted: int | None = None, rejected: int | None = None, error: str | None = None) -> DataFrame:
     """C16: one ledger row (START / END / ERROR); failures keep their message."""
     return spark.createDataFrame([(process, file_name, status, start, end, read, inserted, rejected,
-                                   (error or None) and error[:4000])], LEDGER_SCHEMA)
+                                   error or None)], LEDGER_SCHEMA)
 
 
 def ledger_from_counts(per_file: DataFrame, process: Column, file_name: Column, read: Column,

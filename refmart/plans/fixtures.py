@@ -11,6 +11,8 @@ check; the two must stay in step.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,20 +35,29 @@ def _key(spark: SparkSession, sf_dir: str, name: str) -> tuple:
 def lazy(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     """Per-session memo of a *lazy* plan object (no data): DataFrames are
     immutable, so re-using one saves re-analysing the same plan per query."""
-    k = _key(spark, sf_dir, name)
-    if k not in _PLANS:
-        _PLANS[k] = build()
-    return _PLANS[k]
+    return _once(_PLANS, _key(spark, sf_dir, name), build)
+
+
+_LOCKS: dict[tuple, threading.RLock] = {}
+_LOCKS_GUARD = threading.Lock()
+
+
+def _once(memo: dict, k: tuple, build):
+    """Build ``memo[k]`` once, also when several threads ask for it. Stages only
+    build stages that come before them, so the locks cannot wait in a circle."""
+    with _LOCKS_GUARD:
+        lock = _LOCKS.setdefault((id(memo), *k), threading.RLock())
+    with lock:
+        if k not in memo:
+            memo[k] = build()
+        return memo[k]
 
 
 def stage(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     """Per-session memo of a *materialised* stage: computed once and written as
     Parquet into the shared checkpoint folder (lineage cut), then re-read."""
-    k = _key(spark, sf_dir, name)
-    if k not in _STAGES:
-        from ..session import cut_lineage
-        _STAGES[k] = cut_lineage(build(), name)
-    return _STAGES[k]
+    from ..session import cut_lineage
+    return _once(_STAGES, _key(spark, sf_dir, name), lambda: cut_lineage(build(), name))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -62,17 +73,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read a driver table. A scan with fewer splits than the cluster has task
-    slots (the test tables are one Parquet row group each) is spread with a
-    round-robin repartition so the per-row work runs in parallel; a real input
-    of many files/row groups already has enough splits and is left as is."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    try:
-        slots = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 -- no RDD view of the scan: leave it as planned
-        return df
-    return df.repartition(slots) if splits < slots else df
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _pad(c: Column, n: int) -> Column:

@@ -16,9 +16,9 @@ from ..functions.predicates import min_length
 from ..operators.cdc import apply_delta, split_typed, type_instruments
 from ..operators.classify import classify, name_hints
 from ..operators.dims import merge_new_keys, scd2_by_current, scd2_by_version, upsert_dim
-from ..operators.facts import build_snapshot, latest_snapshot
+from ..operators.facts import build_snapshot
 from ..operators.ledger import LEDGER_SCHEMA, observed_counts
-from ..sources.sinks import overwrite_partition, read_current, write_full_refresh
+from ..sources.sinks import current_version, keep_latest, overwrite_partition, read_current, write_full_refresh
 
 
 def _ledger(spark: SparkSession, rows: list[tuple]) -> DataFrame:
@@ -38,7 +38,7 @@ def logged(spark: SparkSession, process: str, ledger_path: str | None, body):
         rows = body()
     except Exception as e:  # noqa: BLE001
         if ledger_path:
-            _ledger(spark, [(process, None, "ERROR", start, _now(), None, None, None, str(e)[:4000])]) \
+            _ledger(spark, [(process, None, "ERROR", start, _now(), None, None, None, str(e))]) \
                 .write.mode("append").parquet(ledger_path)
         raise
     if ledger_path:
@@ -92,10 +92,9 @@ def _run_mart(spark: SparkSession, base: str, entities: DataFrame, snapshot_date
         return _ledger(spark, [("run_mart", None, "SKIP", start, start, 0, 0, 0, "staging empty")])
 
     def current(name: str, empty_like: DataFrame) -> DataFrame:
-        try:
-            return read_current(spark, f"{base}/{name}")
-        except Exception:  # noqa: BLE001 -- first load
+        if current_version(spark, f"{base}/{name}") is None:    # first load; read errors are raised
             return empty_like
+        return read_current(spark, f"{base}/{name}")
 
     def save(name: str, df: DataFrame) -> DataFrame:
         write_full_refresh(df, f"{base}/{name}")
@@ -131,7 +130,7 @@ def _run_mart(spark: SparkSession, base: str, entities: DataFrame, snapshot_date
     observed, obs = observed_counts(fact, F.col("IssuerSK").isNull(), "fact")
     overwrite_partition(observed, f"{base}/fact", "SnapshotDate")
     m = obs.get
-    latest_snapshot(spark.read.parquet(f"{base}/fact")).write.mode("overwrite").parquet(f"{base}/fact_latest")
+    keep_latest(f"{base}/fact", spark, f"{base}/fact_latest")
     end = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     return _ledger(spark, [("run_mart", "fact", "END", start, end, m.get("rows_read"),
                             m.get("rows_read"), m.get("rows_rejected"), None)])

@@ -463,6 +463,36 @@ def src7_html_best_table(spark, d):
     return html_best_table(fx.table(spark, d, "pages"), QUOTE_PAGE_HEADERS)
 
 
+_QUOTE_PAGE_SQL = """SELECT l_orderkey AS page_id, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_extendedprice) AS INTEGER) AS row_no,
+  'XS' || lpad(CAST(l_partkey AS VARCHAR), 10, '0') AS "ISIN", 'Turbo ' || CAST(l_suppkey AS VARCHAR) AS h_produit,
+  l_returnflag AS h_ssjacent, '' AS h_barriere, printf('%.2f', l_quantity) AS h_achat, printf('%.2f', l_extendedprice) AS h_vente,
+  CAST(l_linenumber AS VARCHAR) AS h_levier, l_linestatus AS h_var FROM lineitem"""
+
+
+@register("src7_html_quote_pages", _QUOTE_PAGE_SQL)
+def src7_html_quote_pages(spark, d):
+    """SRC7 + PRJ18/PRJ19: one quote page per order (its lines as table rows, behind a
+    menu table; every other row leaves its end tags out), read back by header name:
+    the same name, a synonym, a part of the name."""
+    from ..sources.html import html_best_table
+    li = fx.table(spark, d, "lineitem")
+    cells = [F.concat(F.lit("XS"), F.lpad(F.col("l_partkey").cast("string"), 10, "0")),
+             F.concat(F.lit("<b>Turbo</b> "), F.col("l_suppkey").cast("string")), F.col("l_returnflag"),
+             F.format_string("%.2f", "l_quantity"), F.format_string("%.2f", "l_extendedprice"),
+             F.col("l_linenumber").cast("string"), F.col("l_linestatus")]
+    closed = F.concat(F.lit("<tr>"), *[F.concat(F.lit("<td>"), c, F.lit("</td>")) for c in cells], F.lit("</tr>"))
+    opened = F.concat(F.lit("<tr>"), *[F.concat(F.lit("<td>"), c) for c in cells])
+    row = F.when(F.col("l_linenumber") % 2 == 0, opened).otherwise(closed)
+    rows = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_extendedprice", row.alias("h")))).alias("r"))
+    head = "".join(f"<th>{h}</th>" for h in ("ISIN", "Nom", "Underlying", "Cours achat", "Vente", "Levier max", "Var."))
+    pages = rows.select(
+        F.col("l_orderkey").alias("page_id"), F.lit("u").alias("url"),
+        F.concat(F.lit("<html><p>" + "x" * 200 + "<table><tr><td>menu<td>home</table><table><thead><tr>" + head + "</tr></thead>"),
+                 F.array_join(F.transform("r", lambda x: x["h"]), ""), F.lit("</table></html>")).alias("html"))
+    return html_best_table(pages, QUOTE_PAGE_HEADERS).select(
+        "page_id", "row_no", "ISIN", "h_produit", "h_ssjacent", "h_barriere", "h_achat", "h_vente", "h_levier", "h_var")
+
+
 # ----------------------------------------------------------------- SRC3 / SRC4 round trips
 _PSV_COLS = ["TechRcrdId", "ISIN", "FullName", "CFI", "TradingVenueMIC", "TerminationDate", "FixedRate",
              "CmdtyBaseProduct", "CmdtyTransactionType", "ValidFromDate", "LatestRecordFlag"]

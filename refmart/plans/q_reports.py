@@ -220,6 +220,14 @@ def rpt16_entities_by_legal_form(spark, d):
     return R.entities_by_legal_form(fx.entities(spark, d))
 
 
+@register("rpt16_entities_by_legal_form_all", sql_with(["entities"], """
+SELECT LegalForm, count(DISTINCT LEI) AS nb_lei FROM entities WHERE LegalForm IS NOT NULL
+GROUP BY LegalForm HAVING count(DISTINCT LEI) > 1"""))
+def rpt16_entities_by_legal_form_all(spark, d):
+    """RPT16 with its threshold lowered to one entity (the default keeps no row of small tables)."""
+    return R.entities_by_legal_form(fx.entities(spark, d), 1)
+
+
 @register("rpt17_registrations_by_country_year", sql_with(["entities"], f"""
 SELECT e.HeadquartersAddress_Country, c.Year, count(DISTINCT e.LEI) AS lei_created
 FROM entities e JOIN {_CAL} c ON CAST(e.InitialRegistrationDate AS DATE) = c."Date"
@@ -231,6 +239,17 @@ def rpt17_registrations_by_country_year(spark, d):
     return R.registrations_by_country_year(e, calendar(e, "InitialRegistrationDate"))
 
 
+@register("rpt17_registrations_by_country_year_all", sql_with(["entities"], f"""
+SELECT e.HeadquartersAddress_Country, c.Year, count(DISTINCT e.LEI) AS lei_created
+FROM entities e JOIN {_CAL} c ON CAST(e.InitialRegistrationDate AS DATE) = c."Date"
+WHERE e.InitialRegistrationDate IS NOT NULL AND c.Year > 1990
+GROUP BY e.HeadquartersAddress_Country, c.Year HAVING count(DISTINCT e.LEI) > 1"""))
+def rpt17_registrations_by_country_year_all(spark, d):
+    """RPT17 with lowered thresholds (the defaults keep no row of small tables)."""
+    e = fx.entities(spark, d)
+    return R.registrations_by_country_year(e, calendar(e, "InitialRegistrationDate"), 1990, 1)
+
+
 # ----------------------------------------------------------------- ledger (C16, AGG15, RPT19)
 def event_ledger(spark, d):
     """C16 fixture: one ledger row per (day, event type) file of the events table."""

@@ -8,12 +8,13 @@ offers the one lineage-cutting helper the pipelines use.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings a cluster job would also want. Shuffle partitions are sized for the
-# machine at hand; on a cluster the submitter overrides them (and AQE coalesces).
+# Settings that a session started here gets where the submitter set nothing.
 _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -29,48 +30,62 @@ _DEFAULTS = {
 
 def get_spark(master: str | None = None, app: str = "refmart", shuffle_partitions: int | None = None,
               extra: dict | None = None) -> SparkSession:
-    """Return (or create) a session with the library defaults.
+    """The active session as it is, or a new one with the library's defaults.
 
-    ``master`` defaults to ``local[$BENCH_CPUS or *]``; on a cluster the master
-    comes from spark-submit and the builder leaves it alone.
+    What the submitter set (spark-submit's master and ``--conf``) always wins;
+    ``master`` and ``shuffle_partitions`` are for scripts and tests that start
+    Spark themselves.
     """
-    builder = SparkSession.builder.appName(app)
-    if master is None and not os.environ.get("SPARK_MASTER"):
-        master = f"local[{os.environ.get('BENCH_CPUS', '*')}]"
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        return active
+    conf = dict(_DEFAULTS) | (extra or {})
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if os.environ.get("SPARK_DRIVER_MEMORY"):
+        conf.setdefault("spark.driver.memory", os.environ["SPARK_DRIVER_MEMORY"])
     if master:
-        builder = builder.master(master)
-    conf = dict(_DEFAULTS)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
-    conf.setdefault("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "16g"))
-    conf.update(extra or {})
-    for k, v in conf.items():
-        builder = builder.config(k, v)
+        conf["spark.master"] = master
+    submitted = _submitted()
+    builder = SparkSession.builder
+    for k, v in {"spark.app.name": app, **conf}.items():
+        if k not in submitted:
+            builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def _submitted() -> dict[str, str]:
+    """The settings spark-submit passed to this driver (none when it was started plainly)."""
+    if "PYSPARK_GATEWAY_PORT" not in os.environ:
+        return {}
+    SparkContext._ensure_initialized()
+    return dict(SparkConf().getAll())
+
+
 _SCRATCH: dict[int, str] = {}
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset (local
-    tests) fall back to a fresh scratch folder."""
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 -- a session without a SparkContext handle
-        sc = None
-    if sc is not None and sc.getCheckpointDir():
-        return sc.getCheckpointDir()
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured and sc is not None:
-        configured = sc.getConf().get("spark.checkpoint.dir", None)
+    """The shared folder that the cluster names in ``spark.checkpoint.dir``. Only a
+    local session (tests), where driver and executors are one machine, may go
+    without: it gets a fresh scratch folder. On a cluster an unset folder is an
+    error, as executors cannot read what others write to their own disks."""
+    sc = spark.sparkContext
+    configured = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or \
+        sc.getConf().get("spark.checkpoint.dir", None)
+    if configured and sc.getCheckpointDir():
+        return configured
     if not configured:
-        configured = _SCRATCH.setdefault(id(spark), tempfile.mkdtemp(prefix="refmart-ckpt-", dir="/tmp"))
-    if sc is not None:
-        sc.setCheckpointDir(configured)
-    return configured
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        if id(spark) not in _SCRATCH:
+            _SCRATCH[id(spark)] = tempfile.mkdtemp(prefix="refmart-ckpt-")
+        configured = _SCRATCH[id(spark)]
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir()
 
 
 def session_key(spark: SparkSession) -> int:
@@ -92,3 +107,9 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists in its file system; errors other than absence are raised."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)

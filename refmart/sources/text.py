@@ -3,21 +3,22 @@
 * ``read_wide`` / ``write_wide``: the pipe-delimited hand-off of the wide
   instrument layout (Parquet is the better hand-off; both are offered).
 * ``read_lei_csv``: the entity golden-copy CSV (BOM, quoted, multi-line).
-* ``read_quotes``: a folder of pipe files in several layouts. All files are
-  read in ONE scan without a header; each file's header row is found by its
-  ISIN cell and joined back to that file's data rows on ``_metadata.file_path``,
-  then every row is mapped by *name* (map_from_arrays) onto the 26-column
-  target. No per-file driver loop, no schema inference pass.
+* ``read_quotes``: a folder of pipe files in several layouts. Header lines are
+  read first (one line a file); then each distinct header is one CSV read of all
+  its files, mapped by name onto the 26-column target. No cap on columns, no
+  schema inference pass.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..functions.clean import (QUOTE_COLUMNS, QUOTE_HEADER_MAP, blank_to_null, extract_isin, normalize_header,
-                               parse_ts, product_type)
+from ..functions.clean import (QUOTE_COLUMNS, QUOTE_HEADER_MAP, blank_to_null, normalize_header, parse_ts,
+                               product_type)
 from ..operators.contract import to_layout
 
 WIDE_COLUMNS = [
@@ -64,56 +65,63 @@ def read_lei_csv(spark: SparkSession, path: str) -> DataFrame:
     return df
 
 
-MAX_QUOTE_FIELDS = 64
-
-
-def _target_of(norm: Column) -> Column:
-    """Normalised header -> target column name (NULL for unknown headers)."""
-    pairs = []
-    for k, v in QUOTE_HEADER_MAP.items():
-        pairs += [F.lit(k), F.lit(v)]
-    return F.element_at(F.create_map(*pairs), norm)
-
-
 def read_quotes(spark: SparkSession, path: str, delimiter: str = "|") -> DataFrame:
     """SRC5 + PRJ20-PRJ23: every quote file of a folder (csv/txt/tsv/psv) in any
     of the layouts -> the 26-column quote table (text), with the file name,
     product type (row value, else from the file name) and parsed snapshot time.
-    Rows without ISIN are dropped (FLT12)."""
-    raw = (spark.read.schema(QUOTE_RAW_SCHEMA).option("sep", delimiter).option("header", False)
-           .option("encoding", "UTF-8").option("pathGlobFilter", "*.{csv,txt,tsv,psv}").option("mode", "PERMISSIVE")
-           .csv(path).withColumn("__file", F.col("_metadata.file_path"))
-           .withColumn("__name", F.col("_metadata.file_name")))
-    return quotes_from_raw(raw)
-
-
-QUOTE_RAW_SCHEMA = StructType([StructField(f"c{i}", StringType()) for i in range(MAX_QUOTE_FIELDS)])
-
-
-def quotes_from_raw(raw: DataFrame) -> DataFrame:
-    """The by-name mapping of ``read_quotes`` over raw rows (c0..cN, __file,
-    __name) -- shared with the streaming loader."""
-    cells = F.array(*[F.col(f"c{i}") for i in range(MAX_QUOTE_FIELDS)])
-    first = F.upper(F.trim(F.replace(F.col("c0"), F.lit(BOM), F.lit(""))))
-    is_header = first == "ISIN"
-    headers = raw.filter(is_header).select(
-        "__file", F.transform(cells, lambda h: _target_of(normalize_header(h))).alias("__targets"))
-    data = raw.filter(~is_header | F.col("c0").isNull()).select("__file", "__name", cells.alias("__cells"))
-    rows = data.join(headers, "__file")
-    # Pair each cell with its target name; unknown headers (NULL target) are dropped.
-    pairs = F.filter(F.arrays_zip(F.col("__targets").alias("k"), F.col("__cells").alias("v")),
-                     lambda p: p["k"].isNotNull())
-    mapped = rows.select("__name", F.map_from_entries(pairs).alias("__m"))
-    got = {c: F.element_at(F.col("__m"), F.lit(c)) for c in QUOTE_COLUMNS}
-    trimmed = {c: blank_to_null(v) for c, v in got.items()}
-    required = {
-        "isin": F.coalesce(trimmed["isin"], extract_isin(F.concat_ws(" ", *[got[c] for c in QUOTE_COLUMNS]))),
+    The first line of a file is its header, in any column order; later lines are
+    data, whatever they hold; rows are kept with or without an ISIN."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{csv,txt,tsv,psv}").load(path)
+    return read_quote_files(spark, sorted(r[0] for r in files.select("path").collect()), delimiter)
+
+
+def _first_line(spark: SparkSession, path: str) -> str:
+    """The header of one file, read as far as its first line end."""
+    jvm = spark._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    data = where.getFileSystem(spark._jsc.hadoopConfiguration()).open(where)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(data, "UTF-8"))
+    try:
+        return reader.readLine() or ""
+    finally:
+        reader.close()
+
+
+def read_quote_files(spark: SparkSession, paths: list[str], delimiter: str = "|") -> DataFrame:
+    """SRC5 over given files: one pruned CSV read per distinct header line, united by
+    column name. Of two headers with one target the last wins; unknown ones are dropped."""
+    layouts: dict[str, list[str]] = {}
+    for p in paths:
+        layouts.setdefault(_first_line(spark, p), []).append(p)
+    layouts = {line: files for line, files in layouts.items() if line.replace(BOM, "").strip()}
+    if not layouts:
+        return spark.createDataFrame([], ", ".join(f"{c} STRING" for c in QUOTE_COLUMNS))
+    # the headers are normalised by the same column functions as data (one row per layout)
+    cells = [(n, i, h) for n, line in enumerate(layouts) for i, h in enumerate(line.replace(BOM, "").split(delimiter))]
+    named = spark.createDataFrame(cells, "layout INT, at INT, cell STRING").select(
+        "layout", "at", normalize_header(F.trim(F.replace("cell", F.lit('"'), F.lit("")))).alias("h")).collect()
+    targets: dict[int, dict[str, int]] = {}
+    for r in sorted(named, key=lambda r: r["at"]):
+        if r["h"] in QUOTE_HEADER_MAP:
+            targets.setdefault(r["layout"], {})[QUOTE_HEADER_MAP[r["h"]]] = r["at"]
+    parts = []
+    for n, (line, files) in enumerate(layouts.items()):
+        schema = StructType([StructField(f"c{i}", StringType()) for i in range(len(line.split(delimiter)))])
+        raw = (spark.read.schema(schema).option("sep", delimiter).option("header", True).option("enforceSchema", True)
+               .option("encoding", "UTF-8").option("mode", "PERMISSIVE").csv(files))
+        at = targets.get(n, {})
+        parts.append(raw.select(F.col("_metadata.file_name").alias("__name"), *[
+            (F.col(f"c{at[c]}") if c in at else F.lit(None).cast("string")).alias(c) for c in QUOTE_COLUMNS
+            if c != "file_name"]))
+    return _quote_rows(reduce(DataFrame.unionByName, parts))
+
+
+def _quote_rows(got: DataFrame) -> DataFrame:
+    """Typed and cleaned quote rows from by-name text columns and ``__name``."""
+    done = {
         "file_name": F.col("__name"),
-        "produit_type": product_type(got["produit_type"], F.col("__name")),
-        "date_extraction": F.date_format(parse_ts(got["date_extraction"]), "yyyy-MM-dd HH:mm:ss"),
-        "source_url": trimmed["source_url"],
+        "produit_type": product_type(F.col("produit_type"), F.col("__name")),
+        "date_extraction": F.date_format(parse_ts(F.col("date_extraction")), "yyyy-MM-dd HH:mm:ss"),
     }
-    staged = mapped.select("__name", *[(required[c] if c in required else trimmed[c]).alias(c)
-                                       for c in QUOTE_COLUMNS])
-    out = to_layout(staged, QUOTE_COLUMNS)
-    return out.filter(F.col("isin").isNotNull())
+    return to_layout(got.select(*[(done[c] if c in done else blank_to_null(F.col(c))).alias(c)
+                                  for c in QUOTE_COLUMNS]), QUOTE_COLUMNS)

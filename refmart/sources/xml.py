@@ -47,7 +47,7 @@ DELTA_KINDS = [("NewRcrd", "NEW"), ("ModfdRcrd", "MOD"), ("TermntdRcrd", "TERM")
 def _read(spark: SparkSession, path, row_tag: str, schema: str) -> DataFrame:
     """``path`` may be one path or a list of paths."""
     return (spark.read.format("xml").option("rowTag", row_tag).option("ignoreNamespace", "true")
-            .option("mode", "PERMISSIVE").schema(schema).load(path)
+            .option("mode", "FAILFAST").schema(schema).load(path)
             .withColumn("SourceFileName", F.col("_metadata.file_name")))
 
 
@@ -139,13 +139,16 @@ def _with_record_id(wide: DataFrame) -> DataFrame:
 
 
 def read_full_xml(spark: SparkSession, path: str, compat: bool = False) -> DataFrame:
-    """SRC1: full-file documents -> wide rows; header fields repeated on every
-    record; records without ISIN dropped (FLT12)."""
+    """SRC1: full-file documents -> wide rows, valid from the header's date; header
+    fields repeated on every record; records without ISIN dropped (FLT12). A
+    malformed record fails the read, as in the reference."""
     recs = _read(spark, path, "RefData", RECORD_SCHEMA)
     wide = recs.select("SourceFileName", F.struct(*[F.col(f) for f in RECORD_FIELDS]).alias("r")) \
         .select("SourceFileName", *wide_columns("r", compat))
     wide = _with_record_id(wide.filter(blank_to_null(F.col("ISIN")).isNotNull()))
-    return wide.join(_header(spark, path), "SourceFileName", "left")
+    wide = wide.join(_header(spark, path), "SourceFileName", "left")
+    return wide.withColumn("ValidFromDate", F.to_date("HeaderReportingPeriodDate")) \
+        .withColumn("ValidToDate", F.lit(None).cast("date")).withColumn("LatestRecordFlag", F.lit(True))
 
 
 DELTA_SCHEMA = ", ".join(f"{k} STRUCT<{RECORD_SCHEMA}>" for k, _ in DELTA_KINDS)
@@ -153,9 +156,11 @@ DELTA_SCHEMA = ", ".join(f"{k} STRUCT<{RECORD_SCHEMA}>" for k, _ in DELTA_KINDS)
 
 def read_delta_xml(spark: SparkSession, path, compat: bool = False) -> DataFrame:
     """SRC2: delta documents -> wide rows + ActionType from the record wrapper
-    (NEW / MOD / TERM / CANC); rows without ISIN or venue dropped."""
+    (NEW / MOD / TERM / CANC); rows without ISIN or venue dropped; ValidFromDate
+    is left empty for the delta's own rule (publication, else header date)."""
     recs = _read(spark, path, "FinInstrm", DELTA_SCHEMA)
-    return delta_records_to_wide(recs, compat).join(_header(spark, path), "SourceFileName", "left")
+    wide = delta_records_to_wide(recs, compat).join(_header(spark, path), "SourceFileName", "left")
+    return wide.withColumn("ValidFromDate", F.lit(None).cast("string"))
 
 
 def delta_records_to_wide(recs: DataFrame, compat: bool = False) -> DataFrame:

@@ -9,38 +9,34 @@ and the checkpoint commit) is skipped -- exactly-once end to end.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.cdc import apply_delta
-from ..sources.sinks import CURRENT, append_batch
-from ..sources.text import QUOTE_RAW_SCHEMA, quotes_from_raw
-
+from ..sources.sinks import append_batch, current_version, write_full_refresh
+from ..sources.text import read_quote_files
 
-def _current_version(spark: SparkSession, state_dir: str) -> str | None:
-    try:
-        return spark.read.text(f"{state_dir}/{CURRENT}").first()[0]
-    except Exception:  # noqa: BLE001 -- no state written yet
-        return None
 
+def apply_delta_batch(state_dir: str, initial_state: DataFrame | None = None, stream: str = "delta"):
+    """``foreachBatch`` body for STR1: state + delta batch -> next state.
 
-def apply_delta_batch(state_dir: str, initial_state: DataFrame | None = None):
-    """``foreachBatch`` body for STR1: state(v) + delta batch -> state(v+1).
+    A published version names the stream (its checkpoint) and batch it holds, so
+    a batch replayed by the same stream is skipped, while a stream with a new
+    checkpoint, whose batch ids start again, goes on from the current state."""
+    run_of = hashlib.sha256(stream.encode()).hexdigest()[:16]
 
-    Versions are ``b<batch id>``; a batch whose version is not newer than the
-    current one was already applied and is skipped."""
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        version = f"b{batch_id:012d}"
-        cur = _current_version(spark, state_dir)
-        if cur is not None and cur >= version:
-            return
+        cur = current_version(spark, state_dir)     # None only if nothing was ever published
+        if cur is not None:
+            of, done = cur.split("-")[:2]
+            if of == run_of and int(done) >= batch_id:
+                return
         state = spark.read.parquet(f"{state_dir}/{cur}") if cur else initial_state
-        new_state = apply_delta(state, batch)
-        new_state.write.mode("overwrite").parquet(f"{state_dir}/{version}")
-        spark.createDataFrame([(version,)], "v STRING").coalesce(1).write.mode("overwrite") \
-            .text(f"{state_dir}/{CURRENT}")
+        write_full_refresh(apply_delta(state, batch), state_dir, f"{run_of}-{batch_id:012d}")
     return run
 
 
@@ -53,7 +49,7 @@ def stream_delta(spark: SparkSession, source_dir: str, state_dir: str, checkpoin
     reader = spark.readStream.format(fmt).schema(schema)
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
-    w = reader.load(source_dir).writeStream.foreachBatch(apply_delta_batch(state_dir, initial_state)) \
+    w = reader.load(source_dir).writeStream.foreachBatch(apply_delta_batch(state_dir, initial_state, checkpoint)) \
         .option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 minutes")
     return w.start()
@@ -70,7 +66,7 @@ def stream_delta_xml(spark: SparkSession, source_dir: str, state_dir: str, check
             .option("maxFilesPerTrigger", max_files_per_trigger).schema(DELTA_SCHEMA).load(source_dir)
             .withColumn("SourceFileName", F.col("_metadata.file_name"))
             .withColumn("__path", F.col("_metadata.file_path")))
-    apply = apply_delta_batch(state_dir, initial_state)
+    apply = apply_delta_batch(state_dir, initial_state, checkpoint)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         paths = [r[0] for r in batch.select("__path").distinct().collect()]  # <= max_files_per_trigger
@@ -86,17 +82,19 @@ def stream_delta_xml(spark: SparkSession, source_dir: str, state_dir: str, check
 
 
 def stream_quotes(spark: SparkSession, source_dir: str, out: str, checkpoint: str, delimiter: str = "|",
-                  available_now: bool = True) -> StreamingQuery:
+                  available_now: bool = True, max_files_per_trigger: int = 1000) -> StreamingQuery:
     """STR2: quote files as they land -> the 26-column quote table, appended
-    once per file (SNK2). The file source hands whole files to a batch, so each
-    file's header row travels with its data rows."""
-    raw = (spark.readStream.schema(QUOTE_RAW_SCHEMA).option("sep", delimiter).option("header", False)
-           .option("pathGlobFilter", "*.{csv,txt,tsv,psv}").csv(source_dir)
-           .withColumn("__file", F.col("_metadata.file_path")).withColumn("__name", F.col("_metadata.file_name")))
+    once per file (SNK2). The stream hands over paths; the batch reader (SRC5)
+    reads the files."""
+    listing = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
+    files = (spark.readStream.format("binaryFile").schema(listing).option("pathGlobFilter", "*.{csv,txt,tsv,psv}")
+             .option("maxFilesPerTrigger", max_files_per_trigger).load(source_dir).select("path"))
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        append_batch(quotes_from_raw(batch), out, "file_name")
+        paths = sorted(r[0] for r in batch.collect())      # at most max_files_per_trigger
+        if paths:
+            append_batch(read_quote_files(spark, paths, delimiter), out, "file_name")
 
-    w = raw.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    w = files.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 minutes")
     return w.start()

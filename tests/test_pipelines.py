@@ -40,7 +40,7 @@ def test_pipelines(spark, tmp):
     day1 = fact.filter("SnapshotDate = DATE'2024-06-30'").drop("SnapshotDate")
     day2 = fact.filter("SnapshotDate = DATE'2024-07-01'").drop("SnapshotDate")
     assert day1.exceptAll(day2).count() == 0
-    latest = spark.read.parquet(tmp + "/fact_latest")
+    latest = read_current(spark, tmp + "/fact_latest")
     assert latest.count() == n1 and latest.select(F.max("SnapshotDate")).first()[0] == dt.date(2024, 7, 1)
 
 

@@ -28,14 +28,11 @@ def test_top_rows_keeps_ties(spark):
     assert sorted(r.k for r in top_rows(df, "x", 3).collect()) == ["a", "b", "c"]
 
 
-def test_assign_keys_dense_and_ordered(spark, monkeypatch):
+def test_assign_keys_dense_and_ordered(spark):
     from refmart.operators import dims
     df = spark.range(0, 5000).select(F.format_string("K%05d", (F.col("id") * 7919) % 5000).alias("key"))
     out = dims.assign_keys(df.repartition(7), ["key"], "sk", 100).orderBy("key").collect()
     assert [r.sk for r in out] == list(range(101, 5101))
-    monkeypatch.setattr(dims, "SINGLE_TASK_KEYS", 10)          # force the range-partitioned path
-    out = dims.assign_keys(df.repartition(7), ["key"], "sk", 100).orderBy("key").collect()
-    assert [r.sk for r in out] == list(range(101, 5101))
 
 
 def test_apply_delta_replay_inserts_nothing(spark):
@@ -166,14 +163,6 @@ def test_order_by_display(spark):
     assert [r.k for r in recent(df, ["x desc"], 1).collect()] == ["c"]
 
 
-def test_bounded_broadcast_checks_size(spark):
-    from refmart.operators.joins import bounded
-    small = spark.range(10)
-    big = spark.range(1000)
-    assert bounded(big, 100) is big                     # above the bound: left to the planner
-    assert bounded(small, 100) is not small             # within the bound: hinted
-
-
 def test_ledger_helpers(spark):
     import datetime as dt
     from refmart.operators.ledger import ledger_entry, observed_counts
@@ -189,15 +178,13 @@ def test_ledger_helpers(spark):
     assert (s.total_files, s.total_read, s.total_inserted, s.failed_files, s.success_rate) == (2, 100, 90, 1, 90.0)
 
 
-def test_assign_keys_stable_over_shuffled_input(spark, monkeypatch):
+def test_assign_keys_stable_over_shuffled_input(spark):
     """Keys stay dense and identical across re-evaluation even when the input
-    comes out of shuffles in no fixed order (both paths)."""
+    comes out of shuffles in no fixed order."""
     from refmart.operators import dims
     base = spark.range(0, 20000).select((F.col("id") % 3000).alias("k")).repartition(11).distinct() \
         .select(F.format_string("K%05d", "k").alias("key")).repartition(5)
-    for bound in (dims.SINGLE_TASK_KEYS, 10):
-        monkeypatch.setattr(dims, "SINGLE_TASK_KEYS", bound)
-        out = dims.assign_keys(base, ["key"], "sk", 0)
-        a = sorted((r.key, r.sk) for r in out.collect())
-        b = sorted((r.key, r.sk) for r in out.collect())
-        assert a == b and [sk for _, sk in a] == list(range(1, 3001))
+    out = dims.assign_keys(base, ["key"], "sk", 0)
+    a = sorted((r.key, r.sk) for r in out.collect())
+    b = sorted((r.key, r.sk) for r in out.collect())
+    assert a == b and [sk for _, sk in a] == list(range(1, 3001))

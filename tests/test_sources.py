@@ -96,7 +96,7 @@ def test_quotes_layouts(spark):
     q = read_quotes(spark, os.path.join(DATA, "quotes"))
     assert q.columns == QUOTE_COLUMNS
     rows = {r.isin: r for r in q.collect()}
-    assert set(rows) == {"FR0013355888", "FR0013355889", "FR0000120271", "DE000VU0AAA1"}
+    assert set(rows) == {"FR0013355888", "FR0013355889", "FR0000120271", "DE000VU0AAA1", None}   # kept without an ISIN
     t = rows["FR0013355888"]
     assert (t.produit, t.ss_jacent, t.barriere, t.levier, t.maturite, t.variation, t.emetteurs) == \
         ("Turbo Call CAC", "CAC 40", "6500", "12,5", "Open End", "+2,1%", "BNP")
@@ -112,7 +112,7 @@ def test_quotes_layouts(spark):
 
 
 def test_html_best_table(spark):
-    from refmart.sources.html import html_best_table, match_columns
+    from refmart.sources.html import column_of, html_best_table, plain_name
     html = open(os.path.join(DATA, "html", "pages.html"), encoding="utf-8").read()
     pages = spark.createDataFrame([(1, "https://example.com/turbos", html)], "page_id BIGINT, url STRING, html STRING")
     expected = ["ISIN", "Produit", "Ss-Jacent", "Barrière", "Achat", "Vente", "Levier", "Maturité", "Var.",
@@ -123,7 +123,34 @@ def test_html_best_table(spark):
     assert (rows[0].h_produit, rows[0].h_ssjacent, rows[0].h_barriere, rows[0].h_levier, rows[0].h_maturite,
             rows[0].h_var, rows[0].h_emetteurs) == ("Turbo Call FR0013355888", "CAC 40", "6 500", "12,5",
                                                     "Open End", "+2,1%", "BNP")
-    assert match_columns(["Nom", "Underlying"], ["Produit", "Ss-Jacent"]) == {"Produit": 0, "Ss-Jacent": 1}
+    names = spark.range(1).select(F.transform(F.array(F.lit("Nom"), F.lit("Underlying"), F.lit("Dernière Échéance")), plain_name).alias("n"))
+    assert tuple(names.select(*[column_of(F.col("n"), w) for w in ("produit", "ssjacent", "maturite", "levier")]).first()) \
+        == (0, 1, None, None)
+
+
+def test_html_omitted_end_tags_and_nested_tables(spark):
+    from refmart.sources.html import html_best_table
+    pad = "<p>" + "x" * 200 + "</p>"
+    html = pad + ("<table><tr><th>Produit<th>Achat<tr><td>P1<td>1,0<tr><td>P2 <table><tr><td>inner</table> more<td>2,0"
+                  "</table><table><tr><td>Produit<td>other</table>")
+    pages = spark.createDataFrame([(1, "u", html), (2, "u", None), (3, "u", "")], "page_id BIGINT, url STRING, html STRING")
+    rows = html_best_table(pages, ["ISIN", "Produit", "Achat"]).orderBy("row_no").collect()
+    assert [(r.page_id, r.row_no, r.h_produit, r.h_achat) for r in rows] == [(1, 1, "P1", "1,0"), (1, 2, "P2 more", "2,0")]
+
+
+def test_quotes_header_rules(spark, tmp):
+    import os
+    from refmart.sources.text import read_quotes
+    os.makedirs(tmp + "/q")
+    wide = "|".join([f"X{i}" for i in range(70)] + ["ISIN", "Dernier"])
+    for name, lines in {"a.csv": ["Libellé|ISIN|Dernier", "L1|FR0000000001|1", "ISIN|Libellé|x", "L2||3"],
+                        "b.psv": ["ISIN|PRIX_EX|Prix exercice", "FR0000000002|7|8"],
+                        "c.txt": [wide, "|".join(["v"] * 70 + ["FR0000000003", "9"])]}.items():
+        open(f"{tmp}/q/{name}", "w", encoding="utf-8").write("\n".join(lines) + "\n")
+    rows = {(r.file_name, r.isin, r.libelle, r.dernier, r.prix_exercice) for r in read_quotes(spark, tmp + "/q").collect()}
+    assert rows == {("a.csv", "FR0000000001", "L1", "1", None), ("a.csv", "Libellé", "ISIN", "x", None),
+                    ("a.csv", None, "L2", "3", None), ("b.psv", "FR0000000002", None, None, "8"),
+                    ("c.txt", "FR0000000003", None, "9", None)}
 
 
 def test_html_pages_without_tables(spark):
@@ -151,7 +178,9 @@ def test_sinks(spark, tmp):
     assert read_current(spark, tmp + "/t").count() == 1
     append_batch(a, tmp + "/app")
     append_batch(a, tmp + "/app")       # retried load: nothing duplicated
-    assert spark.read.parquet(tmp + "/app").count() == 2
+    append_batch(spark.createDataFrame([(3, "007"), (4, "f2")], "x INT, file_name STRING"), tmp + "/app")
+    append_batch(spark.createDataFrame([(3, "007")], "x INT, file_name STRING"), tmp + "/app")
+    assert sorted(r.x for r in spark.read.parquet(tmp + "/app").collect()) == [1, 2, 3]
     f = spark.createDataFrame([(dt.date(2024, 1, 1), 1), (dt.date(2024, 1, 2), 2)], "SnapshotDate DATE, v INT")
     overwrite_partition(f, tmp + "/fact")
     overwrite_partition(f.filter("v = 2").withColumn("v", F.lit(3)), tmp + "/fact")

@@ -36,7 +36,7 @@ def test_stream_quotes_appends_once(spark, tmp):
     q = stream_quotes(spark, src, tmp + "/quotes", tmp + "/ckpt")
     q.awaitTermination(120)
     out = spark.read.parquet(tmp + "/quotes")
-    assert out.count() == 4 and out.select("file_name").distinct().count() == 3
+    assert out.count() == 5 and out.select("file_name").distinct().count() == 3
 
 
 def test_stream_delta_xml(spark, tmp):
