@@ -41,6 +41,15 @@ def missing_share(key, col, blank: bool = True) -> Column:
     return F.coalesce(ratio(bad, distinct_count(k, blank)), F.lit(0.0))
 
 
+def missing_shares_of(df: DataFrame, key: str, names: dict[str, str]) -> DataFrame:
+    """AGG7 for several columns at once (one row): the rows are first reduced to one
+    per ``key`` (a NULL key is one more) with a flag per column, so no distinct
+    count has to expand them."""
+    per_key = df.groupBy(key).agg(*[F.max(F.col(c).isNull()).alias(n) for c, n in names.items()])
+    return per_key.agg(*[F.coalesce(ratio(F.sum(F.col(n).cast("long")), F.count(F.lit(1))), F.lit(0.0)).alias(n)
+                         for n in names.values()])
+
+
 def max_date(df: DataFrame, col: str, cond: Column | None = None) -> Column:
     """AGG1: scalar ``MAX(col)`` (optionally filtered) as a scalar subquery; NULL
     when nothing qualifies -- the caller's skip signal."""
@@ -75,6 +84,17 @@ def flag_ladder(df: DataFrame, key: str, text: Column, rules: list[tuple[list[st
     return g.select(key, expr.otherwise(F.lit(default)).alias(name))
 
 
+def total_without(df: DataFrame, by: list[str], removed: list[str], key: str, name: str = "total",
+                  measure: str = "listings", blank: bool = True) -> DataFrame:
+    """AGG9: per group, distinct ``key`` count and the count of the group with the
+    columns in ``removed`` taken out of it (``ALL(column)``: the other ones still filter)."""
+    left = [c for c in by if c not in removed]
+    groups = df.groupBy(*by).agg(distinct_count(key, blank).alias(measure)).alias("g")
+    totals = df.groupBy(*left).agg(distinct_count(key, blank).alias(name)).alias("t")
+    same = reduce(lambda a, b: a & b, [F.col(f"g.{c}").eqNullSafe(F.col(f"t.{c}")) for c in left])
+    return groups.join(totals, same).select(*[f"g.{c}" for c in by], measure, name)
+
+
 def share_of_total(df: DataFrame, by: list[str], key: str, name: str = "share",
                    measure: str = "listings", blank: bool = True) -> DataFrame:
     """AGG9: per group, distinct ``key`` count and its share of the grand total

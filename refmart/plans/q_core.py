@@ -377,12 +377,14 @@ def agg2_row_delta(spark, d):
     return row_delta(state, apply_delta(state, fx.delta(spark, d)))
 
 
-@register("agg16_is_empty", sql_with(["debt", "deriv"], """SELECT ((SELECT count(*) FROM debt) + (SELECT count(*) FROM deriv)) = 0
-  AS staging_empty"""))
+@register("agg16_is_empty", sql_with(["wide", "delta"], """SELECT ((SELECT count(*) FROM wide) + (SELECT count(*) FROM delta)) = 0
+  AS staging_empty, ((SELECT count(*) FROM wide WHERE ISIN IS NULL) + (SELECT count(*) FROM delta WHERE ISIN IS NULL)) = 0 AS keyed"""))
 def agg16_is_empty(spark, d):
-    """AGG16: emptiness guard over two staging tables."""
-    st = wh.staged(spark, d)
-    return spark.range(1).select(is_empty(st["debt"], st["derivative"]).alias("staging_empty"))
+    """AGG16: emptiness guard over the full and the delta wide table; and over their
+    rows without a key (a guard that answers true)."""
+    w, dl = fx.wide(spark, d), fx.delta(spark, d)
+    return spark.range(1).select(is_empty(w, dl).alias("staging_empty"),
+                                 is_empty(w.filter("ISIN IS NULL"), dl.filter("ISIN IS NULL")).alias("keyed"))
 
 
 @register("set1_union_files", sql_with(["wide"], """SELECT SourceFileName, count(*) AS rows FROM wide GROUP BY SourceFileName"""))
@@ -427,6 +429,19 @@ def agg9_share_of_total(spark, d):
     return s.select("VenueMIC", "listings", F.round("share", 6).alias("share"))
 
 
+_LSK = "count(DISTINCT InstrumentListingSK) + max(CASE WHEN InstrumentListingSK IS NULL THEN 1 ELSE 0 END)"
+
+
+@register("agg9_total_without_code", sql_with(["star"], f"""SELECT g.VenueMIC, g.CfiCode, g.listings, t.listings_all_codes FROM
+  (SELECT VenueMIC, CfiCode, {_LSK} AS listings FROM star GROUP BY VenueMIC, CfiCode) g JOIN
+  (SELECT VenueMIC, {_LSK} AS listings_all_codes FROM star GROUP BY VenueMIC) t ON g.VenueMIC IS NOT DISTINCT FROM t.VenueMIC"""))
+def agg9_total_without_code(spark, d):
+    """AGG9: listings per venue and classification code, with the code's filter removed for the total."""
+    from ..operators.measures import total_without
+    return total_without(wh.star(spark, d), ["VenueMIC", "CfiCode"], ["CfiCode"], "InstrumentListingSK",
+                         "listings_all_codes")
+
+
 @register("agg10_agg_by_issuer", sql_with(["star"], """SELECT IssuerSK, count(DISTINCT InstrumentSK)
   + max(CASE WHEN InstrumentSK IS NULL THEN 1 ELSE 0 END) AS InstrumentsCnt FROM star GROUP BY IssuerSK"""))
 def agg10_agg_by_issuer(spark, d):

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clean import between, overview_subtitle, trading_subtitle
-from ..operators.measures import distinct_count, missing_share, ratio, share_of_total, top_share
+from ..operators.measures import distinct_count, missing_shares_of, ratio, share_of_total, top_share
 from ..operators.windows import keep_top_keys, top_in_group, top_rows
 
 # --------------------------------------------------------------------------
@@ -137,10 +137,9 @@ def region_cards(star: DataFrame, regions: list[str]) -> DataFrame:
 
 def missing_shares(star: DataFrame) -> DataFrame:
     """RPT18 + AGG7: share of listings without issuer / classification / currency / venue."""
-    k = "InstrumentListingSK"
-    return star.agg(*[_r6(missing_share(k, c)).alias(name) for c, name in [
-        ("IssuerSK", "pct_without_issuer"), ("CFISK", "pct_without_cfi"),
-        ("CurrencySK", "pct_without_currency"), ("TradingVenueSK", "pct_without_venue")]])
+    names = {"IssuerSK": "pct_without_issuer", "CFISK": "pct_without_cfi", "CurrencySK": "pct_without_currency",
+             "TradingVenueSK": "pct_without_venue"}
+    return missing_shares_of(star, "InstrumentListingSK", names).select(*[_r6(F.col(n)).alias(n) for n in names.values()])
 
 
 # ----------------------------------------------------------------- entity reports
