@@ -20,7 +20,7 @@ from . import brute
 CLASHES = ("k_id", "k_hash", "k_text", "q", "q_words", "fail_bits", "n_words", "w", "at", "spans", "ids", "chunk",
            "blob", "fp", "component", "n", "shard", "record", "range", "window", "items", "score")
 DDL = "doc_id long, text string, " + ", ".join(f"{c} string" for c in CLASHES)
-LONG = " ".join(f"word{i % 977}" for i in range(60_000))
+LONG = " ".join(f"word{i % 977}" for i in range(20_000))
 NOTE = "the quick brown fox jumps over the lazy dog and then runs far away from the noisy crowd again"
 
 
