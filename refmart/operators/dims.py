@@ -184,6 +184,8 @@ def scd2_by_version(dim: DataFrame, src: DataFrame, keys: list[str], tracked: di
     ins = src.select(*keys, *cols, vf, vt).join(dim.select(*keys, vf), keys + [vf], "left_anti") \
         .withColumn(cur, F.col(vt).isNull())
     ins = assign_keys(ins, keys + [vf], sk, _max_key(dim, sk))
+    # columns that other steps keep in the dimension (C5) start empty
+    ins = ins.withColumns({f.name: F.lit(None).cast(f.dataType) for f in dim.schema if f.name not in ins.columns})
     return out.unionByName(ins.select(*dim.columns))
 
 

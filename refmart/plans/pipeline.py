@@ -83,7 +83,7 @@ def run_mart(spark: SparkSession, base: str, entities: DataFrame, snapshot_date:
 
 def _run_mart(spark: SparkSession, base: str, entities: DataFrame, snapshot_date: str,
               name_rules: tuple | None = None) -> DataFrame:
-    from ..plans.warehouse import instrument_source, issuer_source, listing_source
+    from ..plans.warehouse import enriched, enrichment, instrument_source, issuer_source, listing_source
     start = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     listing = read_current(spark, f"{base}/listing")
     debt = read_current(spark, f"{base}/debt")
@@ -117,8 +117,9 @@ def _run_mart(spark: SparkSession, base: str, entities: DataFrame, snapshot_date
     ins_src = instrument_source(listing)
     ins_empty = spark.createDataFrame([], ins_src.schema).withColumn("InstrumentSK", F.lit(None).cast("long")) \
         .withColumn("IsCurrent", F.lit(None).cast("boolean"))
-    instrument = save("instrument", scd2_by_version(current("instrument", ins_empty), ins_src, ["ISIN"],
-                                                    INSTRUMENT_TRACKED, "InstrumentSK"))
+    instrument = scd2_by_version(current("instrument", ins_empty), ins_src, ["ISIN"], INSTRUMENT_TRACKED, "InstrumentSK")
+    instrument = save("instrument", enriched(instrument, enrichment(
+        {"debt": debt, "derivative": deriv, "listing": listing})))
     lst_src = listing_source(listing)
     lst_empty = spark.createDataFrame([], lst_src.schema).withColumn("InstrumentListingSK", F.lit(None).cast("long")) \
         .withColumn("IsCurrent", F.lit(None).cast("boolean"))

@@ -419,6 +419,9 @@ def joi12_star_view(spark, d):
                                     "VenueRegion", "IssuerCountry", "IssuerRegion", "CfiCode", "Category")
 
 
+_LSK = "count(DISTINCT InstrumentListingSK) + max(CASE WHEN InstrumentListingSK IS NULL THEN 1 ELSE 0 END)"
+
+
 @register("agg9_share_of_total", sql_with(["star"], """SELECT VenueMIC, listings,
   round(CAST(listings AS DOUBLE) / nullif((SELECT count(DISTINCT InstrumentListingSK) + max(CASE WHEN InstrumentListingSK IS NULL THEN 1 ELSE 0 END) FROM star), 0), 6) AS share
 FROM (SELECT VenueMIC, count(DISTINCT InstrumentListingSK) + max(CASE WHEN InstrumentListingSK IS NULL THEN 1 ELSE 0 END) AS listings
@@ -429,9 +432,6 @@ def agg9_share_of_total(spark, d):
     return s.select("VenueMIC", "listings", F.round("share", 6).alias("share"))
 
 
-_LSK = "count(DISTINCT InstrumentListingSK) + max(CASE WHEN InstrumentListingSK IS NULL THEN 1 ELSE 0 END)"
-
-
 @register("agg9_total_without_code", sql_with(["star"], f"""SELECT g.VenueMIC, g.CfiCode, g.listings, t.listings_all_codes FROM
   (SELECT VenueMIC, CfiCode, {_LSK} AS listings FROM star GROUP BY VenueMIC, CfiCode) g JOIN
   (SELECT VenueMIC, {_LSK} AS listings_all_codes FROM star GROUP BY VenueMIC) t ON g.VenueMIC IS NOT DISTINCT FROM t.VenueMIC"""))
@@ -450,16 +450,18 @@ def agg10_agg_by_issuer(spark, d):
     return agg_by_group(wh.star(spark, d), "IssuerSK", "InstrumentSK", "InstrumentsCnt")
 
 
-@register("agg8_total_nominal", sql_with(["debt"], """SELECT round(CAST(sum(TotalIssuedNominalAmount) AS DOUBLE), 2) AS total_nominal,
-  round(CAST(sum(TotalIssuedNominalAmount) AS DOUBLE) / nullif(count(DISTINCT ISIN || '|' || TradingVenueMIC), 0), 6) AS nominal_per_listing
-FROM debt"""))
+@register("agg8_total_nominal", sql_with(["enrich_tgt", "u_merged", "star"], f"""
+SELECT round(CAST(t AS DOUBLE), 2) AS total_nominal, round(CAST(t AS DOUBLE) / nullif(n, 0), 6) AS nominal_per_listing
+FROM (SELECT sum(u.TotalIssuedNominalAmount) AS t FROM enrich_tgt d LEFT JOIN u_merged u
+      ON u.ISIN = d.ISIN AND u.ValidFromDate = d.ValidFromDate), (SELECT {_LSK} AS n FROM star)"""))
 def agg8_total_nominal(spark, d):
-    """AGG8 + AGG6: total nominal over the debt rows (all versions, not sliced by
-    the fact) and nominal per listing (blank on zero)."""
-    from ..operators.measures import ratio
-    debt = wh.staged(spark, d)["debt"]
-    k = debt.agg(F.try_sum("TotalIssuedNominalAmount").alias("t"),
-                 F.count_distinct(F.concat_ws("|", "ISIN", "TradingVenueMIC")).alias("n"))
+    """AGG8 + AGG6: total nominal over the enriched instrument dimension (all versions,
+    not sliced by the fact) and nominal per listing of the fact (blank on zero)."""
+    from ..operators.measures import distinct_count, ratio
+    dim = wh.enriched(wh.dimensions(spark, d)["instrument"].select("ISIN", "ValidFromDate", "InstrumentSK"),
+                      wh.enrichment(wh.staged(spark, d)))
+    n = wh.star(spark, d).select(distinct_count("InstrumentListingSK")).scalar()
+    k = dim.agg(F.try_sum("TotalIssuedNominalAmount").alias("t")).withColumn("n", n)
     return k.select(F.round(F.col("t").cast("double"), 2).alias("total_nominal"),
                     F.round(ratio(F.col("t"), F.col("n")), 6).alias("nominal_per_listing"))
 

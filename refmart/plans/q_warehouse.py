@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from ..operators.cdc import apply_delta, prepare_delta
 from ..operators.classify import classify, name_hints
-from ..operators.dims import assign_keys, enrich, merge_new_keys, scd2_by_current, scd2_by_version, upsert_dim
+from ..operators.dims import assign_keys, merge_new_keys, scd2_by_current, scd2_by_version, upsert_dim
 from ..operators.facts import calendar, latest_snapshot
-from ..operators.joins import full_merge, left_join_latest
+from ..operators.joins import left_join_latest
 from ..operators.windows import dedup_latest
 from . import fixtures as fx
 from . import warehouse as wh
@@ -215,30 +215,11 @@ def win4_dedup_version(spark, d):
 
 
 # ----------------------------------------------------------------- C5 / JOI4 / WIN5 / JOI3
-_CMDTY = ["CmdtyBaseProduct", "CmdtySubProduct", "CmdtyTransactionType", "CmdtyFinalPriceType"]
-_DEBTF = ["TotalIssuedNominalAmount", "TotalIssuedNominalAmountCcy", "MaturityDate", "NominalValuePerUnit",
-          "NominalValuePerUnitCcy"]
-_ENRICH = {"CmdtyBaseProduct": "string", "CmdtySubProduct": "string", "CmdtyTransactionType": "string",
-           "CmdtyFinalPriceType": "string", "TotalIssuedNominalAmount": "decimal",
-           "TotalIssuedNominalAmountCcy": "string", "MaturityDate": "date", "NominalValuePerUnit": "decimal",
-           "NominalValuePerUnitCcy": "string"}
-
-
-def _per_version(df, cols, extra_order):
-    x = df.filter(F.col("ISIN").isNotNull() & F.col("LatestRecordFlag") & F.col("ValidFromDate").isNotNull()) \
-        .withColumn("ISIN", F.substring(F.trim(F.col("ISIN")), 1, 12))
-    x = dedup_latest(x, ["ISIN", "ValidFromDate"], [F.col("TradingVenueMIC").asc_nulls_first(), *extra_order])
-    return x.select("ISIN", "ValidFromDate", *cols)
+_CMDTY, _DEBTF, _ENRICH = wh.COMMODITY_COLUMNS, wh.DEBT_COLUMNS, wh.ENRICHED
 
 
 def _enrich_sources(spark, d):
-    st = wh.staged(spark, d)
-    debt = _per_version(st["debt"], [c for c in _DEBTF], [F.col("TotalIssuedNominalAmount").desc_nulls_last(),
-                                                         F.col("NominalValuePerUnit").desc_nulls_last(),
-                                                         F.col("MaturityDate").desc_nulls_last()])
-    der = _per_version(st["derivative"], _CMDTY, [F.col(c).asc_nulls_last() for c in _CMDTY])
-    lst = _per_version(st["listing"], _CMDTY, [F.col("IssuerLEI").asc_nulls_last()])
-    return debt, der, lst
+    return wh.enrichment_sources(wh.staged(spark, d))
 
 
 def _sql_per_version(src: str, cols: list[str], order: str) -> str:
@@ -264,8 +245,7 @@ FULL JOIN u_lst l ON l.ISIN = coalesce(d.ISIN, r.ISIN) AND l.ValidFromDate = coa
 
 
 def _merged(spark, d):
-    debt, der, lst = _enrich_sources(spark, d)
-    return full_merge([debt, der, lst], ["ISIN", "ValidFromDate"], _CMDTY + _DEBTF)
+    return wh.enrichment(wh.staged(spark, d))
 
 
 _U_OUT = ["ISIN", "ValidFromDate", *_CMDTY, "TotalIssuedNominalAmountCcy", "MaturityDate", "NominalValuePerUnitCcy"]
@@ -302,13 +282,24 @@ def c5_enrich(spark, d):
     """C5 + JOI3: enrichment update of the instrument dimension from the merged
     sub-type sources (no versioning; NULL overwrites)."""
     tgt = wh.dimensions(spark, d)["instrument"].select("ISIN", "ValidFromDate", "InstrumentSK")
-    tgt = tgt.withColumns({c: F.lit(None).cast("decimal(38,10)" if t == "decimal" else t) for c, t in _ENRICH.items()})
-    out = enrich(tgt, _merged(spark, d), ["ISIN", "ValidFromDate"], _ENRICH, flag="updated")
+    out = wh.enriched(tgt, _merged(spark, d), flag="updated")
     return out.select("ISIN", "ValidFromDate", "InstrumentSK", *_CMDTY, "TotalIssuedNominalAmountCcy",
                       "MaturityDate", "NominalValuePerUnitCcy", _dbl("TotalIssuedNominalAmount"),
                       _dbl("NominalValuePerUnit"), "updated")
 
 
+@register("c5_enrich_again", sql_with(["enrich_tgt", "u_merged"], f"""
+SELECT t.ISIN, t.ValidFromDate, t.InstrumentSK, u.MaturityDate, false AS updated
+FROM enrich_tgt t JOIN u_merged u ON u.ISIN = t.ISIN AND u.ValidFromDate = t.ValidFromDate"""))
+def c5_enrich_again(spark, d):
+    """C5 over a dimension that holds the values already: nothing changes."""
+    tgt = wh.dimensions(spark, d)["instrument"].select("ISIN", "ValidFromDate", "InstrumentSK")
+    merged = _merged(spark, d)
+    out = wh.enriched(wh.enriched(tgt, merged), merged, flag="updated")
+    return out.join(merged.select("ISIN", "ValidFromDate"), ["ISIN", "ValidFromDate"], "left_semi").select(
+        "ISIN", "ValidFromDate", "InstrumentSK", "MaturityDate", "updated")
+
+
 # ----------------------------------------------------------------- C6 / JOI8 / C13 / AGG3
 @register("c6_merge_new_keys", sql_with(["register", "typed"], """
 WITH old AS (SELECT MIC AS TradingVenueMIC, row_number() OVER (ORDER BY MIC) AS TradingVenueSK FROM register)

@@ -16,8 +16,9 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from ..functions.predicates import min_length
 from ..operators.cdc import split_instruments, split_typed, type_instruments
 from ..operators.classify import classify, name_hints
-from ..operators.dims import merge_new_keys, scd2_by_current, scd2_by_version, upsert_dim
+from ..operators.dims import enrich, merge_new_keys, scd2_by_current, scd2_by_version, upsert_dim
 from ..operators.facts import build_snapshot
+from ..operators.joins import full_merge
 from ..operators.windows import dedup_latest
 from . import fixtures as fx
 from .fixtures import add_cte
@@ -57,6 +58,44 @@ def instrument_source(listing: DataFrame) -> DataFrame:
                       "ValidToDate")
 
 
+# C5: the columns that the instrument dimension gets from the sub-type tables.
+COMMODITY_COLUMNS = ["CmdtyBaseProduct", "CmdtySubProduct", "CmdtyTransactionType", "CmdtyFinalPriceType"]
+DEBT_COLUMNS = ["TotalIssuedNominalAmount", "TotalIssuedNominalAmountCcy", "MaturityDate", "NominalValuePerUnit",
+                "NominalValuePerUnitCcy"]
+ENRICHED = {**{c: "string" for c in COMMODITY_COLUMNS}, "TotalIssuedNominalAmount": "decimal",
+            "TotalIssuedNominalAmountCcy": "string", "MaturityDate": "date", "NominalValuePerUnit": "decimal",
+            "NominalValuePerUnitCcy": "string"}
+
+
+def _per_version(df: DataFrame, cols: list[str], extra_order: list) -> DataFrame:
+    """WIN5: trimmed ISIN, one current row per (ISIN, ValidFrom), lowest venue first."""
+    x = df.filter(F.col("ISIN").isNotNull() & F.col("LatestRecordFlag") & F.col("ValidFromDate").isNotNull()) \
+        .withColumn("ISIN", F.substring(F.trim(F.col("ISIN")), 1, 12))
+    x = dedup_latest(x, ["ISIN", "ValidFromDate"], [F.col("TradingVenueMIC").asc_nulls_first(), *extra_order])
+    return x.select("ISIN", "ValidFromDate", *cols)
+
+
+def enrichment_sources(st: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """One row per instrument version from the debt, derivative and listing tables."""
+    debt = _per_version(st["debt"], DEBT_COLUMNS, [F.col(c).desc_nulls_last() for c in (
+        "TotalIssuedNominalAmount", "NominalValuePerUnit", "MaturityDate")])
+    der = _per_version(st["derivative"], COMMODITY_COLUMNS, [F.col(c).asc_nulls_last() for c in COMMODITY_COLUMNS])
+    lst = _per_version(st["listing"], COMMODITY_COLUMNS, [F.col("IssuerLEI").asc_nulls_last()])
+    return debt, der, lst
+
+
+def enrichment(st: dict[str, DataFrame]) -> DataFrame:
+    """JOI4: the three sources merged; commodity fields from the derivative before the listing."""
+    return full_merge(list(enrichment_sources(st)), ["ISIN", "ValidFromDate"], COMMODITY_COLUMNS + DEBT_COLUMNS)
+
+
+def enriched(instrument: DataFrame, merged: DataFrame, flag: str | None = None) -> DataFrame:
+    """C5 on the instrument dimension (columns it does not have yet start empty)."""
+    absent = {c: F.lit(None).cast("decimal(38,10)" if t == "decimal" else t) for c, t in ENRICHED.items()
+              if c not in instrument.columns}
+    return enrich(instrument.withColumns(absent), merged, ["ISIN", "ValidFromDate"], ENRICHED, flag=flag)
+
+
 def listing_source(listing: DataFrame) -> DataFrame:
     """C3 source: one current row per (ISIN, venue): latest ValidFrom, then lowest issuer."""
     src = listing.filter(F.col("ISIN").isNotNull() & F.col("TradingVenueMIC").isNotNull()

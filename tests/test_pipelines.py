@@ -40,6 +40,8 @@ def test_pipelines(spark, tmp):
     day1 = fact.filter("SnapshotDate = DATE'2024-06-30'").drop("SnapshotDate")
     day2 = fact.filter("SnapshotDate = DATE'2024-07-01'").drop("SnapshotDate")
     assert day1.exceptAll(day2).count() == 0
+    instrument = read_current(spark, tmp + "/instrument")       # enriched (C5), also after a second load
+    assert instrument.filter("MaturityDate IS NOT NULL AND TotalIssuedNominalAmount IS NOT NULL").count() > 0
     latest = read_current(spark, tmp + "/fact_latest")
     assert latest.count() == n1 and latest.select(F.max("SnapshotDate")).first()[0] == dt.date(2024, 7, 1)
 
