@@ -9,7 +9,6 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from refmart.llm import (common, op1_training_order, op2_quality, op3_sentencepiece, op4_suffix_dedup, op5_pii,
                          op6_warc, op7_decontaminate, op8_simhash, op9_licenses, op10_lm_score)
