@@ -157,8 +157,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     marked = fingerprints(small, "k_text", shingle).select("k_id", F.xxhash64("k_text").alias("k_hash"), "fp")
     marked = written(marked, "fingerprints")
     named = classes(marked, max_bits)
-    first = F.row_number().over(Window.partitionBy("root").orderBy(F.col("k_id").asc_nulls_last(), "k_hash"))
-    chosen = marked.join(named, "fp").withColumn("n", first).where("n = 1").select("k_id", "k_hash")
+    # the first row of each fingerprint, then of each component: both reduced before they move
+    first = F.min(F.struct(F.col("k_id").isNull().alias("last"), "k_id", "k_hash")).alias("row")
+    of_fp = marked.groupBy("fp").agg(first)
+    chosen = of_fp.join(named, "fp").groupBy("root").agg(F.min("row").alias("row")).select("row.k_id", "row.k_hash")
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("k_row"),
                       F.col(f"`{id_col}`").alias("r_id"), F.xxhash64(F.col(f"`{text_col}`")).alias("r_hash"))
     row = row.join(chosen, row["r_id"].eqNullSafe(chosen["k_id"]) & (row["r_hash"] == chosen["k_hash"]), "left_semi")
