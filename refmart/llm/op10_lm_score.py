@@ -38,7 +38,7 @@ from .packed import CHUNK_BYTES, bounds, chunks, mix, planes, steps, unpack, unp
 ORDER = 2
 ALPHA = 0.4
 CUTOFF = 2
-RANGE_BYTES = 12 << 20     # text per hash range, about
+RANGE_BYTES = 6 << 20      # text per hash range, about
 
 
 # --- n-grams of a chunk ------------------------------------------------------
@@ -123,7 +123,7 @@ def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, cutoff: int
 
     def finish(key, own: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
         rows = []
-        for ids, blob in zip(own["ids"], own["blob"], strict=True):
+        for ids, no_id, blob in zip(own["ids"], own["no_id"], own["blob"], strict=True):
             grams = Grams(unpack(blob), order)
             total = []
             for n in range(1, order + 1):
@@ -143,7 +143,7 @@ def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, cutoff: int
                 level = np.where(seen, n, level)
             row = np.repeat(np.arange(len(ids)), grams.sizes)
             rows.append(pd.DataFrame({
-                "id": pd.array(ids, dtype="Int64"), "n_words": grams.sizes,
+                "id": pd.arrays.IntegerArray(np.asarray(ids, np.int64), np.asarray(no_id, bool)), "n_words": grams.sizes,
                 "n_seen": np.bincount(row, level == order, len(ids)).astype(np.int64),
                 "n_single": np.bincount(row, level == 1, len(ids)).astype(np.int64),
                 "raw": np.bincount(row, best, len(ids))}))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .common import written
 
-CHUNK_BYTES = 16 << 20     # text of a chunk; a longer text is a chunk of its own
+CHUNK_BYTES = 8 << 20      # text of a chunk; a longer text is a chunk of its own
 
 
 def planes(values: np.ndarray) -> bytes:
@@ -64,15 +64,17 @@ def bounds(hashes: np.ndarray, bits: int) -> np.ndarray:
 
 
 def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """(chunk, ids, blob, bytes), written once: later steps agree on the chunks."""
+    """(chunk, ids, no_id, blob, bytes), written once: later steps agree on the chunks. A null
+    id is 0 in ``ids`` and true in ``no_id`` (arrays with nulls would become floats in pandas)."""
     def cut(batches):
         part, n = TaskContext.get().partitionId(), 0
         ids, texts, held = [], [], 0
 
         def row():
             return pa.RecordBatch.from_arrays([
-                pa.array([(part << 32) + n]), pa.array([ids], pa.list_(pa.int64())), pa.array([pack(texts)], pa.binary()),
-                pa.array([held])], ["chunk", "ids", "blob", "bytes"])
+                pa.array([(part << 32) + n]), pa.array([[i or 0 for i in ids]], pa.list_(pa.int64())),
+                pa.array([[i is None for i in ids]], pa.list_(pa.bool_())), pa.array([pack(texts)], pa.binary()),
+                pa.array([held])], ["chunk", "ids", "no_id", "blob", "bytes"])
 
         for batch in batches:
             for i, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -88,4 +90,4 @@ def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chun
             yield row()
 
     rows = docs.select(F.col(id_col).cast("long"), F.col(text_col))
-    return written(rows.mapInArrow(cut, "chunk long, ids array<long>, blob binary, bytes long"), "chunks")
+    return written(rows.mapInArrow(cut, "chunk long, ids array<long>, no_id array<boolean>, blob binary, bytes long"), "chunks")
