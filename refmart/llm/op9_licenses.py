@@ -3,9 +3,11 @@
 Every rolling word k-gram hash of every text is joined to the positions of the
 same k-gram in the license templates (a fixed, broadcast table). A match votes
 for the diagonal ``text position - template position``; votes are summed per
-diagonal, neighbouring diagonals (a word added or dropped) are merged, and the
-merged span is verified against the template's words. Base phrases are templates
-that must match completely on one diagonal.
+diagonal and neighbouring diagonals (a word added or dropped) are merged. Where
+enough words have votes, the document's words are aligned with the template's: in
+order, at most ``MAX_EXTRA`` words between them, none of which changes the license,
+and no word left out that names it. Of overlapping spans the best one stays. Base
+phrases are templates that must match completely on one diagonal.
 
 Defined results: null and empty texts have no words, no labels and score 0;
 repeated rows each get their own (equal) result and a null doc_id is a key like
@@ -22,6 +24,14 @@ from .common import ALNUM_WORD_ANY_CASE, alnum_words, keyed, same_key
 K = 2                # words per gram; the shortest base phrase has two
 MERGE_DRIFT = 2      # diagonals this close may be one shifted copy
 MIN_COVERAGE = 0.8   # of a template's words, for a span to count
+MAX_EXTRA = 3        # words of a span that are not the template's
+
+# Words that make another license of the same notice, and so may not stand between a
+# template's words; like them, a word with a digit. A template's own ones (and those
+# that name a license without changing it) may not be left out.
+CHANGING = ("not", "nc", "nd", "sa", "lesser", "library", "affero", "mit", "apache", "gnu", "bsd", "mozilla",
+            "eclipse", "cc", "cc0")
+NAMING = (*CHANGING, "by", "general", "public", "domain")
 
 # Base phrases and their labels.
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
@@ -43,64 +53,153 @@ TEMPLATES = (
 
 
 def template_grams(spark, phrases=PHRASES, templates=TEMPLATES) -> DataFrame:
-    """(gram hash, gram words, template, label, at, size, base): one row per
-    template position that starts a k-gram; its size is fixed by the lists above."""
+    """(gram hash, gram words, template, label, at, size, base, words, needed words, slack):
+    one row per template position that starts a k-gram; its size is fixed by the lists above."""
     rows = []
     for n, (text, label) in enumerate([*phrases, *templates]):
         words = text.split()
         if len(words) < K:
             raise ValueError(f"a template needs at least {K} words: {text!r}")
-        rows += [(" ".join(words[i:i + K]), n, label, i, len(words), n < len(phrases))
+        needed = sorted({w for w in words if w in NAMING or any(c.isdigit() for c in w)})
+        rows += [(" ".join(words[i:i + K]), n, label, i, len(words), n < len(phrases), words, needed, _slack(words))
                  for i in range(len(words) - K + 1)]
-    t = spark.createDataFrame(rows, "gram string, template int, label string, t_at int, t_size int, base boolean")
+    t = spark.createDataFrame(rows, "gram string, template int, label string, t_at int, t_size int, base boolean, "
+                                    "t_words array<string>, needed array<string>, slack int")
     return t.withColumn("gram_hash", F.xxhash64("gram"))
 
 
+def _slack(words: list[str]) -> int:
+    """How far a word of a span can be from any of its diagonals: words added or left out."""
+    return MAX_EXTRA + int(len(words) * (1 - MIN_COVERAGE) + 1e-9)
+
+
 def _gram(words: Column, i: Column) -> Column:
     return F.array_join(F.slice(words, i + 1, F.lit(K)), " ")
 
 
-def votes(docs: DataFrame, grams: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(k_id, k_hash, template, label, t_size, base, at, t_at): every k-gram of a text that
-    stands in a template. The join is map-side; equal hashes are checked by their words."""
+def votes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases=PHRASES,
+          templates=TEMPLATES) -> DataFrame:
+    """(k_id, k_hash, template, label, t_size, base, at, t_at, diag, t_words, from, words): every
+    k-gram of a text that stands in a template, with the text's words (from position ``from``
+    on) that a span on its diagonal can hold. Every gram is looked up map-side, before it makes
+    a row; equal hashes are checked by their words. A hit whose words lack one that its template
+    needs cannot be part of a span."""
+    grams = template_grams(docs.sparkSession, phrases, templates)
+    lists = [text.split() for text, _ in [*phrases, *templates]]
+    known = sorted({" ".join(x[i:i + K]) for x in lists for i in range(len(x) - K + 1)})
+    reach = max((len(x) + _slack(x) for x in lists), default=0)
     d = keyed(docs, id_col, text_col).select("k_id", "k_hash", alnum_words(F.col("k_text")).alias("w"))
     w = F.col("w")
-    rolling = d.where(F.size("w") >= K).select("k_id", "k_hash", F.explode(F.transform(
-        F.sequence(F.lit(0), F.size("w") - K),
-        lambda i: F.struct(i.alias("at"), _gram(w, i).alias("gram")))).alias("g")).select("k_id", "k_hash", "g.*")
+    hits = F.filter(F.sequence(F.lit(0), F.size("w") - K), lambda i: _gram(w, i).isin(known))
+    rolling = d.where(F.size("w") >= K).select("k_id", "k_hash", F.explode(F.transform(hits, lambda i: F.struct(
+        i.alias("at"), _gram(w, i).alias("gram"), F.greatest(i - reach, F.lit(0)).alias("near_from"),
+        F.slice(w, F.greatest(i - reach, F.lit(0)) + 1, F.lit(2 * reach)).alias("near")))).alias("g")).select(
+        "k_id", "k_hash", "g.*")
     rolling = rolling.withColumn("gram_hash", F.xxhash64("gram"))
     g = F.broadcast(grams.withColumnRenamed("gram", "t_gram"))
-    return rolling.join(g, "gram_hash").where(F.col("gram") == F.col("t_gram")).select(
-        "k_id", "k_hash", "template", "label", "t_size", "base", "at", "t_at").distinct()
+    found = rolling.join(g, "gram_hash").where(F.col("gram") == F.col("t_gram")).withColumn(
+        "diag", F.col("at") - F.col("t_at")).withColumn("from", F.greatest(F.col("diag") - F.col("slack"), F.lit(0)))
+    near = F.slice("near", F.col("from") - F.col("near_from") + 1, F.col("t_size") + 2 * F.col("slack"))
+    found = found.withColumn("words", F.when(~F.col("base"), near))
+    return found.where(F.col("base") | (F.size(F.array_except("needed", "words")) == 0)).select(
+        "k_id", "k_hash", "template", "label", "t_size", "base", "at", "t_at", "diag", "t_words", "from", "words")
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _changing(word: Column) -> Column:
+    return word.isin(*CHANGING) | word.rlike("[0-9]")
+
+
+def aligned(words: Column, t_words: Column) -> Column:
+    """The best alignment of a template within ``words``: (matched, -extra, -end), the most
+    words matched in order, then the fewest others between them, then the first.
+
+    Cell ``e * (MAX_EXTRA + 1) + x`` of the state holds the most template words so far that
+    an alignment matches which ends before word ``e`` and holds ``x`` other words."""
+    width, never = MAX_EXTRA + 1, F.lit(-1_000_000)
+
+    def table(plain: Column) -> Column:
+        def matched(prev, t):
+            needed = t.isin(*NAMING) | t.rlike("[0-9]")
+            return F.transform(prev, lambda v, i: F.greatest(
+                F.when(needed, never).otherwise(v),
+                F.when((i >= width) & (F.get(words, F.floor(i / width).cast("int") - 1) == t),
+                       F.get(prev, i - width) + 1).otherwise(never)))
+
+        def widened(cells):
+            def cell(v, i):
+                ends, allowed = [v], F.lit(True)
+                for k in range(1, width):     # k other words behind the last one matched
+                    allowed = allowed & F.coalesce(F.get(plain, F.floor(i / width).cast("int") - k), F.lit(False))
+                    ends.append(F.when((i % width >= k) & allowed, F.get(cells, i - k * (width + 1))).otherwise(never))
+                return F.greatest(*ends)
+            return F.transform(cells, cell)
+
+        start = F.transform(F.sequence(F.lit(0), (F.size(words) + 1) * width - 1),
+                            lambda i: F.when(i % width == 0, F.lit(0)).otherwise(never))
+        return F.aggregate(t_words, start, lambda prev, t: _let(matched(prev, t), widened))
+
+    cells = _let(F.transform(words, lambda x: ~_changing(x)), table)
+    return F.array_max(F.transform(cells, lambda v, i: F.struct(
+        v.alias("matched"), (-(i % width)).alias("extra"), (-F.floor(i / width).cast("int")).alias("end"))))
 
 
 def spans(found: DataFrame) -> DataFrame:
     """Merged, verified spans: (k_id, k_hash, template, label, base, start, end, coverage)."""
     key = ["k_id", "k_hash", "template", "label", "t_size", "base"]
-    diag = F.col("at") - F.col("t_at")
     # one row per diagonal: its template positions that voted
-    lines = found.groupBy(*key, diag.alias("diag")).agg(
-        F.collect_set("t_at").alias("votes"), F.min("at").alias("lo"), F.max("at").alias("hi"))
+    lines = found.groupBy(*key, "diag").agg(
+        F.collect_set("t_at").alias("votes"), F.min("at").alias("lo"), F.max("at").alias("hi"),
+        F.first("from").alias("from"), F.first("words").alias("words"), F.first("t_words").alias("t_words"))
     # neighbouring diagonals form one candidate; a base phrase has to stand on one
     w = Window.partitionBy(*key).orderBy("diag")
     step = F.col("diag") - F.lag("diag").over(w)
     new = F.when(F.col("base") | step.isNull() | (step > MERGE_DRIFT), 1).otherwise(0)
     cand = lines.withColumn("new", new).withColumn(
         "group", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    cand = cand.groupBy(*key, "group").agg(F.array_distinct(F.flatten(F.collect_list("votes"))).alias("votes"),
-                                           F.min("lo").alias("start"), (F.max("hi") + K).alias("end"))
-    # a gram at t_at verifies the template words t_at .. t_at + K - 1
+    texts = F.when(~F.col("base"), F.struct("from", "words"))
+    cand = cand.groupBy(*key, "group").agg(
+        F.array_distinct(F.flatten(F.collect_list("votes"))).alias("votes"), F.min("lo").alias("start"),
+        (F.max("hi") + K).alias("end"), F.collect_list(texts).alias("texts"), F.first("t_words").alias("t_words"))
+    # a gram at t_at votes for the template words t_at .. t_at + K - 1
     known = F.size(F.array_distinct(F.flatten(F.transform("votes", lambda v: F.sequence(v, v + (K - 1))))))
-    whole = F.size("votes") == F.col("t_size") - (K - 1)
-    cand = cand.withColumn("coverage", known / F.col("t_size"))
-    return cand.where(F.when(F.col("base"), whole).otherwise(F.col("coverage") >= MIN_COVERAGE)).select(
-        "k_id", "k_hash", "template", "label", "base", "start", "end", "coverage")
-
-
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    out = ["k_id", "k_hash", "template", "label", "base", "start", "end", "coverage"]
+    base = cand.where(F.col("base") & (F.size("votes") == F.col("t_size") - (K - 1)))
+    base = base.withColumn("coverage", F.lit(1.0)).select(*out)
+    # the words around every diagonal of a candidate are held against the template's
+    near = cand.where(~F.col("base") & (known / F.col("t_size") >= MIN_COVERAGE)).withColumn(
+        "t", F.explode("texts")).withColumn("best", aligned(F.col("t.words"), F.col("t_words")))
+    best = F.col("best")
+    near = near.withColumn("coverage", best["matched"] / F.col("t_size")).where(F.col("coverage") >= MIN_COVERAGE)
+    near = near.withColumn("extra", -best["extra"]).withColumn("end", F.col("t.from") - best["end"]).withColumn(
+        "start", F.col("end") - best["matched"] - F.col("extra"))
+    return base.unionByName(best_spans(near.select(*out, "extra")).select(*out))
+
+
+def best_spans(near: DataFrame) -> DataFrame:
+    """Of spans that overlap, the best: most coverage, fewest other words, longest, first listed."""
+    doc = ["k_id", "k_hash"]
+    w = Window.partitionBy(*doc).orderBy("start", "end")
+    reached = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    near = near.distinct().withColumn("new", (reached.isNull() | (F.col("start") >= reached)).cast("int")).withColumn(
+        "cluster", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    rank = F.struct((-F.col("coverage")).alias("worse"), "extra", (F.col("start") - F.col("end")).alias("short"),
+                    "template", "start", "end", "label", "base", "coverage")
+    spans = near.groupBy(*doc, "cluster").agg(F.sort_array(F.collect_list(rank)).alias("s"))
+    kept = F.aggregate("s", F.slice("s", 1, 1), lambda got, s: F.when(
+        F.exists(got, lambda o: (o["start"] < s["end"]) & (s["start"] < o["end"])), got).otherwise(
+        F.concat(got, F.array(s))))
+    return spans.select(*doc, F.explode(kept).alias("s")).select(*doc, "s.*")
+
+
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES) -> DataFrame:
     """One row per input row: id, n_words, n_base, first_word, last_word, base_labels,
     labels (distinct, sorted, comma-joined), score (the best coverage of a template)."""
-    found = spans(votes(docs, template_grams(docs.sparkSession), id_col, text_col))
+    found = spans(votes(docs, id_col, text_col, PHRASES, templates))
     def labels(c):
         return F.array_join(F.sort_array(F.collect_set(c)), ",")
     base = F.col("base")

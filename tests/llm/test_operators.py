@@ -380,6 +380,33 @@ def test_license_scan(spark, odd, odd_rows, empty):
     assert op9_licenses.scan(odd).count() == len(odd_rows) and op9_licenses.scan(empty).count() == 0
 
 
+def test_license_labels_are_exact(spark):
+    gpl = "This work is licensed under the GNU General Public License"
+    texts = {
+        "Licensed under CC BY 4.0.": "cc-by,cc-by-4.0",
+        "Licensed under CC BY-NC 4.0.": "cc-by,cc-by-nc-4.0",
+        "Licensed under CC BY-SA 4.0.": "cc-by,cc-by-sa-4.0",
+        "Licensed under CC BY-ND 4.0.": "cc-by", "Licensed under CC BY-NC-SA 4.0.": "cc-by",
+        "Licensed under CC BY-NC 3.0.": "cc-by",
+        f"{gpl}, version 2": "gpl", f"{gpl}, version 3.": "gpl,gpl-3.0", f"{gpl}, version exactly 3": "gpl,gpl-3.0",
+        "This work is licensed under the GNU Lesser General Public License, version 3": "gpl",
+        "This Source Code Form is subject to the terms of the Mozilla Public License v 1.1": "",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0": "mpl-2.0",
+        "Licensed under the Apache License 2.0": "apache-2.0", "Licensed under the Apache License, Version 1.1": "",
+        "Licensed under the BSD License": "", "licensed under the old MIT license": "mit", "licensed under MIT license": "mit",
+        "the license MIT the under licensed": "", "licensed under " * 300 + "the MIT License": "mit",
+        "Licensed under CC BY 4.0. Licensed under CC BY-SA 4.0. " * 2: "cc-by,cc-by-4.0,cc-by-sa-4.0",
+        "This work is not licensed under the GNU General Public License, version 3": "gpl",
+        "Redistribution and use in source or binary forms, with or without modification, are permitted": "bsd"}
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    have = {rows[r.doc_id][1]: r.labels for r in op9_licenses.scan(docs).collect()}
+    assert have == texts
+    own = (("free to use by all of us", "short"), ("it is free to use by all of us here", "long"))
+    one = spark.createDataFrame([(1, "It is free to use by all of us here.")], "doc_id long, text string")
+    assert [r.labels for r in op9_licenses.scan(one, templates=own).collect()] == ["long"]
+
+
 # --- 10: language model
 
 @pytest.mark.parametrize("order", [1, 2, 3])
