@@ -2,15 +2,17 @@
 
 Fixed base patterns (linear scanners, any text length) find e-mail addresses, IP
 addresses, card and phone numbers; these spans always stand. Around digits and
-``@`` the text is cut into islands of tokens, and a semi-Markov CRF adds spans:
-candidate segments of up to ``MAX_TOKENS`` tokens are scored by whole-span
-features (shape, digit count, grouping, checksum, separators, the word before),
-and a bounded-entity dynamic programme picks boundaries and types jointly.
+``@`` (and a spelled-out ``dot``) the text is cut into islands of tokens, and a
+semi-Markov CRF adds spans: every segment of up to ``MAX_TOKENS`` tokens and 80
+characters on one line that holds a digit, an ``@``, ``at`` or ``dot`` is a
+candidate. They are scored by whole-span features (shape, digit count, grouping,
+checksum, separators, the word before), and a bounded-entity dynamic programme picks boundaries and types jointly.
 
 The weights are fitted here, by the CRF's conditional likelihood, on islands of at
 most ``SAMPLE`` documents; labels are the base spans, and copies of the islands
 with loosened notation (no ``+``, dots for dashes, spelled-out ``at``) teach the
-model forms that the patterns miss.
+model forms that the patterns miss. Other segments of a sample that look like an
+entity are unlabelled, not negative: they are left out of the likelihood.
 
 Defined results: a null or empty text has no spans; repeated rows get equal
 results; very long texts are scanned whole, island by island; offsets are code
@@ -110,7 +112,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 # --- the model -------------------------------------------------------------
 
 _TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|\s+|[^A-Za-z0-9\s]")
-_SEED = re.compile(r"[0-9@]+|[(\[](?:at|dot)[)\]]")
+_SEED = re.compile(r"[0-9@]+|[(\[](?:at|dot)[)\]]|(?<= )dot(?= )")
 _WORD_BEFORE = re.compile(r"([A-Za-z]+)[^A-Za-z0-9]*$")
 _CUES = {"phone": "phone", "tel": "phone", "call": "phone", "mobile": "phone", "fax": "phone", "mail": "email",
          "email": "email", "contact": "email", "card": "card", "visa": "card", "ip": "ip", "host": "ip", "server": "ip"}
@@ -123,7 +125,12 @@ _SHAPES = {
     "area": re.compile(r"(?:\d[ .-])?\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}"),
     "three_parts": re.compile(r"\d{3}[.-]\d{3}[.-]\d{4}"),
 }
-FEATURES = (*_SHAPES, *(f"cue_{k}" for k in KINDS), "bias", "digits<8", "digits8-15", "digits16-19", "digits>19",
+_GROUPED = re.compile(r"[+(]*\d+(?:[ ().-]+\d+)*")
+_GROUP = re.compile(r"[0-9]+")
+_WORDS = re.compile(r"[A-Za-z0-9_.+%-]+")
+FEATURES = (*_SHAPES, "no_shape", "grouped", "one_group", "two_groups", "groups3-4", "groups>4", "short_group",
+            "mixed_gaps", "spaces", "dashes", "dots", "last4", "phone_like", "zero_phone", "luhn15", "plain15", "plain16",
+            "spelled", "half_spelled", "loose_words", "cut_short", *(f"cue_{k}" for k in KINDS), "bias", "digits<8", "digits8-15", "digits16-19", "digits>19",
             "letters", "luhn16", "at", "touches_word", "touches_digit", "edge_space", "many_tokens", "octets")
 _F = {name: i for i, name in enumerate(FEATURES)}
 
@@ -140,51 +147,82 @@ def islands(text: str):
     return spans
 
 
-def segments(text: str, lo: int, hi: int):
-    """Tokens of the island and its candidate segments: (first token, last token + 1, features)."""
+def segments(text: str, lo: int, hi: int, taken=()):
+    """Tokens of the island and its candidate segments: (first token, last token + 1, features);
+    none of them overlaps one of the ``taken`` spans."""
     toks = [m.span() for m in _TOKEN.finditer(text, lo, hi)]
     out = []
     digit = [text[a].isdigit() and text[a].isascii() for a, _ in toks]
     usable = [not text[a].isspace() and text[a] not in ",;:\"'|" for a, _ in toks]
     seed = [d or text[a] == "@" or text[a:b] in ("at", "dot") for d, (a, b) in zip(digit, toks, strict=True)]
-    count = np.r_[0, np.cumsum(seed)]
+    free = [not any(a < e and s < b for a, b in taken) for s, e in toks]
     for i, (a, _) in enumerate(toks):
         if not usable[i]:
             continue
-        for j in range(i + 3, min(i + MAX_TOKENS, len(toks)) + 1):
+        seeded = False
+        for j in range(i + 1, min(i + MAX_TOKENS, len(toks)) + 1):
             b = toks[j - 1][1]
-            if "\n" in text[toks[j - 1][0]:b]:
+            if b - a > 80 or not free[j - 1] or "\n" in text[toks[j - 1][0]:b]:
                 break
-            if count[j] == count[i] or not usable[j - 1] or text[b - 1] in ".(+@%&*#$":
+            seeded = seeded or seed[j - 1]
+            if not seeded or not usable[j - 1] or text[b - 1] in ".(+@%&*#$":
                 continue
-            s = text[a:b]
-            if len(s) > 80:
-                break
-            f = _features(text, a, b, s, j - i)
-            if f is not None:
-                out.append((i, j, f))
+            out.append((i, j, _features(text, a, b, text[a:b], j - i)))
     return toks, out
 
 
 def _features(text, a, b, s, n):
-    f = [name for name, p in _SHAPES.items() if p.fullmatch(s)]
-    if not f:      # a span of no known shape is never an entity: it stays outside
-        return None
+    f = [name for name, p in _SHAPES.items() if p.fullmatch(s)] if n > 2 else []
+    if not f:
+        f.append("no_shape")
     f.append("bias")
-    digits = "".join(_DIGIT.findall(s))
+    groups = _GROUP.findall(s)
+    digits = "".join(groups)
     k = len(digits)
     f.append("digits<8" if k < 8 else "digits8-15" if k < 16 else "digits16-19" if k < 20 else "digits>19")
     if any(c.isalpha() for c in s):
         f.append("letters")
+    elif _GROUPED.fullmatch(s):
+        f.append("grouped")
+        size, gaps = len(groups), {g for g in re.split(r"[0-9]+", s)[1:-1]}
+        f.append("one_group" if size == 1 else "two_groups" if size == 2 else "groups3-4" if size < 5 else "groups>4")
+        if size > 1:
+            f += [name for name, gap in (("spaces", " "), ("dashes", "-"), ("dots", ".")) if gaps == {gap}]
+            if len(gaps) > 1:
+                f.append("mixed_gaps")
+            if min(map(len, groups)) < 2:
+                f.append("short_group")
+            if len(groups[-1]) == 4:
+                f.append("last4")
+            if 9 <= k <= 15 and 3 <= size <= 5 and len(groups[-1]) in (3, 4) and max(map(len, groups)) <= 4:
+                if gaps == {" "} and len(groups[-1]) == 4 and len(groups[-2]) in (3, 4):
+                    f.append("zero_phone" if s[0] == "0" else "phone_like")
+        if k == 15:
+            f.append("luhn15" if luhn(digits) and [*map(len, groups)] in ([15], [4, 6, 5]) else "plain15")
+        if 16 <= k <= 19 and not luhn(digits):
+            f.append("plain16")
     if 16 <= k <= 19 and luhn(digits):
         f.append("luhn16")
     if "@" in s or "at" in s.lower():
         f.append("at")
+    words = _WORDS.findall(s)
+    if "dot" in words or "at" in words:
+        # name at host dot ... dot end, and nothing else
+        whole = (len(words) > 4 and len(words) % 2 and words[1] == "at" and all(w == "dot" for w in words[3::2])
+                 and not any(w in ("at", "dot") for w in words[::2]))
+        f.append("spelled" if whole else "half_spelled")
+        if whole and re.match(r" dot [A-Za-z]", text[b:b + 6]):
+            f.append("cut_short")
+    elif " " in s and "letters" in f and re.search(r"[A-Za-z0-9] [A-Za-z0-9]", s):
+        f.append("loose_words")
     if (a and (text[a - 1].isalpha())) or (b < len(text) and text[b].isalpha()):
         f.append("touches_word")
     if (a and (text[a - 1].isdigit() or text[a - 1] in "+.-(")) or (b < len(text) and (
             text[b].isdigit() or (text[b] in ".-" and text[b + 1:b + 2].isdigit()))):
         f.append("touches_digit")
+    elif "grouped" in f and ((a > 1 and text[a - 1] == " " and text[a - 2].isdigit()) or (
+            text[b:b + 1] == " " and text[b + 1:b + 2].isdigit())):
+        f.append("cut_short")     # the number goes on behind a blank
     if s[0] == " " or s[-1] == " ":
         f.append("edge_space")
     if n > 12:
@@ -194,17 +232,54 @@ def _features(text, a, b, s, n):
     m = _WORD_BEFORE.search(text, max(0, a - MARGIN), a)
     if m and m.group(1).lower() in _CUES:
         f.append(f"cue_{_CUES[m.group(1).lower()]}")
-    x = np.zeros(len(FEATURES))
+    x = np.zeros(len(FEATURES), np.uint8)
     x[[_F[name] for name in f]] = 1
     return x
 
 
+_LOOKS = ("mail", "mail_loose", "quad", "fours", "plus", "area", "three_parts", "phone_like", "zero_phone", "luhn15",
+          "luhn16", "spelled")
+
+
+def labelled(segs: list, gold: dict) -> tuple[list, dict]:
+    """Without the unlabelled segments that look like an entity and lie apart from the gold ones."""
+    look = [_F[name] for name in _LOOKS]
+    kept, out = [], {}
+    for i, (s, e, f) in enumerate(segs):
+        if i in gold:
+            out[len(kept)] = gold[i]
+        elif f[look].any() and not any(segs[g][0] < e and s < segs[g][1] for g in gold):
+            continue
+        kept.append(segs[i])
+    return kept, out
+
+
 def _loosen(text: str) -> list[str]:
     """The island in other notations of the same data."""
     return [re.sub(r"\+\d+ (?=\()", "", text), re.sub(r"(?<=\w)@(?=\w)", " (at) ", text),
             re.sub(r"(?<=\d)-(?=\d{4}\b)", ".", text), re.sub(r"(\d{4})[ -](?=\d{4})", r"\1.", text)]
 
 
+def _respelled(text: str, base: list) -> tuple[str, dict]:
+    """The text with its e-mail addresses spelled out and its phone numbers as blank-separated
+    groups without the country code, and where those and the other base spans then stand."""
+    parts, truth, size, at = [], {}, 0, 0
+    for a, b, kind in sorted((a, b, k) for k, a, b in base):
+        if a < at:
+            continue
+        new = text[a:b]
+        if kind == "email":
+            name, host = new.rsplit("@", 1)
+            new = f"{name} at {host.replace('.', ' dot ')}"
+        elif kind == "phone":
+            new = " ".join(_GROUP.findall(new)[1:]) or new
+        parts += [text[at:a], new]
+        size += a - at
+        truth[size, size + len(new)] = kind
+        size, at = size + len(new), b
+    return "".join([*parts, text[at:]]), truth
+
+
 # Labelled lines that every fit starts from, so that a kind which the sample lacks is
 # known too: (text, kind, the span's text); no kind: nothing in the line is personal.
 PRIMER = (
@@ -221,6 +296,25 @@ PRIMER = (
     ("number 4012.8888.8888.1881 was used", "card", "4012.8888.8888.1881"),
     ("host 192.168.10.254 answered", "ip", "192.168.10.254"),
     ("from 10.0.0.7 and on", "ip", "10.0.0.7"),
+    ("call 212 555 0147 today", "phone", "212 555 0147"),
+    ("or 415 555 0199, after noon", "phone", "415 555 0199"),
+    ("tel 0161 496 0123 or write", "phone", "0161 496 0123"),
+    ("ring 029 2018 0456 at home", "phone", "029 2018 0456"),
+    ("from abroad 0044 161 496 0123 only", "phone", "0044 161 496 0123"),
+    ("dial 0033 14 4567 0123 first", "phone", "0033 14 4567 0123"),
+    ("card 3714 496353 98431 expires", "card", "3714 496353 98431"),
+    ("paid with 3787 344936 71000 then", "card", "3787 344936 71000"),
+    ("the 3714 496353 98431 was used", "card", "3714 496353 98431"),
+    ("number 3787-344936-71000 was used", "card", "3787-344936-71000"),
+    ("billed to 371449635398431 then", "card", "371449635398431"),
+    ("write to bob at mailbox dot org now", "email", "bob at mailbox dot org"),
+    ("ask eve.low at post dot example dot net please", "email", "eve.low at post dot example dot net"),
+    ("serial 3714 496353 98432 of a box", None, ""),
+    ("part 1234 567890 12345 of a list", None, ""),
+    ("look at the red dot on top of it", None, ""),
+    ("we met at noon and a dot was seen", None, ""),
+    ("rows 12 34 56 and 100 200 300 or 1999 2000 2001", None, ""),
+    ("number 2123465659789240 and 5731080387325255 was seen", None, ""),
     ("part 1234.5678.1234.5678 of the list", None, ""),
     ("serial 1111 2222 3333 4444 of a box", None, ""),
     ("build 812.900.401.777 was made", None, ""),
@@ -243,9 +337,12 @@ def training_set(texts: list[str]) -> list[tuple[int, list, dict]]:
                 out.append((len(toks), segs, gold))
     for text in texts:
         base = base_spans(text)
-        for variant in [text, *_loosen(text)]:
+        spelled, stand = _respelled(text, base)
+        for variant in dict.fromkeys([text, *_loosen(text), spelled]):
             truth = {(a, b): k for k, a, b in base_spans(variant)}
-            if variant != text and base:
+            if variant == spelled:
+                truth = stand
+            elif variant != text and base:
                 # the loosened copy holds the same entities: find them by their loose shapes
                 for name, kind in (("mail_loose", "email"), ("area", "phone"), ("fours", "card")):
                     for m in _SHAPES[name].finditer(variant):
@@ -256,6 +353,7 @@ def training_set(texts: list[str]) -> list[tuple[int, list, dict]]:
                 toks, segs = segments(variant, lo, hi)
                 gold = {i: truth[toks[s][0], toks[e - 1][1]] for i, (s, e, _) in enumerate(segs)
                         if (toks[s][0], toks[e - 1][1]) in truth}
+                segs, gold = labelled(segs, gold)
                 if segs:
                     out.append((len(toks), segs, gold))
     return out
@@ -270,7 +368,7 @@ def fit(texts: list[str], epochs: int = 12, rate: float = 0.3, decay: float = 1e
     data = training_set(texts)
     for _ in range(epochs):
         for n, segs, gold in data:
-            x = np.array([f for _, _, f in segs])
+            x = np.array([f for _, _, f in segs], float)
             score = x @ w
             total = np.logaddexp.reduce(score, axis=1)
             begin = [[] for _ in range(n + 1)]
@@ -302,9 +400,7 @@ def added_spans(text: str, weights: np.ndarray, base: list[tuple[str, int, int]]
         free = _SEED.search(_blank(text, lo, hi, taken))
         if free is None:
             continue
-        toks, segs = segments(text, lo, hi)
-        segs = [(s, e, f) for s, e, f in segs
-                if not any(a < toks[e - 1][1] and toks[s][0] < b for a, b in taken if b > lo and a < hi)]
+        toks, segs = segments(text, lo, hi, [(a, b) for a, b in taken if b > lo and a < hi])
         if not segs:
             continue
         score = np.array([f for _, _, f in segs]) @ weights

@@ -235,6 +235,23 @@ def test_model_adds_loose_forms_and_leaves_numbers_alone():
     assert added("version 2.0.1 of 2024-01-05, 12 34 56 and 1,000") == []
 
 
+def test_model_proposes_spans_of_no_fixed_shape(spark):
+    w = op5_pii.train(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+
+    def added(t):
+        return [(k, t[a:b]) for k, a, b in op5_pii.added_spans(t, w, op5_pii.base_spans(t))]
+    for text, kind, span in (
+            ("please call 555 123 4567 today", "phone", "555 123 4567"),
+            ("the office is 020 7946 0958, ask there", "phone", "020 7946 0958"),
+            ("from abroad 0044 20 7946 0958 works", "phone", "0044 20 7946 0958"),
+            ("paid by 3782 822463 10005 on Monday", "card", "3782 822463 10005"),
+            ("mail ann at example dot com please", "email", "ann at example dot com")):
+        assert added(text) == [(kind, span)], text
+    for text in ("version 2.0.1 of 2024-01-05, 12 34 56 and 1,000", "part 3782 822463 10006 of it",
+                 "the number 5731080387325255 ndhaou", "meet at five, the dot is red"):
+        assert added(text) == [], text
+
+
 def test_redact(spark, odd):
     w = op5_pii.fit([])
     rows = spark.createDataFrame([(1, "to a.b@c.de, 1.2.3.4", 7), (2, None, 8)], "doc_id long, text string, spans int")
