@@ -9,7 +9,8 @@ candidate. They are scored by whole-span features (shape, digit count, grouping,
 checksum, separators, the word before), and a bounded-entity dynamic programme picks boundaries and types jointly.
 
 The weights are fitted here, by the CRF's conditional likelihood, on islands of at
-most ``SAMPLE`` documents; labels are the base spans, and copies of the islands
+most ``SAMPLE`` documents: of each, ``SAMPLE_ISLANDS`` pieces at most, chosen by hash
+wherever they stand, of ``ISLAND_CHARS`` characters at most; labels are the base spans, and copies of the islands
 with loosened notation (no ``+``, dots for dashes, spelled-out ``at``) teach the
 model forms that the patterns miss. Other segments of a sample that look like an
 entity are unlabelled, not negative: they are left out of the likelihood.
@@ -33,6 +34,8 @@ from pyspark.sql import types as T
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE = 400        # documents at most that the weights are fitted on
+SAMPLE_ISLANDS = 3  # islands at most of a document in the sample
+ISLAND_CHARS = 200  # characters at most of an island in the sample; a longer one is cut into pieces
 MAX_TOKENS = 16     # tokens of a segment (the bound of the dynamic programme)
 MARGIN = 40         # characters of context on each side of a digit or @
 
@@ -440,14 +443,39 @@ SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.Struc
                                   T.StructField("end", T.LongType()), T.StructField("base", T.BooleanType())]))
 
 
-def sample_islands(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> list[str]:
-    """The islands of at most SAMPLE documents (smallest hash of the id first) that hold a digit or @."""
+_BETWEEN_WORDS = re.compile(r"(?<=[A-Za-z.,]) (?=[A-Za-z])")
+
+
+def pieces(text: str, chars: int) -> list[str]:
+    """The islands of a text, those longer than ``chars`` cut, between two words where there are any."""
+    out = []
+    for lo, hi in islands(text):
+        while hi - lo > chars:
+            cuts = [m.end() for m in _BETWEEN_WORDS.finditer(text, lo + chars // 2, lo + chars)]
+            cut = cuts[-1] if cuts else lo + chars
+            out.append(text[lo:cut])
+            lo = cut
+        out.append(text[lo:hi])
+    return out
+
+
+def chosen(text: str, count: int, chars: int) -> list[str]:
+    """``count`` pieces at most, by the hash of their number and text."""
+    def order(piece):
+        return hashlib.blake2b(f"{piece[0]} {piece[1]}".encode("utf-8", "replace"), digest_size=8).digest()
+    return [p for _, p in sorted(enumerate(pieces(text, chars)), key=order)[:count]]
+
+
+def sample_islands(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count: int = SAMPLE_ISLANDS,
+                   chars: int = ISLAND_CHARS) -> list[str]:
+    """Islands (``count`` a document, ``chars`` characters each at most) of at most SAMPLE documents
+    (smallest hash of the id first) that hold a digit or @."""
     rows = docs.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{text_col}`").alias("t")).where(
         F.col("t").rlike("[0-9@]"))
 
     @F.pandas_udf("array<string>")
     def cut(texts: pd.Series) -> pd.Series:
-        return pd.Series([[t[a:b] for a, b in islands(t)[:3]] for t in texts])
+        return pd.Series([chosen(t, count, chars) for t in texts])
 
     picked = rows.orderBy(F.xxhash64("i"), F.xxhash64("t")).limit(SAMPLE)
     return [s for r in picked.select(cut("t").alias("s")).collect() for s in r.s]

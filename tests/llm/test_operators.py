@@ -252,6 +252,15 @@ def test_model_proposes_spans_of_no_fixed_shape(spark):
         assert added(text) == [], text
 
 
+def test_sample_reaches_the_whole_text_in_bounded_pieces(spark):
+    gap = " nothing to see here" * 10
+    rows = [(i, gap.join(f" item {i * 100 + k} " for k in range(20))) for i in range(20)] + [(99, "12 34 " * 5000)]
+    got = op5_pii.sample_islands(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert len(got) == 21 * op5_pii.SAMPLE_ISLANDS and max(map(len, got)) <= op5_pii.ISLAND_CHARS
+    assert any(f"item {i * 100 + k} " in p for p in got for i in range(20) for k in range(3, 20))
+    assert "".join(op5_pii.pieces(rows[-1][1], 200)) == rows[-1][1]
+
+
 def test_redact(spark, odd):
     w = op5_pii.fit([])
     rows = spark.createDataFrame([(1, "to a.b@c.de, 1.2.3.4", 7), (2, None, 8)], "doc_id long, text string, spans int")
