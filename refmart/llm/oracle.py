@@ -147,3 +147,61 @@ SELECT d.doc_id, CAST(len(any_value(w)) AS BIGINT) AS n_words, CAST(count(*) FIL
        round(coalesce(sum(v), 0), 4) AS score, round(sum(v) / len(any_value(w)), 4) AS mean_score
 FROM d LEFT JOIN s ON d.doc_id = s.doc_id GROUP BY d.doc_id
 """
+
+_HOST = (r"translate(coalesce(regexp_extract({u}, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), "
+         r"'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
+_PATH = r"coalesce(regexp_extract({u}, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '')"
+_QUERY = (r"regexp_replace(regexp_replace(regexp_extract({u}, '(?s)^.*?://[^?#]*\?([^#]*)', 1), "
+          r"'(^|&)(utm_[a-z]+|gclid|fbclid)(=[^&]*)?', '', 'gi'), '^&', '')")
+_KEY = (r"CASE WHEN contains({u}, '://') THEN regexp_replace(" + _HOST + r", ':(80|443)$', '') || regexp_replace("
+        + _PATH + r", '/+$', '') || '/' || CASE WHEN " + _QUERY + r" <> '' THEN '?' || " + _QUERY + r" ELSE '' END END")
+
+
+def _value(name: str) -> str:
+    pattern = rf"""(?is)\s{name}\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))"""
+    return "trim(" + " || ".join(f"regexp_extract(tag, '{pattern}', {n})" for n in (1, 2, 3)) + ")"
+
+
+ORACLE["op13_url_filter_verdicts"] = rf"""
+WITH RECURSIVE rules(v, h, p) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'),
+  ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+u AS (SELECT url, {_HOST.format(u='url')} AS host, {_PATH.format(u='url')} AS path, {_KEY.format(u='url')} AS k
+      FROM (SELECT DISTINCT url FROM pages)),
+fit AS (
+  SELECT url, first(h || p ORDER BY length(h || p) DESC, length(h) DESC, v) AS rule,
+         first(v ORDER BY length(h || p) DESC, length(h) DESC, v) AS v
+  FROM u JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY url),
+tags AS (
+  SELECT url, unnest(regexp_extract_all(regexp_replace(html, '(?is)<!--.*?-->|<script\b.*?</script\s*>', '', 'g'),
+                                        '(?is)<(?:link|meta)\b[^>]*>')) AS tag
+  FROM pages WHERE contains(url, '://') AND regexp_matches(html, '(?i)canonical|refresh')),
+links AS (
+  SELECT url, trim(replace(CASE
+    WHEN regexp_matches(lower({_value('rel')}), '(^|\s)canonical(\s|$)') THEN {_value('href')}
+    WHEN lower({_value('http-equiv')}) = 'refresh'
+    THEN regexp_extract({_value('content')}, '(?is)^[0-9.\s]*[;,]\s*(?:url\s*=\s*)?[''"]?([^''"]*)', 1) END,
+    '&amp;', '&')) AS link,
+    regexp_extract(url, '(?s)^.*?://[^/?#]*', 0) AS base, regexp_extract(url, '(?s)^.*?://[^?#]*', 0) AS page
+  FROM tags),
+targets AS (
+  SELECT url, CASE
+    WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN link
+    WHEN starts_with(link, '//') THEN regexp_extract(url, '(?s)^(.*?:)//', 1) || link
+    WHEN starts_with(link, '/') THEN base || link
+    WHEN link = '' OR regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL
+    WHEN starts_with(link, '?') OR starts_with(link, '#') THEN page || link
+    WHEN page = base THEN base || '/' || link
+    ELSE regexp_extract(page, '(?s)^.*/', 0) || link END AS dst FROM links),
+e AS (
+  SELECT DISTINCT {_KEY.format(u='url')} AS a, {_KEY.format(u='dst')} AS b FROM targets WHERE dst IS NOT NULL),
+both_ways AS (SELECT a, b FROM e WHERE a <> b UNION SELECT b, a FROM e WHERE a <> b),
+reach(a, b) AS (SELECT a, a FROM both_ways UNION SELECT reach.a, w.b FROM reach JOIN both_ways w ON w.a = reach.b),
+root AS (SELECT a, min(b) AS r FROM reach GROUP BY a),
+judged AS (
+  SELECT page_id, u.host, u.path, rule, v, coalesce(r, k) AS r
+  FROM pages JOIN u ON pages.url IS NOT DISTINCT FROM u.url LEFT JOIN fit ON pages.url = fit.url LEFT JOIN root ON k = root.a),
+blocked AS (SELECT r, min(page_id) AS via FROM judged WHERE v = 'block' AND r IS NOT NULL GROUP BY r)
+SELECT page_id, host, path, rule, coalesce(v, CASE WHEN blocked.r IS NULL THEN 'allow' ELSE 'block' END) AS verdict,
+       CASE WHEN v IS NULL THEN via END AS via
+FROM judged LEFT JOIN blocked ON judged.r = blocked.r
+"""

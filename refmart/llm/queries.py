@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (op1_training_order, op2_quality, op3_sentencepiece, op4_suffix_dedup, op5_pii, op6_warc, op7_decontaminate,
-               op8_simhash, op9_licenses, op10_lm_score)
+               op8_simhash, op9_licenses, op10_lm_score, op13_url_filter)
 from .oracle import ORACLE
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,6 +72,11 @@ def op10_lm_scoring(spark, sf_dir):
     return op10_lm_score.lm_query(table(spark, sf_dir, "documents"))
 
 
+@query
+def op13_url_filter_verdicts(spark, sf_dir):
+    return op13_url_filter.filter_query(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
