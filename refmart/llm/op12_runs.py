@@ -121,13 +121,13 @@ class WaveletTree:
 
     def below(self, low, high, value):
         """How many numbers of each [low, high) are smaller than value."""
-        low, high, count = low.copy(), high.copy(), np.zeros(len(low), np.int64)
+        every, count = high - low, np.zeros(len(low), np.int64)
         for n, (zeros, ones) in enumerate(zip(self.zeros, self.ones, strict=True)):
             one = (value >> (self.bits - 1 - n)) & 1 == 1
             low1, high1 = ones[low], ones[high]
             count += np.where(one, (high - high1) - (low - low1), 0)
             low, high = np.where(one, zeros + low1, low - low1), np.where(one, zeros + high1, high - high1)
-        return count + np.where(value >> self.bits > 0, high - low, 0)
+        return np.where(value >> self.bits > 0, every, count)
 
     def nth(self, low, high, rank):
         """The number of each [low, high) with ``rank`` smaller ones."""
