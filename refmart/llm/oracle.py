@@ -205,3 +205,44 @@ SELECT page_id, host, path, rule, coalesce(v, CASE WHEN blocked.r IS NULL THEN '
        CASE WHEN v IS NULL THEN via END AS via
 FROM judged LEFT JOIN blocked ON judged.r = blocked.r
 """
+
+ORACLE["op11_source_divergence"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rn, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+x AS (SELECT rn, lang, source, unnest(w) AS t FROM d),
+kept AS (SELECT lang, t FROM x GROUP BY lang, t HAVING count(DISTINCT rn) >= 10),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+c AS (SELECT lang, source, t, count(*) AS n FROM x JOIN kept USING (lang, t) GROUP BY lang, source, t),
+g AS (
+  SELECT lang, source, coalesce(any_value(total), 0) AS total, coalesce(any_value(v), 0) AS v
+  FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN v USING (lang)
+  LEFT JOIN (SELECT lang, source, CAST(sum(n) AS BIGINT) AS total FROM c GROUP BY lang, source) USING (lang, source)
+  GROUP BY lang, source),
+p AS (
+  SELECT lang, source, t, coalesce(n, 0) AS n,
+         CAST(1 + (1000000000 * (coalesce(n, 0) + 2)) // (total + 2 * v) AS BIGINT) AS p
+  FROM g JOIN kept USING (lang) LEFT JOIN c USING (lang, source, t)),
+lp AS (
+  SELECT lang, t, CAST(1 + (1000000000 * (CAST(sum(n) AS BIGINT) + 2)) // (any_value(total) + 2 * any_value(v)) AS BIGINT) AS p
+  FROM p JOIN (SELECT lang, CAST(sum(total) AS BIGINT) AS total, any_value(v) AS v FROM g GROUP BY lang) USING (lang)
+  GROUP BY lang, t),
+pair AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(coalesce(any_value(s), 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS s
+    FROM p a JOIN p b ON a.lang = b.lang AND a.t = b.t AND a.source <> b.source GROUP BY a.lang, a.source, b.source) f
+    ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  GROUP BY a.lang, a.source, b.source),
+term AS (
+  SELECT p.lang, p.source, p.t AS item, CAST((p.p - lp.p) * (p.p - lp.p) // (p.p + lp.p) AS BIGINT) AS value
+  FROM p JOIN lp ON lp.lang = p.lang AND lp.t = p.t WHERE p.n > 0 AND p.p > lp.p),
+ranked AS (
+  SELECT lang, source, 'pair' AS part, item, value,
+         CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM pair
+  UNION ALL
+  SELECT lang, source, 'term', item, value,
+         CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) FROM term)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
+"""

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (op1_training_order, op2_quality, op3_sentencepiece, op4_suffix_dedup, op5_pii, op6_warc, op7_decontaminate,
-               op8_simhash, op9_licenses, op10_lm_score, op12_runs,
-               op13_url_filter)
+               op8_simhash, op9_licenses, op10_lm_score, op11_divergence,
+               op12_runs, op13_url_filter)
 from .oracle import ORACLE
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,6 +73,11 @@ def op10_lm_scoring(spark, sf_dir):
     return op10_lm_score.lm_query(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_source_divergence(spark, sf_dir):
+    return op11_divergence.divergence_query(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_periodic_runs(spark, sf_dir):
     return op12_runs.runs_query(table(spark, sf_dir, "documents"))
