@@ -1,17 +1,21 @@
 """License scan by diagonal voting (native DataFrame functions only).
 
-Every rolling word k-gram hash of every text is joined to the positions of the
-same k-gram in the license templates (a fixed, broadcast table). A match votes
-for the diagonal ``text position - template position``; votes are summed per
-diagonal and neighbouring diagonals (a word added or dropped) are merged. Where
-enough words have votes, the document's words are aligned with the template's: in
-order, at most ``MAX_EXTRA`` words between them, none of which changes the license,
-and no word left out that names it. Of overlapping spans the best one stays. Base
-phrases are templates that must match completely on one diagonal.
-
-Defined results: null and empty texts have no words, no labels and score 0;
-repeated rows each get their own (equal) result and a null doc_id is a key like
-any other; an empty table gives an empty result; other columns are ignored.
+The hashes of all rolling word k-grams of every text are joined to the positions of the
+same grams in the license templates (a fixed, broadcast table; short templates have grams of
+``SHORT`` words, others of ``LONG``). A match votes for the diagonal ``text position -
+template position``; votes are summed per diagonal, written once, and neighbouring diagonals
+(a word added or dropped) are merged. Where enough words have votes, the document's words are
+aligned with the template's: in order, at most ``MAX_EXTRA`` words between them, none of which
+changes the license, and no word left out that names it. Of overlapping spans the best one
+stays. Base phrases are templates that must match completely on one diagonal.
+
+A text's words travel only with the first vote of a stretch of equal words on a diagonal, so
+a whole license text costs a few copies of its words, not one for each of its grams.
+
+Defined results: null and empty texts have no words, no labels and score 0; texts of any
+length are read whole; repeated rows each get their own (equal) result and a null doc_id is a
+key like any other; an empty table gives an empty result; further columns of the input are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -19,9 +23,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ALNUM_WORD_ANY_CASE, alnum_words, keyed, same_key
+from .common import ALNUM_WORD_ANY_CASE, alnum_words, keyed, same_key, written
 
-K = 2                # words per gram; the shortest base phrase has two
+SHORT, LONG = 2, 4   # words per gram; the shortest base phrase has two
+LONG_TEMPLATE = 12   # words from which a template's grams are long
 MERGE_DRIFT = 2      # diagonals this close may be one shifted copy
 MIN_COVERAGE = 0.8   # of a template's words, for a span to count
 MAX_EXTRA = 3        # words of a span that are not the template's
@@ -30,14 +35,16 @@ MAX_EXTRA = 3        # words of a span that are not the template's
 # template's words; like them, a word with a digit. A template's own ones (and those
 # that name a license without changing it) may not be left out.
 CHANGING = ("not", "nc", "nd", "sa", "lesser", "library", "affero", "mit", "apache", "gnu", "bsd", "mozilla",
-            "eclipse", "cc", "cc0")
-NAMING = (*CHANGING, "by", "general", "public", "domain")
+            "eclipse", "cc", "cc0", "sharealike", "noncommercial", "noderivatives", "gpl", "lgpl", "agpl", "mpl", "isc",
+            "only", "later", "clause", "boost", "zlib")
+NAMING = (*CHANGING, "by", "general", "public", "domain", "attribution", "identifier", "provided", "bsl", "epl",
+          "unlicense")
 
 # Base phrases and their labels.
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 
 # License notices (short standard forms) and the labels they stand for.
-TEMPLATES = (
+NOTICES = (
     ("released under the mit license", "mit"),
     ("licensed under the mit license", "mit"),
     ("permission is hereby granted free of charge to any person obtaining a copy of this software", "mit"),
@@ -51,21 +58,87 @@ TEMPLATES = (
     ("dedicated to the public domain under cc0 1 0 universal", "cc0-1.0"),
 )
 
+# Longer standard headers and texts, as published with the licenses.
+HEADERS = (
+    ("mit license copyright c", "mit"),
+    ("the mit license mit", "mit"),
+    ("permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+     "documentation files the software to deal in the software without restriction including without limitation the "
+     "rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit "
+     "persons to whom the software is furnished to do so subject to the following conditions the above copyright notice "
+     "and this permission notice shall be included in all copies or substantial portions of the software", "mit"),
+    ("licensed under the apache license version 2 0 the license you may not use this file except in compliance with the "
+     "license you may obtain a copy of the license at http www apache org licenses license 2 0", "apache-2.0"),
+    ("this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not "
+     "distributed with this file you can obtain one at http mozilla org mpl 2 0", "mpl-2.0"),
+    ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted",
+     "0bsd"),
+    ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted "
+     "provided that the above copyright notice and this permission notice appear in all copies", "isc"),
+    ("this is free and unencumbered software released into the public domain", "unlicense"),
+    ("boost software license version 1 0", "bsl-1.0"),
+    ("eclipse public license v 2 0", "epl-2.0"),
+    ("this software is provided as is without any express or implied warranty in no event will the authors be held liable "
+     "for any damages arising from the use of this software", "zlib"),
+)
+
+# Names of which a rule makes notices: Creative Commons attributes, GNU families and versions, SPDX identifiers.
+CC_ATTRIBUTES = (("attribution", "cc-by"), ("attribution sharealike", "cc-by-sa"),
+                 ("attribution noncommercial", "cc-by-nc"), ("attribution noderivatives", "cc-by-nd"),
+                 ("attribution noncommercial sharealike", "cc-by-nc-sa"),
+                 ("attribution noncommercial noderivatives", "cc-by-nc-nd"))
+GNU = (("", "gpl", ("2", "3")), ("lesser ", "lgpl", ("2 1", "3")), ("affero ", "agpl", ("3",)))
+SPDX = ("MIT", "Apache-2.0", "GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later",
+        "LGPL-2.1", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0", "LGPL-3.0-only", "LGPL-3.0-or-later", "AGPL-3.0",
+        "AGPL-3.0-only", "AGPL-3.0-or-later", "BSD-2-Clause", "BSD-3-Clause", "ISC", "MPL-2.0", "EPL-2.0", "CC0-1.0",
+        "CC-BY-4.0", "CC-BY-SA-4.0", "BSL-1.0", "Unlicense", "Zlib", "0BSD")
+
+
+def _by_rule():
+    for version in ("3 0", "4 0"):
+        for words, name in CC_ATTRIBUTES:
+            yield f"creative commons {words} {version} international", f"{name}-{version.replace(' ', '.')}"
+    for family, name, versions in GNU:
+        for v in versions:
+            yield (f"under the terms of the gnu {family}general public license as published by the free software foundation "
+                   f"either version {v} of the license or at your option any later version",
+                   f"{name}-{v.replace(' ', '.') if ' ' in v else v + '.0'}-or-later")
+    for name in SPDX:
+        yield f"spdx license identifier {name.lower().replace('-', ' ').replace('.', ' ')}", name.lower()
+
+
+TEMPLATES = (*NOTICES, *HEADERS, *_by_rule())
+
+
+def gram_words(size: int) -> int:
+    """Words per gram of a template with ``size`` words."""
+    return LONG if size >= LONG_TEMPLATE else SHORT
+
+
+def _hashes(words: Column) -> Column:
+    return F.transform(words, lambda x: F.xxhash64(x))
+
+
+def _rolled(hashes: Column, step: int) -> Column:
+    """Hashes of two stretches that stand ``step`` words apart; null where the text ends."""
+    return F.zip_with(hashes, F.slice(hashes, F.lit(step + 1), F.size(hashes)), lambda a, b: F.when(
+        a.isNotNull() & b.isNotNull(), F.xxhash64(a, b)))
+
 
 def template_grams(spark, phrases=PHRASES, templates=TEMPLATES) -> DataFrame:
-    """(gram hash, gram words, template, label, at, size, base, words, needed words, slack):
-    one row per template position that starts a k-gram; its size is fixed by the lists above."""
+    """(gram hash, k, template, label, at, size, base, words, slack): one row per template position
+    that starts a gram; its size is fixed by the lists above."""
     rows = []
     for n, (text, label) in enumerate([*phrases, *templates]):
         words = text.split()
-        if len(words) < K:
-            raise ValueError(f"a template needs at least {K} words: {text!r}")
-        needed = sorted({w for w in words if w in NAMING or any(c.isdigit() for c in w)})
-        rows += [(" ".join(words[i:i + K]), n, label, i, len(words), n < len(phrases), words, needed, _slack(words))
-                 for i in range(len(words) - K + 1)]
-    t = spark.createDataFrame(rows, "gram string, template int, label string, t_at int, t_size int, base boolean, "
-                                    "t_words array<string>, needed array<string>, slack int")
-    return t.withColumn("gram_hash", F.xxhash64("gram"))
+        if len(words) < SHORT:
+            raise ValueError(f"a template needs at least {SHORT} words: {text!r}")
+        rows.append((n, label, len(words), n < len(phrases), words, _slack(words), gram_words(len(words))))
+    t = spark.createDataFrame(rows, "template int, label string, t_size int, base boolean, t_words array<string>, "
+                                    "slack int, k int")
+    short = _rolled(_hashes(F.col("t_words")), 1)
+    t = t.withColumn("grams", F.when(F.col("k") == SHORT, short).otherwise(_rolled(short, SHORT)))
+    return t.select("*", F.posexplode("grams").alias("t_at", "gram_hash")).where("gram_hash IS NOT NULL").drop("grams")
 
 
 def _slack(words: list[str]) -> int:
@@ -73,36 +146,29 @@ def _slack(words: list[str]) -> int:
     return MAX_EXTRA + int(len(words) * (1 - MIN_COVERAGE) + 1e-9)
 
 
-def _gram(words: Column, i: Column) -> Column:
-    return F.array_join(F.slice(words, i + 1, F.lit(K)), " ")
-
-
 def votes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases=PHRASES,
           templates=TEMPLATES) -> DataFrame:
-    """(k_id, k_hash, template, label, t_size, base, at, t_at, diag, t_words, from, words): every
-    k-gram of a text that stands in a template, with the text's words (from position ``from``
-    on) that a span on its diagonal can hold. Every gram is looked up map-side, before it makes
-    a row; equal hashes are checked by their words. A hit whose words lack one that its template
-    needs cannot be part of a span."""
-    grams = template_grams(docs.sparkSession, phrases, templates)
-    lists = [text.split() for text, _ in [*phrases, *templates]]
-    known = sorted({" ".join(x[i:i + K]) for x in lists for i in range(len(x) - K + 1)})
-    reach = max((len(x) + _slack(x) for x in lists), default=0)
-    d = keyed(docs, id_col, text_col).select("k_id", "k_hash", alnum_words(F.col("k_text")).alias("w"))
+    """(k_id, k_hash, template, label, t_size, base, k, at, t_at, diag, t_words, from, words): every
+    k-gram of a text that stands in a template. Where a stretch of equal words begins, ``words`` are
+    the text's words (from position ``from`` on) that a span on its diagonal can hold. Equal hashes
+    are checked by their words."""
     w = F.col("w")
-    hits = F.filter(F.sequence(F.lit(0), F.size("w") - K), lambda i: _gram(w, i).isin(known))
-    rolling = d.where(F.size("w") >= K).select("k_id", "k_hash", F.explode(F.transform(hits, lambda i: F.struct(
-        i.alias("at"), _gram(w, i).alias("gram"), F.greatest(i - reach, F.lit(0)).alias("near_from"),
-        F.slice(w, F.greatest(i - reach, F.lit(0)) + 1, F.lit(2 * reach)).alias("near")))).alias("g")).select(
-        "k_id", "k_hash", "g.*")
-    rolling = rolling.withColumn("gram_hash", F.xxhash64("gram"))
-    g = F.broadcast(grams.withColumnRenamed("gram", "t_gram"))
-    found = rolling.join(g, "gram_hash").where(F.col("gram") == F.col("t_gram")).withColumn(
-        "diag", F.col("at") - F.col("t_at")).withColumn("from", F.greatest(F.col("diag") - F.col("slack"), F.lit(0)))
-    near = F.slice("near", F.col("from") - F.col("near_from") + 1, F.col("t_size") + 2 * F.col("slack"))
-    found = found.withColumn("words", F.when(~F.col("base"), near))
-    return found.where(F.col("base") | (F.size(F.array_except("needed", "words")) == 0)).select(
-        "k_id", "k_hash", "template", "label", "t_size", "base", "at", "t_at", "diag", "t_words", "from", "words")
+    d = keyed(docs, id_col, text_col).select("k_id", "k_hash", alnum_words(F.col("k_text")).alias("w"))
+    d = d.select("*", _rolled(_hashes(w), 1).alias("short"))
+    # all grams of a text in one array: the short ones, then the long ones, at their first words' places
+    d = d.select("k_id", "k_hash", "w", F.size(w).alias("n"), F.concat("short", _rolled(F.col("short"), SHORT)).alias("all"))
+    rolling = d.select("k_id", "k_hash", "w", "n", F.posexplode("all").alias("place", "gram_hash"))
+    g = template_grams(docs.sparkSession, phrases, templates)
+    found = rolling.join(F.broadcast(g), "gram_hash").withColumn(
+        "at", F.when(F.col("place") < F.col("n"), F.col("place")).otherwise(F.col("place") - F.col("n")))
+    at, t_at = F.col("at"), F.col("t_at")
+    found = found.where(F.slice(w, at + 1, F.col("k")) == F.slice("t_words", t_at + 1, F.col("k")))
+    first = (at == 0) | (t_at == 0) | (F.get(w, at - 1) != F.get("t_words", t_at - 1))
+    start = F.greatest(at - t_at - F.col("slack"), F.lit(0))
+    near = F.slice(w, start + 1, F.col("t_size") + 2 * F.col("slack"))
+    return found.select("k_id", "k_hash", "template", "label", "t_size", "base", "k", "at", "t_at", (at - t_at).alias("diag"),
+                        F.when(~F.col("base"), F.col("t_words")).alias("t_words"), start.alias("from"),
+                        F.when(first & ~F.col("base"), near).alias("words"))
 
 
 def _let(value: Column, body) -> Column:
@@ -148,30 +214,37 @@ def aligned(words: Column, t_words: Column) -> Column:
         v.alias("matched"), (-(i % width)).alias("extra"), (-F.floor(i / width).cast("int")).alias("end"))))
 
 
-def spans(found: DataFrame) -> DataFrame:
-    """Merged, verified spans: (k_id, k_hash, template, label, base, start, end, coverage)."""
-    key = ["k_id", "k_hash", "template", "label", "t_size", "base"]
-    # one row per diagonal: its template positions that voted
-    lines = found.groupBy(*key, "diag").agg(
+def lines(found: DataFrame) -> DataFrame:
+    """One row per diagonal: the template positions that voted, and the words around it. Written
+    once, as the spans are read from it twice."""
+    key = ["k_id", "k_hash", "template", "label", "t_size", "base", "k"]
+    return written(found.groupBy(*key, "diag").agg(
         F.collect_set("t_at").alias("votes"), F.min("at").alias("lo"), F.max("at").alias("hi"),
-        F.first("from").alias("from"), F.first("words").alias("words"), F.first("t_words").alias("t_words"))
-    # neighbouring diagonals form one candidate; a base phrase has to stand on one
+        F.first("from").alias("from"), F.first("words", ignorenulls=True).alias("words"),
+        F.first("t_words").alias("t_words")), "license_votes")
+
+
+def spans(voted: DataFrame) -> DataFrame:
+    """Merged, verified spans: (k_id, k_hash, template, label, base, start, end, coverage)."""
+    out = ["k_id", "k_hash", "template", "label", "base", "start", "end", "coverage"]
+    # a base phrase stands on one diagonal, with all its grams
+    base = voted.where(F.col("base") & (F.size("votes") == F.col("t_size") - F.col("k") + 1)).select(
+        "k_id", "k_hash", "template", "label", "base", F.col("lo").alias("start"), (F.col("hi") + F.col("k")).alias("end"),
+        F.lit(1.0).alias("coverage"))
+    # neighbouring diagonals form one candidate
+    key = ["k_id", "k_hash", "template", "label", "t_size", "base", "k"]
     w = Window.partitionBy(*key).orderBy("diag")
     step = F.col("diag") - F.lag("diag").over(w)
-    new = F.when(F.col("base") | step.isNull() | (step > MERGE_DRIFT), 1).otherwise(0)
-    cand = lines.withColumn("new", new).withColumn(
+    new = F.when(step.isNull() | (step > MERGE_DRIFT), 1).otherwise(0)
+    cand = voted.where(~F.col("base")).withColumn("new", new).withColumn(
         "group", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    texts = F.when(~F.col("base"), F.struct("from", "words"))
     cand = cand.groupBy(*key, "group").agg(
-        F.array_distinct(F.flatten(F.collect_list("votes"))).alias("votes"), F.min("lo").alias("start"),
-        (F.max("hi") + K).alias("end"), F.collect_list(texts).alias("texts"), F.first("t_words").alias("t_words"))
-    # a gram at t_at votes for the template words t_at .. t_at + K - 1
-    known = F.size(F.array_distinct(F.flatten(F.transform("votes", lambda v: F.sequence(v, v + (K - 1))))))
-    out = ["k_id", "k_hash", "template", "label", "base", "start", "end", "coverage"]
-    base = cand.where(F.col("base") & (F.size("votes") == F.col("t_size") - (K - 1)))
-    base = base.withColumn("coverage", F.lit(1.0)).select(*out)
+        F.array_distinct(F.flatten(F.collect_list("votes"))).alias("votes"),
+        F.collect_list(F.struct("from", "words")).alias("texts"), F.first("t_words").alias("t_words"))
+    # a gram at t_at votes for the template words t_at .. t_at + k - 1
+    known = F.size(F.array_distinct(F.flatten(F.transform("votes", lambda v: F.sequence(v, v + F.col("k") - 1)))))
     # the words around every diagonal of a candidate are held against the template's
-    near = cand.where(~F.col("base") & (known / F.col("t_size") >= MIN_COVERAGE)).withColumn(
+    near = cand.where(known / F.col("t_size") >= MIN_COVERAGE).withColumn(
         "t", F.explode("texts")).withColumn("best", aligned(F.col("t.words"), F.col("t_words")))
     best = F.col("best")
     near = near.withColumn("coverage", best["matched"] / F.col("t_size")).where(F.col("coverage") >= MIN_COVERAGE)
@@ -199,7 +272,7 @@ def best_spans(near: DataFrame) -> DataFrame:
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES) -> DataFrame:
     """One row per input row: id, n_words, n_base, first_word, last_word, base_labels,
     labels (distinct, sorted, comma-joined), score (the best coverage of a template)."""
-    found = spans(votes(docs, id_col, text_col, PHRASES, templates))
+    found = spans(lines(votes(docs, id_col, text_col, PHRASES, templates)))
     def labels(c):
         return F.array_join(F.sort_array(F.collect_set(c)), ",")
     base = F.col("base")

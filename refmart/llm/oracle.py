@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from . import op9_licenses
+
 ORACLE: dict[str, str] = {}
 
 # The rule thresholds repeat the operator's documented values on purpose: the
@@ -67,51 +69,88 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
 FROM d LEFT JOIN cover ON d.doc_id = cover.doc_id LEFT JOIN its ON d.doc_id = its.doc_id
 """
 
-_NOTICES = """
-  (0, 'cc by', 'cc-by', true), (1, 'general public license', 'gpl', true),
-  (2, 'all rights reserved', 'reserved', true),
-  (3, 'released under the mit license', 'mit', false), (4, 'licensed under the mit license', 'mit', false),
-  (5, 'permission is hereby granted free of charge to any person obtaining a copy of this software', 'mit', false),
-  (6, 'licensed under the apache license version 2 0', 'apache-2.0', false),
-  (7, 'this work is licensed under the gnu general public license version 3', 'gpl-3.0', false),
-  (8, 'licensed under cc by nc 4 0', 'cc-by-nc-4.0', false), (9, 'licensed under cc by 4 0', 'cc-by-4.0', false),
-  (10, 'licensed under cc by sa 4 0', 'cc-by-sa-4.0', false),
-  (11, 'redistribution and use in source and binary forms with or without modification are permitted', 'bsd', false),
-  (12, 'this source code form is subject to the terms of the mozilla public license v 2 0', 'mpl-2.0', false),
-  (13, 'dedicated to the public domain under cc0 1 0 universal', 'cc0-1.0', false)"""
+# The templates are data that both sides read; the alignment is a table of cells that a recursive
+# query fills, one template word a step (cell 4 * e + x: ends before word e, holds x other words).
+_TEMPLATES = ",\n".join(f"  ({n}, '{words}', '{label}', {str(n < len(op9_licenses.PHRASES)).lower()})" for n, (words, label)
+                        in enumerate([*op9_licenses.PHRASES, *op9_licenses.TEMPLATES]))
+
+
+def _one_of(words) -> str:
+    return "(" + ", ".join(f"'{w}'" for w in words) + ")"
+
 
 ORACLE["op9_license_scan"] = rf"""
-WITH templates(t, words, label, base) AS (VALUES {_NOTICES}),
-tw AS (SELECT t, label, base, string_split(words, ' ') AS w FROM templates),
-tg AS (SELECT t, label, base, len(w) AS size, i - 1 AS t_at, w[i] || ' ' || w[i + 1] AS g
-       FROM (SELECT *, unnest(range(1, len(w))) AS i FROM tw)),
-d AS (SELECT doc_id, {_LOWER_WORDS} AS w FROM documents),
-dg AS (SELECT doc_id, i - 1 AS pos, w[i] || ' ' || w[i + 1] AS g
-       FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS i FROM d)),
-v AS (SELECT doc_id, t, label, base, size, pos - t_at AS diag, pos, t_at FROM dg JOIN tg USING (g)),
+WITH RECURSIVE templates(t, words, label, base) AS (VALUES {_TEMPLATES}),
+tw AS (
+  SELECT t, label, base, w, len(w) AS m, CASE WHEN len(w) >= 12 THEN 4 ELSE 2 END AS k,
+         3 + CAST(floor(len(w) * 0.2 + 1e-9) AS INTEGER) AS slack
+  FROM (SELECT *, string_split(words, ' ') AS w FROM templates)),
+tg AS (SELECT t, k, i - 1 AS t_at, array_to_string(w[i:i + k - 1], ' ') AS g
+       FROM (SELECT *, unnest(range(1, m - k + 2)) AS i FROM tw)),
+d AS (SELECT row_number() OVER () AS rn, doc_id, {_LOWER_WORDS} AS w FROM documents),
+dg AS (SELECT rn, k, i - 1 AS pos, array_to_string(w[i:i + k - 1], ' ') AS g
+       FROM (SELECT rn, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (VALUES (2), (4)) ks(k))),
+v AS (SELECT rn, t, pos - t_at AS diag, pos, t_at, k FROM dg JOIN tg USING (k, g)),
+base AS (
+  SELECT rn, tw.label, min(pos) AS start FROM v JOIN tw USING (t) WHERE base
+  GROUP BY rn, t, tw.label, diag, m HAVING count(DISTINCT t_at) = m - 1),
 steps AS (
-  SELECT *, CASE WHEN base OR prev IS NULL OR diag - prev > 2 THEN 1 ELSE 0 END AS fresh
-  FROM (SELECT doc_id, t, base, diag, lag(diag) OVER (PARTITION BY doc_id, t ORDER BY diag) AS prev
-        FROM (SELECT DISTINCT doc_id, t, base, diag FROM v))),
-grouped AS (
-  SELECT doc_id, t, diag, sum(fresh) OVER (PARTITION BY doc_id, t ORDER BY diag) AS grp FROM steps),
-cand AS (
-  SELECT doc_id, t, any_value(label) AS label, any_value(base) AS base, any_value(size) AS size, grp,
-         count(DISTINCT t_at) AS n_votes, min(pos) AS start,
-         len(list_distinct(list_concat(list(t_at), list(t_at + 1)))) AS known
-  FROM v JOIN grouped USING (doc_id, t, diag) GROUP BY doc_id, t, grp),
+  SELECT *, CASE WHEN prev IS NULL OR diag - prev > 2 THEN 1 ELSE 0 END AS fresh
+  FROM (SELECT rn, t, diag, lag(diag) OVER (PARTITION BY rn, t ORDER BY diag) AS prev
+        FROM (SELECT DISTINCT rn, t, diag FROM v JOIN tw USING (t) WHERE NOT base))),
+grouped AS (SELECT rn, t, diag, sum(fresh) OVER (PARTITION BY rn, t ORDER BY diag) AS grp FROM steps),
+known AS (
+  SELECT rn, t, grp, count(DISTINCT t_at + o) AS n
+  FROM v JOIN grouped USING (rn, t, diag), range(0, 4) offs(o) WHERE o < k GROUP BY rn, t, grp),
+near AS (
+  SELECT rn, t, diag, greatest(diag - slack, 0) AS fro, m, tw.w AS tw,
+         d.w[greatest(diag - slack, 0) + 1:greatest(diag - slack, 0) + m + 2 * slack] AS w
+  FROM grouped JOIN known USING (rn, t, grp) JOIN tw USING (t) JOIN d USING (rn) WHERE n / m >= 0.8),
+plain AS (
+  SELECT *, list_transform(w, lambda x: NOT (x IN {_one_of(op9_licenses.CHANGING)} OR regexp_matches(x, '[0-9]'))) AS ok
+  FROM near),
+cells(rn, t, diag, fro, m, tw, w, ok, j, c) AS (
+  SELECT *, 0, list_transform(range(0, 4 * (len(w) + 1)), lambda i: CASE WHEN i % 4 = 0 THEN 0 ELSE -1000000 END) FROM plain
+  UNION ALL
+  SELECT rn, t, diag, fro, m, tw, w, ok, j + 1, list_transform(range(0, len(c)), lambda i: greatest(c[i + 1],
+           CASE WHEN i % 4 >= 1 AND i >= 5 AND ok[i // 4] THEN c[i - 4] ELSE -1000000 END,
+           CASE WHEN i % 4 >= 2 AND i >= 10 AND ok[i // 4] AND ok[i // 4 - 1] THEN c[i - 9] ELSE -1000000 END,
+           CASE WHEN i % 4 >= 3 AND i >= 15 AND ok[i // 4] AND ok[i // 4 - 1] AND ok[i // 4 - 2] THEN c[i - 14]
+                ELSE -1000000 END))
+  FROM (SELECT rn, t, diag, fro, m, tw, w, ok, j, list_transform(range(0, len(c)), lambda i: greatest(
+          CASE WHEN tw[j + 1] IN {_one_of(op9_licenses.NAMING)} OR regexp_matches(tw[j + 1], '[0-9]') THEN -1000000
+               ELSE c[i + 1] END,
+          CASE WHEN i >= 4 AND w[i // 4] = tw[j + 1] THEN c[i - 3] + 1 ELSE -1000000 END)) AS c
+        FROM cells WHERE j < m)),
+best AS (
+  SELECT rn, t, fro, m, list_max(list_transform(range(0, len(c)), lambda i:
+           {{'matched': c[i + 1], 'extra': -(i % 4), 'fin': -(i // 4)}})) AS b FROM cells WHERE j = m),
+found AS (
+  SELECT DISTINCT rn, t, b.matched / m AS coverage, -b.extra AS extra, fro - b.fin - b.matched + b.extra AS start,
+         fro - b.fin AS fin FROM best WHERE b.matched / m >= 0.8),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY rn ORDER BY coverage DESC, extra, start - fin, t, start, fin) AS r FROM found),
+pick(rn, r, kept, good) AS (
+  SELECT rn, CAST(0 AS BIGINT), CAST([] AS STRUCT(s BIGINT, e BIGINT)[]), false FROM (SELECT DISTINCT rn FROM ranked)
+  UNION ALL
+  SELECT x.rn, x.r, CASE WHEN len(list_filter(kept, lambda o: o.s < x.fin AND x.start < o.e)) > 0 THEN kept
+                         ELSE list_append(kept, {{'s': CAST(x.start AS BIGINT), 'e': CAST(x.fin AS BIGINT)}}) END,
+         len(list_filter(kept, lambda o: o.s < x.fin AND x.start < o.e)) = 0
+  FROM pick JOIN ranked x ON x.rn = pick.rn AND x.r = pick.r + 1),
 ok AS (
-  SELECT * FROM cand WHERE CASE WHEN base THEN n_votes = size - 1 ELSE known / size >= 0.8 END),
+  SELECT rn, label, true AS base, start, 1.0 AS coverage FROM base
+  UNION ALL
+  SELECT rn, label, false, start, coverage FROM ranked JOIN pick USING (rn, r) JOIN tw USING (t) WHERE good),
 r AS (
-  SELECT doc_id, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word,
+  SELECT rn, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word,
          max(start) FILTER (base) AS last_word,
          string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
-         string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(known / size) AS score FROM ok GROUP BY doc_id)
+         string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(coverage) AS score FROM ok GROUP BY rn)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
        CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
        coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
        CAST(coalesce(score, 0) AS DOUBLE) AS score
-FROM d LEFT JOIN r ON d.doc_id = r.doc_id
+FROM d LEFT JOIN r USING (rn)
 """
 
 ORACLE["op6_warc_revisits"] = r"""

@@ -7,9 +7,12 @@ import hashlib
 import random
 from collections import Counter
 
+import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 
+from refmart.llm.oracle import ORACLE
 from refmart.llm import (common, op1_training_order, op2_quality, op3_sentencepiece, op4_suffix_dedup, op5_pii,
                          op6_warc, op7_decontaminate, op8_simhash, op9_licenses, op10_lm_score)
 
@@ -433,6 +436,50 @@ def test_license_labels_are_exact(spark):
     assert [r.labels for r in op9_licenses.scan(one, templates=own).collect()] == ["long"]
 
 
+def test_license_headers_and_identifiers(spark):
+    gpl = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU {}General "
+           "Public License as published by the Free Software Foundation, either version {} of the License, or (at your "
+           "option) any later version.")
+    mit = op9_licenses.HEADERS[2][0]
+    isc = ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+           "granted{} THE SOFTWARE IS PROVIDED AS IS")
+    texts = {
+        "SPDX-License-Identifier: Apache-2.0": "apache-2.0", "// SPDX-License-Identifier: MIT": "mit",
+        "SPDX-License-Identifier: GPL-2.0-or-later x": "gpl-2.0-or-later", "SPDX-License-Identifier: GPL-2.0": "gpl-2.0",
+        "SPDX-License-Identifier: LGPL-2.1-only": "lgpl-2.1-only", "SPDX-License-Identifier: LicenseRef-own": "",
+        "MIT License\n\nCopyright (c) 2020 A": "mit", gpl.format("", 3): "gpl,gpl-3.0-or-later",
+        gpl.format("Lesser ", "2.1"): "gpl,lgpl-2.1-or-later", gpl.format("Affero ", 3): "agpl-3.0-or-later,gpl",
+        gpl.format("", 4): "gpl", "Creative Commons Attribution 4.0 International": "cc-by-4.0",
+        "Creative Commons Attribution-ShareAlike 4.0 International License": "cc-by-sa-4.0",
+        "Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International": "cc-by-nc-nd-4.0",
+        isc.format("."): "0bsd", isc.format(", provided that the above copyright notice and this permission notice appear in "
+                                            "all copies."): "isc",
+        "pre " + mit + " post": "mit", mit.replace("merge publish", "publish"): "mit", mit[:60]: "",
+        "word " * 5000 + mit + " word" * 5000: "mit"}
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {rows[r.doc_id][1]: r.labels for r in op9_licenses.scan(docs).collect()} == texts
+
+
+def test_license_scan_matches_sql(spark):
+    rng = random.Random(12)
+    parts = [t for t, _ in op9_licenses.TEMPLATES] + [t for t, _ in op9_licenses.PHRASES]
+    rows = []
+    for i in range(60):
+        words_ = " ".join(rng.choice(parts) for _ in range(rng.randint(0, 3))).split()
+        for _ in range(rng.randint(0, 4)):
+            if words_:
+                at = rng.randrange(len(words_))
+                words_[at:at + rng.randint(0, 1)] = [rng.choice(["very", "not", "the", "7", "license"])] * rng.randint(0, 1)
+        rows.append((i % 50, " ".join(words_) if i % 9 else None))
+    frame = pd.DataFrame(rows, columns=["doc_id", "text"])
+    with duckdb.connect() as db:
+        db.register("documents", frame)
+        want = Counter(db.execute(ORACLE["op9_license_scan"]).fetchall())
+    got = op9_licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert Counter(tuple(r) for r in got.collect()) == want
+
+
 # --- 10: language model
 
 @pytest.mark.parametrize("order", [1, 2, 3])
