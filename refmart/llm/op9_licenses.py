@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ALNUM_WORD_ANY_CASE, alnum_words, keyed, same_key, written
+from .common import keyed, same_key, split_alnum, written
 
 SHORT, LONG = 2, 4   # words per gram; the shortest base phrase has two
 LONG_TEMPLATE = 12   # words from which a template's grams are long
@@ -120,9 +120,9 @@ def _hashes(words: Column) -> Column:
 
 
 def _rolled(hashes: Column, step: int) -> Column:
-    """Hashes of two stretches that stand ``step`` words apart; null where the text ends."""
-    return F.zip_with(hashes, F.slice(hashes, F.lit(step + 1), F.size(hashes)), lambda a, b: F.when(
-        a.isNotNull() & b.isNotNull(), F.xxhash64(a, b)))
+    """Hashes of two stretches that stand ``step`` words apart (past the end: of less than that).
+    ``hashes`` should be a plain column, as it is named three times."""
+    return F.zip_with(hashes, F.slice(hashes, F.lit(step + 1), F.size(hashes)), lambda a, b: F.xxhash64(a, b))
 
 
 def template_grams(spark, phrases=PHRASES, templates=TEMPLATES) -> DataFrame:
@@ -136,9 +136,10 @@ def template_grams(spark, phrases=PHRASES, templates=TEMPLATES) -> DataFrame:
         rows.append((n, label, len(words), n < len(phrases), words, _slack(words), gram_words(len(words))))
     t = spark.createDataFrame(rows, "template int, label string, t_size int, base boolean, t_words array<string>, "
                                     "slack int, k int")
-    short = _rolled(_hashes(F.col("t_words")), 1)
-    t = t.withColumn("grams", F.when(F.col("k") == SHORT, short).otherwise(_rolled(short, SHORT)))
-    return t.select("*", F.posexplode("grams").alias("t_at", "gram_hash")).where("gram_hash IS NOT NULL").drop("grams")
+    t = t.withColumn("h", _hashes(F.col("t_words"))).withColumn("short", _rolled(F.col("h"), 1))
+    t = t.withColumn("grams", F.when(F.col("k") == SHORT, F.col("short")).otherwise(_rolled(F.col("short"), SHORT)))
+    return t.select("*", F.posexplode("grams").alias("t_at", "gram_hash")).where("t_at <= t_size - k").drop(
+        "h", "short", "grams")
 
 
 def _slack(words: list[str]) -> int:
@@ -153,11 +154,13 @@ def votes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phras
     the text's words (from position ``from`` on) that a span on its diagonal can hold. Equal hashes
     are checked by their words."""
     w = F.col("w")
-    d = keyed(docs, id_col, text_col).select("k_id", "k_hash", alnum_words(F.col("k_text")).alias("w"))
-    d = d.select("*", _rolled(_hashes(w), 1).alias("short"))
+    d = keyed(docs, id_col, text_col).select("k_id", "k_hash", split_alnum(F.col("k_text")).alias("w"))
+    d = d.select("*", _hashes(w).alias("h"))
+    d = d.select("k_id", "k_hash", "w", _rolled(F.col("h"), 1).alias("short"))
     # all grams of a text in one array: the short ones, then the long ones, at their first words' places
     d = d.select("k_id", "k_hash", "w", F.size(w).alias("n"), F.concat("short", _rolled(F.col("short"), SHORT)).alias("all"))
-    rolling = d.select("k_id", "k_hash", "w", "n", F.posexplode("all").alias("place", "gram_hash"))
+    # outer: else a filter on the array's size is inferred, pushed down, and computes all of this again
+    rolling = d.select("k_id", "k_hash", "w", "n", F.posexplode_outer("all").alias("place", "gram_hash"))
     g = template_grams(docs.sparkSession, phrases, templates)
     found = rolling.join(F.broadcast(g), "gram_hash").withColumn(
         "at", F.when(F.col("place") < F.col("n"), F.col("place")).otherwise(F.col("place") - F.col("n")))
@@ -284,7 +287,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
         labels(F.col("label")).alias("labels"),
         F.max("coverage").cast("double").alias("score"))
     d = keyed(docs, id_col, text_col).select(
-        "k_id", "k_hash", F.coalesce(F.regexp_count("k_text", F.lit(ALNUM_WORD_ANY_CASE)), F.lit(0)).alias("n_words"))
+        "k_id", "k_hash", F.size(split_alnum(F.col("k_text"))).alias("n_words"))
     out = d.join(found, same_key(d, found), "left")
     return out.select(d["k_id"].alias(id_col), F.col("n_words").cast("long").alias("n_words"),
                       F.coalesce("n_base", F.lit(0)).cast("long").alias("n_base"), "first_word", "last_word",
