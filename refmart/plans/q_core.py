@@ -661,7 +661,7 @@ def wide_as_records(w):
     f"nullif({c}, '') AS {c}" for c in _XML_OUT) + " FROM wide"))
 def src1_read_full_xml(spark, d):
     """SRC1 + PRJ11: the wide feed written as full-file XML records and read back
-    by schema path (whole table, parsed in parallel by row tag)."""
+    by schema path (whole table, cut at the record end tag, so many tasks share a file)."""
     from ..sources.xml import read_full_xml
     path = fx.scratch_path(spark, "fulins_xml")
     wide_as_records(fx.wide(spark, d)).write.format("xml").option("rootTag", "FinInstrmRptgRefDataRpt") \

@@ -1,9 +1,12 @@
 """Instrument XML readers (inventory SRC1, SRC2, PRJ10, PRJ11, FLT12).
 
-Spark's XML source splits a document by ``rowTag`` across tasks, so a file of
-a million records is parsed in parallel, with the read schema declared up
-front (no inference pass). The header element is read as its own tiny frame
-and joined back on the file name -- one row per file, broadcast by AQE.
+A document is read as text with the record's end tag as line separator, so one file of a
+million records is split into byte ranges that many tasks read, each record whole in one of
+them; ``from_xml`` parses it under the declared schema (no inference pass, one scan). The
+header element stands before the first record: it is taken from a bounded prefix of each
+file, read by a pool of threads, and joined back on the file's path -- one row per file,
+broadcast by AQE. A record that is malformed, has no end, or is not ended by its plain end
+tag fails the read. Comments and CDATA must not hold the record's tags.
 
 Paths follow the published schema (SURVEY §1.4); ``compat=True`` instead
 blanks the columns the reference's own paths never matched (Q-1).
@@ -11,6 +14,9 @@ blanks the columns the reference's own paths never matched (Q-1).
 
 from __future__ import annotations
 
+import re
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,25 +50,80 @@ HEADER_SCHEMA = "RptgNtty STRUCT<NtlCmptntAuthrty: STRING>, RptgPrd STRUCT<Dt: S
 DELTA_KINDS = [("NewRcrd", "NEW"), ("ModfdRcrd", "MOD"), ("TermntdRcrd", "TERM"), ("CancRcrd", "CANC")]
 
 
-def _read(spark: SparkSession, path, row_tag: str, schema: str) -> DataFrame:
-    """``path`` may be one path or a list of paths."""
-    return (spark.read.format("xml").option("rowTag", row_tag).option("ignoreNamespace", "true")
-            .option("mode", "FAILFAST").schema(schema).load(path)
-            .withColumn("SourceFileName", F.col("_metadata.file_name")))
+PREFIX_BYTES = 1 << 18     # a file's header stands in its first bytes
+TAIL_BYTES = 1 << 16       # and its last record ends before its last ones
+FILE_THREADS = 16
+NO_HOST = "^([A-Za-z0-9+.-]+):///"     # a uri without host, written as scheme:/path in the keys of files
+
+
+def records(spark: SparkSession, path, tag: str, schema: str) -> DataFrame:
+    """The records ``<tag>`` of all files under ``path`` (one path or a list), parsed: the schema's
+    columns, SourceFileName and SourceFilePath. Several tasks share a file."""
+    return parsed_records(spark.read.option("lineSep", f"</{tag}>").text(path), tag, schema)
+
+
+def parsed_records(pieces: DataFrame, tag: str, schema: str) -> DataFrame:
+    """The same of text rows (batch or stream) cut at the record's end tag."""
+    text = pieces.select(
+        F.col("_metadata.file_name").alias("SourceFileName"), F.regexp_replace("_metadata.file_path", NO_HOST, "$1:/").alias("SourceFilePath"),
+        F.regexp_extract("value", rf"(?s)<{tag}[\s>].*", 0).alias("xml"))
+    again = F.expr("substring(xml, 2)").rlike(rf"<{tag}[\s>]")
+    whole = F.when(again, F.raise_error(F.concat(F.lit(f"{tag} without its end tag in "), "SourceFilePath"))) \
+        .otherwise(F.concat("xml", F.lit(f"</{tag}>")))
+    parsed = F.from_xml(whole, schema, {"ignoreNamespace": "true", "mode": "FAILFAST"})
+    return text.where("xml <> ''").select(parsed.alias("r"), "SourceFileName", "SourceFilePath").select(
+        "r.*", "SourceFileName", "SourceFilePath")
+
+
+def _part(spark: SparkSession, where, start: int, size: int) -> bytes:
+    """At most ``size`` bytes of a file from ``start`` on (negative: before its end)."""
+    jvm = spark._jvm
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    data = fs.open(where)
+    try:
+        if start < 0:
+            data.seek(max(0, fs.getFileStatus(where).getLen() + start))
+        return bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(
+            jvm.org.apache.commons.io.input.BoundedInputStream(data, size)))
+    finally:
+        data.close()
+
+
+def _ends(spark: SparkSession, uri: str, tag: str) -> tuple[str, str]:
+    """(the file's key, header xml or ''); an error where the file's last record has no end."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri))
+    path = re.sub(NO_HOST, r"\1:/", uri)
+    head = _part(spark, where, 0, PREFIX_BYTES)
+    tail = _part(spark, where, -TAIL_BYTES, TAIL_BYTES)
+    starts = [m.start() for m in re.finditer(rb"<%s[\s>]" % tag.encode(), tail)]
+    if starts and tail.rfind(b"</%s>" % tag.encode()) < starts[-1]:
+        raise ValueError(f"{path} ends within a record {tag}")
+    found = re.search(rb"<RptHdr[\s>].*?</RptHdr>", head, re.DOTALL)
+    return path, found.group().decode("utf-8") if found else ""
+
+
+def _header(spark: SparkSession, uris: list[str], tag: str) -> DataFrame:
+    with ThreadPoolExecutor(FILE_THREADS) as pool:
+        ends = list(pool.map(lambda u: _ends(spark, u, tag), uris))
+    h = spark.createDataFrame([e for e in ends if e[1]], "SourceFilePath STRING, xml STRING").select(
+        "SourceFilePath", F.from_xml("xml", HEADER_SCHEMA, {"ignoreNamespace": "true", "mode": "FAILFAST"}).alias("h"))
+    return h.select("SourceFilePath",
+                    blank_to_null(F.col("h.RptgNtty.NtlCmptntAuthrty")).alias("HeaderReportingNCA"),
+                    first_text(F.col("h.RptgPrd.Dt"), F.col("h.RptgPrd.FrDtToDt.FrDt")).alias("HeaderReportingPeriodDate"),
+                    F.lit(None).cast("string").alias("HeaderReportingMarketId"))
 
 
-def _header(spark: SparkSession, path) -> DataFrame:
-    h = _read(spark, path, "RptHdr", HEADER_SCHEMA)
-    return h.select("SourceFileName",
-                    blank_to_null(F.col("RptgNtty.NtlCmptntAuthrty")).alias("HeaderReportingNCA"),
-                    first_text(F.col("RptgPrd.Dt"), F.col("RptgPrd.FrDtToDt.FrDt")).alias("HeaderReportingPeriodDate"),
-                    F.lit(None).cast("string").alias("HeaderReportingMarketId"))
+def with_header(wide: DataFrame, uris: list[str], tag: str) -> DataFrame:
+    """The header fields of its file (of those at ``uris``) on every record."""
+    return wide.join(_header(wide.sparkSession, uris, tag), "SourceFilePath", "left").drop("SourceFilePath")
 
 
-def _xpath(c: Column, leaf: str) -> Column:
-    """A leaf anywhere below a choice element kept as raw inner XML."""
-    doc = F.concat(F.lit("<x>"), F.coalesce(c, F.lit("")), F.lit("</x>"))
-    return F.nullif(F.xpath_string(doc, F.lit(f"//{leaf}")), F.lit(""))
+def _leaf(c: Column, leaf: str) -> Column:
+    """The text of a leaf anywhere below a choice element kept as raw inner XML."""
+    text = F.regexp_extract(c, rf"<(?:\w+:)?{leaf}(?:\s[^>]*)?>([^<]*)<", 1)
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
+        text = F.replace(text, F.lit(entity), F.lit(char))
+    return F.nullif(text, F.lit(""))
 
 
 def wide_columns(r: str, compat: bool = False) -> list[Column]:
@@ -94,8 +155,8 @@ def wide_columns(r: str, compat: bool = False) -> list[Column]:
         c("DebtInstrmAttrbts.DebtSnrty").alias("DebtSeniority"),
         c(f"{d}.XpryDt").alias("ExpiryDate"), c(f"{d}.PricMltplr").alias("PriceMultiplier"),
         c(f"{d}.OptnTp").alias("OptionType"), c(f"{d}.DlvryTp").alias("DeliveryType"),
-        _xpath(c(f"{d}.AsstClssSpcfcAttrbts.Cmmdty.Pdct"), "BasePdct").alias("CmdtyBaseProduct"),
-        _xpath(c(f"{d}.AsstClssSpcfcAttrbts.Cmmdty.Pdct"), "SubPdct").alias("CmdtySubProduct"),
+        _leaf(c(f"{d}.AsstClssSpcfcAttrbts.Cmmdty.Pdct"), "BasePdct").alias("CmdtyBaseProduct"),
+        _leaf(c(f"{d}.AsstClssSpcfcAttrbts.Cmmdty.Pdct"), "SubPdct").alias("CmdtySubProduct"),
         c(f"{d}.AsstClssSpcfcAttrbts.Cmmdty.TxTp").alias("CmdtyTransactionType"),
         c(f"{d}.AsstClssSpcfcAttrbts.Cmmdty.FnlPricTp").alias("CmdtyFinalPriceType"),
     ]
@@ -118,7 +179,7 @@ def wide_columns(r: str, compat: bool = False) -> list[Column]:
         ("StrikePrice", first_text(strike, c(f"{d}.StrkPric.Pric.Pctg"), c(f"{d}.StrkPric.Pric.Yld"),
                                    c(f"{d}.StrkPric.Pric.BsisPts"))),
         ("StrikePriceCcy", strike_ccy), ("StrikeNoPriceCcy", c(f"{d}.StrkPric.NoPric.Ccy")),
-        ("CmdtySubSubProduct", _xpath(c(f"{d}.AsstClssSpcfcAttrbts.Cmmdty.Pdct"), "AddtlSubPdct")),
+        ("CmdtySubSubProduct", _leaf(c(f"{d}.AsstClssSpcfcAttrbts.Cmmdty.Pdct"), "AddtlSubPdct")),
     ]
     return cols + [blank(n) if compat else e.alias(n) for n, e in schema_paths]
 
@@ -132,7 +193,7 @@ def _with_record_id(wide: DataFrame) -> DataFrame:
     duplicates inside (file, ISIN, venue) in record-content order, so it does
     not depend on parse order and is the same on every re-run."""
     from pyspark.sql import Window
-    content = F.xxhash64(*[F.col(c) for c in wide.columns])
+    content = F.xxhash64(*[F.col(c) for c in wide.columns if c != "SourceFilePath"])
     w = Window.partitionBy("SourceFileName", "ISIN", "TradingVenueMIC").orderBy(content)
     return wide.withColumn("TechRcrdId", record_id("SourceFileName", "ISIN", "TradingVenueMIC",
                                                    F.row_number().over(w)))
@@ -142,11 +203,11 @@ def read_full_xml(spark: SparkSession, path: str, compat: bool = False) -> DataF
     """SRC1: full-file documents -> wide rows, valid from the header's date; header
     fields repeated on every record; records without ISIN dropped (FLT12). A
     malformed record fails the read, as in the reference."""
-    recs = _read(spark, path, "RefData", RECORD_SCHEMA)
-    wide = recs.select("SourceFileName", F.struct(*[F.col(f) for f in RECORD_FIELDS]).alias("r")) \
-        .select("SourceFileName", *wide_columns("r", compat))
+    recs = records(spark, path, "RefData", RECORD_SCHEMA)
+    wide = recs.select("SourceFileName", "SourceFilePath", F.struct(*[F.col(f) for f in RECORD_FIELDS]).alias("r")) \
+        .select("SourceFileName", "SourceFilePath", *wide_columns("r", compat))
     wide = _with_record_id(wide.filter(blank_to_null(F.col("ISIN")).isNotNull()))
-    wide = wide.join(_header(spark, path), "SourceFileName", "left")
+    wide = with_header(wide, spark.read.text(path).inputFiles(), "RefData")
     return wide.withColumn("ValidFromDate", F.to_date("HeaderReportingPeriodDate")) \
         .withColumn("ValidToDate", F.lit(None).cast("date")).withColumn("LatestRecordFlag", F.lit(True))
 
@@ -158,21 +219,21 @@ def read_delta_xml(spark: SparkSession, path, compat: bool = False) -> DataFrame
     """SRC2: delta documents -> wide rows + ActionType from the record wrapper
     (NEW / MOD / TERM / CANC); rows without ISIN or venue dropped; ValidFromDate
     is left empty for the delta's own rule (publication, else header date)."""
-    recs = _read(spark, path, "FinInstrm", DELTA_SCHEMA)
-    wide = delta_records_to_wide(recs, compat).join(_header(spark, path), "SourceFileName", "left")
+    recs = records(spark, path, "FinInstrm", DELTA_SCHEMA)
+    wide = with_header(delta_records_to_wide(recs, compat), spark.read.text(path).inputFiles(), "FinInstrm")
     return wide.withColumn("ValidFromDate", F.lit(None).cast("string"))
 
 
 def delta_records_to_wide(recs: DataFrame, compat: bool = False) -> DataFrame:
-    """The record part of SRC2 over ``FinInstrm`` rows (with ``SourceFileName``);
+    """The record part of SRC2 over ``FinInstrm`` rows (with ``SourceFileName`` and ``SourceFilePath``);
     shared by the batch reader and the delta stream."""
     action = None
     for k, code in DELTA_KINDS:
         cond = F.col(k).isNotNull()
         action = F.when(cond, F.lit(code)) if action is None else action.when(cond, F.lit(code))
     rec = F.coalesce(*[F.col(k) for k, _ in DELTA_KINDS])
-    wide = recs.select("SourceFileName", action.alias("ActionType"), rec.alias("r")) \
-        .select("SourceFileName", "ActionType", *wide_columns("r", compat),
+    wide = recs.select("SourceFileName", "SourceFilePath", action.alias("ActionType"), rec.alias("r")) \
+        .select("SourceFileName", "SourceFilePath", "ActionType", *wide_columns("r", compat),
                 F.col("r.TechAttrbts.PblctnPrd.FrDt").alias("PublicationFromDate"))
     wide = wide.filter(blank_to_null(F.col("ISIN")).isNotNull() & blank_to_null(F.col("TradingVenueMIC")).isNotNull())
     return _with_record_id(wide)

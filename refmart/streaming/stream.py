@@ -58,23 +58,20 @@ def stream_delta(spark: SparkSession, source_dir: str, state_dir: str, checkpoin
 def stream_delta_xml(spark: SparkSession, source_dir: str, state_dir: str, checkpoint: str,
                      initial_state: DataFrame, max_files_per_trigger: int = 100,
                      available_now: bool = True) -> StreamingQuery:
-    """STR1 on the delta XML files themselves: records stream by ``rowTag``; each
-    micro-batch reads the header of just its own files (at most
+    """STR1 on the delta XML files themselves: records stream as text cut at their end
+    tag; each micro-batch reads the header of just its own files (at most
     ``max_files_per_trigger`` paths) and then applies C1 exactly once."""
-    from ..sources.xml import DELTA_SCHEMA, _header, delta_records_to_wide
-    recs = (spark.readStream.format("xml").option("rowTag", "FinInstrm").option("ignoreNamespace", "true")
-            .option("maxFilesPerTrigger", max_files_per_trigger).schema(DELTA_SCHEMA).load(source_dir)
-            .withColumn("SourceFileName", F.col("_metadata.file_name"))
-            .withColumn("__path", F.col("_metadata.file_path")))
+    from ..sources.xml import DELTA_SCHEMA, delta_records_to_wide, parsed_records, with_header
+    pieces = (spark.readStream.option("lineSep", "</FinInstrm>").option("maxFilesPerTrigger", max_files_per_trigger)
+              .text(source_dir))
+    recs = parsed_records(pieces, "FinInstrm", DELTA_SCHEMA)
     apply = apply_delta_batch(state_dir, initial_state, checkpoint)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        paths = [r[0] for r in batch.select("__path").distinct().collect()]  # <= max_files_per_trigger
-        if not paths:
-            return
-        wide = delta_records_to_wide(batch.drop("__path")).join(_header(batch.sparkSession, paths),
-                                                                  "SourceFileName", "left")
-        apply(wide.withColumn("ValidFromDate", F.lit(None).cast("string")), batch_id)
+        paths = [r[0] for r in batch.select("SourceFilePath").distinct().collect()]  # <= max_files_per_trigger
+        if paths:
+            wide = with_header(delta_records_to_wide(batch), paths, "FinInstrm")
+            apply(wide.withColumn("ValidFromDate", F.lit(None).cast("string")), batch_id)
 
     w = recs.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 day")

@@ -61,6 +61,54 @@ def test_delta_xml_applies_to_full(spark):
     assert ("XS1234567890", "2024-01-06") not in out                                 # TERM inserts nothing
 
 
+RECORD = ("<RefData><FinInstrmGnlAttrbts><Id>{i:012d}</Id><FullNm>a &amp; b\n&lt;{i}&gt; é中</FullNm></FinInstrmGnlAttrbts>"
+          "<TradgVnRltdAttrbts><Id>XPAR</Id></TradgVnRltdAttrbts></RefData>")
+HEADER = "<RptHdr><RptgNtty><NtlCmptntAuthrty>{c}</NtlCmptntAuthrty></RptgNtty><RptgPrd><Dt>2024-01-0{d}</Dt></RptgPrd></RptHdr>"
+
+
+def _document(path, n, header, close=True):
+    with open(path, "w", encoding="utf-8") as out:
+        out.write(f'<?xml version="1.0"?>\n<Doc xmlns="urn:x"><Pyld>{header}')
+        out.writelines(RECORD.format(i=i) + ("\n  " if i % 3 else "") for i in range(n))
+        out.write("</Pyld></Doc>\n" if close else "")
+
+
+def test_one_xml_document_is_read_by_many_tasks(spark, tmp):
+    from refmart.sources.xml import RECORD_SCHEMA, read_full_xml, records
+    os.makedirs(f"{tmp}/a b")
+    _document(f"{tmp}/a b/one.xml", 2000, HEADER.format(c="FR", d=5))
+    _document(f"{tmp}/two.xml", 3, HEADER.format(c="DE", d=6))
+    _document(f"{tmp}/none.xml", 0, HEADER.format(c="IT", d=7))
+    _document(f"{tmp}/bare.xml", 2, "")
+    paths = [f"{tmp}/a b", f"{tmp}/two.xml", f"{tmp}/none.xml", f"{tmp}/bare.xml"]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    got = []
+    try:
+        for size in ("7000", "50011", before):      # splits fall anywhere within records
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            got.append(sorted((r.SourceFileName, r.ISIN, r.FullName, r.HeaderReportingNCA, str(r.ValidFromDate))
+                              for r in read_full_xml(spark, paths).collect()))
+            parts = records(spark, f"{tmp}/a b", "RefData", RECORD_SCHEMA).rdd.getNumPartitions()
+            assert parts > 5 or size != "50011"
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    want = [("one.xml", i, "FR", "2024-01-05") for i in range(2000)] + [("two.xml", i, "DE", "2024-01-06") for i in range(3)] + [
+        ("bare.xml", i, None, "None") for i in range(2)]
+    want = sorted((f, f"{i:012d}", f"a & b\n<{i}> é中", c, d) for f, i, c, d in want)
+    assert got == [want] * 3
+
+
+@pytest.mark.parametrize("bad", ["cut", "unclosed", "nested", "spaced"])
+def test_malformed_xml_records_fail_the_read(spark, tmp, bad):
+    from refmart.sources.xml import read_full_xml
+    body = {"cut": RECORD.format(i=1) + RECORD.format(i=2)[:60], "unclosed": "<RefData><Issr>x</RefData>",
+            "nested": "<RefData><Issr>x" + RECORD.format(i=1), "spaced": "<RefData><Issr>x</Issr></RefData >" + RECORD.format(i=1)}
+    with open(f"{tmp}/x.xml", "w") as out:
+        out.write("<Doc><RptHdr></RptHdr>" + RECORD.format(i=0) + body[bad] + ("" if bad == "cut" else "</Doc>"))
+    with pytest.raises(Exception, match="RefData|MALFORMED"):
+        read_full_xml(spark, f"{tmp}/x.xml").collect()
+
+
 def test_lei_csv_mapping_contract_cast(spark):
     from refmart.operators.contract import ContractError, cast_to, enforce_contract, project_mapping
     from refmart.functions.clean import blank_to_null_all
