@@ -20,6 +20,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ..functions.clean import (QUOTE_COLUMNS, QUOTE_HEADER_MAP, blank_to_null, normalize_header, parse_ts,
                                product_type)
 from ..operators.contract import to_layout
+from .quoted_csv import BOM, read_quoted_csv
 
 WIDE_COLUMNS = [
     "HeaderReportingMarketId", "HeaderReportingNCA", "HeaderReportingPeriodDate", "SourceFileName", "TechRcrdId",
@@ -33,7 +34,6 @@ WIDE_COLUMNS = [
     "CmdtyBaseProduct", "CmdtySubProduct", "CmdtySubSubProduct", "CmdtyTransactionType", "CmdtyFinalPriceType",
     "ValidFromDate", "ValidToDate", "LatestRecordFlag",
 ]
-BOM = "﻿"
 
 
 def write_wide(df: DataFrame, path: str, delimiter: str = "|") -> None:
@@ -55,14 +55,9 @@ def read_wide(spark: SparkSession, path: str, columns: list[str] | None = None,
 
 def read_lei_csv(spark: SparkSession, path: str) -> DataFrame:
     """SRC4: golden-copy CSV -- UTF-8 with BOM, quoted fields that may span
-    lines, header row. The BOM is stripped from the first column name; dotted
-    header names are kept as they are (PRJ1 maps them)."""
-    df = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-          .option("encoding", "UTF-8").option("inferSchema", False).csv(path))
-    first = df.columns[0]
-    if first.startswith(BOM):
-        df = df.withColumnRenamed(first, first[len(BOM):])
-    return df
+    lines, header row. Many tasks share a file (``quoted_csv``); dotted header
+    names are kept as they are (PRJ1 maps them)."""
+    return read_quoted_csv(spark, path)
 
 
 def read_quotes(spark: SparkSession, path: str, delimiter: str = "|") -> DataFrame:

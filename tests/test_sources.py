@@ -138,6 +138,48 @@ def test_lei_csv_mapping_contract_cast(spark):
         enforce_contract(df.withColumn("Unknown", F.lit(1)), target)
 
 
+def test_quoted_csv_is_read_by_many_tasks(spark, tmp):
+    import csv as pycsv
+    import random
+    from refmart.sources.quoted_csv import _lines, read_quoted_csv
+    rng = random.Random(6)
+    cells = ["", "x", "é中", 'say ""hi""'.replace('""', '"'), "a,b", "two\nlines", "\n\n", '"', "long " * 60, "\n" * 40, "end\n"]
+    rows = [[str(i), *(rng.choice(cells) for _ in range(3))] for i in range(700)] + [["700", "y" * 9000 + "\n" * 900, "", "z"]]
+    rng.shuffle(rows)
+    os.makedirs(f"{tmp}/in")
+    for n, part in enumerate((rows[:690], rows[690:])):
+        with open(f"{tmp}/in/f{n}.csv", "w", encoding="utf-8", newline="") as out:
+            out.write("\ufeff" * (n == 0))
+            w = pycsv.writer(out, lineterminator="\r\n" if n else "\n", quoting=pycsv.QUOTE_ALL if n else pycsv.QUOTE_MINIMAL)
+            w.writerow(["a.id", "b", "c d", "e"])
+            w.writerows(part)
+            out.write("\n")
+    want = sorted(tuple(x or None for x in r) for r in rows)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("997", "4096", "60000", before):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            got = read_quoted_csv(spark, f"{tmp}/in")
+            assert got.columns == ["a.id", "b", "c d", "e"]
+            assert sorted(map(tuple, got.collect()), key=lambda r: tuple(x or "" for x in r)) == sorted(
+                want, key=lambda r: tuple(x or "" for x in r))
+            assert _lines(spark, f"{tmp}/in").rdd.getNumPartitions() > 2 or size == before
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_quoted_csv_odd_files(spark, tmp):
+    from refmart.sources.quoted_csv import read_quoted_csv
+    with open(f"{tmp}/a.csv", "w") as out:
+        out.write('"x\ny",,x,x\n1,2\n\n1,2,3,4,5\n"open\nend')
+    got = read_quoted_csv(spark, f"{tmp}/a.csv")
+    assert got.columns == ["x\ny", "_c1", "x2", "x3"]
+    assert sorted((tuple(r) for r in got.collect()), key=str) == sorted(
+        [("1", "2", None, None), ("1", "2", "3", "4"), ("open\nend", None, None, None)], key=str)
+    open(f"{tmp}/empty.csv", "w").close()
+    assert read_quoted_csv(spark, f"{tmp}/empty.csv").count() == 0
+
+
 def test_quotes_layouts(spark):
     from refmart.functions.clean import QUOTE_COLUMNS
     from refmart.sources.text import read_quotes
