@@ -63,9 +63,11 @@ def bounds(hashes: np.ndarray, bits: int) -> np.ndarray:
     return np.r_[0, np.searchsorted(hashes, firsts), len(hashes)]
 
 
-def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """(chunk, ids, no_id, blob, bytes), written once: later steps agree on the chunks. A null
-    id is 0 in ``ids`` and true in ``no_id`` (arrays with nulls would become floats in pandas)."""
+def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK_BYTES,
+           note=lambda texts: b"") -> DataFrame:
+    """(chunk, ids, no_id, blob, bytes, note), written once: later steps agree on the chunks. A null
+    id is 0 in ``ids`` and true in ``no_id`` (arrays with nulls would become floats in pandas).
+    ``note``: what is worked out once from a chunk's texts and kept with them."""
     def cut(batches):
         part, n = TaskContext.get().partitionId(), 0
         ids, texts, held = [], [], 0
@@ -74,7 +76,8 @@ def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chun
             return pa.RecordBatch.from_arrays([
                 pa.array([(part << 32) + n]), pa.array([[i or 0 for i in ids]], pa.list_(pa.int64())),
                 pa.array([[i is None for i in ids]], pa.list_(pa.bool_())), pa.array([pack(texts)], pa.binary()),
-                pa.array([held])], ["chunk", "ids", "no_id", "blob", "bytes"])
+                pa.array([held]), pa.array([note([t or b"" for t in texts])], pa.binary())],
+                ["chunk", "ids", "no_id", "blob", "bytes", "note"])
 
         for batch in batches:
             for i, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -90,4 +93,5 @@ def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chun
             yield row()
 
     rows = docs.select(F.col(id_col).cast("long"), F.col(text_col))
-    return written(rows.mapInArrow(cut, "chunk long, ids array<long>, no_id array<boolean>, blob binary, bytes long"), "chunks")
+    return written(rows.mapInArrow(cut, "chunk long, ids array<long>, no_id array<boolean>, blob binary, bytes long, note binary"),
+                   "chunks")

@@ -168,8 +168,8 @@ def test_long_units_and_blocks(monkeypatch):
 
 # --- 4: suffix-array dedup
 
-@pytest.mark.parametrize("chunk,ranges", [(1 << 24, 1 << 24), (2000, 3000)])
-def test_repeated_bytes(spark, odd_rows, chunk, ranges):
+@pytest.mark.parametrize("chunk,ranges,hot", [(1 << 24, 1 << 24, 1 << 12), (2000, 3000, 1 << 12), (2000, 1 << 24, 6)])
+def test_repeated_bytes(spark, odd_rows, chunk, ranges, hot):
     rng = random.Random(3)
     passage = [words(rng, 12) for _ in range(4)]
     rows = [(i, t) for n, (i, t) in enumerate(odd_rows) if i is not None and (i, t) not in odd_rows[:n] and i != 4 and i != 5]
@@ -177,7 +177,7 @@ def test_repeated_bytes(spark, odd_rows, chunk, ranges):
               words(rng, 5)) for k in range(40)]
     rows += [(200 + k, "ab" * (20 + k)) for k in range(20)] + [(300, "z" * 200), (301, "z" * 49), (302, "z" * 51)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    out = op4_suffix_dedup.repeats(df, chunk_bytes=chunk, range_bytes=ranges)
+    out = op4_suffix_dedup.repeats(df, chunk_bytes=chunk, range_bytes=ranges, hot=hot)
     have = {r.doc_id: (r.n_bytes, sum(s.end - s.start for s in r.spans), len(r.spans),
                        hashlib.sha256(r.kept).hexdigest()) for r in out.collect()}
     assert have == brute.repeated_bytes(rows)
@@ -193,6 +193,22 @@ def test_repeated_bytes_odd_rows(spark, empty):
     assert op4_suffix_dedup.dedup_query(empty).count() == 0
 
 
+def test_stored_regions_and_bucket_parts():
+    rng = random.Random(9)
+    texts = [words(rng, rng.randint(0, 60)).encode() for _ in range(30)] + [b"", b"x" * 300, NOTE.encode() * 3]
+    size, gram = op4_suffix_dedup.SIZE, op4_suffix_dedup.GRAM
+    c = op4_suffix_dedup.Chunk(texts, range(33), op4_suffix_dedup.marks(texts, size, gram), size, gram)
+    want = [(d, *map(int, r)) for d, t in enumerate(texts) for r in zip(*op4_suffix_dedup.regions(t))]
+    assert list(zip(c.doc.tolist(), c.start.tolist(), c.n.tolist(), c.place.tolist(), c.hash.tolist())) == want
+    for kind in (np.ones(len(c.n), int), np.full(len(c.n), 2), np.arange(len(c.n)) % 3):
+        pieces, far, key, low, row, start, which = c.shared(kind)
+        assert all(pieces[j] == texts[d][s:s + len(pieces[j])] for d, s, j in zip(row, start, which))
+        assert (key[1:] >= key[:-1]).all()
+        whole = op4_suffix_dedup.smallest_ids(pieces, np.where(far >= 128, far - 128, far).astype(int), low) if pieces else []
+        parts = op4_suffix_dedup.smallest_ids_by_bucket(pieces, far, low, bucket_bytes=200) if pieces else []
+        assert list(whole) == list(parts) or kind[0] != 1
+
+
 def test_cover_reaches_every_distance():
     have = {(a - b) % op4_suffix_dedup.PERIOD for a in op4_suffix_dedup.COVER for b in op4_suffix_dedup.COVER}
     assert have == set(range(op4_suffix_dedup.PERIOD))
