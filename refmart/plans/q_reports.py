@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.bitmaps import distinct_sets, matrix_totals, set_counts
 from ..operators.facts import calendar
 from ..operators.ledger import ledger_from_counts, recent_loads
 from ..operators.measures import ledger_summary, matrix
@@ -312,3 +313,62 @@ def agg14_matrix(spark, d):
     letters = list("EDCROFSHMJ")
     m = matrix(s, ["IssuerCountry"], "cat", letters, F.count_distinct("InstrumentSK"))
     return m.select("IssuerCountry", *[F.coalesce(F.col(x), F.lit(0)).alias(x) for x in letters])
+
+
+@register("agg14_matrix_totals", sql_with(["star"], f"""
+WITH s AS (SELECT *, substr(CfiCode, 1, 1) AS cat FROM star)
+SELECT IssuerCountry, cat, CAST(grouping(cat) AS INTEGER) AS row_total, CAST(grouping(IssuerCountry) AS INTEGER) AS col_total,
+  {dc('InstrumentSK')} AS instruments
+FROM s GROUP BY GROUPING SETS ((IssuerCountry, cat), (IssuerCountry), (cat), ())"""))
+def agg14_matrix_totals(spark, d):
+    """AGG14: distinct instruments per country x category letter with row, column and grand
+    totals, all counted over united sets."""
+    s = _star(spark, d).withColumn("cat", F.substring("CfiCode", 1, 1))
+    sets = distinct_sets(s, ["IssuerCountry", "cat"], ["InstrumentSK"])
+    return matrix_totals(sets, "IssuerCountry", "cat", "instruments")
+
+
+@register("agg5_cards_by_country", sql_with(["star"], f"""
+SELECT VenueCountry, {dc('InstrumentSK')} AS instruments, {LST} AS listings, {dc('IssuerSK')} AS issuers,
+  {dc('TradingVenueSK')} AS venues FROM star GROUP BY VenueCountry"""))
+def agg5_cards_by_country(spark, d):
+    """AGG5: the cards per venue country from the sets stored beside the snapshot (days united)."""
+    return set_counts(wh.card_sets(spark, d), ["VenueCountry"], R.CARDS)
+
+
+_JOI10 = [("fact", "ISIN"), ("venue", "TradingVenueMIC"), ("venue_info", "MIC"), ("venue_country", "CountryCode"),
+          ("issuer", "IssuerLEI"), ("issuer_instruments", "CAST(IssuerSK AS VARCHAR)"), ("country", "CountryCode"),
+          ("lei", "LEI"), ("currency", "CurrencyCode"), ("cfi", "CFI"), ("instrument", "ISIN")]
+
+
+@register("joi10_filter_propagation", sql_with(["fact", "d_venue", "register", "d_issuer", "entities", "d_currency",
+                                                "d_cfi_keys", "d_instrument"], """
+WITH venue_info AS (SELECT * FROM register WHERE City IN ('CITY_3', 'CITY_7', 'CITY_11')),
+venue AS (SELECT * FROM d_venue WHERE TradingVenueMIC IN (SELECT MIC FROM venue_info)),
+venue_country AS (SELECT DISTINCT Country AS CountryCode FROM register WHERE Country IS NOT NULL),
+issuer_instruments AS (
+  SELECT * FROM (SELECT IssuerSK, count(DISTINCT InstrumentSK) AS cnt FROM fact GROUP BY IssuerSK) WHERE cnt >= 3),
+issuer AS (SELECT * FROM d_issuer WHERE IssuerSK IN (SELECT IssuerSK FROM issuer_instruments WHERE IssuerSK IS NOT NULL)),
+country AS (
+  SELECT CountryCode FROM (SELECT LegalAddress_Country AS CountryCode FROM d_issuer
+                           UNION SELECT HeadquartersAddress_Country FROM entities)
+  WHERE CountryCode IN (SELECT LegalAddress_Country FROM issuer WHERE LegalAddress_Country IS NOT NULL)),
+lei AS (SELECT * FROM entities WHERE HeadquartersAddress_Country IN (SELECT CountryCode FROM country)),
+f AS (SELECT * FROM fact WHERE TradingVenueSK IN (SELECT TradingVenueSK FROM venue)
+                           AND IssuerSK IN (SELECT IssuerSK FROM issuer))
+""" + "UNION ALL\n".join(
+    f"SELECT '{t}' AS tbl, count(*) AS n, count(DISTINCT {c}) AS n_keys, min({c}) AS lo, max({c}) AS hi FROM "
+    f"{ {'fact': 'f', 'currency': 'd_currency', 'cfi': 'd_cfi_keys', 'instrument': 'd_instrument'}.get(t, t) }\n"
+    for t, c in _JOI10)))
+def joi10_filter_propagation(spark, d):
+    """JOI10: a filter on the venue register (one-to-one, both ways) and one on the issuers' instrument
+    counts (both ways, then through the countries to the entities): what each table keeps."""
+    left = wh.report_model(spark, d).filtered({"venue_info": F.col("City").isin("CITY_3", "CITY_7", "CITY_11"),
+                                               "issuer_instruments": F.col("cnt") >= 3})
+    out = None
+    for t, c in _JOI10:
+        key = F.col("IssuerSK").cast("string") if c.startswith("CAST") else F.col(c)
+        one = left[t].agg(F.lit(t).alias("tbl"), F.count(F.lit(1)).alias("n"), F.count_distinct(key).alias("n_keys"),
+                          F.min(key).alias("lo"), F.max(key).alias("hi"))
+        out = one if out is None else out.unionByName(one)
+    return out

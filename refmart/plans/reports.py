@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clean import between, overview_subtitle, trading_subtitle
+from ..operators.bitmaps import distinct_sets, set_counts
 from ..operators.measures import distinct_count, missing_shares_of, ratio, share_of_total, top_share
 from ..operators.windows import keep_top_keys, top_in_group, top_rows
 
@@ -39,16 +40,24 @@ def per_venue(star: DataFrame) -> DataFrame:
     return star.groupBy("TradingVenueSK").agg(listings().alias("x"))
 
 
+CARDS = {"InstrumentSK": "instruments", "InstrumentListingSK": "listings", "IssuerSK": "issuers",
+         "TradingVenueSK": "venues"}
+
+
+def card_counts(star: DataFrame) -> DataFrame:
+    """AGG5: the four distinct counts in one pass over the rows (one row)."""
+    return set_counts(distinct_sets(star, [], list(CARDS)), [], CARDS)
+
+
 def kpi_cards(star: DataFrame) -> DataFrame:
     """RPT1: instruments, listings, issuers, venues, three ratios, top-10 venue
     and issuer shares and the subtitles -- one row."""
     agg_issuer = star.groupBy("IssuerSK").agg(distinct_count("InstrumentSK").alias("cnt"))
     top10_venues = top_share(per_venue(star), "x", 10, star.select(listings()).scalar())
     top10_issuers = top_share(agg_issuer, "cnt", 10, agg_issuer.select(F.sum("cnt")).scalar())
-    k = star.agg(
-        distinct_count("InstrumentSK").alias("instruments"), listings().alias("listings"),
-        distinct_count("IssuerSK").alias("issuers"), distinct_count("TradingVenueSK").alias("venues"),
-        F.min("SnapshotDate").alias("__lo"), F.max("SnapshotDate").alias("__hi"), F.count(F.lit(1)).alias("__n"))
+    k = card_counts(star).withColumns({
+        "__lo": star.select(F.min("SnapshotDate")).scalar(), "__hi": star.select(F.max("SnapshotDate")).scalar(),
+        "__n": star.select(F.count(F.lit(1))).scalar()})
     return k.select(
         "instruments", "listings", "issuers", "venues",
         _r6(ratio(F.col("listings"), F.col("instruments"))).alias("listings_per_instrument"),
@@ -90,9 +99,7 @@ def country_cards(star: DataFrame, countries: list[str]) -> DataFrame:
     """RPT5 + FLT11 + TOP1: cards under a venue-country slicer."""
     s = star.filter(F.col("VenueCountry").isin(countries))
     top1 = top_share(per_venue(s), "x", 1, s.select(listings()).scalar())
-    return s.agg(distinct_count("InstrumentSK").alias("instruments"), listings().alias("listings"),
-                 distinct_count("IssuerSK").alias("issuers"), distinct_count("TradingVenueSK").alias("venues")) \
-        .withColumn("pct_top1_venue", _r6(top1))
+    return card_counts(s).withColumn("pct_top1_venue", _r6(top1))
 
 
 def venue_share(star: DataFrame, n: int = TOP_VENUES_TABLE) -> DataFrame:

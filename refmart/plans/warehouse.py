@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..functions.predicates import min_length
+from ..operators.bitmaps import distinct_sets
+from ..operators.measures import agg_by_group
+from ..operators.model import Model, Relationship
 from ..operators.cdc import split_instruments, split_typed, type_instruments
 from ..operators.classify import classify, name_hints
 from ..operators.dims import enrich, merge_new_keys, scd2_by_current, scd2_by_version, upsert_dim
@@ -191,6 +194,37 @@ def star(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _memo(spark, sf_dir, "star", lambda: star_view(spark, sf_dir))
 
 
+def card_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG5: the report keys' distinct sets per day and venue country, stored beside the snapshot."""
+    from .reports import CARDS
+    return _memo(spark, sf_dir, "card_sets", lambda: distinct_sets(
+        star(spark, sf_dir), ["SnapshotDate", "VenueCountry"], list(CARDS)))
+
+
+def report_model(spark: SparkSession, sf_dir: str) -> Model:
+    """JOI10: the report model's tables and relationships, filter directions as in the reference."""
+    m = mart(spark, sf_dir)
+    register, lei = fx.venue_register(spark, sf_dir), fx.entities(spark, sf_dir)
+    issuer_countries = m["issuer"].select(F.col("LegalAddress_Country").alias("CountryCode"))
+    lei_countries = lei.select(F.col("HeadquartersAddress_Country").alias("CountryCode"))
+    tables = {
+        "fact": m["fact"], "venue": m["venue"], "venue_info": register, "issuer": m["issuer"], "cfi": m["cfi"],
+        "currency": m["currency"], "instrument": m["instrument"], "lei": lei,
+        "issuer_instruments": agg_by_group(m["fact"], "IssuerSK", "InstrumentSK", "cnt", blank=False),
+        "country": issuer_countries.unionByName(lei_countries).where("CountryCode IS NOT NULL").distinct(),
+        "venue_country": register.select(F.col("Country").alias("CountryCode")).where("CountryCode IS NOT NULL").distinct()}
+    return Model(tables, [
+        Relationship("fact", "TradingVenueSK", "venue", "TradingVenueSK"),
+        Relationship("fact", "CurrencySK", "currency", "CurrencySK"), Relationship("fact", "CFISK", "cfi", "CFISK"),
+        Relationship("fact", "IssuerSK", "issuer", "IssuerSK"),
+        Relationship("fact", "InstrumentSK", "instrument", "InstrumentSK"),
+        Relationship("venue", "TradingVenueMIC", "venue_info", "MIC", both=True),
+        Relationship("issuer", "LegalAddress_Country", "country", "CountryCode", both=True),
+        Relationship("venue_info", "Country", "venue_country", "CountryCode"),
+        Relationship("lei", "HeadquartersAddress_Country", "country", "CountryCode"),
+        Relationship("issuer", "IssuerSK", "issuer_instruments", "IssuerSK", both=True)])
+
+
 def star_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JOI10 / JOI12: fact -> venue -> venue register (city, country, region);
     fact -> issuer (country); fact -> classification; fact -> instrument."""
