@@ -12,13 +12,16 @@ Defined results: a null html is an empty payload (a response or revisit like any
 other of at least ``min_bytes``); a null url is empty; rows repeated with the same
 id and payload are written alike; a null page_id is a revisit if a row with an id
 has the payload, else a response; an empty table gives an empty archive and
-result; other columns are ignored.
+result; payloads of any length are kept whole; further columns of the input are
+ignored, whatever their names. Archives of one gzip member or of many are read whole;
+one that ends inside a member or a record is an error.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import zlib
 
 import pyarrow as pa
@@ -31,6 +34,7 @@ MIN_BYTES = 0              # smaller payloads are always stored in full
 RECORDS_PER_FILE = 50_000  # bounds an archive file
 DATE = "1970-01-01T00:00:00Z"   # the pages carry no capture time
 CHUNK = 1 << 20
+INPUT = 1 << 16
 
 # Record layout.
 _DIGITS, _BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -91,11 +95,28 @@ def write(records: DataFrame, path: str) -> None:
 
 
 def _inflate(content: bytes):
-    d = zlib.decompressobj(31)
-    data = d.decompress(content, CHUNK)
-    while data:
-        yield data
-        data = d.decompress(d.unconsumed_tail, CHUNK)
+    """The text of an archive, whatever number of gzip members it has (standard archives hold one per
+    record). Input goes in by pieces, so a member's end costs no copy of the rest."""
+    view, inside, d = memoryview(content), False, zlib.decompressobj(31)
+    for at in range(0, len(view), INPUT):
+        piece = bytes(view[at:at + INPUT])
+        while True:
+            if not inside:
+                piece = piece.lstrip(b"\0")      # padding between members
+                if not piece:
+                    break
+                d, inside = zlib.decompressobj(31), True
+            data = d.decompress(piece, CHUNK)
+            if data:
+                yield data
+            if d.eof:
+                piece, inside = d.unused_data, False
+            else:
+                piece = d.unconsumed_tail
+                if not piece and len(data) < CHUNK:
+                    break
+    if inside:
+        raise ValueError("an archive ends inside a gzip member")
 
 
 def parse(content: bytes):
@@ -116,9 +137,9 @@ def parse(content: bytes):
                 raise ValueError("an archive ends inside a record's headers")
             return
         lines = bytes(buf[pos:end]).decode().split("\r\n")
-        if lines[0] != "WARC/1.1":
+        if not lines[0].startswith("WARC/1."):
             raise ValueError(f"not a record: {lines[0][:40]!r}")
-        head = dict(x.split(": ", 1) for x in lines[1:])
+        head = {k: v.strip() for k, v in (x.split(":", 1) for x in lines[1:])}
         need = end + 4 + int(head["Content-Length"]) + 4
         while len(buf) < need:
             got = next(chunks, None)
@@ -133,27 +154,29 @@ def parse(content: bytes):
 
 
 def _number(urn: str | None) -> int | None:
-    value = (urn or "")[len("<urn:page:"):-1]
-    return int(value) if value else None
+    """The page id in a record id; None for other archives' ids."""
+    found = re.fullmatch(r"<urn:page:(-?[0-9]+)>", urn or "")
+    return int(found.group(1)) if found else None
 
 
 def read(spark: SparkSession, path: str, with_payload: bool = False) -> DataFrame:
     """One row per record: page_id, url, record_type, refers_to, digest, size and sound (of a
-    response: whether the payload's digest is the header's), and the payload if asked for."""
+    response: whether the payload's digest is the header's), and the payload if asked for. Records of
+    other archives keep their types; what their headers lack is null."""
     def records(batches):
         for batch in batches:
             for content in batch.column("content"):
                 rows = []
                 for head, block in parse(content.as_py()):
-                    payload = block.split(b"\r\n\r\n", 1)[1]
+                    payload = block.split(b"\r\n\r\n", 1)[-1]
                     full = head["WARC-Type"] == "response"
-                    named = head["WARC-Payload-Digest"].removeprefix("sha1:")
-                    sound = base64.b32encode(hashlib.sha1(payload).digest()).decode() == named if full else None
-                    row = {"page_id": _number(head["WARC-Record-ID"]), "url": head["WARC-Target-URI"],
+                    named = head.get("WARC-Payload-Digest", "").removeprefix("sha1:") or None
+                    sound = base64.b32encode(hashlib.sha1(payload).digest()).decode() == named if full and named else None
+                    row = {"page_id": _number(head.get("WARC-Record-ID")), "url": head.get("WARC-Target-URI"),
                            "record_type": head["WARC-Type"], "refers_to": _number(head.get("WARC-Refers-To")),
                            "digest": named, "size": len(payload) if full else None, "sound": sound}
                     if with_payload:
-                        row["payload"] = payload.decode() if full else None
+                        row["payload"] = payload.decode("utf-8", "replace") if full else None
                     rows.append(row)
                     if len(rows) >= (64 if with_payload else 4096):
                         yield pa.RecordBatch.from_pylist(rows, schema=schema)

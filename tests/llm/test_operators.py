@@ -317,6 +317,31 @@ def test_warc_round_trip(spark):
     assert op6_warc.warc_query(none).count() == 0
 
 
+def test_archives_of_many_members(spark, tmp, monkeypatch):
+    import gzip
+    import os
+    body = "HTTP/1.1 200 OK\r\n\r\n<p>é</p>"
+    records = [("WARC/1.0\r\nWARC-Type: {t}\r\nWARC-Record-ID: <urn:uuid:{i}>\r\nWARC-Target-URI:http://x/{i}\r\n"
+                "Content-Length: {n}\r\n\r\n{b}\r\n\r\n").format(t=t, i=i, b=b, n=len(b.encode())).encode()
+               for i, (t, b) in enumerate([("warcinfo", "software: x"), *[("response", body + "z" * i * 999) for i in range(400)]])]
+    os.makedirs(f"{tmp}/a")
+    with open(f"{tmp}/a/x.warc.gz", "wb") as out:
+        out.write(b"".join(gzip.compress(r) for r in records[:200]) + b"\0" * 99 + gzip.compress(b"".join(records[200:])))
+    got = op6_warc.read(spark, f"{tmp}/a", with_payload=True).collect()
+    assert sorted(r.url for r in got) == sorted(f"http://x/{i}" for i in range(401))
+    assert sum(r.record_type == "response" for r in got) == 400 and {r.page_id for r in got} == {None}
+    assert {len(r.payload) for r in got if r.payload} == {8 + 999 * i for i in range(400)}
+    content = open(f"{tmp}/a/x.warc.gz", "rb").read()
+    want = [b for _, b in op6_warc.parse(content)]
+    for size, limit in ((1, 7), (13, 1 << 20), (1 << 16, 5)):
+        monkeypatch.setattr(op6_warc, "INPUT", size)
+        monkeypatch.setattr(op6_warc, "CHUNK", limit)
+        short = b"".join(gzip.compress(r) for r in records[:3])
+        assert [b for _, b in op6_warc.parse(short)] == want[:3]
+    with pytest.raises(ValueError, match="ends inside"):
+        list(op6_warc.parse(content[:-20]))
+
+
 # --- 7: decontamination
 
 def test_decontamination(spark, odd, odd_rows, empty):
