@@ -12,12 +12,14 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.clean import blank_to_null
 from ..functions.predicates import min_length
 from ..operators.cdc import apply_delta, split_typed, type_instruments
 from ..operators.classify import classify, name_hints
 from ..operators.dims import merge_new_keys, scd2_by_current, scd2_by_version, upsert_dim
 from ..operators.facts import build_snapshot
 from ..operators.ledger import LEDGER_SCHEMA, observed_counts
+from ..operators.rejects import Rules, file_counts, inserted, stored, write_checked
 from ..sources.sinks import current_version, keep_latest, overwrite_partition, read_current, write_full_refresh
 
 
@@ -49,26 +51,45 @@ def logged(spark: SparkSession, process: str, ledger_path: str | None, body):
 def run_staging(spark: SparkSession, state: DataFrame, delta: DataFrame | None, base: str,
                 ledger_path: str | None = None) -> DataFrame:
     """C14: apply the delta (if any) to the wide state, then rebuild the three
-    sub-type tables; returns the ledger rows (row count per table). With
+    sub-type tables; returns the ledger rows: per file of the delta what was read,
+    inserted and rejected, and per table the row counts before and after. With
     ``ledger_path`` the rows (or an ERROR row) are appended there."""
     return logged(spark, "run_staging", ledger_path, lambda: _run_staging(spark, state, delta, base))
 
 
 def _run_staging(spark: SparkSession, state: DataFrame, delta: DataFrame | None, base: str) -> DataFrame:
     start = _now()
-    rows = []
+    tables = ["state", "listing", "debt", "derivative"]
+    rows = [_counted(spark, base, t, "BEFORE", start) for t in tables]
     if delta is not None:
-        state = apply_delta(state, delta)
+        # rows without the keys that the delta needs are kept aside, with the reason
+        batch = start.strftime("%Y%m%dT%H%M%S%f")
+        write_checked(delta, delta_rules(), f"{base}/delta_load", batch)
+        file = "SourceFileName" if "SourceFileName" in delta.columns else "ActionType"
+        counts = file_counts(stored(spark, f"{base}/delta_load", batch), file).orderBy("file").collect()   # a row per file
+        rows += [("run_staging", c.file, "END" if c.rows_inserted or not c.rows_read else "ERROR", start, _now(),
+                  c.rows_read, c.rows_inserted, c.rows_rejected, c.reasons) for c in counts]
+        state = apply_delta(state, inserted(spark, f"{base}/delta_load", batch).select(*delta.columns))
     write_full_refresh(state, f"{base}/state")
     state = read_current(spark, f"{base}/state")
     typed = type_instruments(state)
     for name, df in split_typed(typed).items():
-        observed, obs = observed_counts(df, F.lit(False), f"stg_{name}")
-        write_full_refresh(observed, f"{base}/{name}")
-        m = obs.get
-        rows.append(("run_staging", name, "END", start, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None),
-                     m.get("rows_read"), m.get("rows_read"), 0, None))
-    return _ledger(spark, rows)
+        write_full_refresh(df, f"{base}/{name}")
+    return _ledger(spark, rows + [_counted(spark, base, t, "AFTER", start) for t in tables])
+
+
+def delta_rules() -> Rules:
+    """What makes a delta row a reject."""
+    return [("no ISIN", blank_to_null(F.col("ISIN")).isNull()),
+            ("no venue", blank_to_null(F.col("TradingVenueMIC")).isNull()),
+            ("unknown action", ~F.col("ActionType").isin("NEW", "MOD", "TERM", "CANC"))]
+
+
+def _counted(spark: SparkSession, base: str, table: str, phase: str, start: _dt.datetime) -> tuple:
+    """C14: a ledger row with a table's row count before or after the run (0 before its first load;
+    the count reads file footers only)."""
+    n = 0 if current_version(spark, f"{base}/{table}") is None else read_current(spark, f"{base}/{table}").count()
+    return ("run_staging", table, phase, start, _now(), n, n if phase == "AFTER" else 0, 0, None)
 
 
 def run_mart(spark: SparkSession, base: str, entities: DataFrame, snapshot_date: str,
@@ -128,10 +149,11 @@ def _run_mart(spark: SparkSession, base: str, entities: DataFrame, snapshot_date
                                                       "InstrumentListingSK"))
     fact = build_snapshot(listing, debt, deriv, currency=currency, cfi=cfi, issuer=issuer, venue=venue,
                           instrument=instrument, listing_dim=listing_dim, snapshot_date=snapshot_date)
-    observed, obs = observed_counts(fact, F.col("IssuerSK").isNull(), "fact")
+    # every row of the snapshot is stored: what has no key was kept aside in staging
+    observed, obs = observed_counts(fact, F.col("ISIN").isNull() | F.col("TradingVenueMIC").isNull(), "fact")
     overwrite_partition(observed, f"{base}/fact", "SnapshotDate")
     m = obs.get
     keep_latest(f"{base}/fact", spark, f"{base}/fact_latest")
     end = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     return _ledger(spark, [("run_mart", "fact", "END", start, end, m.get("rows_read"),
-                            m.get("rows_read"), m.get("rows_rejected"), None)])
+                            m.get("rows_read") - m.get("rows_rejected"), m.get("rows_rejected"), None)])
