@@ -9,8 +9,8 @@ makes no hot key; a range holds a bounded share of the hashes.
 
 A word's score, after the longest seen context: count(n-gram) / count(context), or
 for each order dropped ``ALPHA`` times the shorter context's score; an order above
-one is seen if its count is at least ``CUTOFF`` (a rarer n-gram is left out of the
-table), a single word always: its count over all words. Counts cover all rows.
+one is seen if its count is at least ``CUTOFF`` (a rarer n-gram is counted, but
+does not score), a single word always: its count over all words. Counts cover all rows.
 
 Words are runs of ``[^\\x20\\x09-\\x0D]+`` with A-Z lowered; n-grams do not cross
 rows. Rows travel packed (sorted hashes as byte planes of their differences), as
