@@ -284,9 +284,14 @@ def golden(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("CITY_"), F.col("c_nationkey").cast("string")).alias("LegalAddress_City"),
         F.col("r_name").alias("LegalAddress_Region"), F.col("n_name").alias("LegalAddress_Country"),
         F.lpad((F.col("o_custkey") % 100000).cast("string"), 5, "0").alias("LegalAddress_PostalCode"),
+        F.concat(F.lit("HQ "), F.col("o_orderpriority")).alias("HeadquartersAddress_FirstAddressLine"),
+        F.concat(F.lit("CITY_"), (F.col("c_nationkey") + 1).cast("string")).alias("HeadquartersAddress_City"),
         F.col("n_name").alias("HeadquartersAddress_Country"),
+        F.lpad((F.col("o_custkey") * 7 % 100000).cast("string"), 5, "0").alias("HeadquartersAddress_PostalCode"),
         F.col("n_name").alias("LegalJurisdiction"), F.col("c_mktsegment").alias("EntityCategory"),
         F.col("o_orderstatus").alias("EntityStatus"), F.col("o_orderpriority").alias("LegalForm"),
+        F.when(F.col("o_orderkey") % 3 == 0, "STANDALONE").when(F.col("o_orderkey") % 3 == 1, "GROUP")
+        .alias("LegalEntityEvent_1_group_type"),
         reg.alias("InitialRegistrationDate"), F.col("o_orderdate").alias("LastUpdateDate"),
         F.col("o_orderkey").alias("RecordId"),
     )
@@ -295,8 +300,10 @@ def golden(spark: SparkSession, sf_dir: str) -> DataFrame:
 ENTITY_ORDER = ["LastUpdateDate desc", "InitialRegistrationDate desc", "RecordId desc"]
 ISSUER_TRACKED = {"LegalName": "string", "LegalAddress_FirstAddressLine": "string", "LegalAddress_City": "string",
                   "LegalAddress_Region": "string", "LegalAddress_Country": "string",
-                  "LegalAddress_PostalCode": "string", "HeadquartersAddress_Country": "string",
-                  "LegalJurisdiction": "string", "EntityCategory": "string", "EntityStatus": "string",
+                  "LegalAddress_PostalCode": "string", "HeadquartersAddress_FirstAddressLine": "string",
+                  "HeadquartersAddress_City": "string", "HeadquartersAddress_Country": "string",
+                  "HeadquartersAddress_PostalCode": "string", "LegalJurisdiction": "string",
+                  "EntityCategory": "string", "EntityStatus": "string", "LegalEntityEvent_1_group_type": "string",
                   "InitialRegistrationDate": "date", "LastUpdateDate": "timestamp"}
 
 
@@ -419,6 +426,10 @@ SELECT lpad(CAST(o.o_custkey AS VARCHAR), 20, '0') AS LEI, c.c_name AS LegalName
   'ADDR ' || CAST(o.o_custkey AS VARCHAR) AS LegalAddress_FirstAddressLine,
   'CITY_' || CAST(c.c_nationkey AS VARCHAR) AS LegalAddress_City, r.r_name AS LegalAddress_Region,
   n.n_name AS LegalAddress_Country, lpad(CAST(o.o_custkey % 100000 AS VARCHAR), 5, '0') AS LegalAddress_PostalCode,
+  'HQ ' || o.o_orderpriority AS HeadquartersAddress_FirstAddressLine,
+  'CITY_' || CAST(c.c_nationkey + 1 AS VARCHAR) AS HeadquartersAddress_City,
+  lpad(CAST(o.o_custkey * 7 % 100000 AS VARCHAR), 5, '0') AS HeadquartersAddress_PostalCode,
+  CASE o.o_orderkey % 3 WHEN 0 THEN 'STANDALONE' WHEN 1 THEN 'GROUP' END AS LegalEntityEvent_1_group_type,
   n.n_name AS HeadquartersAddress_Country, n.n_name AS LegalJurisdiction, c.c_mktsegment AS EntityCategory,
   o.o_orderstatus AS EntityStatus, o.o_orderpriority AS LegalForm,
   CAST(o.o_orderdate AS DATE) - CAST(o.o_custkey % 400 AS INTEGER) AS InitialRegistrationDate,

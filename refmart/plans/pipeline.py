@@ -2,7 +2,9 @@
 
 Each stage is written (or checkpointed) before the next reads it, so a lost
 executor only recomputes the current stage, and every table is replaced by
-write-then-swap. Row counts come from ``observe`` on the writes themselves.
+write-then-swap. The wide state lies in buckets by key: a delta writes only those
+it touches. The mart's tables are published together, by one manifest that is
+written last. Row counts come from ``observe`` on the writes themselves.
 """
 
 from __future__ import annotations
@@ -14,13 +16,16 @@ from pyspark.sql import functions as F
 
 from ..functions.clean import blank_to_null
 from ..functions.predicates import min_length
-from ..operators.cdc import apply_delta, split_typed, type_instruments
+from ..operators.cdc import KEYS, apply_delta, split_typed, type_instruments
 from ..operators.classify import classify, name_hints
 from ..operators.dims import merge_new_keys, scd2_by_current, scd2_by_version, upsert_dim
-from ..operators.facts import build_snapshot
+from ..operators.facts import build_snapshot, latest_snapshot
 from ..operators.ledger import LEDGER_SCHEMA, observed_counts
 from ..operators.rejects import Rules, file_counts, inserted, stored, write_checked
-from ..sources.sinks import current_version, keep_latest, overwrite_partition, read_current, write_full_refresh
+from ..sources.releases import (BUCKETS, Table, has_state, load_release, publish_release, read_parts, read_released,
+                                update_state, write_state)
+from ..sources.sinks import (current_version, keep_latest, overwrite_partition, publish, read_current,
+                             write_full_refresh)
 
 
 def _ledger(spark: SparkSession, rows: list[tuple]) -> DataFrame:
@@ -48,17 +53,24 @@ def logged(spark: SparkSession, process: str, ledger_path: str | None, body):
     return rows
 
 
-def run_staging(spark: SparkSession, state: DataFrame, delta: DataFrame | None, base: str,
-                ledger_path: str | None = None) -> DataFrame:
+def run_staging(spark: SparkSession, state: DataFrame | None, delta: DataFrame | None, base: str,
+                ledger_path: str | None = None, buckets: int = BUCKETS) -> DataFrame:
     """C14: apply the delta (if any) to the wide state, then rebuild the three
-    sub-type tables; returns the ledger rows: per file of the delta what was read,
+    sub-type tables. Without ``state`` the stored one is taken, and the delta reads
+    and writes only the buckets its keys fall in; a given ``state`` replaces the
+    stored one, in ``buckets`` parts. Returns the ledger rows: per file of the delta what was read,
     inserted and rejected, and per table the row counts before and after. With
     ``ledger_path`` the rows (or an ERROR row) are appended there."""
-    return logged(spark, "run_staging", ledger_path, lambda: _run_staging(spark, state, delta, base))
+    return logged(spark, "run_staging", ledger_path, lambda: _run_staging(spark, state, delta, base, buckets))
 
 
-def _run_staging(spark: SparkSession, state: DataFrame, delta: DataFrame | None, base: str) -> DataFrame:
+def _run_staging(spark: SparkSession, state: DataFrame | None, delta: DataFrame | None, base: str,
+                 buckets: int) -> DataFrame:
     start = _now()
+    version = start.strftime("v%Y%m%dT%H%M%S%f")
+    stored_state = state is None and has_state(spark, f"{base}/state")
+    if state is None and not stored_state:
+        state = read_current(spark, f"{base}/state")      # a state that was stored whole: split from now on
     tables = ["state", "listing", "debt", "derivative"]
     rows = [_counted(spark, base, t, "BEFORE", start) for t in tables]
     if delta is not None:
@@ -69,8 +81,13 @@ def _run_staging(spark: SparkSession, state: DataFrame, delta: DataFrame | None,
         counts = file_counts(stored(spark, f"{base}/delta_load", batch), file).orderBy("file").collect()   # a row per file
         rows += [("run_staging", c.file, "END" if c.rows_inserted or not c.rows_read else "ERROR", start, _now(),
                   c.rows_read, c.rows_inserted, c.rows_rejected, c.reasons) for c in counts]
-        state = apply_delta(state, inserted(spark, f"{base}/delta_load", batch).select(*delta.columns))
-    write_full_refresh(state, f"{base}/state")
+        good = inserted(spark, f"{base}/delta_load", batch).select(*delta.columns)
+        if stored_state:
+            update_state(spark, f"{base}/state", version, good, apply_delta)
+        else:
+            state = apply_delta(state, good)
+    if not stored_state:
+        write_state(state, f"{base}/state", version, KEYS, buckets)
     state = read_current(spark, f"{base}/state")
     typed = type_instruments(state)
     for name, df in split_typed(typed).items():
@@ -95,13 +112,22 @@ def _counted(spark: SparkSession, base: str, table: str, phase: str, start: _dt.
 def run_mart(spark: SparkSession, base: str, entities: DataFrame, snapshot_date: str,
              name_rules: tuple | None = None, ledger_path: str | None = None) -> DataFrame:
     """C15: dimensions in the fixed order (classification, currency, issuer,
-    venue, instrument, listing), then the day's fact (partition overwrite) and
-    the latest copy. Skipped (ledger SKIP row) when staging is empty (AGG16).
+    venue, instrument, listing), then the day's fact and the latest copy. All are
+    written aside and published together: ``read_mart`` gives the tables of one
+    release, the old one until the whole load is there; a load that fails leaves it
+    as it was. Afterwards the plain folders (a version per dimension, ``fact`` by
+    partition overwrite, ``fact_latest``) follow, for readers of single tables. Skipped (ledger SKIP row) when staging is empty (AGG16).
     With ``ledger_path`` the ledger rows (or an ERROR row) are appended there."""
     return logged(spark, "run_mart", ledger_path,
                   lambda: _run_mart(spark, base, entities, snapshot_date, name_rules))
 
 
+def read_mart(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """A table (``cfi``, ``currency``, ``issuer``, ``venue``, ``instrument``, ``listing_dim``, ``fact``,
+    ``fact_latest``) of the mart's current release."""
+    return read_released(spark, base, name)
+
+
 def _run_mart(spark: SparkSession, base: str, entities: DataFrame, snapshot_date: str,
               name_rules: tuple | None = None) -> DataFrame:
     from ..plans.warehouse import enriched, enrichment, instrument_source, issuer_source, listing_source
@@ -112,14 +138,22 @@ def _run_mart(spark: SparkSession, base: str, entities: DataFrame, snapshot_date
     if listing.limit(1).count() == 0:
         return _ledger(spark, [("run_mart", None, "SKIP", start, start, 0, 0, 0, "staging empty")])
 
+    version = start.strftime("v%Y%m%dT%H%M%S%f")
+    release = load_release(spark, base)
+    loaded = []
+
     def current(name: str, empty_like: DataFrame) -> DataFrame:
+        if name in release:
+            return read_parts(spark, base, release[name])
         if current_version(spark, f"{base}/{name}") is None:    # first load; read errors are raised
             return empty_like
         return read_current(spark, f"{base}/{name}")
 
     def save(name: str, df: DataFrame) -> DataFrame:
-        write_full_refresh(df, f"{base}/{name}")
-        return read_current(spark, f"{base}/{name}")
+        df.write.mode("overwrite").parquet(f"{base}/{name}/{version}")
+        release[name] = Table(df.schema, {"all": f"{name}/{version}"})
+        loaded.append(name)
+        return read_parts(spark, base, release[name])
 
     empty_kv = lambda k, sk: spark.createDataFrame([], f"{k} STRING, {sk} BIGINT")
     cfi_src = listing.filter(F.col("CFI").isNotNull() & min_length("CFI", 2))
@@ -151,8 +185,17 @@ def _run_mart(spark: SparkSession, base: str, entities: DataFrame, snapshot_date
                           instrument=instrument, listing_dim=listing_dim, snapshot_date=snapshot_date)
     # every row of the snapshot is stored: what has no key was kept aside in staging
     observed, obs = observed_counts(fact, F.col("ISIN").isNull() | F.col("TradingVenueMIC").isNull(), "fact")
-    overwrite_partition(observed, f"{base}/fact", "SnapshotDate")
+    observed.write.mode("overwrite").parquet(f"{base}/fact_days/{version}")
     m = obs.get
+    days = release["fact"].parts if "fact" in release else {}
+    release["fact"] = Table(fact.schema, {**days, str(snapshot_date): f"fact_days/{version}"})
+    last = max(release["fact"].parts)
+    release["fact_latest"] = Table(latest_snapshot(fact).schema, {last: release["fact"].parts[last]})
+    publish_release(spark, base, version, release)
+    for name in loaded:
+        publish(spark, f"{base}/{name}", version)
+    day = read_parts(spark, base, release["fact"], [str(snapshot_date)])
+    overwrite_partition(day, f"{base}/fact", "SnapshotDate")
     keep_latest(f"{base}/fact", spark, f"{base}/fact_latest")
     end = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     return _ledger(spark, [("run_mart", "fact", "END", start, end, m.get("rows_read"),

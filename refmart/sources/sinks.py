@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CURRENT = "_current"     # folder of pointers: one small file per published version
+MANIFEST = "_manifest"   # folder of manifests: what a version that is made of parts consists of (releases)
 
 
 def publish(spark: SparkSession, base: str, version: str) -> None:
@@ -51,10 +52,14 @@ def write_full_refresh(df: DataFrame, base: str, version: str | None = None) ->
 
 
 def read_current(spark: SparkSession, base: str) -> DataFrame:
-    """Read the version a full refresh made current."""
+    """Read the version that a full refresh, or a load of some of a state's buckets, made current."""
+    from ..session import path_exists
     version = current_version(spark, base)
     if version is None:
         raise FileNotFoundError(f"no version was published under {base}")
+    if path_exists(spark, f"{base}/{MANIFEST}/{version}"):
+        from .releases import read_state
+        return read_state(spark, base, version)
     return spark.read.parquet(f"{base}/{version}")
 
 

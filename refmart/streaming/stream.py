@@ -15,14 +15,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.cdc import apply_delta
-from ..sources.sinks import append_batch, current_version, write_full_refresh
+from ..operators.cdc import KEYS, apply_delta
+from ..sources.releases import BUCKETS, update_state, write_state
+from ..sources.sinks import append_batch, current_version, read_current, write_full_refresh
 from ..sources.text import read_quote_files
 
 
-def apply_delta_batch(state_dir: str, initial_state: DataFrame | None = None, stream: str = "delta"):
+def apply_delta_batch(state_dir: str, initial_state: DataFrame | None = None, stream: str = "delta",
+                      buckets: int | None = None):
     """``foreachBatch`` body for STR1: state + delta batch -> next state.
 
+    With ``buckets`` the state lies in that many parts by a hash of its key, and a
+    batch reads and writes only the parts its keys fall in; without, each batch
+    writes a whole new version.
+
     A published version names the stream (its checkpoint) and batch it holds, so
     a batch replayed by the same stream is skipped, while a stream with a new
     checkpoint, whose batch ids start again, goes on from the current state."""
@@ -35,21 +41,28 @@ def apply_delta_batch(state_dir: str, initial_state: DataFrame | None = None, st
             of, done = cur.split("-")[:2]
             if of == run_of and int(done) >= batch_id:
                 return
-        state = spark.read.parquet(f"{state_dir}/{cur}") if cur else initial_state
-        write_full_refresh(apply_delta(state, batch), state_dir, f"{run_of}-{batch_id:012d}")
+        version = f"{run_of}-{batch_id:012d}"
+        if buckets is None:
+            state = read_current(spark, state_dir) if cur else initial_state
+            write_full_refresh(apply_delta(state, batch), state_dir, version)
+            return
+        if cur is None:
+            write_state(initial_state, state_dir, "initial-000000000000", KEYS, buckets)
+        update_state(spark, state_dir, version, batch, apply_delta)
     return run
 
 
 def stream_delta(spark: SparkSession, source_dir: str, state_dir: str, checkpoint: str, schema,
                  initial_state: DataFrame, fmt: str = "parquet", options: dict | None = None,
-                 available_now: bool = True) -> StreamingQuery:
+                 available_now: bool = True, buckets: int | None = BUCKETS) -> StreamingQuery:
     """STR1: delta files as a stream; C1 applied per micro-batch (exactly once).
 
     ``fmt`` may be ``xml`` (with ``rowTag``) or the Parquet/CSV hand-off."""
     reader = spark.readStream.format(fmt).schema(schema)
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
-    w = reader.load(source_dir).writeStream.foreachBatch(apply_delta_batch(state_dir, initial_state, checkpoint)) \
+    w = reader.load(source_dir).writeStream.foreachBatch(
+        apply_delta_batch(state_dir, initial_state, checkpoint, buckets)) \
         .option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 minutes")
     return w.start()
@@ -57,7 +70,7 @@ def stream_delta(spark: SparkSession, source_dir: str, state_dir: str, checkpoin
 
 def stream_delta_xml(spark: SparkSession, source_dir: str, state_dir: str, checkpoint: str,
                      initial_state: DataFrame, max_files_per_trigger: int = 100,
-                     available_now: bool = True) -> StreamingQuery:
+                     available_now: bool = True, buckets: int | None = BUCKETS) -> StreamingQuery:
     """STR1 on the delta XML files themselves: records stream as text cut at their end
     tag; each micro-batch reads the header of just its own files (at most
     ``max_files_per_trigger`` paths) and then applies C1 exactly once."""
@@ -65,7 +78,7 @@ def stream_delta_xml(spark: SparkSession, source_dir: str, state_dir: str, check
     pieces = (spark.readStream.option("lineSep", "</FinInstrm>").option("maxFilesPerTrigger", max_files_per_trigger)
               .text(source_dir))
     recs = parsed_records(pieces, "FinInstrm", DELTA_SCHEMA)
-    apply = apply_delta_batch(state_dir, initial_state, checkpoint)
+    apply = apply_delta_batch(state_dir, initial_state, checkpoint, buckets)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         paths = [r[0] for r in batch.select("SourceFilePath").distinct().collect()]  # <= max_files_per_trigger
