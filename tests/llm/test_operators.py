@@ -11,6 +11,7 @@ import duckdb
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from refmart.llm.oracle import ORACLE
 from refmart.llm import (common, op1_training_order, op2_quality, op3_sentencepiece, op4_suffix_dedup, op5_pii,
@@ -93,6 +94,44 @@ def test_permutation(ids, most):
         assert (out != op1_training_order.Order(0, ids, most, 5).permute(np.arange(plan.size))).any()
 
 
+@pytest.mark.parametrize("lowest,ids,most,copies", [(0, 100, 13, 5), (-2**62, 2**63, 4, 1), (-2**63, 2**64, 4000, 1 << 20)])
+def test_permutation_of_wide_ids(lowest, ids, most, copies):
+    """Ids spread over all 64 bits: numbers beyond a long stay whole, distinct and inside the domain."""
+    plan = op1_training_order.Order(lowest, ids, most, 4, copies)
+    rng = random.Random(3)
+    numbers = sorted({plan.number(rng.choice([None, rng.randrange(lowest, lowest + ids)]), rng.randrange(most),
+                                  rng.randrange(copies)) for _ in range(3000)} | {0, plan.size - 1})
+    out = [int(x) for x in plan.permute(numbers)]
+    assert len(set(out)) == len(numbers) and 0 <= min(out) and max(out) < plan.size
+    assert abs(sum(x * 2 > plan.size for x in out) / len(out) - 0.5) < 0.1        # spread over the domain
+    top, low = plan.split(numbers)
+    assert [(int(t) << plan.shift) | int(x) for t, x in zip(top, low)] == out and top.min() >= 0
+
+
+def test_training_order_of_hashed_null_and_repeated_ids(spark):
+    """Hashed ids; a third of the rows without an id, a third with one id and text: whole, and in no one shard."""
+    ids = spark.range(0, 3000, 1, 4)
+    docs = ids.select(
+        F.when(F.col("id") % 3 == 0, F.xxhash64("id")).when(F.col("id") % 3 == 1, F.lit(7)).alias("doc_id"),
+        F.when(F.col("id") % 3 == 1, F.lit(NOTE)).otherwise(F.concat(F.lit("row "), F.col("id").cast("string"))).alias("text"))
+    path = common.shared_path(spark, "t1")
+    op1_training_order.write(docs, path, key=3, shard_text=6000, copies=1 << 12)
+    out = op1_training_order.read(spark, path, True)
+    rows = sorted(out.collect(), key=lambda r: r.slot)
+    bpe = op1_training_order.Encoder().bpe
+    want = Counter((r.doc_id, *bpe.encode_ordinary(r.text), op1_training_order.END) for r in docs.collect())
+    assert Counter((r.doc_id, *r.ids) for r in rows) == want
+    assert [r.slot for r in rows] == list(range(3000))
+    shards = Counter(r.shard for r in rows)
+    assert len(shards) > 10 and max(shards.values()) < 2 * 3000 / len(shards)
+    for kind in (None, 7):      # neither the rows without an id nor the repeats lie together
+        assert 0.25 < sum(r.doc_id == kind for r in rows[:1000]) / 1000 < 0.42
+    # a run resumes at any slot
+    for slot in (0, 1, 1234, 2999, 3000, 9999):
+        rest = op1_training_order.read(spark, path, True, from_slot=slot).collect()
+        assert sorted(rest, key=lambda r: r.slot) == rows[slot:]
+
+
 # --- 2: quality rules
 
 def test_quality_rules(odd, odd_rows, empty):
