@@ -1,12 +1,18 @@
 """WARC archives with revisit resolution.
 
-Headers (id, digest, size) are shuffled by payload digest and reduced to the
-smallest page id of each repeated payload; pages then join that table (repeated
-payloads only), so most payloads are written where they were read. Archives are
+Headers (id, url, digest, size) are written once, shuffled by payload digest and
+reduced to the smallest page id of each repeated payload; joined back to the headers
+they give the revisit records, which need no payload. Payloads stay where they are
+read: a row whose key is not in a bitmap of the revisits' keys (``BITS`` bits, so at
+most 8.4 MB are broadcast at any size of the input) is a response for sure and is
+written from its scan. Rows that only share a bit with a revisit are found among the
+headers by an anti-join, and those alone carry their payloads through a join; with
+many more revisits than bits all rows would, with the same result. Archives are
 written by Spark's own writer (gzip, any Hadoop file system, its commit protocol),
-one WARC/1.1 record per page with fresh headers: the first record of a payload is
-the response, the others are revisit records without the payload. Reading streams
-each archive, and joins revisits to their responses.
+one WARC/1.1 record per page with fresh headers (its own id, length and digest, and
+the date of writing): the first record of a payload is the response, the others are
+revisit records without the payload. Reading streams each archive, and joins revisits
+to their responses.
 
 Defined results: a null html is an empty payload (a response or revisit like any
 other of at least ``min_bytes``); a null url is empty; rows repeated with the same
@@ -20,6 +26,7 @@ one that ends inside a member or a record is an error.
 from __future__ import annotations
 
 import base64
+import datetime as dt
 import hashlib
 import re
 import zlib
@@ -28,11 +35,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_path
+from .common import shared_path, written
 
 MIN_BYTES = 0              # smaller payloads are always stored in full
 RECORDS_PER_FILE = 50_000  # bounds an archive file
-DATE = "1970-01-01T00:00:00Z"   # the pages carry no capture time
+BITS = 1 << 26             # bits of a bitmap of row keys
 CHUNK = 1 << 20
 INPUT = 1 << 16
 
@@ -50,25 +57,60 @@ def digest(payload: Column) -> Column:
     return F.translate(F.concat(*groups), _DIGITS, _BASE32)
 
 
+def _bit(rows: DataFrame) -> Column:
+    return F.pmod(F.xxhash64(rows["page_id"], rows["digest"]), F.lit(BITS))
+
+
+def _bitmap(rows: DataFrame) -> DataFrame:
+    """(slot, bitmap): the keys of ``rows`` as at most BITS / 32768 + 1 rows of 4096 bytes."""
+    h = _bit(rows)
+    return rows.groupBy(F.bitmap_bucket_number(h).alias("slot")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(h)).alias("bitmap"))
+
+
+def _tested(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """``rows`` with ``hit``: whether a row's bit is set in the bitmap of ``keys``."""
+    bits = _bitmap(keys)
+    h = _bit(rows)
+    at = F.bitmap_bit_position(h)
+    out = rows.join(F.broadcast(bits), F.bitmap_bucket_number(h) == bits["slot"], "left")
+    byte = F.conv(F.hex(F.substring(bits["bitmap"], (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    set_there = byte.bitwiseAND(F.pow(F.lit(2), at % 8).cast("int")) != 0
+    return out.select(*[rows[c] for c in rows.columns], F.coalesce(set_there, F.lit(False)).alias("hit"))
+
+
 def resolve(pages: DataFrame, min_bytes: int = MIN_BYTES, id_col: str = "page_id", url_col: str = "url",
             payload_col: str = "html") -> DataFrame:
-    """(page_id, url, payload, digest, size, record_type, refers_to) of every row."""
+    """(page_id, url, payload, digest, size, record_type, refers_to) of every row; a revisit has no payload."""
     rec = pages.select(F.col(id_col).alias("page_id"), F.coalesce(F.col(url_col), F.lit("")).alias("url"),
                        F.coalesce(F.col(payload_col), F.lit("")).alias("payload"))
     rec = rec.withColumn("digest", digest(F.col("payload"))).withColumn(
         "size", F.octet_length("payload").cast("long"))
-    heads = rec.where(F.col("size") >= min_bytes).select("page_id", "digest")
-    firsts = heads.groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
+    heads = written(rec.select("page_id", "url", "digest", "size"), "warc-heads")
+    long = heads.where(F.col("size") >= min_bytes)
+    firsts = long.groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
     firsts = firsts.where("n > 1 and first_id is not null").select("digest", "first_id")
-    rec = rec.join(firsts, "digest", "left")
-    revisit = (F.col("size") >= min_bytes) & F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(
-        F.col("first_id"))
-    return rec.select("page_id", "url", "payload", "digest", "size",
-                      F.when(revisit, "revisit").otherwise("response").alias("record_type"),
-                      F.when(revisit, F.col("first_id")).alias("refers_to"))
+    revisits = written(long.join(firsts, "digest").where(~F.col("page_id").eqNullSafe(F.col("first_id"))).select(
+        "page_id", "url", "digest", "size", F.col("first_id").alias("refers_to")), "warc-revisits")
+    in_place = _tested(rec, revisits)
+    # rows that share a revisit's bit without being one; a key is the same kind of record in all its rows
+    keys = revisits.select(F.col("page_id").alias("r_id"), F.col("digest").alias("r_digest"))
+    alike = _tested(heads, revisits).where("hit").select("page_id", "digest").distinct()
+    alike = written(alike.join(keys, alike["page_id"].eqNullSafe(keys["r_id"]) & (alike["digest"] == keys["r_digest"]),
+                               "left_anti"), "warc-alike")
+    near = _tested(in_place.where("hit").drop("hit"), alike).where("hit")
+    near = near.join(alike, near["page_id"].eqNullSafe(alike["page_id"]) & (near["digest"] == alike["digest"]), "left_semi")
+    columns = ["page_id", "url", "payload", "digest", "size", "record_type", "refers_to"]
+    id_type = rec.schema["page_id"].dataType
+
+    def responses(rows: DataFrame) -> DataFrame:
+        return rows.withColumns({"record_type": F.lit("response"), "refers_to": F.lit(None).cast(id_type)}).select(*columns)
+
+    return responses(in_place.where("not hit")).unionByName(responses(near)).unionByName(
+        revisits.withColumns({"record_type": F.lit("revisit"), "payload": F.lit(None).cast("string")}).select(*columns))
 
 
-def _record(r: dict[str, Column]) -> Column:
+def _record(r: dict[str, Column], date: str) -> Column:
     """One record without its closing blank lines (the writer's separator)."""
     number = F.coalesce(r["page_id"].cast("string"), F.lit(""))
     http = F.concat(F.lit(_HTTP), r["size"].cast("string"), F.lit("\r\n\r\n"))
@@ -77,7 +119,7 @@ def _record(r: dict[str, Column]) -> Column:
     first = r["refers_to"].cast("string")
     head = F.concat(
         F.lit("WARC/1.1\r\nWARC-Type: "), r["record_type"],
-        F.lit("\r\nWARC-Record-ID: <urn:page:"), number, F.lit(">\r\nWARC-Date: " + DATE),
+        F.lit("\r\nWARC-Record-ID: <urn:page:"), number, F.lit(f">\r\nWARC-Date: {date}"),
         F.lit("\r\nWARC-Target-URI: "), F.regexp_replace(r["url"], r"[\r\n]", " "),
         F.lit("\r\nWARC-Payload-Digest: sha1:"), r["digest"],
         F.when(revisit, F.concat(F.lit(f"\r\nWARC-Profile: {_PROFILE}\r\nWARC-Refers-To: <urn:page:"), first,
@@ -87,10 +129,11 @@ def _record(r: dict[str, Column]) -> Column:
     return F.concat(head, block)
 
 
-def write(records: DataFrame, path: str) -> None:
-    """Write resolved records as gzip archives under ``path``."""
+def write(records: DataFrame, path: str, date: str | None = None) -> None:
+    """Write resolved records as gzip archives under ``path``, dated ``date`` (ISO 8601 in UTC; now if not given)."""
+    date = date or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
     cols = {c: F.col(c) for c in records.columns}
-    (records.select(_record(cols).alias("value")).write.option("lineSep", "\r\n\r\n")
+    (records.select(_record(cols, date).alias("value")).write.option("lineSep", "\r\n\r\n")
      .option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path))
 
 

@@ -356,6 +356,35 @@ def test_warc_round_trip(spark):
     assert op6_warc.warc_query(none).count() == 0
 
 
+@pytest.mark.parametrize("bits", [1, 64, 1 << 20])
+def test_warc_rows_that_share_a_bit(spark, monkeypatch, bits):
+    """However many rows share a bit with a revisit (with one bit: all), each is told apart by its key."""
+    monkeypatch.setattr(op6_warc, "BITS", bits)
+    rng = random.Random(8)
+    rows = [(rng.choice([None, rng.randrange(400)]) if n % 9 == 0 else 1000 + n, f"http://x/{n}",
+             rng.choice(["hot", f"body {rng.randrange(90)}", f"own {n}"])) for n in range(600)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    first = {}
+    for i, _, h in rows:
+        if i is not None:
+            first[h] = min(i, first.get(h, i))
+    want = Counter((i, u, None if (r := first.get(h, i) != i) else h, len(h), "revisit" if r else "response",
+                    first[h] if r else None) for i, u, h in rows)
+    out = op6_warc.resolve(pages).select("page_id", "url", "payload", "size", "record_type", "refers_to")
+    assert Counter(tuple(r) for r in out.collect()) == want
+    assert len({k[4] for k in want}) == 2
+
+
+def test_warc_payloads_stay_where_they_are_read(spark):
+    """No exchange carries the payloads of rows that share no bit with a revisit."""
+    pages = spark.range(50).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.concat(
+        F.lit("body "), (F.col("id") % 40).cast("string")).alias("html"))
+    text = op6_warc.resolve(pages)._jdf.queryExecution().executedPlan().toString()
+    union = text[text.index("Union"):]
+    branch = union[:union.index("LeftSemi")]
+    assert "SortMergeJoin" not in branch and "BroadcastHashJoin" in branch
+
+
 def test_archives_of_many_members(spark, tmp, monkeypatch):
     import gzip
     import os
