@@ -107,7 +107,8 @@ def upsert_dim(dim: DataFrame, src: DataFrame, key: str, sk: str, tracked: dict[
 
 # --------------------------------------------------------------------- C3
 def scd2_by_current(dim: DataFrame, src: DataFrame, keys: list[str], tracked: dict[str, str], sk: str,
-                    vf: str = "ValidFromDate", vt: str = "ValidToDate", cur: str = "IsCurrent") -> DataFrame:
+                    vf: str = "ValidFromDate", vt: str = "ValidToDate", cur: str = "IsCurrent",
+                    top: int | None = None) -> DataFrame:
     """C3: type-2 load "close, then insert if no current row".
 
     * a current row whose tracked columns differ from the source is closed at
@@ -116,7 +117,9 @@ def scd2_by_current(dim: DataFrame, src: DataFrame, keys: list[str], tracked: di
       ``IsCurrent = (ValidTo IS NULL)``.
 
     ``src`` holds one row per key. Historic (non-current) rows pass through
-    without joining; the current rows and the source meet in one full join.
+    without joining; the current rows and the source meet in one full join. A ``dim``
+    of the current rows alone gives what becomes of them (``sources.history``); ``top``
+    is then the largest key given so far.
     """
     cols = list(tracked)
     hist = dim.filter(~F.coalesce(F.col(cur), F.lit(False)))    # a NULL flag is not current
@@ -140,7 +143,8 @@ def scd2_by_current(dim: DataFrame, src: DataFrame, keys: list[str], tracked: di
     from ..session import cut_lineage
     rows = cut_lineage(rows, "scd2")
     kept = rows.filter(F.col(sk).isNotNull())
-    new = assign_keys(rows.filter(F.col(sk).isNull()).drop(sk), keys + [vf], sk, _max_key(dim, sk))
+    new = assign_keys(rows.filter(F.col(sk).isNull()).drop(sk), keys + [vf], sk,
+                      _max_key(dim, sk) if top is None else F.lit(top))
     return hist.select(*kept.columns).unionByName(kept).unionByName(new.select(*kept.columns))
 
 

@@ -10,6 +10,7 @@ written last. Row counts come from ``observe`` on the writes themselves.
 from __future__ import annotations
 
 import datetime as _dt
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,8 +23,9 @@ from ..operators.dims import merge_new_keys, scd2_by_current, scd2_by_version, u
 from ..operators.facts import build_snapshot, latest_snapshot
 from ..operators.ledger import LEDGER_SCHEMA, observed_counts
 from ..operators.rejects import Rules, file_counts, inserted, stored, write_checked
-from ..sources.releases import (BUCKETS, Table, has_state, load_release, publish_release, read_parts, read_released,
-                                update_state, write_state)
+from ..sources.history import CURRENT_PART, load_current
+from ..sources.releases import (BUCKETS, STATE, Table, has_state, load_release, publish_release, read_parts,
+                                read_released, update_state, write_state)
 from ..sources.sinks import (current_version, keep_latest, overwrite_partition, publish, read_current,
                              write_full_refresh)
 
@@ -178,9 +180,13 @@ def _run_mart(spark: SparkSession, base: str, entities: DataFrame, snapshot_date
     lst_src = listing_source(listing)
     lst_empty = spark.createDataFrame([], lst_src.schema).withColumn("InstrumentListingSK", F.lit(None).cast("long")) \
         .withColumn("IsCurrent", F.lit(None).cast("boolean"))
-    listing_dim = save("listing_dim", scd2_by_current(current("listing_dim", lst_empty), lst_src,
-                                                      ["ISIN", "TradingVenueMIC"], LISTING_TRACKED,
-                                                      "InstrumentListingSK"))
+    # only current rows are read and written; what was closed by earlier loads stays where it is
+    release["listing_dim"] = load_current(
+        spark, base, f"listing_dim/{version}", release.get("listing_dim"),
+        lst_empty if "listing_dim" in release else current("listing_dim", lst_empty), "InstrumentListingSK",
+        lambda dim, top: scd2_by_current(dim, lst_src, ["ISIN", "TradingVenueMIC"], LISTING_TRACKED,
+                                         "InstrumentListingSK", top=top))
+    listing_dim = read_parts(spark, base, release["listing_dim"], [CURRENT_PART])
     fact = build_snapshot(listing, debt, deriv, currency=currency, cfi=cfi, issuer=issuer, venue=venue,
                           instrument=instrument, listing_dim=listing_dim, snapshot_date=snapshot_date)
     # every row of the snapshot is stored: what has no key was kept aside in staging
@@ -194,6 +200,9 @@ def _run_mart(spark: SparkSession, base: str, entities: DataFrame, snapshot_date
     publish_release(spark, base, version, release)
     for name in loaded:
         publish(spark, f"{base}/{name}", version)
+    part = release["listing_dim"]
+    below = {k: p.removeprefix("listing_dim/") for k, p in part.parts.items()}
+    publish_release(spark, f"{base}/listing_dim", version, {STATE: replace(part, parts=below)})
     day = read_parts(spark, base, release["fact"], [str(snapshot_date)])
     overwrite_partition(day, f"{base}/fact", "SnapshotDate")
     keep_latest(f"{base}/fact", spark, f"{base}/fact_latest")

@@ -14,7 +14,7 @@ from ..operators.joins import left_join_latest
 from ..operators.windows import dedup_latest
 from . import fixtures as fx
 from . import warehouse as wh
-from .catalog import register
+from .catalog import ORACLE, register
 from .fixtures import sql_with
 
 
@@ -210,6 +210,24 @@ def c3_scd2_by_current(spark, d):
                       "InstrumentListingSK")
 
 
+def c3_scd2_history(spark, d):
+    """C3 with the history left alone: the dimension as a current part and history parts, the load over the
+    current part only, all parts read back."""
+    from ..session import ensure_checkpoint_dir
+    from ..sources.history import load_current
+    from ..sources.releases import read_parts
+    dim, new = fx.listing_pair(spark, d)
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/listing-{uuid.uuid4().hex}"
+    keep = load_current(spark, base, "v0", None, dim, "InstrumentListingSK", lambda rows, top: rows)
+    table = load_current(spark, base, "v1", keep, dim, "InstrumentListingSK", lambda rows, top: scd2_by_current(
+        rows, new, ["ISIN", "TradingVenueMIC"], _LT, "InstrumentListingSK", top=top))
+    return read_parts(spark, base, table).select("ISIN", "TradingVenueMIC", *_LCOLS, "ValidFromDate", "ValidToDate",
+                                                 "IsCurrent", "InstrumentListingSK")
+
+
+register("c3_scd2_history", ORACLE["c3_scd2_by_current"])(c3_scd2_history)
+
+
 # ----------------------------------------------------------------- C4 / JOI5
 _IT = fx.INSTRUMENT_TRACKED
 _ICOLS = list(_IT)

@@ -32,11 +32,13 @@ _ROWS = "table STRING, part STRING, path STRING, info STRING"
 
 @dataclass
 class Table:
-    """A table of a release: its schema, its parts' folders (below the base) and, of buckets, number and key."""
+    """A table of a release: its schema, its parts' folders (below the base), of buckets their number and key,
+    of a dimension the largest surrogate key given."""
     schema: StructType
     parts: dict[str, str] = field(default_factory=dict)
     buckets: int | None = None
     keys: list[str] | None = None
+    top: int | None = None
 
 
 Release = dict[str, Table]
@@ -46,7 +48,7 @@ def publish_release(spark: SparkSession, base: str, version: str, release: Relea
     """Write the manifest, then the pointer that makes it current."""
     rows = []
     for name, t in release.items():
-        info = json.dumps({"schema": t.schema.jsonValue(), "buckets": t.buckets, "keys": t.keys})
+        info = json.dumps({"schema": t.schema.jsonValue(), "buckets": t.buckets, "keys": t.keys, "top": t.top})
         rows.append((name, None, None, info))
         rows += [(name, part, path, None) for part, path in t.parts.items()]
     spark.createDataFrame(rows, _ROWS).coalesce(1).write.mode("overwrite").parquet(f"{base}/{MANIFEST}/{version}")
@@ -63,7 +65,7 @@ def load_release(spark: SparkSession, base: str, version: str | None = None) ->
     for r in rows:
         if r.part is None:
             info = json.loads(r.info)
-            out[r.table] = Table(StructType.fromJson(info["schema"]), {}, info["buckets"], info["keys"])
+            out[r.table] = Table(StructType.fromJson(info["schema"]), {}, info["buckets"], info["keys"], info.get("top"))
     for r in rows:
         if r.part is not None:
             out[r.table].parts[r.part] = r.path

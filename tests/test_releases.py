@@ -143,3 +143,36 @@ def test_the_mart_is_published_as_one(spark, tmp, monkeypatch):
     inst = pipeline.read_mart(spark, tmp, "instrument")
     assert fact.join(inst, "InstrumentSK", "left_anti").filter("InstrumentSK IS NOT NULL").count() == 0
     assert inst.count() > counts["instrument"]
+
+
+def test_loads_leave_the_history_alone(spark, tmp):
+    """Three loads by parts equal three loads of the whole dimension; no load reads or rewrites a closed row."""
+    from refmart.operators.dims import scd2_by_current
+    from refmart.sources.history import CURRENT_PART, load_current
+    from refmart.sources.releases import read_parts
+    src = "k STRING, v STRING, ValidFromDate DATE, ValidToDate DATE"
+    whole = spark.createDataFrame([("a", "0", None, None, True, 1), ("b", "0", None, None, False, 2), ("c", "0", None, None, None, 3)],
+                                  src + ", IsCurrent BOOLEAN, sk LONG")
+    loads = [[("a", "1", "2024-01-02", None), ("d", "1", "2024-01-02", None), ("e", "1", "2024-01-02", "2024-01-09")],
+             [("a", "1", "2024-02-02", None), ("d", "2", "2024-02-02", None), ("b", "2", "2024-02-02", None)],
+             [], [("a", "3", "2024-03-02", None), ("e", "3", "2024-03-02", None)]]
+    table, seen = None, {}
+    for n, rows in enumerate(loads):
+        s = spark.createDataFrame(rows, "k STRING, v STRING, f STRING, t STRING").selectExpr(
+            "k", "v", "to_date(f) AS ValidFromDate", "to_date(t) AS ValidToDate")
+        read = []
+
+        def load(dim, top, s=s):
+            read.append(dim.filter("NOT coalesce(IsCurrent, false)").count())
+            return scd2_by_current(dim, s, ["k"], {"v": "string"}, "sk", top=top)
+
+        table = load_current(spark, tmp, f"dim/v{n}", table, whole, "sk", load)
+        whole = scd2_by_current(whole, s, ["k"], {"v": "string"}, "sk")
+        got = read_parts(spark, tmp, table).select(*whole.columns)
+        assert got.exceptAll(whole).count() == 0 and whole.exceptAll(got).count() == 0
+        assert read == [0] and table.top == whole.agg(F.max("sk")).first()[0]
+        assert read_parts(spark, tmp, table, [CURRENT_PART]).filter("NOT IsCurrent").count() == 0
+        history = {p: table.parts[p] for p in table.parts if p != CURRENT_PART}
+        assert all(history[p] == seen[p] for p in seen)
+        seen = history
+    assert len(seen) == 3       # the load without rows closed nothing
