@@ -17,8 +17,9 @@ rows. Rows travel packed (sorted hashes as byte planes of their differences), as
 the exploded rows would be several times the input.
 
 Defined results: a null, empty or blank text has no words, score 0 and a null mean;
-repeated rows count and score each; null ids are kept; an empty table gives an
-empty result; other columns are ignored.
+repeated rows count and score each; null ids are kept; texts of any length are
+counted and scored whole; an empty table gives an empty result; other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations

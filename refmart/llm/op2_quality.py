@@ -7,8 +7,8 @@ text again: it is bitwise work on the ledger's distinct bit patterns.
 
 Defined results: a null or empty text has no words (all measurements 0) and fails
 the word-count rule; repeated rows and null ids are measured row by row, as they
-stand; an empty table gives an empty ledger; other columns are ignored
-(``ledger``) or kept (``apply_policy``).
+stand; texts of any length are measured whole; an empty table gives an empty ledger;
+other columns are ignored (``ledger``) or kept (``apply_policy``), whatever their names.
 """
 
 from __future__ import annotations

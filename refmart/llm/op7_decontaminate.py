@@ -11,8 +11,10 @@ window of its own length.
 
 Defined results: null and empty texts have no words and are never contaminated;
 items without words match nothing; repeated rows (documents or items) each get
-their own result, and a null doc_id is a key like any other; an empty benchmark
-leaves everything clean; further columns are kept by ``remove``.
+their own result, and a null doc_id is a key like any other; texts of any length are
+scanned whole; an empty benchmark leaves everything clean, an empty table gives an
+empty result; further columns are kept by ``remove`` and else ignored, whatever their
+names.
 """
 
 from __future__ import annotations

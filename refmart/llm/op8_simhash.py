@@ -15,7 +15,9 @@ one edge per member), never all pairs. Components are joined up relationally.
 Defined results: a null or empty text has fingerprint zero (linked like any
 other); repeated rows share a fingerprint and hence a component; null ids join
 the component of their fingerprint and never name it (a component of null ids
-only has a null id); an empty table gives an empty result.
+only has a null id); texts of any length are shingled whole; an empty table gives an
+empty result; further columns are kept by ``keep_one`` and else ignored, whatever
+their names.
 """
 
 from __future__ import annotations
