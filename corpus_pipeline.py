@@ -9,6 +9,12 @@ before it kept, and calls one operator of ``refmart.llm``.
 
 All but the last return the columns of their input. Stages 4 and 5 are no SQL, so
 ``ORACLE_SQL`` is None; tests/llm holds the run against a brute-force version.
+
+Defined results: null, empty and blank texts have too few words and go in stage 1; of
+rows that are repeated, or near copies, one stays (the smallest doc_id, then the
+smallest text hash; a null doc_id ranks last); texts of any length go through whole;
+nulls in other columns and columns of any name are carried along; an empty table gives
+an empty result.
 """
 
 from __future__ import annotations
