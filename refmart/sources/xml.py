@@ -2,7 +2,8 @@
 
 A document is read as text with the record's end tag as line separator, so one file of a
 million records is split into byte ranges that many tasks read, each record whole in one of
-them; ``from_xml`` parses it under the declared schema (no inference pass, one scan). The
+them (a compressed file is read by one task: write many of bounded size); ``from_xml`` parses it
+once under the declared schema (no inference pass, one scan). The
 header element stands before the first record: it is taken from a bounded prefix of each
 file, read by a pool of threads, and joined back on the file's path -- one row per file,
 broadcast by AQE. A record that is malformed, has no end, or is not ended by its plain end
@@ -71,15 +72,23 @@ def parsed_records(pieces: DataFrame, tag: str, schema: str) -> DataFrame:
     whole = F.when(again, F.raise_error(F.concat(F.lit(f"{tag} without its end tag in "), "SourceFilePath"))) \
         .otherwise(F.concat("xml", F.lit(f"</{tag}>")))
     parsed = F.from_xml(whole, schema, {"ignoreNamespace": "true", "mode": "FAILFAST"})
-    return text.where("xml <> ''").select(parsed.alias("r"), "SourceFileName", "SourceFilePath").select(
-        "r.*", "SourceFileName", "SourceFilePath")
+    # a generated row, not a projected struct: filters on its fields stay above it and do not parse again
+    return text.where("xml <> ''").select(F.inline(F.array(parsed)), "SourceFileName", "SourceFilePath")
+
+
+def _codec(spark: SparkSession, where):
+    """What a file is compressed with, by its name; None if it is plain."""
+    return spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration()).getCodec(where)
 
 
 def _part(spark: SparkSession, where, start: int, size: int) -> bytes:
-    """At most ``size`` bytes of a file from ``start`` on (negative: before its end)."""
+    """At most ``size`` bytes of a file from ``start`` on (negative: before its end, plain files only)."""
     jvm = spark._jvm
     fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
     data = fs.open(where)
+    codec = _codec(spark, where)
+    if codec is not None:
+        data = codec.createInputStream(data)
     try:
         if start < 0:
             data.seek(max(0, fs.getFileStatus(where).getLen() + start))
@@ -90,11 +99,11 @@ def _part(spark: SparkSession, where, start: int, size: int) -> bytes:
 
 
 def _ends(spark: SparkSession, uri: str, tag: str) -> tuple[str, str]:
-    """(the file's key, header xml or ''); an error where the file's last record has no end."""
+    """(the file's key, header xml or ''); an error where a plain file's last record has no end."""
     where = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri))
     path = re.sub(NO_HOST, r"\1:/", uri)
     head = _part(spark, where, 0, PREFIX_BYTES)
-    tail = _part(spark, where, -TAIL_BYTES, TAIL_BYTES)
+    tail = b"" if _codec(spark, where) is not None else _part(spark, where, -TAIL_BYTES, TAIL_BYTES)
     starts = [m.start() for m in re.finditer(rb"<%s[\s>]" % tag.encode(), tail)]
     if starts and tail.rfind(b"</%s>" % tag.encode()) < starts[-1]:
         raise ValueError(f"{path} ends within a record {tag}")
@@ -102,7 +111,22 @@ def _ends(spark: SparkSession, uri: str, tag: str) -> tuple[str, str]:
     return path, found.group().decode("utf-8") if found else ""
 
 
+def _check_compressed(spark: SparkSession, uris: list[str], tag: str) -> None:
+    """An error where a compressed file's last record has no end. Such a file has no last bytes to look
+    at: the task that reads it through looks at its last piece."""
+    paths = [spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(u)) for u in uris]
+    packed = [p.toString() for p in paths if _codec(spark, p) is not None]
+    if packed:
+        pieces = spark.read.option("lineSep", f"</{tag}>").text(packed).select(
+            F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("n"),
+            F.col("value").rlike(rf"<{tag}[\s>]").alias("open"))
+        cut = pieces.groupBy("path").agg(F.max_by("open", "n").alias("open")).where("open").select(F.min("path")).first()[0]
+        if cut is not None:
+            raise ValueError(f"{cut} ends within a record {tag}")
+
+
 def _header(spark: SparkSession, uris: list[str], tag: str) -> DataFrame:
+    _check_compressed(spark, uris, tag)
     with ThreadPoolExecutor(FILE_THREADS) as pool:
         ends = list(pool.map(lambda u: _ends(spark, u, tag), uris))
     h = spark.createDataFrame([e for e in ends if e[1]], "SourceFilePath STRING, xml STRING").select(

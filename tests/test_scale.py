@@ -61,3 +61,34 @@ def test_merged_sources_are_written_once(spark, shared_codes):
     df = queries()["c5_enrich_again"](spark, shared_codes)
     assert "min_by(" not in df._jdf.queryExecution().optimizedPlan().toString().replace("minby(", "min_by(")
     assert df.count() > 0
+
+
+def _full(n, end="</FinInstrmRptgRefDataRpt>"):
+    return "<FinInstrmRptgRefDataRpt><RptHdr><RptgNtty><NtlCmptntAuthrty>FR</NtlCmptntAuthrty></RptgNtty></RptHdr>" + "".join(
+        f"<RefData><FinInstrmGnlAttrbts><Id>XS{i:010d}</Id></FinInstrmGnlAttrbts><Issr>L{i}</Issr></RefData>" for i in range(n)) + end
+
+
+def test_a_record_is_parsed_once(spark, tmp):
+    """SRC1, SRC2: the filters on the key columns must not parse the record again."""
+    from refmart.sources.xml import read_delta_xml, read_full_xml
+    with open(f"{tmp}/a.xml", "w") as f:
+        f.write(_full(3))
+    for df in (read_full_xml(spark, f"{tmp}/a.xml"), read_delta_xml(spark, f"{tmp}/a.xml")):     # a record and a header
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("from_xml(") == 2
+    assert read_full_xml(spark, f"{tmp}/a.xml").count() == 3
+
+
+def test_compressed_xml_files(spark, tmp):
+    """Header and records of a gzip file; one that ends within a record is refused."""
+    import gzip
+    import pytest
+    from refmart.sources.xml import read_full_xml
+    for name, text in [("a.xml.gz", _full(3)), ("b.xml.gz", _full(2)), ("cut.xml.gz", _full(2, "<RefData><Issr>x</Issr>"))]:
+        with gzip.open(f"{tmp}/{name}", "wt") as f:
+            f.write(text)
+    rows = read_full_xml(spark, [f"{tmp}/a.xml.gz", f"{tmp}/b.xml.gz"]).collect()
+    assert sorted((r.SourceFileName, r.ISIN[-1], r.IssuerLEI, r.HeaderReportingNCA) for r in rows) == [
+        ("a.xml.gz", "0", "L0", "FR"), ("a.xml.gz", "1", "L1", "FR"), ("a.xml.gz", "2", "L2", "FR"),
+        ("b.xml.gz", "0", "L0", "FR"), ("b.xml.gz", "1", "L1", "FR")]
+    with pytest.raises(ValueError, match="cut.xml.gz ends within a record"):
+        read_full_xml(spark, f"{tmp}/cut.xml.gz")
