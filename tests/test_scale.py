@@ -1,13 +1,20 @@
 """Work that must not grow with copies: venues with many register rows, stages read more than once."""
 
 import random
+import tempfile
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from test_star import shared_codes  # noqa: F401  (tables of their own)
 
 
+@pytest.fixture(scope="module")
+def scratch():
+    return tempfile.mkdtemp(prefix="refmart-scale-", dir="/tmp")
+
+
 def test_sets_of_venues_unite_into_those_of_their_countries(spark):
     from refmart.operators.bitmaps import set_counts, united_sets, word_sets
     rng = random.Random(5)
@@ -81,7 +88,6 @@ def test_a_record_is_parsed_once(spark, tmp):
 def test_compressed_xml_files(spark, tmp):
     """Header and records of a gzip file; one that ends within a record is refused."""
     import gzip
-    import pytest
     from refmart.sources.xml import read_full_xml
     for name, text in [("a.xml.gz", _full(3)), ("b.xml.gz", _full(2)), ("cut.xml.gz", _full(2, "<RefData><Issr>x</Issr>"))]:
         with gzip.open(f"{tmp}/{name}", "wt") as f:
