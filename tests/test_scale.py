@@ -98,3 +98,17 @@ def test_compressed_xml_files(spark, tmp):
         ("b.xml.gz", "0", "L0", "FR"), ("b.xml.gz", "1", "L1", "FR")]
     with pytest.raises(ValueError, match="cut.xml.gz ends within a record"):
         read_full_xml(spark, f"{tmp}/cut.xml.gz")
+
+
+def test_staged_tables_hold_what_the_loads_read(spark, shared_codes):
+    """JOI4, the star: the typed stage keeps the columns read after it, as small files."""
+    from __spark_entry__ import queries
+    from refmart.operators.cdc import type_instruments
+    from refmart.plans import fixtures as fx, warehouse as wh
+    typed = set(type_instruments(fx.wide(spark, shared_codes)).columns)
+    for columns in (wh.MERGED_COLUMNS, wh.STAGED_COLUMNS):
+        assert set(columns) < typed and not {"SourceFileName", "ExpiryDate", "StrikePrice"} & set(columns)
+    files = queries()["joi4_full_merge"](spark, shared_codes).inputFiles()
+    assert files and all("typed_merged" in f and f.endswith(".zstd.parquet") for f in files)
+    merged, whole = wh.merge_sources(spark, shared_codes), wh.enrichment(wh.staging(spark, shared_codes))
+    assert merged.count() == whole.count() > 0 and merged.exceptAll(whole.select(*merged.columns)).count() == 0
