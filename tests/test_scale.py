@@ -112,3 +112,14 @@ def test_staged_tables_hold_what_the_loads_read(spark, shared_codes):
     assert files and all("typed_merged" in f and f.endswith(".zstd.parquet") for f in files)
     merged, whole = wh.merge_sources(spark, shared_codes), wh.enrichment(wh.staging(spark, shared_codes))
     assert merged.count() == whole.count() > 0 and merged.exceptAll(whole.select(*merged.columns)).count() == 0
+
+
+def test_numbered_rows_are_written_once(spark, monkeypatch):
+    """C13: the rows go to the shared disk with their numbers, not before as well."""
+    from refmart import session
+    from refmart.operators.dims import assign_keys
+    written, cut = [], session.cut_lineage
+    monkeypatch.setattr(session, "cut_lineage", lambda df, name="stage": written.append(name) or cut(df, name))
+    rows = assign_keys(spark.range(1000).select((F.col("id") * 7 % 1000).alias("k")).distinct(), ["k"], "sk", 5)
+    assert written == ["keys"]
+    assert {r.k: r.sk for r in rows.collect()} == {k: k + 6 for k in range(1000)}
