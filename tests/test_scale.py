@@ -123,3 +123,17 @@ def test_numbered_rows_are_written_once(spark, monkeypatch):
     rows = assign_keys(spark.range(1000).select((F.col("id") * 7 % 1000).alias("k")).distinct(), ["k"], "sk", 5)
     assert written == ["keys"]
     assert {r.k: r.sk for r in rows.collect()} == {k: k + 6 for k in range(1000)}
+
+
+def test_listing_pair_comes_from_one_narrow_pass(spark, shared_codes):
+    """C3: no joins with parts and customers, one written stage for both sides; parts that are there twice change nothing."""
+    from refmart.plans import fixtures as fx
+    plan = fx.wide_lines(spark, shared_codes)._jdf.queryExecution().optimizedPlan().toString()
+    assert "p_partkey" not in plan and "c_custkey" not in plan
+    dim, new = fx.listing_pair(spark, shared_codes)
+    assert all("lst_sides" in f for f in new.inputFiles()) and not any("lst_sides" in f for f in dim.inputFiles())
+    w = fx.wide(spark, shared_codes)
+    for side, cond in ((dim, "ValidFromDate < '1999-01-01'"), (new, "ValidFromDate >= '1999-01-01'")):
+        want = w.where(cond).groupBy("ISIN", "TradingVenueMIC").agg(F.max("ValidFromDate").alias("ValidFromDate"))
+        got = side.select(*want.columns)
+        assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
