@@ -137,3 +137,50 @@ def test_listing_pair_comes_from_one_narrow_pass(spark, shared_codes):
         want = w.where(cond).groupBy("ISIN", "TradingVenueMIC").agg(F.max("ValidFromDate").alias("ValidFromDate"))
         got = side.select(*want.columns)
         assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
+
+
+def test_the_loads_do_not_shuffle_the_typed_stage(spark, shared_codes):
+    """C2, the star: the typed stage lies in buckets by ISIN, so the loads that keep one row per ISIN and date or
+    venue read it without a shuffle; it holds the rows that the typing gives without buckets."""
+    from refmart.operators.cdc import type_instruments
+    from refmart.plans import fixtures as fx, warehouse as wh
+    listing = wh.staged(spark, shared_codes)["listing"]
+    for source in (wh.instrument_source(listing), wh.listing_source(listing)):
+        plan = source._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Bucketed: true" in plan
+    plain = type_instruments(fx.wide(spark, shared_codes))
+    bucketed = type_instruments(fx.wide(spark, shared_codes), isin_buckets=3).select(*plain.columns)
+    assert plain.count() > 0 and plain.exceptAll(bucketed).count() == 0 and bucketed.exceptAll(plain).count() == 0
+    kept = listing.exceptAll(plain.select(*listing.columns))
+    assert kept.count() == 0 and listing.count() == plain.count()
+
+
+def test_typed_columns_are_parsed_before_the_shuffle(spark):
+    """C2: the raw keys decide which row stays, also where they become equal by trimming."""
+    from refmart.operators.cdc import type_instruments
+    rows = spark.createDataFrame([(" A", "L", "M", "2024-01-01", "1", True, "1"), ("A", "L", "M", "2024-02-01", "1", True, "n/a"),
+                                  ("A", "L", "M", "2024-02-01", "2", True, "0"), (None, "L", "M", None, "3", True, "1"),
+                                  ("A", "L", "M", "2024-03-01", "9", False, "1")],
+                                 "ISIN string, IssuerLEI string, TradingVenueMIC string, ValidFromDate string, TechRcrdId string, "
+                                 "LatestRecordFlag boolean, CommodityDerivativeInd string").withColumn("ValidToDate", F.lit(None).cast("date"))
+    for buckets in (None, 3):
+        got = type_instruments(rows, buckets)
+        assert sorted((r.ISIN or "", str(r.ValidFromDate), r.TechRcrdId, r.CommodityDerivativeInd) for r in got.collect()) == [
+            ("", "None", "3", True), ("A", "2024-01-01", "1", True), ("A", "2024-02-01", "2", False)]
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("Window") < plan.index("lower(")
+
+
+def test_a_report_joins_the_paths_it_reads(spark, shared_codes):
+    """The star is not written: a report's columns alone are read from the fact, and only the dimensions that bring one joined."""
+    from __spark_entry__ import queries
+    from refmart.plans import fixtures as fx, warehouse as wh
+    whole = wh.star(spark, shared_codes)
+    for columns in (["TradingVenueSK", "InstrumentListingSK"], ["IssuerCountry", "CfiCode", "InstrumentSK"],
+                    ["InstrumentCFI", "VenueMIC", "VenueRows"]):
+        some = wh.star(spark, shared_codes, *columns)
+        assert some.count() > 0 and some.exceptAll(whole.select(*columns)).count() == 0 == whole.select(*columns).exceptAll(some).count()
+    for name in ["agg10_agg_by_issuer", "rpt18_missing_shares"]:
+        plan = queries()[name](spark, shared_codes)._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "TotalIssuedNominalAmount" not in plan.split("Relation [")[0], name
+    assert not any(k[2] == "star" for k in fx._STAGES)
