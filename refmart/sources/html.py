@@ -1,15 +1,18 @@
 """HTML quote pages -> rows of the best-matching table (inventory SRC7, PRJ18,
 PRJ19, FLT13).
 
-Python only takes the tags apart (``mapInPandas``: one row per table row, with
-its cells). Which table fits, which cell belongs to which column, cleaning and the
-ISIN fallback are column expressions over those rows.
+Python only takes the tags apart (an Arrow UDF: per page its tables' headers and
+rows). Which table fits, which cell belongs to which column, cleaning and the ISIN
+fallback are column expressions over them.
 """
 
 from __future__ import annotations
 
+import re
+from html import unescape
 from html.parser import HTMLParser
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -103,24 +106,159 @@ class TableRows(HTMLParser):
             self._open[-1]["cell"][1].append(data)
 
 
-def table_rows(pages: DataFrame, html_col: str = "html", keys: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
-    """Every table row of every page of at least ``MIN_HTML_LENGTH`` characters: the keys, the
-    page's ISIN, table_no, row_no, in_head and cells (tag, cleaned text)."""
-    ddl = ", ".join([f"{k} {pages.schema[k].dataType.simpleString()}" for k in keys] + [
-        "page_isin STRING", "table_no INT", "row_no INT", "in_head BOOLEAN", "cells ARRAY<STRUCT<tag: STRING, text: STRING>>"])
+# Tags that a page's pieces are told apart by; any other one only parts the text around it.
+_ROW_TAGS = {t: t for t in ("table", "/table", "thead", "/thead", "tbody", "tfoot", "tr", "/tr", "td", "th", "/td", "/th")}
+# Elements whose content the parser reads as text, not as tags.
+_RAW = {"script", "style"}
+_RAW_TEXT = {"title", "textarea", "iframe", "noembed", "noframes", "xmp", "plaintext", "noscript"}
+_TAG = re.compile(r"""/?([a-zA-Z][a-zA-Z0-9]*)((?:[ \t\n\r\f]+[a-zA-Z_:-][a-zA-Z0-9_:.-]*"""
+                  r"""(?:=(?:"[^"<>]*"|'[^'<>]*'|[^<>"'`= \t\n\r\f/]+))?)*[ \t\n\r\f]*/?)""")
+_DOCTYPE = re.compile(r"!doctype( [^<>\[\]-]*)?", re.I)
 
-    def run(batches):
-        import pandas as pd
-        for pdf in batches:
-            out = [(*rec[:-1], no, n, head, [{"tag": a, "text": b} for a, b in cells])
-                   for rec in pdf.itertuples(index=False, name=None) for no, n, head, cells in TableRows(rec[-1]).rows]
-            yield pd.DataFrame(out, columns=[*keys, "page_isin", "table_no", "row_no", "in_head", "cells"])
 
-    page = F.col(html_col)
-    rows = pages.where(F.length(page) >= MIN_HTML_LENGTH).select(
-        *keys, extract_isin(page).alias("page_isin"), page.alias("__html")).mapInPandas(run, ddl)
-    return rows.withColumn("cells", F.transform("cells", lambda c: F.struct(
-        c["tag"].alias("tag"), F.coalesce(clean_cell(c["text"]), F.lit("")).alias("text"))))
+def _kind(tag: str) -> str | None:
+    """What a piece between ``<`` and ``>`` is: one of the row tags, a raw element's name, "" for a tag
+    that only parts the text; None where only the parser knows."""
+    m = _TAG.fullmatch(tag)
+    if m is None:
+        return "" if _DOCTYPE.fullmatch(tag) else None
+    name = m[1].lower()
+    if tag[0] == "/":
+        if m[2].strip(" \t\n\r\f"):
+            return None                            # an end tag with attributes
+        return _ROW_TAGS.get("/" + name, "")
+    if name in _RAW or name in _RAW_TEXT or name in _ROW_TAGS:
+        return None if m[2].endswith("/") else name
+    return ""
+
+
+class NotPlain(Exception):
+    """The page holds something that ``plain_rows`` leaves to ``TableRows``."""
+
+
+def plain_rows(html: str, kinds: dict[str, str | None]) -> list[tuple[int, int, bool, list[tuple[str, str]]]]:
+    """``TableRows(html).rows`` for pages of ordinary tags, cut at ``<`` instead of parsed character by
+    character; raises ``NotPlain`` for the others (broken tags, declarations, raw text within a cell).
+    ``kinds`` keeps what a tag's text was found to be, from page to page."""
+    rows: list[tuple[int, int, bool, list[tuple[str, str]]]] = []
+    outer: list[tuple] = []               # the open tables around the one that no, n, head, row, cell and parts are of
+    tables, no, n, head = 0, -1, 0, False
+    row = cell = parts = None
+    pieces = iter(html.split("<"))
+    next(pieces)
+    for piece in pieces:
+        tag, end, text = piece.partition(">")
+        kind = kinds.get(tag)
+        if kind is None:
+            if tag[:3] == "!--":
+                after = piece.find("-->", 5)
+                if after < 0 or "--!" in piece or piece[3] in ">-":
+                    raise NotPlain
+                text, end, kind = piece[after + 3:], ">", ""
+            else:
+                kind = _kind(tag)
+                if kind is None:
+                    raise NotPlain
+                if len(kinds) < 10000:
+                    kinds[tag] = kind
+        if kind and (no >= 0 or kind not in _ROW_TAGS or kind == "table"):
+            if kind == "td" or kind == "th":
+                if cell is not None:
+                    row.append((cell, " ".join(parts)))
+                elif row is None:
+                    row = []
+                cell, parts = kind, []
+            elif kind == "/td" or kind == "/th":
+                if cell is not None:
+                    row.append((cell, " ".join(parts)))
+                    cell = None
+            elif kind == "table":
+                outer.append((no, n, head, row, cell, parts))
+                no, n, head, row, cell = tables, 0, False, None, None
+                tables += 1
+            elif kind not in _ROW_TAGS:
+                if cell is not None or not end:
+                    raise NotPlain
+                for piece in pieces:
+                    tag, end, text = piece.partition(">")
+                    if tag.lower() == "/" + kind and end:
+                        break
+                    if kind in _RAW_TEXT or tag[:len(kind) + 1].lower() == "/" + kind:
+                        raise NotPlain
+                else:
+                    raise NotPlain
+            else:
+                if cell is not None:
+                    row.append((cell, " ".join(parts)))
+                    cell = None
+                if row is not None:
+                    rows.append((no, n, head, row))
+                    n += 1
+                    row = None
+                if kind == "tr":
+                    row = []
+                elif kind == "/table":
+                    no, n, head, row, cell, parts = outer.pop()
+                elif kind != "/tr":
+                    head = kind == "thead"
+        if text:
+            if cell is not None:
+                parts.append(unescape(text) if "&" in text else text)
+        elif not end:
+            raise NotPlain
+    while no >= 0:
+        if cell is not None:
+            row.append((cell, " ".join(parts)))
+        if row is not None:
+            rows.append((no, n, head, row))
+        no, n, head, row, cell, parts = outer.pop()
+    return rows
+
+
+def rows_of(html: str, kinds: dict[str, str | None]) -> list[tuple[int, int, bool, list[tuple[str, str]]]]:
+    """The rows of ``TableRows``, by the shorter way where the page allows it."""
+    try:
+        return plain_rows(html, kinds)
+    except NotPlain:
+        return TableRows(html).rows
+
+
+def page_tables(html_col: Column) -> Column:
+    """Per page its tables that have rows, in their order: the header's cells (those of the first row of its
+    head, else of its first row) and the ``td`` cells of each row after the first that has any. The texts are
+    cleaned as by ``clean_cell``: ``split`` parts them at the same white space."""
+    @F.arrow_udf("array<struct<head: array<string>, rows: array<array<string>>>>")
+    def tables(pages: pa.Array) -> pa.Array:
+        kinds: dict[str, str | None] = {}
+        heads, head_ends, cells, cell_ends, row_ends, table_ends = [], [0], [], [0], [0], [0]
+        for html in pages.to_pylist():
+            found: dict[int, list] = {}
+            for no, n, in_head, row in rows_of(html or "", kinds):
+                t = found.get(no)
+                if t is None:
+                    t = found[no] = [row, in_head, []]
+                elif in_head and not t[1]:
+                    t[0], t[1] = row, True
+                if n > 0:
+                    data = [" ".join(text.split()) for tag, text in row if tag == "td"]
+                    if data:
+                        t[2].append(data)
+            for no in sorted(found):
+                head, _, data = found[no]
+                heads += [" ".join(text.split()) for _, text in head]
+                head_ends.append(len(heads))
+                for row in data:
+                    cells += row
+                    cell_ends.append(len(cells))
+                row_ends.append(len(cell_ends) - 1)
+            table_ends.append(len(row_ends) - 1)
+
+        def lists(ends: list[int], values: pa.Array) -> pa.Array:
+            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+        rows = lists(row_ends, lists(cell_ends, pa.array(cells, pa.string())))
+        return lists(table_ends, pa.StructArray.from_arrays([lists(head_ends, pa.array(heads, pa.string())), rows], ["head", "rows"]))
+
+    return tables(html_col)
 
 
 def plain_name(c: Column) -> Column:
@@ -146,26 +284,29 @@ def html_best_table(pages: DataFrame, expected: list[str], html_col: str = "html
     first of those whose header (the first row of its head, else its first row) has
     most expected names, at least one. Blank rows are dropped (FLT13); ISIN = first
     ISIN-shaped token of the row, else of the page."""
-    rows = table_rows(pages, html_col, keys)
     spark = pages.sparkSession
     fields = [h for h in expected if h and h.upper() not in NOT_SCORED]
     # the expected names in their plain form, by the same expression as the headers
     plain = [r[0] for r in spark.createDataFrame([(i, h) for i, h in enumerate(fields)], "i INT, h STRING")
              .select(plain_name(F.col("h")).alias("p"), "i").orderBy("i").collect()]
-    # a page's tables are compared in windows over the page (its rows only)
-    head = F.min_by("cells", F.struct(~F.col("in_head"), "row_no")).over(Window.partitionBy(*keys, "table_no"))
-    rows = rows.withColumn("names", F.transform(head, lambda c: plain_name(c["text"])))
-    score = F.size(F.array_intersect("names", F.array(*[F.lit(p) for p in sorted(set(plain))]).cast("array<string>")))
-    rows = rows.withColumn("rank", F.struct((-score).alias("score"), "table_no"))
-    rows = rows.withColumn("best", F.min("rank").over(Window.partitionBy(*keys)))
-    data = rows.where((F.col("rank") == F.col("best")) & (F.col("rank.score") < 0) & (F.col("row_no") > 0)).select(
-        *keys, "page_isin", "row_no", "names",
-        F.transform(F.filter("cells", lambda c: c["tag"] == "td"), lambda c: c["text"]).alias("cells"))
-    data = data.where(F.size("cells") > 0)
-    number = F.row_number().over(Window.partitionBy(*keys).orderBy("row_no"))
-    data = data.withColumn("row_no", number).where(F.exists("cells", lambda x: x != ""))
+    wanted = F.array(*[F.lit(p) for p in sorted(set(plain))]).cast("array<string>")
+    # a page is one row until its best table is known, and the columns are found once per page
+    page = F.col(html_col)
+    tables = pages.where(F.length(page) >= MIN_HTML_LENGTH) \
+        .select(*keys, extract_isin(page).alias("page_isin"), page_tables(page).alias("tables"))
+    tables = tables.withColumn("names", F.transform("tables", lambda t: F.transform(
+        t["head"], plain_name)))
+    tables = tables.withColumn("best", F.array_min(F.transform("names", lambda n, i: F.struct(
+        (-F.size(F.array_intersect(n, wanted))).alias("score"), i.alias("i")))))
+    # no rows instead of a filter, which would find the names twice
+    tables = tables.select(*keys, "page_isin", F.get("names", F.col("best.i")).alias("names"), F.when(
+        F.col("best.score") < 0, F.get("tables", F.col("best.i"))["rows"]).alias("rows"))
+    data = tables.select(*keys, "page_isin", F.array(*[column_of(F.col("names"), p) for p in plain])
+                         .cast("array<int>").alias("places"), F.posexplode("rows").alias("row_no", "cells"))
+    # pages of equal keys are numbered on, as one
+    data = data.withColumn("row_no", F.row_number().over(Window.partitionBy(*keys).orderBy("row_no")))
+    data = data.where(F.exists("cells", lambda x: x != ""))
     data = data.withColumn("row_text", F.array_join("cells", " "))
-    out = [F.coalesce(F.get("cells", column_of(F.col("names"), p)), F.lit("")).alias(f"h_{p or i}")
-           for i, p in enumerate(plain)]
+    out = [F.coalesce(F.get("cells", F.get("places", F.lit(i))), F.lit("")).alias(f"h_{p or i}") for i, p in enumerate(plain)]
     return data.select(*keys, "row_no", "row_text", "page_isin", *out,
                        extract_isin(clean_cell("row_text"), F.col("page_isin")).alias("ISIN"))

@@ -228,6 +228,40 @@ def test_html_omitted_end_tags_and_nested_tables(spark):
     assert [(r.page_id, r.row_no, r.h_produit, r.h_achat) for r in rows] == [(1, 1, "P1", "1,0"), (1, 2, "P2 more", "2,0")]
 
 
+def test_html_rows_are_cut_as_the_parser_reads_them():
+    """SRC7: pages of ordinary tags give the parser's rows without it; the others are left to it."""
+    import random
+    from refmart.sources.html import NotPlain, TableRows, plain_rows, rows_of
+    usual = ["<table>", "</table>", "<thead>", "</thead>", "<tbody>", "<tr>", "</tr>", "<td>", "<th>", "</td>", "</th>",
+             '<TD class="a b">', "<b>", "</b>", "<br/>", "a", " b  c", "&amp;", "x & y", "&nbsp", "\n", "<!-- <td> -->",
+             "<a href='u?x=1&y=2'>", "</a>"]
+    odd = ["<script>if(a<b)'<td>'</script>", "<style>td{}</style>", "<title>t</title>", "<", "< td>", "</ td>", "<td x='1>2'>",
+           "<!-->", "<!DOCTYPE html>", "<?x ?>", "<td/>", "<svg:td>", "</td x>", "<td\nid=1>", "<![CDATA[x]]>", "</script>", "<textarea>"]
+    rnd, kinds, plain = random.Random(5), {}, 0
+    for i in range(6000):
+        tags = usual if i % 2 else usual + odd
+        page = "<table><tr><td>" * (i % 3) + "".join(rnd.choice(tags) for _ in range(rnd.randint(0, 30)))
+        want = TableRows(page).rows
+        assert rows_of(page, kinds) == want, page
+        try:
+            plain += plain_rows(page, kinds) == want
+        except NotPlain:
+            assert not i % 2, page
+    assert plain > 3000
+
+
+def test_html_pages_are_parsed_without_a_shuffle(spark):
+    """SRC7: the best table is found in the page's row; pages with equal keys and null keys keep all their rows."""
+    from refmart.sources.html import html_best_table
+    page = "<p>" + "x" * 200 + "<table><tr><td>menu</table><table><tr><th>Produit<th>Achat<tr><td>P&nbsp; 1<td>1<tr><td><td><tr><td>P2<td>2</table>"
+    pages = spark.createDataFrame([(1, "u", page), (1, "u", page), (None, None, page), (2, "u", "y" * 300)], "page_id BIGINT, url STRING, html STRING")
+    df = html_best_table(pages, ["ISIN", "Produit", "Achat"])
+    assert sorted((r.page_id or 0, r.row_no, r.h_produit, r.h_achat) for r in df.collect()) == [
+        (0, 1, "P 1", "1"), (0, 3, "P2", "2"), (1, 1, "P 1", "1"), (1, 2, "P 1", "1"), (1, 5, "P2", "2"), (1, 6, "P2", "2")]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 1 and "MapInPandas" not in plan
+
+
 def test_quotes_header_rules(spark, tmp):
     import os
     from refmart.sources.text import read_quotes
