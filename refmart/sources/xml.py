@@ -2,8 +2,9 @@
 
 A document is read as text with the record's end tag as line separator, so one file of a
 million records is split into byte ranges that many tasks read, each record whole in one of
-them (a compressed file is read by one task: write many of bounded size); ``from_xml`` parses it
-once under the declared schema (no inference pass, one scan). The
+them (a compressed file is read by one task: write many of bounded size). A record of plain tags in the
+order of the published schema is cut by one regular expression, any other is parsed by ``from_xml``, both
+once and under the declared schema (no inference pass, one scan). The
 header element stands before the first record: it is taken from a bounded prefix of each
 file, read by a pool of threads, and joined back on the file's path -- one row per file,
 broadcast by AQE. A record that is malformed, has no end, or is not ended by its plain end
@@ -20,6 +21,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StringType, StructType
 
 from ..functions.clean import amount_ccy, blank_to_null, first_text, record_id
 
@@ -64,16 +66,69 @@ def records(spark: SparkSession, path, tag: str, schema: str) -> DataFrame:
 
 
 def parsed_records(pieces: DataFrame, tag: str, schema: str) -> DataFrame:
-    """The same of text rows (batch or stream) cut at the record's end tag."""
+    """The same of text rows (batch or stream) cut at the record's end tag. A record of plain tags in the
+    schema's order is cut by one regular expression, which also proves it well-formed; any other (comments,
+    entities, prefixes, other elements or orders, a broken record) goes to ``from_xml``."""
+    pattern, width, plain_record = _plain(tag, StructType.fromDDL(schema))
+    cells = F.regexp_replace("value", pattern, "".join(f"{CUT}${i + 1}" for i in range(width)))
     text = pieces.select(
         F.col("_metadata.file_name").alias("SourceFileName"), F.regexp_replace("_metadata.file_path", NO_HOST, "$1:/").alias("SourceFilePath"),
-        F.regexp_extract("value", rf"(?s)<{tag}[\s>].*", 0).alias("xml"))
-    again = F.expr("substring(xml, 2)").rlike(rf"<{tag}[\s>]")
+        "value", F.when(~F.col("value").contains(CUT), F.split(cells, CUT)).alias("cells"))
+    xml = F.regexp_extract("value", rf"(?s)<{tag}[\s>].*", 0)
+    again = F.substr(xml, F.lit(2)).rlike(rf"<{tag}[\s>]")
     whole = F.when(again, F.raise_error(F.concat(F.lit(f"{tag} without its end tag in "), "SourceFilePath"))) \
-        .otherwise(F.concat("xml", F.lit(f"</{tag}>")))
+        .otherwise(F.concat(xml, F.lit(f"</{tag}>")))
     parsed = F.from_xml(whole, schema, {"ignoreNamespace": "true", "mode": "FAILFAST"})
     # a generated row, not a projected struct: filters on its fields stay above it and do not parse again
-    return text.where("xml <> ''").select(F.inline(F.array(parsed)), "SourceFileName", "SourceFilePath")
+    record = F.when(F.size("cells") == width + 1, plain_record(F.col("cells"))).when(F.col("value").rlike(rf"<{tag}[\s>]"), parsed)
+    return text.select(F.inline(F.filter(F.array(record), lambda r: r.isNotNull())), "SourceFileName", "SourceFilePath")
+
+
+CUT = "\x01"       # no character of XML 1.0
+_BLANKS = r"[ \t\r\n]*"
+_CONTROLS = "".join(rf"\x{i:02X}" for i in range(32))      # one by one, not as a range: a table lookup per character
+# text that from_xml returns as it stands: no markup, no references, no control characters, no blanks to trim
+_TEXT = rf"([^<>& {_CONTROLS}][^<>&{_CONTROLS}]*)(?<! )"
+_ATTRIBUTE = rf'([^<>&" {_CONTROLS}][^<>&"{_CONTROLS}]{{0,999}})(?<! )'
+
+
+def _plain(tag: str, schema: StructType):
+    """(regular expression of a plain record ``<tag>`` without its end tag, number of its groups, builder of
+    the record from the cells after each cut): every element once or absent, in the schema's order, blanks
+    between them; a struct has a group for its start tag, a struct with a ``_VALUE`` is text with attributes."""
+    width = 0
+
+    def group() -> int:
+        nonlocal width
+        width += 1
+        return width
+
+    def element(name: str, kind: DataType):
+        """(its regular expression, its value from the cells); '' for what a plain record may not have."""
+        if isinstance(kind, StructType) and "_VALUE" in kind.names:
+            start, at, attributes = group(), {}, ""
+            for n in kind.names:
+                if n != "_VALUE":
+                    at[n] = group()
+                    attributes += rf'(?: {n[1:]}="{_ATTRIBUTE}")?+'
+            at["_VALUE"] = group()
+            return rf"(?:(<{name}){attributes}(?:/>|>(?:{_TEXT})?+</{name}>){_BLANKS})?+", lambda cells: F.when(
+                cells[start] != "", F.struct(*[F.nullif(cells[at[n]], F.lit("")).alias(n) for n in kind.names]))
+        if isinstance(kind, StructType):
+            start = group()
+            inner, build = children(kind)
+            return rf"(?:(<{name})(?:/>|>{_BLANKS}{inner}</{name}>){_BLANKS})?+", lambda cells: F.when(cells[start] != "", build(cells))
+        if isinstance(kind, StringType):
+            i = group()
+            return rf"(?:<{name}>{_TEXT}</{name}>{_BLANKS})?+", lambda cells: F.nullif(cells[i], F.lit(""))
+        return "", lambda cells: F.lit(None).cast(kind)
+
+    def children(kind: StructType):
+        parts = [(f.name, *element(f.name, f.dataType)) for f in kind]
+        return "".join(p for _, p, _ in parts), lambda cells: F.struct(*[build(cells).alias(n) for n, _, build in parts])
+
+    inner, build = children(schema)
+    return rf"\A{_BLANKS}<{tag}>{_BLANKS}{inner}\z", width, build
 
 
 def _codec(spark: SparkSession, where):
@@ -117,10 +172,14 @@ def _check_compressed(spark: SparkSession, uris: list[str], tag: str) -> None:
     paths = [spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(u)) for u in uris]
     packed = [p.toString() for p in paths if _codec(spark, p) is not None]
     if packed:
-        pieces = spark.read.option("lineSep", f"</{tag}>").text(packed).select(
-            F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("n"),
-            F.col("value").rlike(rf"<{tag}[\s>]").alias("open"))
-        cut = pieces.groupBy("path").agg(F.max_by("open", "n").alias("open")).where("open").select(F.min("path")).first()[0]
+        def cut_in(paths: list[str], is_open: Column):
+            pieces = spark.read.option("lineSep", f"</{tag}>").text(paths).select(
+                F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("n"), is_open.alias("open"))
+            return [r.path for r in pieces.groupBy("path").agg(F.max_by("open", "n").alias("open")).where("open").collect()]
+
+        # all files by a plain search, those that it finds by the start tag itself
+        found = cut_in(packed, F.col("value").contains(f"<{tag}"))
+        cut = min(cut_in(found, F.col("value").rlike(rf"<{tag}[\s>]")), default=None) if found else None
         if cut is not None:
             raise ValueError(f"{cut} ends within a record {tag}")
 
@@ -139,7 +198,7 @@ def _header(spark: SparkSession, uris: list[str], tag: str) -> DataFrame:
 
 def with_header(wide: DataFrame, uris: list[str], tag: str) -> DataFrame:
     """The header fields of its file (of those at ``uris``) on every record."""
-    return wide.join(_header(wide.sparkSession, uris, tag), "SourceFilePath", "left").drop("SourceFilePath")
+    return wide.join(F.broadcast(_header(wide.sparkSession, uris, tag)), "SourceFilePath", "left").drop("SourceFilePath")
 
 
 def _leaf(c: Column, leaf: str) -> Column:
