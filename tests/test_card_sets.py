@@ -40,3 +40,32 @@ def test_sets_are_built_per_class_not_per_venue(spark, shared_codes, monkeypatch
     known = rows.where("TradingVenueSK IS NOT NULL")
     assert [r[0] for r in known.select("__class").distinct().collect()] == [1] and known.select("TradingVenueSK").distinct().count() > 3
     assert {r[0] for r in sets.select("VenueCountry").distinct().collect()} == {"x", "y"} | ({None} if rows.where("TradingVenueSK IS NULL").count() else set())
+
+
+def test_the_star_view_joins_the_paths_to_its_columns(spark, shared_codes):
+    """JOI12 shows no column of the instrument: that dimension is not joined; the rows are those of the whole view."""
+    from __spark_entry__ import queries
+    from refmart.plans import warehouse as wh
+    df = queries()["joi12_star_view"](spark, shared_codes)
+    joins = [x for x in df._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join LeftOuter" in x]
+    assert not any("(InstrumentSK#" in x for x in joins) and any("(IssuerSK#" in x for x in joins)
+    whole = wh.star_view(spark, shared_codes).select(*df.columns)
+    assert df.count() == whole.count() and df.exceptAll(whole).count() == 0
+
+
+def test_amounts_of_the_feed_are_as_formatted(spark):
+    """FX1: the texts of amounts and days are those of ``format_string`` and ``date_format``."""
+    import math
+    import random
+    from refmart.plans.fixtures import _d, _fixed
+    rng = random.Random(3)
+    values = [None, 0.0, -0.0, 0.5, 1.5, 2.5, 0.005, 0.015, 1.005, 2.675, 0.125, 0.375, 1e-9, 1e14 + 0.3, 999999999999999.9, 1e15, 1e22, -1.005, -0.001,
+              math.nan, math.inf, -math.inf, 0.994999, 0.995, 8.5] + [round(rng.uniform(0, 10 ** rng.randint(0, 9)), rng.randint(0, 6)) for _ in range(20000)] \
+        + [rng.uniform(0, 10 ** rng.randint(0, 15)) for _ in range(20000)]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for n in (0, 2):
+        assert df.where(_fixed(F.col("x"), n) != F.format_string(f"%.{n}f", "x")).collect() == []
+        assert df.where(_fixed(F.col("x"), n).isNull()).count() == 0
+    days = spark.sql("SELECT timestamp_ntz'1995-01-01 23:59:59' AS t UNION ALL SELECT NULL UNION ALL SELECT timestamp_ntz'2024-02-29 00:00:00'")
+    for t in (F.col("t"), F.col("t").cast("timestamp"), F.col("t").cast("date")):
+        assert days.where(~_d(t).eqNullSafe(F.date_format(t, "yyyy-MM-dd"))).count() == 0
