@@ -7,7 +7,7 @@ order of the published schema is cut by one regular expression, any other is par
 once and under the declared schema (no inference pass, one scan). The
 header element stands before the first record: it is taken from a bounded prefix of each
 file, read by a pool of threads, and joined back on the file's path -- one row per file,
-broadcast by AQE. A record that is malformed, has no end, or is not ended by its plain end
+broadcast. A record that is malformed, has no end, or is not ended by its plain end
 tag fails the read. Comments and CDATA must not hold the record's tags.
 
 Paths follow the published schema (SURVEY §1.4); ``compat=True`` instead
